@@ -146,3 +146,53 @@ def q_status_summary(spark, sf_dir):
     r = raw(spark, sf_dir)
     orders = W.dim_orders(r.orders, r.order_payments, r.order_items, with_load_date=False)
     return W.status_summary(orders, W.status_seed(spark))
+
+
+def star(spark, sf_dir):
+    """The star-schema tables over the fixtures, without ``load_date``."""
+    return W.build_star(raw(spark, sf_dir), with_load_date=False)
+
+
+# Star-schema tables as oracle CTEs (referenced by name from other queries).
+STAR_SQL = {
+    "s_dim_orders": DIM_ORDERS_SQL,
+    "s_dim_customers": """
+SELECT customer_id AS pk_customer_sid, customer_unique_id,
+  lpad(CAST(customer_zip_code_prefix AS VARCHAR), 5, '0') AS customer_zip_code_prefix, customer_city, customer_state
+FROM x_customers""",
+    "s_dim_geo": """
+SELECT DISTINCT lpad(CAST(geolocation_zip_code_prefix AS VARCHAR), 5, '0') AS geolocation_zip_code_prefix,
+  geolocation_lat, geolocation_lng, geolocation_city, geolocation_state
+FROM x_geo""",
+    "s_land": """
+SELECT * FROM s_dim_geo WHERE geolocation_lat BETWEEN -34.0 AND 5.0 AND geolocation_lng BETWEEN -74.0 AND -34.0""",
+    "s_fct_items": f"""
+SELECT i.order_id AS fk_order_sid, i.order_id AS pk_order_id, CAST(i.order_item_id AS VARCHAR) AS pk_order_item_id,
+  strftime(i.shipping_limit_date, {YMD}) AS fk_shipping_limit_date_sid, i.product_id, i.seller_id,
+  i.shipping_limit_date, CAST(i.price AS DOUBLE) AS price, CAST(i.freight_value AS DOUBLE) AS freight_value,
+  p.product_category_name, c.product_category_name_english,
+  p.product_name_lenght AS product_name_length, p.product_description_lenght AS product_description_length,
+  p.product_photos_qty, p.product_weight_g, p.product_length_cm, p.product_height_cm, p.product_width_cm,
+  lpad(CAST(s.seller_zip_code_prefix AS VARCHAR), 5, '0') AS seller_zip_code_prefix, s.seller_city, s.seller_state
+FROM x_items i
+LEFT JOIN x_products p ON i.product_id = p.product_id
+LEFT JOIN x_translation c ON p.product_category_name = c.product_category_name
+LEFT JOIN x_sellers s ON i.seller_id = s.seller_id""",
+    "s_full_profits": """
+SELECT o.*, a.fk_order_sid, m.product_category_name_english, CAST(a._price AS DOUBLE) AS price,
+  CAST(CAST(o.total_payment AS DECIMAL(18,2)) - a._price AS DOUBLE) AS profit
+FROM s_dim_orders o
+LEFT JOIN (SELECT fk_order_sid, SUM(CAST(price AS DECIMAL(18,2))) AS _price FROM s_fct_items GROUP BY fk_order_sid) a
+  ON o.pk_order_sid = a.fk_order_sid
+LEFT JOIN (SELECT fk_order_sid, product_category_name_english FROM (
+    SELECT fk_order_sid, product_category_name_english,
+      row_number() OVER (PARTITION BY fk_order_sid ORDER BY COUNT(*) DESC, product_category_name_english) AS rn
+    FROM s_fct_items WHERE product_category_name_english IS NOT NULL
+    GROUP BY fk_order_sid, product_category_name_english) z WHERE rn = 1) m
+  ON o.pk_order_sid = m.fk_order_sid""",
+}
+
+
+def pct_sql(u: str, n: str) -> str:
+    """100·u/n as DOUBLE (0 when n = 0), evaluated like the Spark side."""
+    return f"CASE WHEN {n} > 0 THEN CAST(100.0 AS DOUBLE) * {u} / {n} ELSE CAST(0.0 AS DOUBLE) END"
