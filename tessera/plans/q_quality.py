@@ -66,10 +66,10 @@ def fused_sql(table: str, label: str, checks: list[tuple]) -> str:
 SELECT '{label}' AS table_name, '{c[0]}' AS "check", '{col}' AS "column", CAST(COUNT(*) AS BIGINT) AS element_count,
   CAST({miss} AS BIGINT) AS missing_count, CAST({bad} AS BIGINT) AS unexpected_count,
   {pct_sql(bad, denom)} AS unexpected_percent, {bad} = 0 AS success FROM {table}""")
-    return "\nUNION ALL".join(parts)
+    return "\nUNION ALL ".join(parts)
 
 
-@query("dq_unique", "\nUNION ALL".join([
+@query("dq_unique", "\nUNION ALL ".join([
     unique_sql("s_dim_orders", "dim_orders", ["pk_order_sid"]),
     unique_sql("s_dim_customers", "dim_customers", ["pk_customer_sid"]),
     unique_sql("lineitem", "lineitem", ["l_orderkey"]),
@@ -84,7 +84,7 @@ def q_dq_unique(spark, sf_dir):
     ])
 
 
-@query("dq_compound_unique", "\nUNION ALL".join([
+@query("dq_compound_unique", "\nUNION ALL ".join([
     unique_sql("x_items", "order_items", ["order_id", "order_item_id"]),
     unique_sql("x_payments", "order_payments", ["order_id", "payment_sequential"]),
     unique_sql("lineitem", "lineitem", ["l_orderkey", "l_linenumber"]),
@@ -109,7 +109,7 @@ def q_dq_not_null(spark, sf_dir):
     return _labelled(res, "orders_nulls")
 
 
-@query("dq_relationships", "\nUNION ALL".join([
+@query("dq_relationships", "\nUNION ALL ".join([
     rel_sql("x_orders", "orders", "customer_id", "x_customers", "customer_id"),
     rel_sql("x_orphans", "orders_orphans", "o_custkey", "customer", "c_custkey"),
     rel_sql("x_items", "order_items", "order_id", "x_orders", "order_id"),
@@ -199,7 +199,7 @@ SELECT '{label}' AS "check", CAST(COUNT(*) AS BIGINT) AS n_keys FROM (
   SELECT {key} FROM {table} GROUP BY {key} HAVING COUNT(DISTINCT {col}) > {n}) g"""
 
 
-@query("dq_keys_with_many", "\nUNION ALL".join([
+@query("dq_keys_with_many", "\nUNION ALL ".join([
     _many_sql("orders_with_many_items", "s_fct_items", "fk_order_sid", "pk_order_item_id"),
     _many_sql("orders_with_many_categories", "s_fct_items", "fk_order_sid", "product_category_name_english"),
     _many_sql("orders_with_many_sellers", "s_fct_items", "fk_order_sid", "seller_id", 3),
