@@ -112,32 +112,36 @@ def acf(df: DataFrame, key: Sequence[str], order: str, col: str, max_lag: int) -
 
 
 # W-7
-def running_counts(df: DataFrame, score: str, label: str, partitions: int | None = None) -> DataFrame:
-    """Cumulative positives/negatives at each distinct score, descending.
-
-    Distributed prefix sum: rows are first reduced to one per distinct
-    score, range-partitioned by score, checkpointed (fixes the partition
-    of every score), totals per partition (≤ ``partitions`` rows) give
-    offsets, and each partition adds its own running sum.  Output per
-    score: pos, neg, tp (= positives with score ≥ s), fp.
+def running_counts(df: DataFrame, score: str, label: str, by: Sequence[str] = (),
+                   partitions: int | None = None) -> DataFrame:
+    """Cumulative positives/negatives at each distinct score, descending (per group).
+
+    Distributed prefix sum: rows are first reduced to one per (group,
+    distinct score), range-partitioned by (group, score desc) and
+    checkpointed (this fixes the partition of every score); totals per
+    (group, partition) — at most groups × partitions rows — give offsets,
+    and each partition adds its own running sum.  Output per score: pos,
+    neg, tp (= positives with score ≥ s), fp.
     """
+    by = list(by)
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    g = df.groupBy(F.col(score).alias("score")).agg(
+    g = df.groupBy(*by, F.col(score).alias("score")).agg(
         F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).cast("bigint").alias("pos"),
         F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).cast("bigint").alias("neg"))
-    r = g.repartitionByRange(parts, F.col("score").desc()).withColumn("_pid", F.spark_partition_id())
-    r = r.checkpoint(eager=True)
-    totals = r.groupBy("_pid").agg(F.sum("pos").alias("_tp"), F.sum("neg").alias("_tn"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = totals.select("_pid", F.coalesce(F.sum("_tp").over(before), F.lit(0)).alias("_op"),
+    r = g.repartitionByRange(parts, *[F.col(b) for b in by], F.col("score").desc()) \
+        .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
+    totals = r.groupBy(*by, "_pid").agg(F.sum("pos").alias("_tp"), F.sum("neg").alias("_tn"))
+    before = (Window.partitionBy(*by).orderBy("_pid") if by else Window.orderBy("_pid")).rowsBetween(
+        Window.unboundedPreceding, -1)
+    offs = totals.select(*by, "_pid", F.coalesce(F.sum("_tp").over(before), F.lit(0)).alias("_op"),
                          F.coalesce(F.sum("_tn").over(before), F.lit(0)).alias("_on"))
-    within = Window.partitionBy("_pid").orderBy(F.col("score").desc()).rowsBetween(
+    within = Window.partitionBy("_pid", *by).orderBy(F.col("score").desc()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    # offsets: one row per partition (bounded by ``parts``) → broadcast
-    return r.join(F.broadcast(offs), "_pid").select(
-        "score", "pos", "neg",
+    # offsets: one row per (group, partition) → broadcast
+    return r.join(F.broadcast(offs), by + ["_pid"]).select(
+        *by, "score", "pos", "neg",
         (F.col("_op") + F.sum("pos").over(within)).cast("bigint").alias("tp"),
         (F.col("_on") + F.sum("neg").over(within)).cast("bigint").alias("fp"))
 
