@@ -304,3 +304,41 @@ SELECT date AS ds, CASE WHEN COALESCE(event_name_1, '') || COALESCE(event_name_2
   ELSE COALESCE(event_name_1, '') || COALESCE(event_name_2, '') END AS holiday_name FROM x_calendar""")
 def q_holiday_names(spark, sf_dir):
     return SE.holiday_names(X.x_calendar(spark))
+
+
+# ---- fitted forecaster: not SQL-expressible; row counts here, properties in tests
+
+def _fc_total(spark, sf_dir):
+    from tessera.operators import forecast as FC
+    s = total(series(spark, sf_dir))
+    cal = X.x_calendar(spark)
+    fut = SE.future_regressor(RS.future_frame(s, "ds", 30, ["series_id"]),
+                              cal.select(F.col("date").alias("ds"), F.col("snap_A").alias("snap")), "snap",
+                              "last_year", default=0)
+    return FC.forecast(s.withColumn("snap", F.col("snap").cast("double")), 30, SE.holidays(cal), ["snap"],
+                       fut.withColumn("snap", F.col("snap").cast("double")), train_days=TRAIN)
+
+
+@query("forecast")
+def q_forecast(spark, sf_dir):
+    return _fc_total(spark, sf_dir)
+
+
+@query("components")
+def q_components(spark, sf_dir):
+    from tessera.operators import forecast as FC
+    return FC.components(_fc_total(spark, sf_dir))
+
+
+@query("cross_validate")
+def q_cross_validate(spark, sf_dir):
+    from tessera.operators import forecast as FC
+    s = total(series(spark, sf_dir)).withColumn("snap", F.col("snap").cast("double"))
+    cv = FC.cross_validate(s, TRAIN, TEST, STEP, SE.holidays(X.x_calendar(spark)), ["snap"])
+    return SE.forecast_metrics(cv.filter(F.col("role") == "test"), ["series_id", "fold"], digits=DIG)
+
+
+@query("pacf")
+def q_pacf(spark, sf_dir):
+    from tessera.operators import forecast as FC
+    return FC.pacf(series(spark, sf_dir), "y", 10)
