@@ -27,6 +27,7 @@ _MODULES = [
     "tessera.plans.q_stats",
     "tessera.plans.q_series",
     "tessera.plans.q_classify",
+    "tessera.plans.q_io",
 ]
 
 
