@@ -84,7 +84,8 @@ OUT_SCHEMA = T.StructType([
 ])
 
 
-def _fit_predict(blocks: dict, regressors: Sequence[str], ridge: float, n_cp: int, interval: float):
+def _fit_predict(blocks: dict, regressors: Sequence[str], ridge: float, n_cp: int, interval: float,
+                 cp_ridge: float = 1e-2):
     feat_blocks = {k: list(v) for k, v in blocks.items()}
     feat_blocks["extra_regressors"] = list(regressors)
     lo_q, hi_q = (1 - interval) / 2, 1 - (1 - interval) / 2
@@ -106,8 +107,11 @@ def _fit_predict(blocks: dict, regressors: Sequence[str], ridge: float, n_cp: in
         fit = tr & ~np.isnan(y)
         xt, yt = x[fit], y[fit]
         scale = np.abs(yt).mean() if fit.any() and np.abs(yt).mean() > 0 else 1.0
+        # intercept and base slope unpenalised; change points shrunk harder
+        # than seasonal/holiday/regressor terms (sparse trend changes)
         pen = np.full(x.shape[1], ridge)
-        pen[0] = 0.0
+        pen[:2] = 0.0
+        pen[2:trend_x.shape[1]] = cp_ridge
         a = xt.T @ xt + np.diag(pen * max(len(yt), 1))
         coef = np.linalg.lstsq(a, xt.T @ (yt / scale), rcond=None)[0] * scale
         parts, start = {}, 0
@@ -126,7 +130,7 @@ def _fit_predict(blocks: dict, regressors: Sequence[str], ridge: float, n_cp: in
     return fn
 
 
-def fit_predict(frame: DataFrame, blocks: dict, regressors: Sequence[str] = (), ridge: float = 1e-3,
+def fit_predict(frame: DataFrame, blocks: dict, regressors: Sequence[str] = (), ridge: float = 1e-4,
                 n_changepoints: int = N_CHANGEPOINTS, interval: float = INTERVAL) -> DataFrame:
     """R-4 / R-9 / R-11: one ridge fit per (series_id, fold) on its 'train'
     rows; predictions, 80 % residual-quantile band and components for all
