@@ -24,7 +24,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.operators.joins import fits_broadcast, small
+from tessera.operators.joins import fits_broadcast
+from tessera.operators.ordered import distributed_rank  # noqa: F401 (re-exported)
 from tessera.operators.stats import exact_quantiles
 from tessera.session import ensure_checkpoint_dir
 
@@ -37,29 +38,6 @@ def hash_uniform(*cols: Column | str, seed: int = 42, salt: int = 0) -> Column:
     return (h.bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF)).cast("double")) / F.lit(TWO63)
 
 
-def distributed_rank(df: DataFrame, by: Sequence[str], order: Sequence[str], out: str = "_rank",
-                     partitions: int | None = None) -> DataFrame:
-    """1-based rank of each row within ``by`` in ``order`` (order must be unique).
-
-    Rows are range-partitioned by (by, order) and checkpointed; counts per
-    (group, partition) — a small table — give each partition its offset,
-    and ``row_number`` runs inside (partition, group) only.  A group that
-    holds a third of all rows is spread over many partitions.
-    """
-    by, order = list(by), list(order)
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    r = df.repartitionByRange(parts, *[F.col(c) for c in by + order]) \
-        .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
-    cnt = r.groupBy(*by, "_pid").agg(F.count(F.lit(1)).alias("_pc"))
-    before = (Window.partitionBy(*by) if by else Window).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = cnt.select(*by, "_pid", F.coalesce(F.sum("_pc").over(before), F.lit(0)).alias("_off"))
-    w = Window.partitionBy("_pid", *by).orderBy(*order)
-    return r.join(small(offs), by + ["_pid"]).withColumn(out, F.col("_off") + F.row_number().over(w)) \
-        .drop("_pid", "_off")
-
-
 # L-1
 def stratified_split(df: DataFrame, label: str, id_col: str, test: float = 0.2, valid: float = 0.2,
                      seed: int = 42, out: str = "split") -> DataFrame:

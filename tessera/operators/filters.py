@@ -72,15 +72,12 @@ def drop_all_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def last_n_days(df: DataFrame, col: str, n: int, by: Sequence[str] | None = None) -> DataFrame:
     """P-15 / W-4: rows with ``col >= max(col) - n days`` (per series when ``by``).
 
-    The max is a one-row (or one-row-per-series) aggregate joined back:
-    a broadcast of one row, or of one row per series.
+    The max is a scalar subquery (or one row per series joined back).
     """
-    if by:
-        mx = df.groupBy(*by).agg(F.max(F.to_date(col)).alias("_max"))
-        j = df.join(mx, list(by), "inner")
-    else:
-        mx = df.agg(F.max(F.to_date(col)).alias("_max"))
-        j = df.join(F.broadcast(mx), how="inner")  # one row: bounded
+    if not by:
+        return df.filter(F.to_date(col) >= F.date_sub(df.agg(F.max(F.to_date(col))).scalar(), n))
+    mx = df.groupBy(*by).agg(F.max(F.to_date(col)).alias("_max"))
+    j = df.join(mx, list(by), "inner")
     return j.filter(F.to_date(col) >= F.date_sub(F.col("_max"), n)).drop("_max")
 
 
@@ -90,23 +87,29 @@ def split_last_n_days(df: DataFrame, col: str, n: int, by: Sequence[str] | None
         mx = df.groupBy(*by).agg(F.max(F.to_date(col)).alias("_max"))
         j = df.join(mx, list(by), "inner")
     else:
-        j = df.join(F.broadcast(df.agg(F.max(F.to_date(col)).alias("_max"))), how="inner")
+        j = df.withColumn("_max", df.agg(F.max(F.to_date(col))).scalar())
     return j.withColumn("split", F.when(F.to_date(col) > F.date_sub(F.col("_max"), n), "test")
                         .otherwise("train")).drop("_max")
 
 
-def slice_rows(df: DataFrame, order: str, start: int, stop: int | None, by: Sequence[str] | None = None) -> DataFrame:
-    """P-18: rows [start, stop) in ``order`` (negative = from the end), per series.
+def slice_rows(df: DataFrame, order: str | Sequence[str], start: int | None, stop: int | None,
+               by: Sequence[str] | None = None) -> DataFrame:
+    """P-18: rows [start, stop) in ``order`` (negative = from the end), per group.
 
-    Numbered with ``row_number`` per series (partitioned window); the
-    series length comes from a grouped count joined back.
+    Positions come from ``distributed_rank`` (range partitions + offsets),
+    not from a window over a whole group, so a group holding a third of
+    the rows is still spread over many tasks; group sizes are a grouped
+    count joined back.  ``order`` must be unique within a group.
     """
+    from tessera.operators.ordered import distributed_rank
     by = list(by or [])
-    w = Window.partitionBy(*by).orderBy(order) if by else Window.orderBy(order)
-    numbered = df.withColumn("_rn", F.row_number().over(w) - 1)
+    order = [order] if isinstance(order, str) else list(order)
+    numbered = distributed_rank(df, by, order, out="_rn").withColumn("_rn", F.col("_rn") - 1)
     if (start is not None and start < 0) or (stop is not None and stop < 0):
-        cnt = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")) if by else df.agg(F.count(F.lit(1)).alias("_n"))
-        numbered = numbered.join(cnt, by, "inner") if by else numbered.join(F.broadcast(cnt), how="inner")
+        g = numbered.withColumn("_g", F.lit(0)) if not by else numbered
+        keys = by or ["_g"]
+        cnt = g.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        numbered = g.join(F.broadcast(cnt) if not by else cnt, keys, "inner")
         n = F.col("_n")
     else:
         n = F.lit(0)
@@ -115,4 +118,5 @@ def slice_rows(df: DataFrame, order: str, start: int, stop: int | None, by: Sequ
         cond = cond & (F.col("_rn") >= (n + start if start < 0 else F.lit(start)))
     if stop is not None:
         cond = cond & (F.col("_rn") < (n + stop if stop < 0 else F.lit(stop)))
-    return numbered.filter(cond).drop("_rn", "_n")
+    out = numbered.filter(cond).drop("_rn", "_n")
+    return out.drop("_g") if "_g" in out.columns else out

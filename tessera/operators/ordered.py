@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.joins import small
 from tessera.session import ensure_checkpoint_dir
 
 
@@ -74,8 +75,10 @@ def rolling_folds(df: DataFrame, key: Sequence[str], order: str, train: int, tes
     key = list(key)
     w = Window.partitionBy(*key).orderBy(order)
     numbered = df.withColumn("_i", F.row_number().over(w) - 1)
-    counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")) if key else df.agg(F.count(F.lit(1)).alias("_n"))
-    j = numbered.join(counts, key, "inner") if key else numbered.join(F.broadcast(counts), how="inner")
+    if key:
+        j = numbered.join(df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")), key, "inner")
+    else:
+        j = numbered.withColumn("_n", df.agg(F.count(F.lit(1))).scalar())
     span = train + test
     nf = F.when(F.col("_n") >= span, F.floor((F.col("_n") - span) / step) + 1).otherwise(0)
     lo = F.greatest(F.lit(0), F.ceil((F.col("_i") - span + 1) / step))
@@ -97,9 +100,11 @@ def acf(df: DataFrame, key: Sequence[str], order: str, col: str, max_lag: int) -
     key = list(key)
     w = Window.partitionBy(*key).orderBy(order)
     num = df.select(*key, F.col(col).cast("double").alias("_x"), (F.row_number().over(w) - 1).alias("_i"))
-    mean = num.groupBy(*key).agg(F.avg("_x").alias("_m")) if key else num.agg(F.avg("_x").alias("_m"))
-    c = (num.join(mean, key, "inner") if key else num.join(F.broadcast(mean), how="inner")).select(
-        *key, "_i", (F.col("_x") - F.col("_m")).alias("_d"))
+    if key:
+        c = num.join(num.groupBy(*key).agg(F.avg("_x").alias("_m")), key, "inner")
+    else:
+        c = num.withColumn("_m", num.agg(F.avg("_x")).scalar())
+    c = c.select(*key, "_i", (F.col("_x") - F.col("_m")).alias("_d"))
     denom = c.groupBy(*key).agg(F.sum(F.col("_d") * F.col("_d")).alias("_ss")) if key else \
         c.agg(F.sum(F.col("_d") * F.col("_d")).alias("_ss"))
     shifted = c.select(*key, F.explode(F.sequence(F.lit(0), F.lit(max_lag))).alias("lag"),
@@ -107,7 +112,7 @@ def acf(df: DataFrame, key: Sequence[str], order: str, col: str, max_lag: int) -
     shifted = shifted.select(*key, "lag", (F.col("_i") - F.col("lag")).alias("_i"), "_d2")
     pairs = c.join(shifted, key + ["_i"], "inner")
     num_sum = pairs.groupBy(*key, "lag").agg(F.sum(F.col("_d") * F.col("_d2")).alias("_num"))
-    res = num_sum.join(denom, key, "inner") if key else num_sum.join(F.broadcast(denom), how="inner")
+    res = num_sum.join(denom, key, "inner") if key else num_sum.withColumn("_ss", denom.select("_ss").scalar())
     return res.select(*key, "lag", F.try_divide(F.col("_num"), F.col("_ss")).alias("acf"))
 
 
@@ -146,6 +151,29 @@ def running_counts(df: DataFrame, score: str, label: str, by: Sequence[str] = ()
         (F.col("_on") + F.sum("neg").over(within)).cast("bigint").alias("fp"))
 
 
+def distributed_rank(df: DataFrame, by: Sequence[str], order: Sequence[str], out: str = "_rank",
+                     partitions: int | None = None) -> DataFrame:
+    """1-based rank of each row within ``by`` in ``order`` (order must be unique).
+
+    Rows are range-partitioned by (by, order) and checkpointed; counts per
+    (group, partition) — a small table — give each partition its offset,
+    and ``row_number`` runs inside (partition, group) only.  A group that
+    holds a third of all rows is spread over many partitions.
+    """
+    by, order = list(by), list(order)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    r = df.repartitionByRange(parts, *[F.col(c) for c in by + order]) \
+        .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
+    cnt = r.groupBy(*by, "_pid").agg(F.count(F.lit(1)).alias("_pc"))
+    before = (Window.partitionBy(*by) if by else Window).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = cnt.select(*by, "_pid", F.coalesce(F.sum("_pc").over(before), F.lit(0)).alias("_off"))
+    w = Window.partitionBy("_pid", *by).orderBy(*order)
+    return r.join(small(offs), by + ["_pid"]).withColumn(out, F.col("_off") + F.row_number().over(w)) \
+        .drop("_pid", "_off")
+
+
 # W-8
 def cum_variance(ratios: Sequence[float]) -> list[float]:
     """Cumulative explained variance of k components (k values, driver-side)."""

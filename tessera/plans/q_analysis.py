@@ -123,3 +123,70 @@ FROM (SELECT product_category_name_english, COALESCE(SUM(CAST(profit AS DECIMAL(
 QUALIFY rank <= 10""", extra=STAR_SQL)
 def q_category_profit_top10(spark, sf_dir):
     return FE.category_profit_top(_full_profits(spark, sf_dir), 10)
+
+
+# ---- projections / filters / ordering registered on their own (P-1, P-9, P-11, P-15, P-18, O-4, A-6)
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from tessera.operators import filters as FL  # noqa: E402
+from tessera.operators import joins as J  # noqa: E402
+from tessera.operators import stats as ST  # noqa: E402
+from tessera.sources.catalog import Sources  # noqa: E402
+
+
+@query("select_as", """
+SELECT order_id AS fk_order_sid, order_id AS pk_order_id, payment_sequential AS pk_payment_sequential FROM x_payments""")
+def q_select_as(spark, sf_dir):
+    from tessera.plans.q_star import raw
+    return FL.select_as(raw(spark, sf_dir).order_payments,
+                        [("fk_order_sid", "order_id"), ("pk_order_id", "order_id"),
+                         ("pk_payment_sequential", "payment_sequential")])
+
+
+@query("contains_ci", "SELECT p_partkey, p_name FROM part WHERE COALESCE(lower(p_name) LIKE '%ring%', FALSE)")
+def q_contains_ci(spark, sf_dir):
+    return FL.contains_ci(Sources.parquet_dir(spark, sf_dir).part.select("p_partkey", "p_name"), "p_name", "RING")
+
+
+@query("last_n_days", """
+SELECT o_orderkey, o_orderdate FROM orders
+WHERE CAST(o_orderdate AS DATE) >= (SELECT MAX(CAST(o_orderdate AS DATE)) FROM orders) - INTERVAL 730 DAY""")
+def q_last_n_days(spark, sf_dir):
+    o = Sources.parquet_dir(spark, sf_dir).orders.select("o_orderkey", "o_orderdate")
+    return FL.last_n_days(o, "o_orderdate", 730)
+
+
+@query("slice_rows", """
+SELECT o_orderkey, o_orderpriority, o_orderdate FROM (
+  SELECT o_orderkey, o_orderpriority, o_orderdate,
+    row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey) - 1 AS i,
+    COUNT(*) OVER (PARTITION BY o_orderpriority) AS n FROM orders) z
+WHERE i >= n - 30""")
+def q_slice_rows(spark, sf_dir):
+    o = Sources.parquet_dir(spark, sf_dir).orders.select("o_orderkey", "o_orderpriority", "o_orderdate")
+    return FL.slice_rows(o, ["o_orderdate", "o_orderkey"], -30, None, by=["o_orderpriority"])
+
+
+@query("semi_join", """
+SELECT * FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')""")
+def q_semi_join(spark, sf_dir):
+    t = Sources.parquet_dir(spark, sf_dir)
+    return J.semi(t.orders, t.customer.filter(F.col("c_mktsegment") == "BUILDING")
+                  .select(F.col("c_custkey").alias("o_custkey")), "o_custkey")
+
+
+@query("top_k_rows", "SELECT m.* FROM s_monthly m JOIN s_top_cities t ON m.customer_city = t.customer_city",
+       extra=EXTRA)
+def q_top_k_rows(spark, sf_dir):
+    m = _monthly(spark, sf_dir)
+    return FE.top_k_rows(m.withColumn("_m", F.col("total_payment").cast("decimal(18,2)")), "customer_city", "_m", 5) \
+        .drop("_m")
+
+
+@query("modal_category", """
+SELECT product_category_name_english FROM s_fct_items WHERE product_category_name_english IS NOT NULL
+GROUP BY product_category_name_english ORDER BY COUNT(*) DESC, product_category_name_english LIMIT 1""",
+       extra=STAR_SQL)
+def q_modal_category(spark, sf_dir):
+    return ST.mode_min(star(spark, sf_dir)["fct_order_items"], "product_category_name_english")
