@@ -54,8 +54,16 @@ def dow(c: ColumnOrName) -> Column:
 
 
 # F-8: lenient timestamp parse ('' or garbage → NULL), wall-clock result.
+# The default layout is parsed field by field into a TIMESTAMP_NTZ, so the
+# result never depends on the session time zone (no DST gaps/overlaps).
 def safe_ts(c: ColumnOrName, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
-    return F.try_to_timestamp(_c(c), F.lit(fmt)).cast("timestamp_ntz")
+    c = _c(c)
+    if fmt == "yyyy-MM-dd HH:mm:ss":
+        ok = c.rlike(r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$")
+        parts = [F.substring(c, a, n).try_cast("int") for a, n in ((1, 4), (6, 2), (9, 2), (12, 2), (15, 2))]
+        secs = F.substring(c, 18, 2).try_cast("decimal(16,6)")
+        return F.when(ok, F.try_make_timestamp_ntz(*parts, secs))
+    return F.try_to_timestamp(c, F.lit(fmt)).cast("timestamp_ntz")
 
 
 # F-11: month start of a timestamp/date, and its yyyy-MM text form.
@@ -67,11 +75,9 @@ def year_month(c: ColumnOrName) -> Column:
     return F.date_format(_c(c), "yyyy-MM")
 
 
-# F-12: minutes between two timestamps (NTZ or LTZ) as DOUBLE.
+# F-12: minutes between two timestamps as DOUBLE (time-zone free on NTZ input).
 def minutes_between(end: ColumnOrName, start: ColumnOrName) -> Column:
-    e = F.unix_micros(_c(end).cast("timestamp_ntz").cast("timestamp"))
-    s = F.unix_micros(_c(start).cast("timestamp_ntz").cast("timestamp"))
-    return (e - s) / F.lit(60_000_000.0)
+    return F.timestamp_diff("MICROSECOND", _c(start), _c(end)) / F.lit(60_000_000.0)
 
 
 # F-13

@@ -19,12 +19,16 @@ from pyspark.sql import functions as F
 # the narrow dimension rows used here).
 BROADCAST_MAX_ROWS = 2_000_000
 
-_size_cache: dict[int, bool] = {}
+_size_cache: dict[tuple[int, int], bool] = {}
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (bounded check)."""
-    key = id(df)
+    """True when ``df`` has at most ``max_rows`` rows (bounded check).
+
+    The answer is remembered per logical plan (``semanticHash``), so the
+    same dimension is counted once per session.
+    """
+    key = (df.semanticHash(), max_rows)
     if key not in _size_cache:
         _size_cache[key] = df.limit(max_rows + 1).count() <= max_rows
     return _size_cache[key]
@@ -89,7 +93,7 @@ def holiday_window(days: DataFrame, holidays: DataFrame, day_col: str = "ds",
         "holiday", F.col("ds").alias("_hds"),
         F.explode(F.sequence(F.lit(lower), F.lit(upper))).alias("offset"))
     offs = offs.select("holiday", "offset", F.date_add(F.col("_hds"), F.col("offset")).alias("_day"))
-    return days.join(offs, F.to_date(days[day_col]) == offs["_day"], "inner").drop("_day")
+    return days.join(small(offs), F.to_date(days[day_col]) == offs["_day"], "inner").drop("_day")
 
 
 def lookup_last_year(df: DataFrame, lookup: DataFrame, date_col: str, value_col: str,
