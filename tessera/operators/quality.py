@@ -248,7 +248,7 @@ def between_details(df: DataFrame, column: str, lo: float | None, hi: float | No
            .orderBy(F.desc("count"), "value").limit(k)
            .agg(F.sort_array(F.collect_list(F.struct((-F.col("count")).alias("neg"), "value", "count")))
                 .alias("_top")))
-    both = stats.withColumn("_j", F.lit(1)).join(top.withColumn("_j", F.lit(1)), "_j", "left")
+    both = stats.withColumn("_top", top.select("_top").scalar())
     return both.select(
         F.lit(column).alias("column"), "element_count", "missing_count", "unexpected_count",
         F.when(F.col("element_count") > 0, F.lit(100.0) * F.col("unexpected_count") / F.col("element_count"))

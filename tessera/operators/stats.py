@@ -33,6 +33,17 @@ def _grouped(df: DataFrame, by: Sequence[str]) -> tuple[DataFrame, list[str]]:
     return df.withColumn(_G, F.lit(0)), [_G]
 
 
+def _attach(df: DataFrame, side: DataFrame, keys: list[str]) -> DataFrame:
+    """Attach per-group side values (one row per group) to every row.
+
+    Without grouping the side has one row: its columns become scalar
+    subqueries.  With grouping it is a (size-checked) broadcast join.
+    """
+    if keys == [_G]:
+        return df.withColumns({c: side.select(c).scalar() for c in side.columns if c != _G})
+    return df.join(small(side), keys)
+
+
 def _cols(df: DataFrame, cols: Sequence[str] | None) -> list[str]:
     if cols:
         return list(cols)
@@ -172,8 +183,9 @@ def mean_median(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
     g, keys = _grouped(df, by)
     mom = g.groupBy(*keys).agg(F.avg(F.col(col).cast("double")).alias("mean"))
     med = exact_quantiles(g, [col], [0.5], keys).select(*keys, F.col("value").alias("median"))
-    out = mom.join(med, keys, "left")
-    return out if by else out.drop(_G)
+    if not by:
+        return mom.select("mean", med.select("median").scalar().alias("median"))
+    return mom.join(med, keys, "left")
 
 
 # A-14
@@ -250,12 +262,12 @@ def box_stats(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
     iqr = F.col("q3") - F.col("q1")
     w = w.withColumns({"_lo": F.col("q1") - 1.5 * iqr, "_hi": F.col("q3") + 1.5 * iqr})
     j = g.select(*keys, F.col(col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    j = j.join(small(w.select(*keys, "_lo", "_hi")), keys)
+    j = _attach(j, w.select(*keys, "_lo", "_hi"), keys)
     inside = (F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))
     wh = j.groupBy(*keys).agg(F.min(F.when(inside, F.col("_v"))).alias("whisker_low"),
                               F.max(F.when(inside, F.col("_v"))).alias("whisker_high"),
                               F.sum(F.when(inside, 0).otherwise(1)).cast("bigint").alias("n_outliers"))
-    out = w.drop("_lo", "_hi").join(wh, keys)
+    out = _attach(w.drop("_lo", "_hi"), wh, keys) if not by else w.drop("_lo", "_hi").join(wh, keys)
     return out if by else out.drop(_G)
 
 
@@ -270,7 +282,7 @@ def histogram(df: DataFrame, col: str, bins: int = 60, by: Sequence[str] = ()) -
     g, keys = _grouped(df, by)
     v = F.col(col).cast("double")
     rng = g.groupBy(*keys).agg(F.min(v).alias("_mn"), F.max(v).alias("_mx"))
-    rows = g.select(*keys, v.alias("_v")).filter(F.col("_v").isNotNull()).join(small(rng), keys)
+    rows = _attach(g.select(*keys, v.alias("_v")).filter(F.col("_v").isNotNull()), rng, keys)
     # bin = floor(bins·(v − min)/(max − min)) + 1, the top edge folded into the last bin
     b = F.when(F.col("_mx") == F.col("_mn"), F.lit(1)).otherwise(F.least(
         F.floor(F.lit(float(bins)) * (F.col("_v") - F.col("_mn")) / (F.col("_mx") - F.col("_mn"))) + 1, F.lit(bins)))

@@ -226,17 +226,53 @@ def status_summary(dim_orders_df: DataFrame, seed: DataFrame) -> DataFrame:
         "order_status", "payment_status", "n_orders", "profit_lost", "status_description")
 
 
-def build_star(raw: Sources, with_load_date: bool = True, exact_float: bool = False) -> dict[str, DataFrame]:
-    """All seven models plus the status summary over one raw layer."""
+class LazyTables(dict):
+    """Mapping of table name → builder; a table is built on first access.
+
+    Building a model can run small eager jobs (broadcast size checks), so
+    a caller that needs one model does not pay for the others.
+    """
+
+    def __init__(self, builders):
+        super().__init__()
+        self._builders = dict(builders)
+
+    def __getitem__(self, name):
+        if not dict.__contains__(self, name):
+            dict.__setitem__(self, name, self._builders[name]())
+        return dict.__getitem__(self, name)
+
+    def __contains__(self, name):
+        return name in self._builders
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self):
+        return len(self._builders)
+
+    def keys(self):
+        return self._builders.keys()
+
+    def items(self):
+        return [(k, self[k]) for k in self._builders]
+
+    def values(self):
+        return [self[k] for k in self._builders]
+
+
+def build_star(raw: Sources, with_load_date: bool = True, exact_float: bool = False) -> LazyTables:
+    """All seven models over one raw layer (built lazily, on first access)."""
     spark = raw.spark
-    orders = dim_orders(raw.orders, raw.order_payments, raw.order_items, exact_float, with_load_date)
-    return {
-        "dim_customers": dim_customers(raw.customers, with_load_date),
-        "dim_date": dim_date(spark, with_load_date=with_load_date),
-        "dim_geolocation": dim_geolocation(raw.geolocation, with_load_date),
-        "dim_orders": orders,
-        "fct_order_items": fct_order_items(raw.order_items, raw.products,
-                                           raw.product_category_name_translation, raw.sellers, with_load_date),
-        "fct_payments": fct_payments(raw.order_payments, with_load_date),
-        "fct_reviews": fct_reviews(raw.order_reviews, with_load_date),
-    }
+    return LazyTables({
+        "dim_customers": lambda: dim_customers(raw.customers, with_load_date),
+        "dim_date": lambda: dim_date(spark, with_load_date=with_load_date),
+        "dim_geolocation": lambda: dim_geolocation(raw.geolocation, with_load_date),
+        "dim_orders": lambda: dim_orders(raw.orders, raw.order_payments, raw.order_items, exact_float,
+                                         with_load_date),
+        "fct_order_items": lambda: fct_order_items(raw.order_items, raw.products,
+                                                   raw.product_category_name_translation, raw.sellers,
+                                                   with_load_date),
+        "fct_payments": lambda: fct_payments(raw.order_payments, with_load_date),
+        "fct_reviews": lambda: fct_reviews(raw.order_reviews, with_load_date),
+    })
