@@ -245,7 +245,7 @@ PARAM_SPACE = {
 
 def random_search(train: DataFrame, features_col: str, label: str, n_iter: int = 20, folds: int = 3,
                   seed: int = 42, id_col: str | None = None, weight_col: str | None = None,
-                  parallelism: int = 4, space: Mapping[str, Sequence] = PARAM_SPACE):
+                  parallelism: int = 8, space: Mapping[str, Sequence] = PARAM_SPACE):
     """Random search over ``space`` with stratified k-fold CV and F1 of class 1.
 
     Parameter maps are drawn on the driver (n_iter small dicts); folds are a
@@ -256,16 +256,23 @@ def random_search(train: DataFrame, features_col: str, label: str, n_iter: int =
     rf = RandomForestClassifier(featuresCol=features_col, labelCol=label, seed=seed)
     if weight_col:
         rf = rf.setWeightCol(weight_col)
-    maps = []
-    seen = set()
-    for _ in range(n_iter):
+    # distinct draws without replacement from the grid, like a randomized search
+    grid_size = 1
+    for v in space.values():
+        grid_size *= len(set(v))
+    maps, seen = [], set()
+    while len(maps) < min(n_iter, grid_size):
         draw = tuple((k, rng.choice(list(v))) for k, v in space.items())
         if draw in seen:
             continue
         seen.add(draw)
         maps.append({getattr(rf, k): v for k, v in draw})
     fold = F.floor(hash_uniform(id_col or features_col, seed=seed, salt=7) * folds).cast("int")
-    data = train.withColumn("_fold", fold)
+    # every (map, fold) fit reads the same training rows: cut the lineage once
+    # (reliable checkpoint) instead of recomputing split and scaling per fit
+    ensure_checkpoint_dir(train.sparkSession)
+    cols = [features_col, label] + ([weight_col] if weight_col else [])
+    data = train.withColumn("_fold", fold).select(*cols, "_fold").checkpoint(eager=True)
     ev = MulticlassClassificationEvaluator(labelCol=label, metricName="fMeasureByLabel", metricLabel=1.0)
     cv = CrossValidator(estimator=rf, estimatorParamMaps=maps, evaluator=ev, foldCol="_fold",
                         parallelism=parallelism, seed=seed)

@@ -145,6 +145,48 @@ def unique_check(df: DataFrame, columns: Sequence[str], name: str | None = None)
     return summary.select(*_result_cols(name, ",".join(cols)))
 
 
+def key_checks(df: DataFrame, key: Sequence[str], not_null: Sequence[str] = (),
+               name: str | None = None) -> DataFrame:
+    """Uniqueness of ``key`` plus not-null checks of key columns, in ONE pass.
+
+    The grouped count per key already tells, for every key column, how
+    many rows have it NULL (NULL is a group value), so the not-null checks
+    of key columns need no second scan.  Rows: the not-null checks, then
+    the (compound) unique check.
+    """
+    cols = list(key)
+    extra = [c for c in not_null if c not in cols]
+    if extra:
+        raise ValueError(f"not-null columns {extra} are not key columns; use run_suite")
+    name = name or ("unique" if len(cols) == 1 else "compound_unique")
+    any_null = F.lit(False)
+    for c in cols:
+        any_null = any_null | F.col(c).isNull()
+    per_key = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_c")).withColumn("_null", any_null)
+    aggs = [F.coalesce(F.sum("_c"), F.lit(0)).cast("bigint").alias("_n"),
+            F.coalesce(F.sum(F.when(F.col("_null"), F.col("_c")).otherwise(0)), F.lit(0)).cast("bigint").alias("_m"),
+            F.coalesce(F.sum(F.when(~F.col("_null"), F.col("_c") - 1).otherwise(0)), F.lit(0)).cast("bigint")
+            .alias("_u")]
+    for i, c in enumerate(not_null):
+        aggs.append(F.coalesce(F.sum(F.when(F.col(c).isNull(), F.col("_c")).otherwise(0)), F.lit(0))
+                    .cast("bigint").alias(f"_nn{i}"))
+    one = per_key.agg(*aggs)
+    n = F.col("_n")
+    rows = []
+    for i, c in enumerate(not_null):
+        u = F.col(f"_nn{i}")
+        rows.append(F.struct(F.lit("not_null").alias("check"), F.lit(c).alias("column"), n.alias("element_count"),
+                             u.alias("missing_count"), u.alias("unexpected_count"),
+                             F.when(n > 0, F.lit(100.0) * u / n).otherwise(F.lit(0.0)).alias("unexpected_percent"),
+                             (u == 0).alias("success")))
+    u = F.col("_u")
+    rows.append(F.struct(F.lit(name).alias("check"), F.lit(",".join(cols)).alias("column"), n.alias("element_count"),
+                         F.col("_m").alias("missing_count"), u.alias("unexpected_count"),
+                         F.when(n > 0, F.lit(100.0) * u / n).otherwise(F.lit(0.0)).alias("unexpected_percent"),
+                         (u == 0).alias("success")))
+    return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
 def relationship_check(df: DataFrame, column: str, ref: DataFrame, ref_column: str,
                        name: str = "relationships") -> DataFrame:
     """V-4: non-NULL keys of ``df`` missing from ``ref``.

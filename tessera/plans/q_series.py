@@ -24,7 +24,7 @@ def _t(spark, sf_dir):
 def series(spark, sf_dir):
     """x_series: per order priority and TOTAL, dense daily sums with snap."""
     return SE.daily_series(_t(spark, sf_dir).orders, "o_orderdate", "o_totalprice", "o_orderpriority",
-                           X.x_calendar(spark))
+                           X.x_calendar(_t(spark, sf_dir)))
 
 
 def forecast(spark, sf_dir):
@@ -77,7 +77,7 @@ def q_daily_series(spark, sf_dir):
 
 @query("holidays", "SELECT * FROM s_hol", extra=SERIES_SQL)
 def q_holidays(spark, sf_dir):
-    return SE.holidays(X.x_calendar(spark))
+    return SE.holidays(X.x_calendar(_t(spark, sf_dir)))
 
 
 @query("holiday_window", """
@@ -85,7 +85,7 @@ SELECT s.series_id, s.ds, s.y, s.snap, h.holiday, CAST(datediff('day', h.ds, s.d
 FROM s_series s JOIN s_hol h ON s.ds BETWEEN h.ds - INTERVAL 3 DAY AND h.ds + INTERVAL 3 DAY
 WHERE s.series_id = 'TOTAL'""", extra=SERIES_SQL)
 def q_holiday_window(spark, sf_dir):
-    return J.holiday_window(total(series(spark, sf_dir)), SE.holidays(X.x_calendar(spark)), "ds")
+    return J.holiday_window(total(series(spark, sf_dir)), SE.holidays(X.x_calendar(_t(spark, sf_dir))), "ds")
 
 
 @query("future_frame", """
@@ -223,7 +223,7 @@ GROUP BY holiday"""
 
 @query("holiday_counts_with_flag", ELIGIBLE_SQL)
 def q_holiday_counts(spark, sf_dir):
-    return SE.holiday_counts_with_flag(X.x_calendar(spark), "snap_A")
+    return SE.holiday_counts_with_flag(X.x_calendar(_t(spark, sf_dir)), "snap_A")
 
 
 @query("interaction_flag", f"""
@@ -232,7 +232,7 @@ SELECT s.*, CASE WHEN c.snap_A = 1 AND (c.event_name_1 IN (SELECT holiday FROM e
   THEN 1 ELSE 0 END AS snap_holiday_interaction
 FROM s_series s LEFT JOIN x_calendar c ON c.date = s.ds WHERE s.series_id = 'TOTAL'""", extra=SERIES_SQL)
 def q_interaction_flag(spark, sf_dir):
-    return SE.interaction_regressor(total(series(spark, sf_dir)), X.x_calendar(spark), "snap_A", 3)
+    return SE.interaction_regressor(total(series(spark, sf_dir)), X.x_calendar(_t(spark, sf_dir)), "snap_A", 3)
 
 
 @query("regressor_last_year", """
@@ -247,7 +247,7 @@ SELECT series_id, ds, COALESCE(last_value(snap IGNORE NULLS) OVER (PARTITION BY
   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS snap FROM j""", extra=SERIES_SQL)
 def q_regressor_last_year(spark, sf_dir):
     fr = RS.history_plus_future(total(series(spark, sf_dir)), "ds", 30, ["series_id"])
-    cal = X.x_calendar(spark).select(F.col("date").alias("ds"), F.col("snap_A").alias("snap"))
+    cal = X.x_calendar(_t(spark, sf_dir)).select(F.col("date").alias("ds"), F.col("snap_A").alias("snap"))
     return SE.future_regressor(fr, cal, "snap", "last_year", default=0)
 
 
@@ -296,14 +296,14 @@ WHERE f.series_id = 'TOTAL' AND f.yhat IS NOT NULL""", "holiday"), extra=SERIES_
 def q_holiday_effects(spark, sf_dir):
     from tessera.operators.ordered import residuals
     r = residuals(total(forecast(spark, sf_dir)))
-    return SE.holiday_effects(r, SE.holidays(X.x_calendar(spark)), "residual")
+    return SE.holiday_effects(r, SE.holidays(X.x_calendar(_t(spark, sf_dir))), "residual")
 
 
 @query("holiday_names", """
 SELECT date AS ds, CASE WHEN COALESCE(event_name_1, '') || COALESCE(event_name_2, '') = '' THEN 'None'
   ELSE COALESCE(event_name_1, '') || COALESCE(event_name_2, '') END AS holiday_name FROM x_calendar""")
 def q_holiday_names(spark, sf_dir):
-    return SE.holiday_names(X.x_calendar(spark))
+    return SE.holiday_names(X.x_calendar(_t(spark, sf_dir)))
 
 
 # ---- fitted forecaster: not SQL-expressible; row counts here, properties in tests
@@ -311,7 +311,7 @@ def q_holiday_names(spark, sf_dir):
 def _fc_total(spark, sf_dir):
     from tessera.operators import forecast as FC
     s = total(series(spark, sf_dir))
-    cal = X.x_calendar(spark)
+    cal = X.x_calendar(_t(spark, sf_dir))
     fut = SE.future_regressor(RS.future_frame(s, "ds", 30, ["series_id"]),
                               cal.select(F.col("date").alias("ds"), F.col("snap_A").alias("snap")), "snap",
                               "last_year", default=0)
@@ -334,7 +334,7 @@ def q_components(spark, sf_dir):
 def q_cross_validate(spark, sf_dir):
     from tessera.operators import forecast as FC
     s = total(series(spark, sf_dir)).withColumn("snap", F.col("snap").cast("double"))
-    cv = FC.cross_validate(s, TRAIN, TEST, STEP, SE.holidays(X.x_calendar(spark)), ["snap"])
+    cv = FC.cross_validate(s, TRAIN, TEST, STEP, SE.holidays(X.x_calendar(_t(spark, sf_dir))), ["snap"])
     return SE.forecast_metrics(cv.filter(F.col("role") == "test"), ["series_id", "fold"], digits=DIG)
 
 

@@ -280,7 +280,7 @@ SELECT CAST(SUM(snap_A & has_event) AS BIGINT) AS "both", CAST(SUM(snap_A) AS BI
   COUNT(*) AS n_rows, CASE WHEN SUM(snap_A) = 0 THEN NULL ELSE SUM(snap_A & has_event) / SUM(snap_A) END AS share_given_snap_A
 FROM (SELECT snap_A, CASE WHEN event_name_1 IS NOT NULL THEN 1 ELSE 0 END AS has_event FROM x_calendar) c""")
 def q_cooccurrence(spark, sf_dir):
-    cal = X.x_calendar(spark).withColumn("has_event", F.when(F.col("event_name_1").isNotNull(), 1).otherwise(0))
+    cal = X.x_calendar(_t(spark, sf_dir)).withColumn("has_event", F.when(F.col("event_name_1").isNotNull(), 1).otherwise(0))
     return ST.cooccurrence(cal, "snap_A", "has_event")
 
 

@@ -42,11 +42,19 @@ def date_series(spark: SparkSession, start: str, end: str, col: str = "d") -> Da
         F.date_add(F.lit(start).cast("date"), F.col("id").cast("int")).alias(col))
 
 
-# T-2
-def dim_date(spark: SparkSession, start: str = "2014-01-01", end: str = "2050-01-01",
-             with_load_date: bool = True) -> DataFrame:
+def date_span(df: DataFrame, cols: list[str], col: str = "d") -> DataFrame:
+    """S12 over data: every day of the whole years spanned by ``cols`` of ``df``
+    (one ``sequence`` from a one-row aggregate; size = days in the span)."""
+    lo = F.least(*[F.min(F.to_date(c)) for c in cols])
+    hi = F.greatest(*[F.max(F.to_date(c)) for c in cols])
+    rng = df.agg(F.make_date(F.year(lo), F.lit(1), F.lit(1)).alias("_s"),
+                 F.make_date(F.year(hi), F.lit(12), F.lit(31)).alias("_e"))
+    return rng.select(F.explode(F.sequence("_s", "_e")).alias(col))
+
+
+def _dim_date_columns(days: DataFrame, with_load_date: bool) -> DataFrame:
     d = F.col("d")
-    out = date_series(spark, start, end).select(
+    out = days.select(
         S.date_key(d).alias("pk_date_sid"),
         d.alias("full_date"),
         F.year(d).alias("year"),
@@ -58,6 +66,18 @@ def dim_date(spark: SparkSession, start: str = "2014-01-01", end: str = "2050-01
     return _stamp(out, with_load_date)
 
 
+# T-2
+def dim_date(spark: SparkSession, start: str = "2014-01-01", end: str = "2050-01-01",
+             with_load_date: bool = True) -> DataFrame:
+    """Date dimension over a fixed range (the original's 2014-01-01 … 2050-01-01)."""
+    return _dim_date_columns(date_series(spark, start, end), with_load_date)
+
+
+def dim_date_for(df: DataFrame, cols: list[str], with_load_date: bool = True) -> DataFrame:
+    """Date dimension covering the whole years of the dates found in ``df``."""
+    return _dim_date_columns(date_span(df, cols), with_load_date)
+
+
 # T-3
 def dim_geolocation(geolocation: DataFrame, with_load_date: bool = True) -> DataFrame:
     out = geolocation.select(
@@ -266,7 +286,8 @@ def build_star(raw: Sources, with_load_date: bool = True, exact_float: bool = Fa
     spark = raw.spark
     return LazyTables({
         "dim_customers": lambda: dim_customers(raw.customers, with_load_date),
-        "dim_date": lambda: dim_date(spark, with_load_date=with_load_date),
+        "dim_date": lambda: dim_date_for(raw.orders, ["order_purchase_timestamp", "order_estimated_delivery_date"],
+                                         with_load_date=with_load_date),
         "dim_geolocation": lambda: dim_geolocation(raw.geolocation, with_load_date),
         "dim_orders": lambda: dim_orders(raw.orders, raw.order_payments, raw.order_items, exact_float,
                                          with_load_date),

@@ -8,10 +8,7 @@ from __future__ import annotations
 
 import re
 
-from tessera.sources.fixtures import (
-    CALENDAR_END, CALENDAR_EVENTS, CALENDAR_EVENTS_2, CALENDAR_START, ORDER_STATUS_BY_MOD8,
-    PAYMENT_TYPES, SURVEY_FLAGS,
-)
+from tessera.sources.fixtures import CALENDAR_EVENTS, CALENDAR_EVENTS_2, ORDER_STATUS_BY_MOD8, PAYMENT_TYPES, SURVEY_FLAGS
 
 
 def _status_sql(k: str) -> str:
@@ -121,12 +118,14 @@ SELECT c_custkey % 500 AS geolocation_zip_code_prefix,
 FROM (SELECT c_custkey, c_mktsegment, c_nationkey FROM customer
       UNION ALL SELECT c_custkey, c_mktsegment, c_nationkey FROM customer) c""",
     "x_calendar": f"""
-SELECT 'd_' || CAST(datediff('day', DATE '{CALENDAR_START}', date) + 1 AS VARCHAR) AS d, date,
+SELECT 'd_' || CAST(datediff('day', s, date) + 1 AS VARCHAR) AS d, date,
   CASE WHEN day(date) <= 10 THEN 1 ELSE 0 END AS snap_A,
   CASE WHEN day(date) BETWEEN 5 AND 14 THEN 1 ELSE 0 END AS snap_B,
   {_events_sql('date', CALENDAR_EVENTS)} AS event_name_1,
   {_events_sql('date', CALENDAR_EVENTS_2)} AS event_name_2
-FROM (SELECT CAST(unnest(generate_series(DATE '{CALENDAR_START}', DATE '{CALENDAR_END}', INTERVAL 1 DAY)) AS DATE) AS date) g""",
+FROM (SELECT s, CAST(unnest(generate_series(s, e, INTERVAL 1 DAY)) AS DATE) AS date
+      FROM (SELECT make_date(year(MIN(o_orderdate)), 1, 1) AS s, make_date(year(MAX(o_orderdate)), 12, 31) AS e
+            FROM orders) r) g""",
     "x_survey": f"""
 SELECT CAST(l_quantity AS BIGINT) AS age, CAST(l_linenumber AS BIGINT) AS clasiffication_final,
   CAST(1 + l_suppkey % 2 AS BIGINT) AS sex,

@@ -35,7 +35,6 @@ CALENDAR_EVENTS_2 = [
     (10, 31, "Father's day"),
     (12, 25, "OrthodoxChristmas"),
 ]
-CALENDAR_START, CALENDAR_END = "1995-01-01", "2001-12-31"
 
 # Survey flag code rules — (a, b, threshold) per flag.
 SURVEY_FLAGS = [(7, 3, 20), (11, 5, 15), (13, 7, 10), (17, 9, 5), (19, 11, 30)]
@@ -210,13 +209,13 @@ def _event_case(d, events):
     return e
 
 
-def x_calendar(spark, start: str = CALENDAR_START, end: str = CALENDAR_END) -> DataFrame:
+def calendar_frame(days: DataFrame, start: str | None = None) -> DataFrame:
+    """Calendar columns for a frame of dates (column ``date``); day numbers
+    count from ``start`` (default: the first date)."""
     d = F.col("date")
-    days = spark.range(1).select(
-        F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"),
-                             F.expr("INTERVAL 1 DAY"))).alias("date"))
+    first = F.lit(start).cast("date") if start else days.agg(F.min("date")).scalar()
     return days.select(
-        F.concat(F.lit("d_"), (F.datediff(d, F.lit(start).cast("date")) + 1).cast("string")).alias("d"),
+        F.concat(F.lit("d_"), (F.datediff(d, first) + 1).cast("string")).alias("d"),
         d,
         F.when(F.dayofmonth(d) <= 10, 1).otherwise(0).alias("snap_A"),
         F.when(F.dayofmonth(d).between(5, 14), 1).otherwise(0).alias("snap_B"),
@@ -225,6 +224,15 @@ def x_calendar(spark, start: str = CALENDAR_START, end: str = CALENDAR_END) -> D
     )
 
 
+def x_calendar(t: Sources) -> DataFrame:
+    """Daily calendar over the whole years spanned by the orders
+    (1995-01-01 … 2001-12-31 on the supplied tables)."""
+    rng = t.orders.agg(F.make_date(F.year(F.min("o_orderdate")), F.lit(1), F.lit(1)).alias("_s"),
+                       F.make_date(F.year(F.max("o_orderdate")), F.lit(12), F.lit(31)).alias("_e"))
+    days = rng.select(F.explode(F.sequence("_s", "_e")).alias("date"))
+    return calendar_frame(days)
+
+
 def x_survey(t: Sources) -> DataFrame:
     pk, sk = F.col("l_partkey"), F.col("l_suppkey")
     cols = [
