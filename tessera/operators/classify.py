@@ -24,7 +24,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.operators.joins import fits_broadcast
 from tessera.operators.ordered import distributed_rank  # noqa: F401 (re-exported)
 from tessera.operators.stats import exact_quantiles
 from tessera.session import ensure_checkpoint_dir
@@ -87,22 +86,27 @@ def _block_knn(k: int):
     return fn
 
 
-def knn_exact(points: DataFrame, id_col: str, vec_col: str, k: int, block_rows: int = 4096) -> DataFrame:
-    """Exact k nearest neighbours (Euclidean) among ``points``.
+def knn_exact(points: DataFrame, id_col: str, vec_col: str, k: int, block_rows: int = 4096,
+              queries: DataFrame | None = None) -> DataFrame:
+    """Exact k nearest neighbours (Euclidean) of ``queries`` (default: all
+    points) among ``points``.
 
-    Points are cut into blocks of ``block_rows``; every (query block,
+    Both sides are cut into blocks of ``block_rows``; every (query block,
     reference block) pair is one cogrouped ``applyInPandas`` task that
     keeps the k best per query (numpy), and the per-block candidates
     (k × blocks per point, bounded) are merged with a grouped top-k.
     No row pair is materialised as a DataFrame row.  Work is quadratic in
-    the number of points, as any exact search is; ``knn_lsh`` is the
-    approximate path for large inputs.
+    the number of points, as any exact search is.
     """
     n = points.count()
     b = max(1, math.ceil(n / block_rows))
     p = points.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec"),
                       (F.abs(F.xxhash64(id_col)) % b).cast("int").alias("_blk"))
-    q = p.select("id", "vec", F.col("_blk").alias("_qb"), F.explode(F.sequence(F.lit(0), F.lit(b - 1))).alias("_rb"))
+    qsrc = p if queries is None else queries.select(
+        F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec"),
+        (F.abs(F.xxhash64(id_col)) % b).cast("int").alias("_blk"))
+    q = qsrc.select("id", "vec", F.col("_blk").alias("_qb"),
+                    F.explode(F.sequence(F.lit(0), F.lit(b - 1))).alias("_rb"))
     r = p.select(F.col("id").alias("rid"), F.col("vec").alias("rvec"), F.col("_blk").alias("_rb"),
                  F.explode(F.sequence(F.lit(0), F.lit(b - 1))).alias("_qb"))
     cand = q.groupBy("_qb", "_rb").cogroup(r.groupBy("_qb", "_rb")).applyInPandas(_block_knn(k), KNN_SCHEMA)
@@ -117,26 +121,36 @@ def top_k_per_key(df: DataFrame, key: str, by: str, k: int, tie: str) -> DataFra
 
 def knn_lsh(points: DataFrame, id_col: str, vec_col: str, k: int, bucket_length: float, threshold: float,
             num_tables: int = 4, seed: int = 42) -> DataFrame:
-    """Approximate k-NN: Euclidean LSH similarity self-join, then k nearest per point."""
+    """k-NN candidates from a Euclidean LSH similarity self-join (k nearest
+    per point among its candidates).  Points that found fewer than k
+    candidates get their neighbours from an exact search (``knn_exact``
+    with those points as queries), so every point has k neighbours; the
+    others are approximate."""
     p = points.select(F.col(id_col).cast("long").alias("id"), array_to_vector(vec_col).alias("features"))
     lsh = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes", bucketLength=bucket_length,
                                       numHashTables=num_tables, seed=seed).fit(p)
     pairs = lsh.approxSimilarityJoin(p, p, threshold, distCol="dist").select(
         F.col("datasetA.id").alias("id"), F.col("datasetB.id").alias("nbr_id"), "dist").filter(
         F.col("id") != F.col("nbr_id"))
-    return top_k_per_key(pairs, "id", "dist", k, tie="nbr_id")
+    approx = top_k_per_key(pairs, "id", "dist", k, tie="nbr_id")
+    found = approx.groupBy("id").agg(F.count(F.lit(1)).alias("_kk")).filter(F.col("_kk") >= k).select("id")
+    pts = points.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec"))
+    short = pts.join(found, "id", "left_anti")
+    exact = knn_exact(pts, "id", "vec", k, queries=short)
+    return approx.join(found, "id", "left_semi").unionByName(exact)
 
 
 # L-2
 def smote(train: DataFrame, label: str, features: Sequence[str], id_col: str, ratio: float = 0.1, k: int = 5,
-          seed: int = 42, exact_max_rows: int = 200_000, lsh_bucket: float | None = None,
+          seed: int = 42, method: str = "exact", lsh_bucket: float | None = None,
           lsh_threshold: float | None = None) -> DataFrame:
     """Oversample the minority class (label 1) by interpolation to ``ratio`` × majority.
 
     Synthetic sample s: base = minority point #(hash(s) mod n_min), one of
     its k nearest minority neighbours chosen by hash, step u ∈ [0,1) by
-    hash: x = base + u·(neighbour − base).  Neighbours are exact when the
-    minority passes the size check, otherwise from ``knn_lsh``.  Output =
+    hash: x = base + u·(neighbour − base).  Neighbours are exact
+    (``method="exact"``, block search, quadratic in the minority size) or
+    LSH candidates completed by exact search (``method="lsh"``).  Output =
     train rows + synthetic rows (``synthetic`` = 1, ids negative).
     """
     features = list(features)
@@ -149,10 +163,12 @@ def smote(train: DataFrame, label: str, features: Sequence[str], id_col: str, ra
     mino = train.filter(F.col(label) == 1).select(
         F.col(id_col).cast("long").alias("id"), *features,
         F.array(*[F.col(c).cast("double") for c in features]).alias("vec"))
-    if fits_broadcast(mino, exact_max_rows):
+    if method == "exact":
         nn = knn_exact(mino, "id", "vec", k)
-    else:
+    elif method == "lsh":
         nn = knn_lsh(mino, "id", "vec", k, lsh_bucket or 1.0, lsh_threshold or 2.0, seed=seed)
+    else:
+        raise ValueError(method)
     nn_count = nn.groupBy("id").agg(F.count(F.lit(1)).alias("_kk"))
     idx = distributed_rank(mino.select("id").withColumn("_u", hash_uniform("id", seed=seed)), [], ["_u", "id"],
                            out="_idx").select("id", (F.col("_idx") - 1).alias("_idx"))

@@ -187,3 +187,13 @@ def test_streaming_daily_sales_matches_batch(spark):
     closed = batch.filter(F.col("day") < F.date_sub(F.lit(last), 1))
     assert streamed.count() == closed.count()
     assert streamed.exceptAll(closed).count() == 0
+
+
+def test_knn_lsh_gives_k_neighbours_to_every_point(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(150, 4))
+    rows = [(i, [float(v) for v in x[i]]) for i in range(150)]
+    pts = spark.createDataFrame(rows, "id bigint, vec array<double>")
+    nn = C.knn_lsh(pts, "id", "vec", 3, bucket_length=0.5, threshold=0.8).toPandas()
+    counts = nn.groupby("id").size()
+    assert len(counts) == 150 and (counts == 3).all()
