@@ -342,3 +342,29 @@ def q_cross_validate(spark, sf_dir):
 def q_pacf(spark, sf_dir):
     from tessera.operators import forecast as FC
     return FC.pacf(series(spark, sf_dir), "y", 10)
+
+
+@query("residual_acf", """
+WITH r AS (SELECT series_id, ds, CAST(y AS DOUBLE) - CAST(yhat AS DOUBLE) AS x FROM s_fc WHERE yhat IS NOT NULL),
+n AS (SELECT series_id, x, row_number() OVER (PARTITION BY series_id ORDER BY ds) - 1 AS i FROM r),
+m AS (SELECT series_id, AVG(x) AS m FROM n GROUP BY series_id),
+c AS (SELECT n.series_id, i, x - m AS d FROM n JOIN m USING (series_id)),
+ss AS (SELECT series_id, SUM(d * d) AS ss FROM c GROUP BY series_id),
+lags AS (SELECT CAST(unnest(range(0, 15)) AS INTEGER) AS lag)
+SELECT a.series_id, lags.lag, ROUND(SUM(a.d * b.d) / ss.ss + 1e-9, 9) AS acf
+FROM c a CROSS JOIN lags JOIN c b ON a.series_id = b.series_id AND b.i = a.i + lags.lag
+JOIN ss ON ss.series_id = a.series_id GROUP BY a.series_id, lags.lag, ss.ss""", extra=SERIES_SQL)
+def q_residual_acf(spark, sf_dir):
+    """R-12: autocorrelation of the forecast residuals, lags 0..14."""
+    from tessera.operators.ordered import residuals
+    r = residuals(forecast(spark, sf_dir))
+    a = O.acf(r, ["series_id"], "ds", "residual", 14)
+    return a.withColumn("acf", F.round(F.col("acf") + F.lit(1e-9), 9))
+
+
+@query("holiday_effects_model")
+def q_holiday_effects_model(spark, sf_dir):
+    """R-10: the fitted holiday component by holiday name (box statistics)."""
+    fc = _fc_total(spark, sf_dir)
+    return SE.holiday_effects(fc.filter(F.col("role") == "train"), SE.holidays(X.x_calendar(_t(spark, sf_dir))),
+                              "holidays")
