@@ -63,29 +63,39 @@ KNN_SCHEMA = T.StructType([T.StructField("id", T.LongType()), T.StructField("nbr
                            T.StructField("dist", T.DoubleType())])
 
 
-def _block_knn(k: int):
+def _block_knn(k: int, chunk: int = 1024):
+    """Per (query block, reference block): the k nearest references of each
+    query; queries are processed ``chunk`` at a time so the distance matrix
+    held in memory is at most chunk × block_rows."""
     def fn(key, q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         if q.empty or r.empty:
             return pd.DataFrame({"id": [], "nbr_id": [], "dist": []})
-        qx = np.stack(q["vec"].to_numpy())
         rx = np.stack(r["rvec"].to_numpy())
-        d2 = (qx * qx).sum(1)[:, None] + (rx * rx).sum(1)[None, :] - 2.0 * qx @ rx.T
-        d2 = np.maximum(d2, 0.0)
-        qi = q["id"].to_numpy()
         ri = r["rid"].to_numpy()
-        d2[qi[:, None] == ri[None, :]] = np.inf  # a point is not its own neighbour
+        rn = (rx * rx).sum(1)
         kk = min(k, rx.shape[0])
-        idx = np.argpartition(d2, kk - 1, axis=1)[:, :kk] if kk < rx.shape[0] else np.tile(
-            np.arange(rx.shape[0]), (qx.shape[0], 1))
-        rows = np.repeat(np.arange(qx.shape[0]), idx.shape[1])
-        cols = idx.ravel()
-        dist = np.sqrt(d2[rows, cols])
-        ok = np.isfinite(dist)
-        return pd.DataFrame({"id": qi[rows][ok], "nbr_id": ri[cols][ok], "dist": dist[ok]})
+        out_id, out_nbr, out_d = [], [], []
+        qall = np.stack(q["vec"].to_numpy())
+        qids = q["id"].to_numpy()
+        for s in range(0, qall.shape[0], chunk):
+            qx, qi = qall[s:s + chunk], qids[s:s + chunk]
+            d2 = np.maximum((qx * qx).sum(1)[:, None] + rn[None, :] - 2.0 * qx @ rx.T, 0.0)
+            d2[qi[:, None] == ri[None, :]] = np.inf  # a point is not its own neighbour
+            idx = np.argpartition(d2, kk - 1, axis=1)[:, :kk] if kk < rx.shape[0] else np.tile(
+                np.arange(rx.shape[0]), (qx.shape[0], 1))
+            rows = np.repeat(np.arange(qx.shape[0]), idx.shape[1])
+            cols = idx.ravel()
+            dist = np.sqrt(d2[rows, cols])
+            ok = np.isfinite(dist)
+            out_id.append(qi[rows][ok])
+            out_nbr.append(ri[cols][ok])
+            out_d.append(dist[ok])
+        return pd.DataFrame({"id": np.concatenate(out_id), "nbr_id": np.concatenate(out_nbr),
+                             "dist": np.concatenate(out_d)})
     return fn
 
 
-def knn_exact(points: DataFrame, id_col: str, vec_col: str, k: int, block_rows: int = 4096,
+def knn_exact(points: DataFrame, id_col: str, vec_col: str, k: int, block_rows: int = 16384,
               queries: DataFrame | None = None) -> DataFrame:
     """Exact k nearest neighbours (Euclidean) of ``queries`` (default: all
     points) among ``points``.
