@@ -31,10 +31,22 @@ class Sources:
         self._cache: dict[str, DataFrame] = {}
 
     @classmethod
-    def parquet_dir(cls, spark: SparkSession, root: str, names=BASE_TABLES) -> "Sources":
+    def parquet_dir(cls, spark: SparkSession, root: str, names=BASE_TABLES,
+                    min_partitions: int | None = None) -> "Sources":
+        """One parquet file per base table.
+
+        A file with a single row group is scanned by ONE task, and all work
+        fused into that scan stage (projections, decimal arithmetic, partial
+        aggregation) would run on one core.  Inputs whose scan has fewer
+        partitions than ``min_partitions`` (default: the session's default
+        parallelism) are therefore spread round-robin first.  Inputs made of
+        many files or row groups — any table at cluster scale — already have
+        enough scan partitions and are read as they are.
+        """
         src = cls(spark)
+        target = min_partitions or spark.sparkContext.defaultParallelism
         for n in names:
-            src.register(n, lambda n=n: spark.read.parquet(os.path.join(root, f"{n}.parquet")))
+            src.register(n, lambda n=n: spread(spark.read.parquet(os.path.join(root, f"{n}.parquet")), target))
         src.root = root
         return src
 
@@ -76,6 +88,14 @@ class Sources:
             raise AttributeError(str(e)) from None
 
 
+def spread(df: DataFrame, min_partitions: int) -> DataFrame:
+    """``df`` repartitioned round-robin when its scan has fewer than
+    ``min_partitions`` partitions; unchanged otherwise."""
+    if min_partitions > 1 and df.rdd.getNumPartitions() < min_partitions:
+        return df.repartition(min_partitions)
+    return df
+
+
 def table(spark: SparkSession, name: str) -> DataFrame:
     """Whole-table scan of a catalog table or a parquet path."""
     if "/" in name or name.endswith(".parquet"):
