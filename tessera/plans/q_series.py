@@ -22,9 +22,18 @@ def _t(spark, sf_dir):
 
 
 def series(spark, sf_dir):
-    """x_series: per order priority and TOTAL, dense daily sums with snap."""
-    return SE.daily_series(_t(spark, sf_dir).orders, "o_orderdate", "o_totalprice", "o_orderpriority",
-                           X.x_calendar(_t(spark, sf_dir)))
+    """x_series: per order priority and TOTAL, dense daily sums with snap.
+
+    The series table is small (series × days) and every forecasting query
+    uses it several times (numbering, counts, spans, joins), so it is
+    checkpointed once — later uses read it instead of re-aggregating the
+    orders.
+    """
+    from tessera.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    t = _t(spark, sf_dir)
+    return SE.daily_series(t.orders, "o_orderdate", "o_totalprice", "o_orderpriority",
+                           X.x_calendar(t)).checkpoint(eager=True)
 
 
 def forecast(spark, sf_dir):
@@ -44,8 +53,8 @@ UNION ALL
 SELECT 'TOTAL', CAST(o_orderdate AS DATE), SUM(CAST(o_totalprice AS DECIMAL(18,2))) FROM orders GROUP BY CAST(o_orderdate AS DATE)""",
     "s_series": """
 SELECT g.series_id, g.ds, CAST(COALESCE(ROUND(d.s, 2), 0) AS DOUBLE) AS y, c.snap_A AS snap
-FROM (SELECT i.series_id, CAST(unnest(generate_series(r.mn, r.mx, INTERVAL 1 DAY)) AS DATE) AS ds
-      FROM (SELECT DISTINCT series_id FROM s_day) i, (SELECT MIN(ds) AS mn, MAX(ds) AS mx FROM s_day) r) g
+FROM (SELECT series_id, CAST(unnest(generate_series(mn, mx, INTERVAL 1 DAY)) AS DATE) AS ds
+      FROM (SELECT series_id, MIN(ds) AS mn, MAX(ds) AS mx FROM s_day GROUP BY series_id) r) g
 LEFT JOIN s_day d ON g.series_id = d.series_id AND g.ds = d.ds
 LEFT JOIN x_calendar c ON c.date = g.ds""",
     "s_fc": "SELECT *, lag(y, 7) OVER (PARTITION BY series_id ORDER BY ds) AS yhat FROM s_series",

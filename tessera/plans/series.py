@@ -26,22 +26,21 @@ TOTAL = "TOTAL"
 def daily_series(facts: DataFrame, date_col: str, value_col: str, by: str, calendar: DataFrame,
                  snap_col: str = "snap_A", total: bool = True) -> DataFrame:
     """(series_id, ds, y, snap): daily sums per ``by`` value (and a TOTAL
-    series), dense from the first to the last day with absent days = 0.
+    series), dense from each series' first to last day, absent days = 0.
 
     The day sums are one aggregation; the TOTAL series is re-aggregated
-    from those (days × series rows, not the facts).  The dense grid is one
-    ``sequence`` per series (no cross join); the calendar is a lookup
-    join on the date.
+    from those (days × series rows, not the facts).  Each series' span is
+    a grouped min/max of the same small table and the dense grid is one
+    ``sequence`` per series (no cross join, no scalar subquery); the
+    calendar is a lookup join on the date.
     """
     day = facts.groupBy(F.col(by).alias("series_id"), F.to_date(date_col).alias("ds")).agg(
         F.sum(S.money(value_col)).alias("_s"))
     if total:
         day = day.unionByName(day.groupBy("ds").agg(F.sum("_s").alias("_s"))
                               .select(F.lit(TOTAL).alias("series_id"), "ds", "_s"))
-    lo = day.agg(F.min("ds")).scalar()
-    hi = day.agg(F.max("ds")).scalar()
-    ids = day.select("series_id").distinct()
-    grid = ids.select("series_id", F.explode(F.sequence(lo, hi)).alias("ds"))
+    span = day.groupBy("series_id").agg(F.min("ds").alias("_lo"), F.max("ds").alias("_hi"))
+    grid = span.select("series_id", F.explode(F.sequence("_lo", "_hi")).alias("ds"))
     dense = grid.join(day, ["series_id", "ds"], "left").select(
         "series_id", "ds", F.coalesce(F.round("_s", 2), F.lit(0)).cast("double").alias("y"))
     cal = calendar.select(F.col("date").alias("ds"), F.col(snap_col).alias("snap"))
