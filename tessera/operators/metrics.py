@@ -41,7 +41,7 @@ def roc_curve(df: DataFrame, score: str = "score", label: str = "label") -> Data
 
 
 def auc(df: DataFrame, score: str = "score", label: str = "label", by: Sequence[str] = ()) -> DataFrame:
-    """Trapezoid ROC AUC (ties handled as one step, like sklearn), per group."""
+    """Trapezoid ROC AUC over distinct thresholds (a tie block is one step), per group."""
     c = _curve(df, score, label, by)
     term = (F.col("neg") / F.col("N")) * (2 * F.col("tp") - F.col("pos")) / (2 * F.col("P"))
     return c.groupBy(*by).agg(F.sum(term).alias("auc"))

@@ -160,12 +160,12 @@ def _recode_sql(f: str) -> str:
 
 SURVEY_CLEAN_SQL = f"""
 SELECT age, sex, {', '.join(_recode_sql(f) + ' AS ' + f for f in SV.FLAG_COLS)},
-  CAST(CASE WHEN clasiffication_final IN (1, 2, 3) THEN 1 ELSE 0 END AS INTEGER) AS covid_positive,
+  CAST(CASE WHEN clasiffication_final IN (1, 2, 3) THEN 1 ELSE 0 END AS INTEGER) AS positive,
   CAST(CASE WHEN date_died IS NULL OR date_died = '9999-99-99' THEN 0 ELSE 1 END AS INTEGER) AS died
 FROM x_survey
 WHERE NOT ({' AND '.join(f'({_recode_sql(f)}) IS NULL' for f in SV.FLAG_COLS)})"""
 SURVEY = {"s_survey": SURVEY_CLEAN_SQL,
-          "s_pos": "SELECT * FROM s_survey WHERE covid_positive = 1"}
+          "s_pos": "SELECT * FROM s_survey WHERE positive = 1"}
 
 
 def _clean(spark, sf_dir):
@@ -230,7 +230,7 @@ def _mode_sql(f: str) -> str:
 @query("survey_impute", f"""
 WITH miss AS ({' UNION ALL '.join(f"SELECT '{f}' AS c, 100.0 * SUM(CASE WHEN {f} IS NULL THEN 1 ELSE 0 END) / COUNT(*) AS p FROM s_pos" for f in SV.FLAG_COLS)})
 SELECT age, sex, {', '.join(f"CASE WHEN (SELECT p FROM miss WHERE c = '{f}') <= 10.0 THEN COALESCE({f}, {_mode_sql(f)}) ELSE {f} END AS {f}" for f in SV.FLAG_COLS)},
-  covid_positive, died
+  positive, died
 FROM s_pos""", extra=SURVEY)
 def q_survey_impute(spark, sf_dir):
     return SV.impute_low_missing(_clean(spark, sf_dir))

@@ -19,9 +19,9 @@ FLAG_COLS = ["f1", "f2", "f3", "f4", "f5"]
 # T-16
 def survey_clean(df: DataFrame, flags: Sequence[str] = FLAG_COLS, class_col: str = "clasiffication_final",
                  died_col: str = "date_died") -> DataFrame:
-    """Recode, derive covid_positive / died, drop all-NULL flag rows, drop the sources."""
+    """Recode, derive positive / died, drop all-NULL flag rows, drop the sources."""
     out = df.withColumns({
-        "covid_positive": S.flag_in(class_col, POSITIVE_CLASSES),
+        "positive": S.flag_in(class_col, POSITIVE_CLASSES),
         "died": S.died_flag(died_col),
         **{f: S.recode(f, BOOL_RECODE).cast("int") for f in flags},
     })
@@ -30,7 +30,7 @@ def survey_clean(df: DataFrame, flags: Sequence[str] = FLAG_COLS, class_col: str
 
 
 def positives(clean: DataFrame) -> DataFrame:
-    return clean.filter(F.col("covid_positive") == 1)
+    return clean.filter(F.col("positive") == 1)
 
 
 # T-17

@@ -118,7 +118,7 @@ def test_roc_auc_perfect_constant_reversed(spark):
     assert abs(M.auc(rev).first()[0]) < 1e-12
 
 
-def test_auc_and_ap_match_sklearn_formulas(spark):
+def test_auc_and_ap_match_direct_definitions(spark):
     rng = np.random.default_rng(3)
     s = np.round(rng.random(2000), 2)  # ties
     y = (rng.random(2000) < s).astype(int)
