@@ -260,12 +260,21 @@ def positive_probability(model, df: DataFrame, out: str = "score") -> DataFrame:
 
 
 # L-7
+# The random-search space of the original (trees, depth with
+# None = unlimited, minimum samples per leaf, features per split).
 PARAM_SPACE = {
     "numTrees": [100, 150, 200, 300],
-    "maxDepth": [30, 10, 20, 30, 30],        # None/50 → 30, Spark's maximum depth
+    "maxDepth": [None, 10, 20, 30, 50],
     "minInstancesPerNode": [1, 2, 4],
     "featureSubsetStrategy": ["sqrt", "log2"],
 }
+SPARK_MAX_DEPTH = 30  # Spark's tree depth limit: unlimited and deeper settings map to it
+
+
+def _spark_value(param: str, v):
+    if param == "maxDepth":
+        return SPARK_MAX_DEPTH if v is None else min(v, SPARK_MAX_DEPTH)
+    return v
 
 
 def random_search(train: DataFrame, features_col: str, label: str, n_iter: int = 20, folds: int = 3,
@@ -291,7 +300,7 @@ def random_search(train: DataFrame, features_col: str, label: str, n_iter: int =
         if draw in seen:
             continue
         seen.add(draw)
-        maps.append({getattr(rf, k): v for k, v in draw})
+        maps.append({getattr(rf, k): _spark_value(k, v) for k, v in draw})
     fold = F.floor(hash_uniform(id_col or features_col, seed=seed, salt=7) * folds).cast("int")
     # every (map, fold) fit reads the same training rows: cut the lineage once
     # (reliable checkpoint) instead of recomputing split and scaling per fit
