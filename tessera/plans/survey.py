@@ -73,8 +73,18 @@ def impute_mode(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def impute_low_missing(clean: DataFrame, flags: Sequence[str] = FLAG_COLS, max_percent: float = 10.0) -> DataFrame:
-    """Impute by mode only the flags whose NULL share among positives is ≤ ``max_percent``."""
+    """Impute by mode only the flags whose NULL share among positives is ≤ ``max_percent``.
+
+    The NULL share and the mode of every flag come from ONE aggregation
+    (one row, 2 values per flag); ``fillna`` then gets the modes of the
+    low-missing flags as scalars.
+    """
+    flags = list(flags)
     pos = positives(clean)
-    prof = missing_report(clean, flags)
-    low = [r["column"] for r in prof.filter(F.col("null_percent") <= max_percent).select("column").collect()]
-    return impute_mode(pos, low)
+    stats = pos.agg(F.count(F.lit(1)).alias("_n"),
+                    *[F.sum(F.col(f).isNull().cast("int")).alias(f"_null_{f}") for f in flags],
+                    *[F.mode(f, deterministic=True).alias(f"_mode_{f}") for f in flags]).first()
+    n = stats["_n"]
+    fill = {f: stats[f"_mode_{f}"] for f in flags
+            if n and 100.0 * stats[f"_null_{f}"] / n <= max_percent and stats[f"_mode_{f}"] is not None}
+    return pos.fillna(fill) if fill else pos
