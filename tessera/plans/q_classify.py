@@ -159,7 +159,12 @@ def _split(spark, sf_dir):
     return C.stratified_split(_fraud(spark, sf_dir), "Class", "id", seed=42)
 
 
-@query("stratified_split")
+@query("stratified_split", """
+WITH n AS (SELECT Class, COUNT(*) AS n, CAST(ROUND(COUNT(*) * 0.2) AS BIGINT) AS nt FROM x_fraud GROUP BY Class),
+s AS (SELECT Class, n, nt, CAST(ROUND((n - nt) * 0.2) AS BIGINT) AS nv FROM n)
+SELECT Class, 'test' AS split, nt AS n FROM s
+UNION ALL SELECT Class, 'valid', nv FROM s
+UNION ALL SELECT Class, 'train', n - nt - nv FROM s""")
 def q_stratified_split(spark, sf_dir):
     return _split(spark, sf_dir).groupBy("Class", "split").agg(F.count(F.lit(1)).alias("n"))
 

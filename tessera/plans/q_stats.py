@@ -303,6 +303,12 @@ def q_row_reduce(spark, sf_dir):
                       S.row_any_not_null(SV.FLAG_COLS).alias("any_not_null"))
 
 
-@query("profile_schema")
+ORDERS_TYPES = [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
+                ("o_totalprice", "double"), ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string")]
+
+
+@query("profile_schema", " UNION ALL ".join(
+    f"SELECT CAST({i} AS INTEGER) AS position, '{c}' AS \"column\", '{t}' AS type, COUNT({c}) AS non_null FROM orders"
+    for i, (c, t) in enumerate(ORDERS_TYPES)))
 def q_profile_schema(spark, sf_dir):
     return ST.profile_schema(_t(spark, sf_dir).orders)
