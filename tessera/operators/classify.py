@@ -248,8 +248,10 @@ def pca_variance(train: DataFrame, *others: DataFrame, input_col: str = "scaled"
 
 # L-5
 def rf_fit(train: DataFrame, features_col: str, label: str, num_trees: int = 150, seed: int = 42,
-           weight_col: str | None = None, **params):
-    rf = RandomForestClassifier(featuresCol=features_col, labelCol=label, numTrees=num_trees, seed=seed, **params)
+           weight_col: str | None = None, max_depth: int | None = None, **params):
+    """Random forest; unlimited depth (``None``) like the original maps to Spark's maximum."""
+    rf = RandomForestClassifier(featuresCol=features_col, labelCol=label, numTrees=num_trees, seed=seed,
+                                maxDepth=_spark_value("maxDepth", max_depth), **params)
     if weight_col:
         rf = rf.setWeightCol(weight_col)
     return rf.fit(train)
@@ -413,20 +415,32 @@ class IsolationForestModel:
 
 def isolation_forest(train: DataFrame, features: Sequence[str], id_col: str, n_trees: int = 100,
                      sample: int = 256, contamination: float = 0.1, seed: int = 42) -> IsolationForestModel:
-    """Fit isolation trees on seeded ~``sample``-row subsamples, grouped by tree id.
+    """Fit isolation trees on seeded ~min(``sample``, n)-row subsamples, grouped by tree id.
 
-    Each row is kept with probability n_trees·sample/n and assigned to a
-    tree by hash, so each tree's group holds about ``sample`` rows (one
-    ``applyInPandas`` task per tree).  The tree table is small and is
+    Large input: each row is kept with probability n_trees·sample/n and
+    given to one tree by hash.  Small input (n ≤ n_trees·sample): each
+    (row, tree) pair is kept with probability sample/n.  Either way a
+    tree's group holds about min(sample, n) rows (one ``applyInPandas``
+    task per tree).  The tree table is small and is
     shipped inside the scoring UDF.  Threshold = (1 − contamination)
     quantile of the training scores (exact, distributed).
     """
     features = list(features)
     n = train.count()
-    p = min(1.0, n_trees * sample / max(n, 1))
     vec = F.array(*[F.col(c).cast("double") for c in features])
-    picked = train.filter(hash_uniform(id_col, seed=seed, salt=11) < F.lit(p)).select(
-        (F.abs(F.xxhash64(id_col, F.lit(seed), F.lit(12))) % n_trees).cast("int").alias("tree"), vec.alias("vec"))
+    if n <= n_trees * sample:
+        # small input: every tree draws each row with probability min(1, sample/n)
+        # (pairs row × tree ≤ n_trees·sample, bounded), so a tree sees min(sample, n) rows
+        q = min(1.0, sample / max(n, 1))
+        pairs = train.select(F.col(id_col).alias("_id"), vec.alias("vec"),
+                             F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree"))
+        picked = pairs.filter(hash_uniform("_id", "tree", seed=seed, salt=11) < F.lit(q)).select("tree", "vec")
+    else:
+        # large input: keep ~n_trees·sample rows and give each to one tree
+        p = n_trees * sample / n
+        picked = train.filter(hash_uniform(id_col, seed=seed, salt=11) < F.lit(p)).select(
+            (F.abs(F.xxhash64(id_col, F.lit(seed), F.lit(12))) % n_trees).cast("int").alias("tree"), vec.alias("vec"))
+    sample = min(sample, n)
     depth = int(math.ceil(math.log2(max(sample, 2))))
     trees = picked.groupBy("tree").applyInPandas(_grow(seed, depth), TREE_SCHEMA).toPandas()  # bounded table
     model = IsolationForestModel(trees, sample, features)
