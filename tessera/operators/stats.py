@@ -72,9 +72,39 @@ def value_counts(df: DataFrame, cols: Sequence[str] | str, normalize: bool = Fal
 
 # A-6
 def mode_min(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
-    """Most frequent non-NULL value; ties → smallest; all NULL → NULL."""
-    m = F.mode(col, deterministic=True).alias(col)
-    return df.groupBy(*by).agg(m) if by else df.agg(m)
+    """Most frequent non-NULL value; ties → smallest; all NULL → NULL.
+
+    Two steps with bounded state: counts per (group, value) with map-side
+    combine, then ``min(struct(-count, value))`` per group — one struct of
+    state however many distinct values a group has (Spark's ``mode``
+    aggregate would keep them all in one map).
+    """
+    by = list(by)
+    counts = df.filter(F.col(col).isNotNull()).groupBy(*by, col).agg(F.count(F.lit(1)).alias("_c"))
+    best = F.min(F.struct((-F.col("_c")).alias("_k"), F.col(col).alias("_v")))["_v"].alias(col)
+    # a global aggregate is one row, NULL when every value is NULL
+    return counts.groupBy(*by).agg(best) if by else counts.agg(best)
+
+
+def modes(df: DataFrame, cols: Sequence[str]) -> dict:
+    """Modes of several columns from one job: the columns are unpivoted to
+    (column, value as text), counted per (column, value), and reduced per
+    column with the bounded ``min(struct(-count, value))``.  Returns
+    {column: value} with each value converted back to its column's type;
+    NULL-only columns are left out.
+    """
+    cols = list(cols)
+    long = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot([], cols, "_col", "_val")
+    best = (long.filter(F.col("_val").isNotNull()).groupBy("_col", "_val").agg(F.count(F.lit(1)).alias("_c"))
+            .groupBy("_col").agg(F.min(F.struct((-F.col("_c")).alias("_k"), F.col("_val").alias("_v")))["_v"]
+                                 .alias("_v")))
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    out = {}
+    for r in best.collect():  # one row per column
+        t, v = types[r["_col"]], r["_v"]
+        out[r["_col"]] = int(v) if t in ("int", "bigint", "smallint", "tinyint") else (
+            float(v) if t in ("double", "float") else v)
+    return out
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),

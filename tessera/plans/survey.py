@@ -64,27 +64,23 @@ def missing_report(clean: DataFrame, flags: Sequence[str] = FLAG_COLS) -> DataFr
 def impute_mode(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """F-22: fill NULLs of each column with its mode (smallest on ties).
 
-    The modes are one aggregation (one row); ``fillna`` gets them as a
-    dict of ≤ len(cols) scalars.
+    The modes of all columns come from one job with bounded state
+    (``stats.modes``); ``fillna`` gets them as ≤ len(cols) scalars.
     """
-    cols = list(cols)
-    modes = df.agg(*[F.mode(c, deterministic=True).alias(c) for c in cols]).first()
-    return df.fillna({c: modes[c] for c in cols if modes[c] is not None})
+    m = ST.modes(df, list(cols))
+    return df.fillna(m) if m else df
 
 
 def impute_low_missing(clean: DataFrame, flags: Sequence[str] = FLAG_COLS, max_percent: float = 10.0) -> DataFrame:
     """Impute by mode only the flags whose NULL share among positives is ≤ ``max_percent``.
 
-    The NULL share and the mode of every flag come from ONE aggregation
-    (one row, 2 values per flag); ``fillna`` then gets the modes of the
-    low-missing flags as scalars.
+    NULL shares of all flags are one aggregation (one row); the modes of
+    the chosen flags one more job (``impute_mode``).
     """
     flags = list(flags)
     pos = positives(clean)
     stats = pos.agg(F.count(F.lit(1)).alias("_n"),
-                    *[F.sum(F.col(f).isNull().cast("int")).alias(f"_null_{f}") for f in flags],
-                    *[F.mode(f, deterministic=True).alias(f"_mode_{f}") for f in flags]).first()
+                    *[F.sum(F.col(f).isNull().cast("int")).alias(f"_null_{f}") for f in flags]).first()
     n = stats["_n"]
-    fill = {f: stats[f"_mode_{f}"] for f in flags
-            if n and 100.0 * stats[f"_null_{f}"] / n <= max_percent and stats[f"_mode_{f}"] is not None}
-    return pos.fillna(fill) if fill else pos
+    low = [f for f in flags if n and 100.0 * stats[f"_null_{f}"] / n <= max_percent]
+    return impute_mode(pos, low) if low else pos
