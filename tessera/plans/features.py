@@ -37,7 +37,9 @@ def item_agg(fct_items: DataFrame) -> DataFrame:
     """Per order: summed price and the modal English category.
 
     Mode ignores NULLs, breaks ties by the smallest value and is NULL when
-    all are NULL (P5).
+    all are NULL (P5).  Its state per order is one count per distinct
+    category of that order — bounded by the category list, not by rows —
+    so it is computed in the same aggregation as the price sum.
     """
     return fct_items.groupBy("fk_order_sid").agg(
         F.sum(S.money("price")).alias("_price"),
