@@ -195,6 +195,22 @@ def q_survey_age_profile(spark, sf_dir):
     return SV.age_profile(_clean(spark, sf_dir))
 
 
+@query("survey_age_histogram", """
+WITH b AS (SELECT 'positive' AS cohort, CAST(age AS DOUBLE) AS v FROM s_pos
+           UNION ALL SELECT 'died' AS cohort, CAST(age AS DOUBLE) AS v FROM s_pos WHERE died = 1),
+r AS (SELECT cohort, MIN(v) AS mn, MAX(v) AS mx FROM b WHERE v IS NOT NULL GROUP BY cohort),
+c AS (SELECT b.cohort, CAST(CASE WHEN mx = mn THEN 1
+             ELSE LEAST(FLOOR(CAST(60.0 AS DOUBLE) * (v - mn) / (mx - mn)) + 1, 60) END AS INTEGER) AS bin,
+        COUNT(*) AS cnt
+      FROM b JOIN r ON b.cohort = r.cohort WHERE v IS NOT NULL GROUP BY 1, 2),
+g AS (SELECT cohort, mn, mx, CAST(unnest(range(1, 61)) AS INTEGER) AS bin FROM r)
+SELECT g.cohort, g.bin, mn + (g.bin - 1) * ((mx - mn) / 60) AS bin_start, mn + g.bin * ((mx - mn) / 60) AS bin_end,
+  CAST(COALESCE(c.cnt, 0) AS BIGINT) AS count
+FROM g LEFT JOIN c ON g.cohort = c.cohort AND g.bin = c.bin""", extra=SURVEY)
+def q_survey_age_histogram(spark, sf_dir):
+    return SV.age_histogram(_clean(spark, sf_dir))
+
+
 RATES_SQL = " UNION ALL ".join(f"""
 SELECT '{f}' AS flag, AVG(CASE WHEN {f} = 0 THEN CAST(died AS DOUBLE) END) AS "without",
   AVG(CASE WHEN {f} = 1 THEN CAST(died AS DOUBLE) END) AS "with" FROM s_pos WHERE {f} IS NOT NULL""" for f in SV.FLAG_COLS)

@@ -44,6 +44,14 @@ def age_profile(clean: DataFrame, col: str = "age") -> DataFrame:
     return d.join(sk, ["cohort", "column"])
 
 
+def age_histogram(clean: DataFrame, col: str = "age", bins: int = 60) -> DataFrame:
+    """T-17: equal-width histograms of age for positives and for deaths among them."""
+    pos = positives(clean)
+    both = pos.select(F.lit("positive").alias("cohort"), col).unionByName(
+        pos.filter(F.col("died") == 1).select(F.lit("died").alias("cohort"), col))
+    return ST.histogram(both, col, bins, by=["cohort"])
+
+
 # T-18
 def comorbidity_rates(clean: DataFrame, flags: Sequence[str] = FLAG_COLS) -> DataFrame:
     return ST.rate_by_flags(positives(clean), flags, "died", digits=2)
