@@ -237,29 +237,47 @@ def corr_guarded(x: str, y: str) -> Column:
     return F.try_divide(F.covar_pop(xm, ym), F.stddev_pop(xm) * F.stddev_pop(ym))
 
 
+def _pair_corr() -> Column:
+    """Guarded correlation of (x, y) rows per key group (P7 masking inside)."""
+    xm = F.when(F.col("y").isNotNull(), F.col("x"))
+    ym = F.when(F.col("x").isNotNull(), F.col("y"))
+    return F.try_divide(F.covar_pop(xm, ym), F.stddev_pop(xm) * F.stddev_pop(ym))
+
+
 def corr_with(df: DataFrame, target: str, cols: Sequence[str] | None = None, include_target: bool = False,
               digits: int = 6) -> DataFrame:
-    """Correlation of every numeric column with ``target``, sorted desc (one aggregation)."""
+    """Correlation of every numeric column with ``target``, sorted desc.
+
+    Long form: each row is exploded into one (column, x, y) row per column
+    and grouped by column with three aggregates, so the generated code
+    stays small however many columns there are; the stage ends in a
+    partial aggregation over one group per column (no data shuffle).
+    """
     cols = [c for c in _cols(df, cols) if include_target or c != target]
-    one = df.agg(*[corr_guarded(c, target).alias(f"_{i}") for i, c in enumerate(cols)])
-    out = one.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), round_nudged(F.col(f"_{i}"), digits).alias("corr"))
-        for i, c in enumerate(cols)])).alias("r")).select("r.*")
+    pairs = df.select(F.col(target).cast("double").alias("y"), F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in cols])).alias("p")) \
+        .select("p.column", "p.x", "y")
+    out = pairs.groupBy("column").agg(round_nudged(_pair_corr(), digits).alias("corr"))
     return out.orderBy(F.desc_nulls_last("corr"), "column")
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
-    """Full matrix in long form (col_a, col_b, corr); upper triangle computed once."""
+    """Full matrix in long form (col_a, col_b, corr); upper triangle computed once.
+
+    Each row is exploded into one (col_a, col_b, x, y) row per pair of the
+    upper triangle and grouped by the pair; the result is mirrored.
+    """
     cols = list(cols)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    one = df.agg(*[corr_guarded(a, b).alias(f"_{k}") for k, (a, b) in enumerate(pairs)])
-    structs = []
-    for k, (a, b) in enumerate(pairs):
-        v = round_nudged(F.col(f"_{k}"), digits)
-        structs.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), v.alias("corr")))
-        if a != b:
-            structs.append(F.struct(F.lit(b).alias("col_a"), F.lit(a).alias("col_b"), v.alias("corr")))
-    return one.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
+    pairs_list = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(a).cast("double").alias("x"),
+                 F.col(b).cast("double").alias("y")) for a, b in pairs_list])).alias("p")) \
+        .select("p.col_a", "p.col_b", "p.x", "p.y")
+    upper = pairs.groupBy("col_a", "col_b").agg(round_nudged(_pair_corr(), digits)
+                                                .alias("corr"))
+    lower = upper.filter(F.col("col_a") != F.col("col_b")).select(
+        F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "corr")
+    return upper.unionByName(lower)
 
 
 def top_corr(df: DataFrame, target: str, k: int, cols: Sequence[str] | None = None, digits: int = 6) -> DataFrame:

@@ -217,3 +217,23 @@ def q_isolation_forest(spark, sf_dir):
     tr = s.filter(F.col("split") == "train")
     model = C.isolation_forest(tr, FEATS, "id", n_trees=100, sample=256, contamination=0.1, seed=42)
     return model.flag(s).select("id", "Class", "split", "outlier")
+
+
+@query("class_top_corr", """
+WITH long AS (UNPIVOT (SELECT * EXCLUDE (id), id FROM x_fraud) ON COLUMNS(* EXCLUDE (id)) INTO NAME col VALUE val),
+cw AS (
+  SELECT l.col AS c, ROUND(CASE WHEN stddev_pop(l.val) * stddev_pop(t.val) = 0 THEN NULL
+                           ELSE covar_pop(l.val, t.val) / (stddev_pop(l.val) * stddev_pop(t.val)) END + 1e-9, 6) AS corr
+  FROM long l JOIN long t ON l.id = t.id AND t.col = 'Class' WHERE l.col <> 'Class' GROUP BY l.col),
+top AS (SELECT c FROM cw ORDER BY abs(corr) DESC NULLS LAST, c LIMIT 10),
+names AS (SELECT c FROM top UNION ALL SELECT 'Class'),
+pairs AS (SELECT a.col AS col_a, b.col AS col_b, CAST(a.val AS DOUBLE) AS x, CAST(b.val AS DOUBLE) AS y
+          FROM long a JOIN long b ON a.id = b.id
+          WHERE a.col IN (SELECT c FROM names) AND b.col IN (SELECT c FROM names))
+SELECT col_a, col_b, ROUND(CASE WHEN stddev_pop(x) * stddev_pop(y) = 0 THEN NULL
+                           ELSE covar_pop(x, y) / (stddev_pop(x) * stddev_pop(y)) END + 1e-9, 6) AS corr
+FROM pairs GROUP BY col_a, col_b""")
+def q_class_top_corr(spark, sf_dir):
+    """A-17 / L-16: the 10 features most correlated with the class (|corr|), and their matrix."""
+    from tessera.operators import stats as ST
+    return ST.top_corr(_fraud(spark, sf_dir), "Class", 10, FEATS + ["Class"])
