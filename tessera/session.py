@@ -51,7 +51,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     is created and registered.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 — a Spark Connect session has no SparkContext:
+        return conf_dir  # the server side uses spark.checkpoint.dir as configured
     current = sc.getCheckpointDir()
     if current:
         return current
