@@ -244,37 +244,46 @@ def _pair_corr() -> Column:
     return F.try_divide(F.covar_pop(xm, ym), F.stddev_pop(xm) * F.stddev_pop(ym))
 
 
+# Up to this many (x, y) pairs one wide aggregation (three aggregates per
+# pair) is cheapest; beyond it the generated code grows too large and the
+# long form (rows exploded to one row per pair) is used.
+WIDE_PAIRS_MAX = 20
+
+
+def _corr_pairs(df: DataFrame, pairs_list: Sequence[tuple[str, str]], digits: int) -> DataFrame:
+    """(col_a, col_b, corr) for the given column pairs, guarded."""
+    if len(pairs_list) <= WIDE_PAIRS_MAX:
+        one = df.agg(*[corr_guarded(a, b).alias(f"_{k}") for k, (a, b) in enumerate(pairs_list)])
+        return one.select(F.explode(F.array(*[
+            F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
+                     round_nudged(F.col(f"_{k}"), digits).alias("corr"))
+            for k, (a, b) in enumerate(pairs_list)])).alias("r")).select("r.*")
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(a).cast("double").alias("x"),
+                 F.col(b).cast("double").alias("y")) for a, b in pairs_list])).alias("p")) \
+        .select("p.col_a", "p.col_b", "p.x", "p.y")
+    return long.groupBy("col_a", "col_b").agg(round_nudged(_pair_corr(), digits).alias("corr"))
+
+
 def corr_with(df: DataFrame, target: str, cols: Sequence[str] | None = None, include_target: bool = False,
               digits: int = 6) -> DataFrame:
     """Correlation of every numeric column with ``target``, sorted desc.
 
-    Long form: each row is exploded into one (column, x, y) row per column
-    and grouped by column with three aggregates, so the generated code
-    stays small however many columns there are; the stage ends in a
-    partial aggregation over one group per column (no data shuffle).
+    Few columns: one wide aggregation.  Many columns: long form — each row
+    exploded into one (column, x, y) row per column and grouped by column
+    with three aggregates, so the generated code stays small; the stage
+    ends in a partial aggregation over one group per column.
     """
     cols = [c for c in _cols(df, cols) if include_target or c != target]
-    pairs = df.select(F.col(target).cast("double").alias("y"), F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in cols])).alias("p")) \
-        .select("p.column", "p.x", "y")
-    out = pairs.groupBy("column").agg(round_nudged(_pair_corr(), digits).alias("corr"))
+    out = _corr_pairs(df, [(c, target) for c in cols], digits).select(F.col("col_a").alias("column"), "corr")
     return out.orderBy(F.desc_nulls_last("corr"), "column")
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
-    """Full matrix in long form (col_a, col_b, corr); upper triangle computed once.
-
-    Each row is exploded into one (col_a, col_b, x, y) row per pair of the
-    upper triangle and grouped by the pair; the result is mirrored.
-    """
+    """Full matrix in long form (col_a, col_b, corr); the upper triangle is
+    computed once (wide or long form as in ``corr_with``) and mirrored."""
     cols = list(cols)
-    pairs_list = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    pairs = df.select(F.explode(F.array(*[
-        F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(a).cast("double").alias("x"),
-                 F.col(b).cast("double").alias("y")) for a, b in pairs_list])).alias("p")) \
-        .select("p.col_a", "p.col_b", "p.x", "p.y")
-    upper = pairs.groupBy("col_a", "col_b").agg(round_nudged(_pair_corr(), digits)
-                                                .alias("corr"))
+    upper = _corr_pairs(df, [(a, b) for i, a in enumerate(cols) for b in cols[i:]], digits)
     lower = upper.filter(F.col("col_a") != F.col("col_b")).select(
         F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "corr")
     return upper.unionByName(lower)
