@@ -75,9 +75,16 @@ def year_month(c: ColumnOrName) -> Column:
     return F.date_format(_c(c), "yyyy-MM")
 
 
-# F-12: minutes between two timestamps as DOUBLE (time-zone free on NTZ input).
+# F-12: minutes between two wall-clock timestamps as DOUBLE: whole days
+# between the dates plus the difference of the times of day, so no session
+# time zone (and no DST shift) enters the result.
+def _minute_of_day(c: Column) -> Column:
+    return F.hour(c) * 60 + F.minute(c) + F.extract(F.lit("SECOND"), c).cast("double") / 60.0
+
+
 def minutes_between(end: ColumnOrName, start: ColumnOrName) -> Column:
-    return F.timestamp_diff("MICROSECOND", _c(start), _c(end)) / F.lit(60_000_000.0)
+    e, s = _c(end).cast("timestamp_ntz"), _c(start).cast("timestamp_ntz")
+    return (F.datediff(F.to_date(e), F.to_date(s)) * 1440).cast("double") + (_minute_of_day(e) - _minute_of_day(s))
 
 
 # F-13

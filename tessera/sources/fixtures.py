@@ -48,7 +48,10 @@ def _days(ts, n):
 
 
 def _text_ts(c):
-    return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    """'yyyy-MM-dd HH:mm:ss' text of a TIMESTAMP_NTZ (whole seconds) without
+    going through the session time zone (``date_format`` would, and shifts
+    wall-clock times that fall into a DST gap)."""
+    return c.cast("timestamp_ntz").cast("string")
 
 
 def x_customers(t: Sources) -> DataFrame:

@@ -197,3 +197,19 @@ def test_knn_lsh_gives_k_neighbours_to_every_point(spark):
     nn = C.knn_lsh(pts, "id", "vec", 3, bucket_length=0.5, threshold=0.8).toPandas()
     counts = nn.groupby("id").size()
     assert len(counts) == 150 and (counts == 3).all()
+
+
+def test_order_models_do_not_depend_on_session_time_zone(spark):
+    from tessera.plans import features as FE2
+    def run():
+        r = X.commerce_sources(spark, SF_SMALL)
+        d = W.dim_orders(r.orders, r.order_payments, r.order_items, with_load_date=False)
+        return sorted(tuple(row) for row in FE2.ds_orders_delivery(d).collect())
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        utc = run()
+        spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")  # DST gaps at midnight
+        assert run() == utc
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
