@@ -24,7 +24,12 @@ ORDERS_SCHEMA = T.StructType([
 
 def daily_sales_frame(orders: DataFrame, ts_col: str = "o_orderdate", value_col: str = "o_totalprice",
                       watermark: str = "1 day") -> DataFrame:
-    """Per calendar day: order count and summed value (works on batch and stream)."""
+    """Per calendar day: order count and summed value (works on batch and stream).
+
+    Streaming watermarks need a zone-aware event time, so the zone-less
+    input is read as a TIMESTAMP: day windows follow the session time zone
+    (UTC in ``tessera.session``).
+    """
     ts = F.col(ts_col).cast("timestamp")
     return (orders.withColumn("_ts", ts).withWatermark("_ts", watermark)
             .groupBy(F.window("_ts", "1 day").alias("w"))
