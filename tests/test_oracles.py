@@ -6,6 +6,7 @@ import pytest
 
 from conftest import SF_SMALL
 import __spark_entry__ as E
+from tessera.plans import registry as R
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
           "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -33,7 +34,7 @@ def con():
     return c
 
 
-ORACLE_NAMES = sorted(E.oracle_sql())
+ORACLE_NAMES = sorted(R.oracle_sql())
 
 
 def test_every_query_registered_with_callable():

@@ -5,7 +5,7 @@ from contextlib import redirect_stdout
 
 import pytest
 
-import __spark_entry__ as E
+from tessera.plans import registry as E
 from conftest import SF_SMALL
 
 NAMES = sorted(E.oracle_sql())  # the SQL-expressible queries (model fits are eager, checked elsewhere)
