@@ -81,8 +81,15 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from tessera.llm.spiece import token_digests
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as f:
+        return token_digests(table(spark, sf_dir, "documents"), f.read())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_url_filter, op3_mix_sources, op4_exact_dedup)
+    f.__name__: f for f in (op2_url_filter, op3_mix_sources, op4_exact_dedup, op10_sentencepiece)
 }
 ORACLES = {"op2_url_filter": OP2_SQL, "op3_mix_sources": OP3_SQL, "op4_exact_dedup": OP4_SQL}
 
