@@ -88,8 +88,13 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         return token_digests(table(spark, sf_dir, "documents"), f.read())
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.quality import quality_rules
+    return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").where("quality = 1"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_url_filter, op3_mix_sources, op4_exact_dedup, op10_sentencepiece)
+    f.__name__: f for f in (op2_url_filter, op3_mix_sources, op4_exact_dedup, op5_quality_rules, op10_sentencepiece)
 }
 ORACLES = {"op2_url_filter": OP2_SQL, "op3_mix_sources": OP3_SQL, "op4_exact_dedup": OP4_SQL}
 
