@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from tessera.llm.common import table
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.near_dedup import near_dedup
+    return near_dedup(table(spark, sf_dir, "documents"), k=3, percent=85)
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.url_filter import LISTED_LABELS, RULES, url_filter
     labels = F.array(*[F.lit(x) for x in LISTED_LABELS])
@@ -94,7 +99,7 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_url_filter, op3_mix_sources, op4_exact_dedup, op5_quality_rules, op10_sentencepiece)
+    f.__name__: f for f in (op1_near_dedup, op2_url_filter, op3_mix_sources, op4_exact_dedup, op5_quality_rules, op10_sentencepiece)
 }
 ORACLES = {"op2_url_filter": OP2_SQL, "op3_mix_sources": OP3_SQL, "op4_exact_dedup": OP4_SQL}
 
