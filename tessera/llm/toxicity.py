@@ -272,7 +272,7 @@ def train(texts: list[str], labels: list[int], seed: int = 7, epochs: int = EPOC
     if len(set(labels)) == 2:  # the cut-off goes midway between the classes' highest windows, where they are apart
         logit = window_logits(net, own, first[seek], size[seek])
         top = np.maximum.reduceat(logit, np.searchsorted(doc[seek], np.arange(len(texts))))
-        clean, toxic = np.quantile(top[label == 0], 0.995), np.quantile(top[label == 1], 0.02)
+        clean, toxic = np.quantile(top[label == 0], 0.9995), np.quantile(top[label == 1], 0.01)
         if toxic > clean:
             net["bias"] = net["bias"] + np.float32(np.log(CUTOFF / (1 - CUTOFF)) - (clean + toxic) / 2)
     return net
