@@ -91,6 +91,11 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.substring_dedup import substring_dedup
+    return substring_dedup(table(spark, sf_dir, "documents"))
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     from tessera.llm.spiece import token_digests
@@ -104,7 +109,7 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_near_dedup, op2_url_filter, op3_mix_sources, op4_exact_dedup, op5_quality_rules, op8_toxicity, op10_sentencepiece)
+    f.__name__: f for f in (op1_near_dedup, op2_url_filter, op3_mix_sources, op4_exact_dedup, op5_quality_rules, op8_toxicity, op9_substring_dedup, op10_sentencepiece)
 }
 ORACLES = {"op2_url_filter": OP2_SQL, "op3_mix_sources": OP3_SQL, "op4_exact_dedup": OP4_SQL}
 
