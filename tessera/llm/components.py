@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import cut
@@ -33,3 +35,36 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         e = cut(small.union(low.select("u", F.col("m").alias("v"))).distinct())
     return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
+
+
+def linked_classes(rows: DataFrame, confirm: Callable[[DataFrame], DataFrame], attach: Callable[[DataFrame], DataFrame],
+                   cross: Callable[[str, str], Column], leader_rounds: int) -> DataFrame:
+    """``id, comp`` for every id of ``rows`` (columns ``key``, ``id``, and others):
+    classes of the links among ids that share a key; comp is the smallest id.
+
+    A key held by thousands of ids gives no pairs within the group.  In each
+    leader round every id of a key is paired with one leader of the key, unless
+    they are in one class already.  Then whatever is still apart is compared:
+    all pairs of ids of different classes that share a key and fulfil ``cross``
+    (the names of the columns of both sides end in the given suffixes) on rows
+    completed by ``attach``.  ``confirm`` keeps those of the pairs (``a, comp_a, b, comp_b``)
+    that are links.  So no link between classes is left out."""
+    label = cut(rows.select("id").distinct().withColumn("comp", F.col("id")))
+    for turn in range(leader_rounds + 1):
+        now = rows.join(label, "id")
+        leader = F.struct(F.xxhash64("id", F.lit(turn)) if turn else F.lit(0), "id", "comp")
+        open_keys = now.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min(leader).alias("x")).where("low < high")
+        if turn < leader_rounds:
+            pairs = (now.join(open_keys.select("key", F.col("x.id").alias("b"), F.col("x.comp").alias("comp_b")), "key").where("comp <> comp_b")
+                     .select(F.col("id").alias("a"), F.col("comp").alias("comp_a"), "b", "comp_b").distinct())
+        else:
+            rest = attach(now.join(open_keys.select("key"), "key"))
+            left, right = (rest.select(*(F.col(c).alias(f"{c}_{s}") for c in rest.columns)) for s in ("a", "b"))
+            pairs = (left.join(right, (F.col("key_a") == F.col("key_b")) & (F.col("comp_a") != F.col("comp_b")) & cross("_a", "_b"))
+                     .select(F.col("id_a").alias("a"), "comp_a", F.col("id_b").alias("b"), "comp_b").distinct())
+        links = cut(confirm(pairs).select(F.col("comp_a").alias("u"), F.col("comp_b").alias("v")).distinct())
+        if links.isEmpty():
+            continue
+        root = components(links)
+        label = cut(label.join(root, label["comp"] == root["node"], "left").select("id", F.coalesce("root", "comp").alias("comp")))
+    return label

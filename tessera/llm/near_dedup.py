@@ -25,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import cut, written
-from tessera.llm.components import components
+from tessera.llm.common import written
+from tessera.llm.components import linked_classes
 from tessera.llm.textnum import U, blocks, lower, mix, span_hash, span_identity, utf8, window_hash, words
 
 #: Symbols of a signature, bits of a symbol, symbols of a chunk, symbols packed in a long (in lanes of BITS + 1 bits).
@@ -160,24 +160,9 @@ def near_dedup(docs: DataFrame, k: int = 5, percent: int = 80, leader_rounds: in
     texts = docs.withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi")
     sets = written(_full_sets(texts, k))
 
-    label = cut(ids.withColumn("comp", F.col("id")))
-    for turn in range(leader_rounds + 1):
-        now = rows.join(label, "id")
-        leader = F.struct(F.xxhash64("id", F.lit(turn)) if turn else F.lit(0), "id", "comp")
-        open_keys = now.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min(leader).alias("x")).where("low < high")
-        if turn < leader_rounds:
-            pairs = (now.join(open_keys.select("key", F.col("x.id").alias("b"), F.col("x.comp").alias("comp_b")), "key").where("comp <> comp_b")
-                     .select(F.col("id").alias("a"), F.col("comp").alias("comp_a"), "b", "comp_b").distinct())
-        else:  # whatever is still apart: all pairs of nodes of different components that share a key
-            rest = now.join(open_keys.select("key"), "key").join(slim, "id").select("key", "id", "comp", "lanes")
-            left, right = (rest.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("id", "comp", "lanes"))) for s in ("a", "b"))
-            pairs = (left.join(right, (left["key"] == right["key"]) & (F.col("id_a") < F.col("id_b")) & (F.col("comp_a") != F.col("comp_b")) & (_distance("lanes_a", "lanes_b") <= DISTANCE))
-                     .select(F.col("id_a").alias("a"), "comp_a", F.col("id_b").alias("b"), "comp_b").distinct())
-        links = cut(_confirmed(pairs, slim, sets, percent).select(F.col("comp_a").alias("u"), F.col("comp_b").alias("v")).distinct())
-        if links.isEmpty():
-            continue
-        root = components(links)
-        label = cut(label.join(root, label["comp"] == root["node"], "left").select("id", F.coalesce("root", "comp").alias("comp")))
+    label = linked_classes(
+        rows, confirm=lambda pairs: _confirmed(pairs, slim, sets, percent), attach=lambda rest: rest.join(slim, "id"),
+        cross=lambda a, b: (F.col(f"id{a}") < F.col(f"id{b}")) & (_distance(f"lanes{a}", f"lanes{b}") <= DISTANCE), leader_rounds=leader_rounds)
 
     root = nodes.select("n_shingles", "h1", "h2", F.col("id").alias("node_id")).join(label, F.col("node_id") == F.col("id"), "left").select(
         "n_shingles", "h1", "h2", F.coalesce("comp", "node_id").alias("root"))

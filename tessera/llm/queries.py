@@ -91,6 +91,11 @@ def op6_hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm_scores(table(spark, sf_dir, "documents"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.line_dedup import line_decisions
+    return line_decisions(table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.toxicity import toxicity
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -114,7 +119,7 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_near_dedup, op2_url_filter, op3_mix_sources, op4_exact_dedup, op5_quality_rules, op6_hmm_scores, op8_toxicity, op9_substring_dedup, op10_sentencepiece)
+    f.__name__: f for f in (op1_near_dedup, op2_url_filter, op3_mix_sources, op4_exact_dedup, op5_quality_rules, op6_hmm_scores, op7_line_dedup, op8_toxicity, op9_substring_dedup, op10_sentencepiece)
 }
 ORACLES = {"op2_url_filter": OP2_SQL, "op3_mix_sources": OP3_SQL, "op4_exact_dedup": OP4_SQL}
 
