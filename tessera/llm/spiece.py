@@ -459,10 +459,11 @@ def decode(encoded: DataFrame, model: bytes) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, text string")
 
 
-def token_digests(docs: DataFrame, model: bytes) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every text."""
+def token_digests(docs: DataFrame, model: bytes, with_ids: bool = False) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every text (and
+    ``ids``)."""
     both = decode(encode(docs, model), model)
     return both.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"), *(["ids"] if with_ids else []))

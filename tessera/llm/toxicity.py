@@ -321,6 +321,23 @@ def score_toxicity(docs: DataFrame, net: dict[str, np.ndarray]) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, score double")
 
 
+def reject_toxic(docs: DataFrame, net: dict[str, np.ndarray], cutoff: float = CUTOFF) -> DataFrame:
+    """The rows of ``docs`` whose text scores below ``cutoff``, with all their
+    columns: one pass without a shuffle.  Null and empty texts are scored like
+    a window without words."""
+    shared = docs.sparkSession.sparkContext.broadcast(net)
+    place = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            buf, offsets = utf8(b.column(place))
+            for i, j in blocks(offsets):
+                clean = score_block(shared.value, buf[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]) < cutoff
+                yield b.slice(i, j - i).filter(pa.array(clean))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def fitted_network(docs: DataFrame, labels: DataFrame, folds: int | None = 3) -> dict[str, np.ndarray]:
     """Trains on labelled documents; with ``folds``, not on those whose fold is 1."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
