@@ -313,10 +313,11 @@ def line_dedup(docs: DataFrame, spare: float = 1.0) -> DataFrame:
     """The rows of ``docs`` with repeated lines cut out of ``text`` (see
     line_decisions) and ``n_chars``, if there, set to the new length.  A text
     that loses nothing is as it was, null included; all rows and columns stay."""
-    cuts = line_decisions(docs, spare).where(F.size("dropped") > 0).select(F.col("doc_id").alias("cut_id"), "dropped").dropDuplicates(["cut_id"])
+    # names that no column of the input has
+    cuts = line_decisions(docs, spare).where(F.size("dropped") > 0).select(F.col("doc_id").alias("__cut_id"), F.col("dropped").alias("__dropped")).dropDuplicates(["__cut_id"])
     parts = F.split("text", "\n", -1)
-    kept = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains(F.col("dropped"), i.cast("int"))), "\n")
-    out = docs.join(cuts, F.col("doc_id").cast("long") == F.col("cut_id"), "left").withColumn("text", F.when(F.col("dropped").isNull(), F.col("text")).otherwise(kept))
+    kept = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains(F.col("__dropped"), i.cast("int"))), "\n")
+    out = docs.join(cuts, F.col("doc_id").cast("long") == F.col("__cut_id"), "left").withColumn("text", F.when(F.col("__dropped").isNull(), F.col("text")).otherwise(kept))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("dropped").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+        out = out.withColumn("n_chars", F.when(F.col("__dropped").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
     return out.select(*docs.columns)

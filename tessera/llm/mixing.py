@@ -73,6 +73,7 @@ def mix_sources(docs: DataFrame, weights: list[int], cap: float = 3.0, seed: int
 
 
 def mixed_documents(docs: DataFrame, weights: list[int], cap: float = 3.0, seed: int = 0) -> DataFrame:
-    """The mix itself: every row ``copies`` times, with the input's columns."""
-    return (mix_sources(docs, weights, cap, seed)
-            .withColumn("copy", F.explode(F.expr("array_repeat(0, cast(copies as int))"))).select(*docs.columns))
+    """The mix itself: every row ``copies`` times, with the input's columns as they are."""
+    whole = docs.select("doc_id", "source", "text", F.struct(*docs.columns).alias("whole_row"))
+    return (mix_sources(whole, weights, cap, seed)
+            .select("whole_row", F.explode(F.expr("array_repeat(0, cast(copies as int))")).alias("turn")).select("whole_row.*"))
