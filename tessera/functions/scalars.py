@@ -116,7 +116,7 @@ def money_out(c: ColumnOrName) -> Column:
     return F.round(_c(c), 2).cast("double")
 
 
-# F-18: payment status, six ordered rules, NULL default.  ``balance`` is
+# F-18: payment status, five exclusive rules, NULL default.  ``balance`` is
 # items-with-freight minus payments, computed by the caller on decimals.
 def payment_status(paid: ColumnOrName, amt: ColumnOrName, balance: ColumnOrName,
                    status: ColumnOrName) -> Column:
@@ -124,8 +124,7 @@ def payment_status(paid: ColumnOrName, amt: ColumnOrName, balance: ColumnOrName,
     both = (paid > 0) & (amt > 0)
     unpaid = paid.isNull() | (paid <= 0)
     return (
-        F.when(both & (balance == 0), "completed")
-        .when(both & (balance < 0), "completed")
+        F.when(both & (balance <= 0), "completed")
         .when(both & (balance > 0), "in progress")
         .when((paid > 0) & amt.isNull(), "order items not found")
         .when(status.isin("delivered", "shipped") & unpaid, "payments not found")
