@@ -16,14 +16,14 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import PCA, BucketedRandomProjectionLSH, RobustScaler, StandardScaler, VectorAssembler
+from pyspark.ml.feature import PCA, RobustScaler, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.operators.ordered import distributed_rank  # noqa: F401 (re-exported)
+from tessera.operators.ordered import distributed_rank
 from tessera.operators.stats import exact_quantiles
 from tessera.session import ensure_checkpoint_dir
 
@@ -51,7 +51,7 @@ def stratified_split(df: DataFrame, label: str, id_col: str, test: float = 0.2,
     n = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     n = n.withColumn("_nt", F.round(F.col("_n") * test).cast("bigint"))
     n = n.withColumn("_nv", F.round((F.col("_n") - F.col("_nt")) * valid).cast("bigint"))
-    j = ranked.join(F.broadcast(n), label)  # one row per class
+    j = ranked.join(n, label)
     s = (F.when(F.col("_rank") <= F.col("_nt"), "test")
          .when(F.col("_rank") <= F.col("_nt") + F.col("_nv"), "valid").otherwise("train"))
     return j.withColumn(out, s).drop("_u", "_rank", "_n", "_nt", "_nv")
@@ -128,39 +128,15 @@ def top_k_per_key(df: DataFrame, key: str, by: str, k: int, tie: str) -> DataFra
     return df.withColumn("nbr_rank", F.row_number().over(w) - 1).filter(F.col("nbr_rank") < k)
 
 
-def knn_lsh(points: DataFrame, id_col: str, vec_col: str, k: int, bucket_length: float, threshold: float,
-            num_tables: int = 4, seed: int = 42) -> DataFrame:
-    """k-NN candidates from a Euclidean LSH similarity self-join (k nearest
-    per point among its candidates).  Points that found fewer than k
-    candidates get their neighbours from an exact search (``knn_exact``
-    with those points as queries), so every point has k neighbours; the
-    others are approximate."""
-    p = points.select(F.col(id_col).cast("long").alias("id"), array_to_vector(vec_col).alias("features"))
-    lsh = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes", bucketLength=bucket_length,
-                                      numHashTables=num_tables, seed=seed).fit(p)
-    pairs = lsh.approxSimilarityJoin(p, p, threshold, distCol="dist").select(
-        F.col("datasetA.id").alias("id"), F.col("datasetB.id").alias("nbr_id"), "dist").filter(
-        F.col("id") != F.col("nbr_id"))
-    approx = top_k_per_key(pairs, "id", "dist", k, tie="nbr_id")
-    found = approx.groupBy("id").agg(F.count(F.lit(1)).alias("_kk")).filter(F.col("_kk") >= k).select("id")
-    pts = points.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec"))
-    short = pts.join(found, "id", "left_anti")
-    exact = knn_exact(pts, "id", "vec", k, queries=short)
-    return approx.join(found, "id", "left_semi").unionByName(exact)
-
-
 # L-2
 def smote(train: DataFrame, label: str, features: Sequence[str], id_col: str, ratio: float = 0.1, k: int = 5,
-          seed: int = 42, method: str = "exact", lsh_bucket: float | None = None,
-          lsh_threshold: float | None = None) -> DataFrame:
+          seed: int = 42) -> DataFrame:
     """Oversample the minority class (label 1) by interpolation to ``ratio`` × majority.
 
     Synthetic sample s: base = minority point #(hash(s) mod n_min), one of
     its k nearest minority neighbours chosen by hash, step u ∈ [0,1) by
-    hash: x = base + u·(neighbour − base).  Neighbours are exact
-    (``method="exact"``, block search, quadratic in the minority size) or
-    LSH candidates completed by exact search (``method="lsh"``).  Output =
-    train rows + synthetic rows (``synthetic`` = 1, ids negative).
+    hash: x = base + u·(neighbour − base).  Neighbours are exact, and sought
+    only for the base points that are drawn.  Output = train rows + synthetic rows (``synthetic`` = 1, ids negative).
     """
     features = list(features)
     counts = {r[0]: r[1] for r in train.groupBy(label).count().collect()}  # two classes
@@ -172,13 +148,6 @@ def smote(train: DataFrame, label: str, features: Sequence[str], id_col: str, ra
     mino = train.filter(F.col(label) == 1).select(
         F.col(id_col).cast("long").alias("id"), *features,
         F.array(*[F.col(c).cast("double") for c in features]).alias("vec"))
-    if method == "exact":
-        nn = knn_exact(mino, "id", "vec", k)
-    elif method == "lsh":
-        nn = knn_lsh(mino, "id", "vec", k, lsh_bucket or 1.0, lsh_threshold or 2.0, seed=seed)
-    else:
-        raise ValueError(method)
-    nn_count = nn.groupBy("id").agg(F.count(F.lit(1)).alias("_kk"))
     idx = distributed_rank(mino.select("id").withColumn("_u", hash_uniform("id", seed=seed)), [], ["_u", "id"],
                            out="_idx").select("id", (F.col("_idx") - 1).alias("_idx"))
     syn = train.sparkSession.range(n_new).select(
@@ -186,7 +155,9 @@ def smote(train: DataFrame, label: str, features: Sequence[str], id_col: str, ra
         (F.abs(F.xxhash64("id", F.lit(seed), F.lit(1))) % n_min).alias("_idx"),
         hash_uniform("id", seed=seed, salt=2).alias("_pick"),
         hash_uniform("id", seed=seed, salt=3).alias("_step"))
-    syn = syn.join(idx, "_idx").join(nn_count, "id")
+    syn = syn.join(idx, "_idx")
+    nn = knn_exact(mino, "id", "vec", k, queries=mino.join(syn.select("id").distinct(), "id", "left_semi"))
+    syn = syn.join(nn.groupBy("id").agg(F.count(F.lit(1)).alias("_kk")), "id")
     syn = syn.withColumn("nbr_rank", F.floor(F.col("_pick") * F.col("_kk")).cast("int"))
     syn = syn.join(nn.select("id", "nbr_id", "nbr_rank"), ["id", "nbr_rank"])
     b = mino.select("id", *[F.col(c).alias(f"_b_{c}") for c in features])
@@ -279,13 +250,20 @@ def _spark_value(param: str, v):
     return v
 
 
+def stratified_folds(df: DataFrame, label: str, id_col: str, folds: int, seed: int = 42, out: str = "_fold") -> DataFrame:
+    """Fold of every row: its rank within its class, in hash order of the id,
+    modulo ``folds``; so each class is spread evenly to within one row."""
+    ranked = distributed_rank(df.withColumn("_u", hash_uniform(id_col, seed=seed, salt=7)), [label], ["_u", id_col])
+    return ranked.withColumn(out, F.pmod(F.col("_rank") - 1, F.lit(folds)).cast("int")).drop("_u", "_rank")
+
+
 def random_search(train: DataFrame, features_col: str, label: str, n_iter: int = 20, folds: int = 3,
                   seed: int = 42, id_col: str | None = None, weight_col: str | None = None,
                   parallelism: int = 8, space: Mapping[str, Sequence] = PARAM_SPACE):
     """Random search over ``space`` with stratified k-fold CV and F1 of class 1.
 
-    Parameter maps are drawn on the driver (n_iter small dicts); folds are a
-    hashed fold column stratified by class; ``CrossValidator`` evaluates
+    Parameter maps are drawn on the driver (n_iter small dicts); folds are
+    ranks within each class (``stratified_folds``); ``CrossValidator`` evaluates
     the maps in parallel.
     """
     rng = random.Random(seed)
@@ -294,21 +272,21 @@ def random_search(train: DataFrame, features_col: str, label: str, n_iter: int =
         rf = rf.setWeightCol(weight_col)
     # distinct draws without replacement from the grid, like a randomized search
     grid_size = 1
-    for v in space.values():
-        grid_size *= len(set(v))
+    for k, v in space.items():
+        grid_size *= len({_spark_value(k, x) for x in v})
     maps, seen = [], set()
     while len(maps) < min(n_iter, grid_size):
-        draw = tuple((k, rng.choice(list(v))) for k, v in space.items())
+        # values that Spark cannot tell apart are one value, before draws are compared
+        draw = tuple((k, _spark_value(k, rng.choice(list(v)))) for k, v in space.items())
         if draw in seen:
             continue
         seen.add(draw)
-        maps.append({getattr(rf, k): _spark_value(k, v) for k, v in draw})
-    fold = F.floor(hash_uniform(id_col or features_col, seed=seed, salt=7) * folds).cast("int")
+        maps.append({getattr(rf, k): v for k, v in draw})
     # every (map, fold) fit reads the same training rows: cut the lineage once
     # (reliable checkpoint) instead of recomputing split and scaling per fit
     ensure_checkpoint_dir(train.sparkSession)
     cols = [features_col, label] + ([weight_col] if weight_col else [])
-    data = train.withColumn("_fold", fold).select(*cols, "_fold").checkpoint(eager=True)
+    data = stratified_folds(train, label, id_col or features_col, folds, seed).select(*cols, "_fold").checkpoint(eager=True)
     ev = MulticlassClassificationEvaluator(labelCol=label, metricName="fMeasureByLabel", metricLabel=1.0)
     cv = CrossValidator(estimator=rf, estimatorParamMaps=maps, evaluator=ev, foldCol="_fold",
                         parallelism=parallelism, seed=seed)
@@ -417,29 +395,20 @@ def isolation_forest(train: DataFrame, features: Sequence[str], id_col: str, n_t
                      sample: int = 256, contamination: float = 0.1, seed: int = 42) -> IsolationForestModel:
     """Fit isolation trees on seeded ~min(``sample``, n)-row subsamples, grouped by tree id.
 
-    Large input: each row is kept with probability n_trees·sample/n and
-    given to one tree by hash.  Small input (n ≤ n_trees·sample): each
-    (row, tree) pair is kept with probability sample/n.  Either way a
-    tree's group holds about min(sample, n) rows (one ``applyInPandas``
-    task per tree).  The tree table is small and is
+    One rule at every size: a row is drawn by each tree with probability
+    min(1, sample/n), independently by hash; the trees that draw it are
+    filtered out of the tree numbers inside the row, and only these are
+    exploded, so about n_trees·sample rows are shuffled.  A tree's group
+    holds about min(sample, n) rows (one ``applyInPandas`` task per tree).  The tree table is small and is
     shipped inside the scoring UDF.  Threshold = (1 − contamination)
     quantile of the training scores (exact, distributed).
     """
     features = list(features)
     n = train.count()
     vec = F.array(*[F.col(c).cast("double") for c in features])
-    if n <= n_trees * sample:
-        # small input: every tree draws each row with probability min(1, sample/n)
-        # (pairs row × tree ≤ n_trees·sample, bounded), so a tree sees min(sample, n) rows
-        q = min(1.0, sample / max(n, 1))
-        pairs = train.select(F.col(id_col).alias("_id"), vec.alias("vec"),
-                             F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree"))
-        picked = pairs.filter(hash_uniform("_id", "tree", seed=seed, salt=11) < F.lit(q)).select("tree", "vec")
-    else:
-        # large input: keep ~n_trees·sample rows and give each to one tree
-        p = n_trees * sample / n
-        picked = train.filter(hash_uniform(id_col, seed=seed, salt=11) < F.lit(p)).select(
-            (F.abs(F.xxhash64(id_col, F.lit(seed), F.lit(12))) % n_trees).cast("int").alias("tree"), vec.alias("vec"))
+    share = F.lit(min(1.0, sample / max(n, 1)))
+    drawn = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: hash_uniform(F.col("_id"), t, seed=seed, salt=11) < share)
+    picked = train.select(F.col(id_col).alias("_id"), vec.alias("vec")).select("vec", F.explode(drawn).alias("tree"))
     sample = min(sample, n)
     depth = int(math.ceil(math.log2(max(sample, 2))))
     trees = picked.groupBy("tree").applyInPandas(_grow(seed, depth), TREE_SCHEMA).toPandas()  # bounded table

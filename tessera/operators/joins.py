@@ -1,11 +1,9 @@
 """Join operators.
 
-Broadcast is only used behind an explicit size check: ``lookup_join``
-counts at most ``max_rows + 1`` rows of the lookup side (a ``limit``
-job that stops early) and hints a broadcast only when the side fits.
-Otherwise the plain join is left to the planner, where AQE can still
-switch to a broadcast at runtime from measured shuffle sizes or split a
-skewed key.
+Joins carry no broadcast hint unless a side is bounded by a constant (one
+row per weekday, k rows of a top-k): the planner and AQE choose from the
+sizes that they measure, in bytes, for the data at hand, and split skewed
+keys.
 """
 
 from __future__ import annotations
@@ -15,34 +13,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows a lookup table may have to be broadcast (≈ tens of MB at most for
-# the narrow dimension rows used here).
-BROADCAST_MAX_ROWS = 2_000_000
 
-_size_cache: dict[tuple[int, int], bool] = {}
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (bounded check).
-
-    The answer is remembered per logical plan (``semanticHash``), so the
-    same dimension is counted once per session.
-    """
-    key = (df.semanticHash(), max_rows)
-    if key not in _size_cache:
-        _size_cache[key] = df.limit(max_rows + 1).count() <= max_rows
-    return _size_cache[key]
-
-
-def small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast-hinted ``df`` if its size check passes, else ``df`` unchanged."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
-
-
-def lookup_join(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-                max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """J-2/J-5/J-12: fact ⟕ dimension, broadcasting the dimension when it is small."""
-    return fact.join(small(dim, max_rows), on, how)
+def lookup_join(fact: DataFrame, dim: DataFrame, on, how: str = "left") -> DataFrame:
+    """J-2/J-5/J-12: fact ⟕ dimension; the planner picks the strategy from sizes it has measured."""
+    return fact.join(dim, on, how)
 
 
 def join_on(left: DataFrame, right: DataFrame, keys: Mapping[str, str], how: str = "left") -> DataFrame:
@@ -93,7 +67,7 @@ def holiday_window(days: DataFrame, holidays: DataFrame, day_col: str = "ds",
         "holiday", F.col("ds").alias("_hds"),
         F.explode(F.sequence(F.lit(lower), F.lit(upper))).alias("offset"))
     offs = offs.select("holiday", "offset", F.date_add(F.col("_hds"), F.col("offset")).alias("_day"))
-    return days.join(small(offs), F.to_date(days[day_col]) == offs["_day"], "inner").drop("_day")
+    return days.join(offs, F.to_date(days[day_col]) == offs["_day"], "inner").drop("_day")
 
 
 def lookup_last_year(df: DataFrame, lookup: DataFrame, date_col: str, value_col: str,

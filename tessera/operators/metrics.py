@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.scalars import round_nudged
@@ -28,7 +28,7 @@ def _curve(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> Dat
         n = rc.agg(F.sum("neg")).scalar()
         return rc.withColumns({"P": p, "N": n})
     totals = rc.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return rc.join(F.broadcast(totals), by)  # one row per group
+    return rc.join(totals, by)
 
 
 # L-10
@@ -78,7 +78,7 @@ def best_threshold(df: DataFrame, score: str = "score", label: str = "label") ->
 
 
 # L-9
-def binary_metrics(df: DataFrame, threshold: float, score: str = "score", label: str = "label",
+def binary_metrics(df: DataFrame, threshold: float | Column, score: str = "score", label: str = "label",
                    by: Sequence[str] = (), digits: int | None = 6) -> DataFrame:
     """Accuracy, precision, recall and F1 at ``score >= threshold`` (one aggregation)."""
     pred = F.col(score) >= F.lit(threshold)
@@ -119,19 +119,35 @@ def balanced_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def with_balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """Attach the class weight to every row (class table has k rows → broadcast)."""
+    """Attach the class weight to every row (one row per class)."""
     w = balanced_weights(df, label).select(label, F.col("weight").alias(out))
-    return df.join(F.broadcast(w), label, "left")
+    return df.join(w, label, "left")
 
 
 # L-15
 def evaluate(df: DataFrame, split: str, threshold: float = 0.5, score: str = "score", label: str = "label",
-             digits: int = 6) -> DataFrame:
-    """Metric report (split, metric, value) for every split, plus the AUC gap valid − test."""
+             digits: int = 6, gap: tuple[str, str] | None = ("valid", "test")) -> DataFrame:
+    """Metric report (split, metric, value) for every split, plus a row
+    (``valid-test``, auc_gap) with the AUC of the first split of ``gap`` less
+    that of the second (NULL where one is missing)."""
     bm = binary_metrics(df, threshold, score, label, by=[split], digits=None)
     long = bm.select(split, F.explode(F.array(*[
         F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"))
         for m in ["accuracy", "precision", "recall", "f1"]])).alias("r")).select(split, "r.metric", "r.value")
     a = auc(df, score, label, by=[split]).select(split, F.lit("auc").alias("metric"), F.col("auc").alias("value"))
     out = long.unionByName(a)
+    if gap:
+        of = lambda s: F.max(F.when(F.col(split) == s, F.col("value")))
+        out = out.unionByName(a.agg((of(gap[0]) - of(gap[1])).alias("value")).select(F.lit("-".join(gap)).alias(split), F.lit("auc_gap").alias("metric"), "value"))
     return out.withColumn("value", round_nudged("value", digits))
+
+
+def evaluate_at_best(df: DataFrame, split: str, chosen_on: str = "valid", judged_on: str = "test", score: str = "score",
+                     label: str = "label", digits: int = 6) -> DataFrame:
+    """L-13: the threshold with the best F1 on ``chosen_on``, applied to that
+    split and to ``judged_on``: their metric report, and the threshold itself
+    as a row.  The threshold is a scalar subquery, not a driver round trip."""
+    best = best_threshold(df.filter(F.col(split) == chosen_on), score, label)
+    both = df.filter(F.col(split).isin(chosen_on, judged_on))
+    report = evaluate(both, split, best.select("threshold").scalar(), score, label, digits, (chosen_on, judged_on))
+    return report.unionByName(best.select(F.lit(chosen_on).alias(split), F.lit("threshold").alias("metric"), F.col("threshold").cast("double").alias("value")))

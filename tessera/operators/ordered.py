@@ -14,7 +14,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.joins import small
 from tessera.session import ensure_checkpoint_dir
 
 
@@ -144,8 +143,7 @@ def running_counts(df: DataFrame, score: str, label: str, by: Sequence[str] = ()
                          F.coalesce(F.sum("_tn").over(before), F.lit(0)).alias("_on"))
     within = Window.partitionBy("_pid", *by).orderBy(F.col("score").desc()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    # offsets: one row per (group, partition) → broadcast
-    return r.join(F.broadcast(offs), by + ["_pid"]).select(
+    return r.join(offs, by + ["_pid"]).select(
         *by, "score", "pos", "neg",
         (F.col("_op") + F.sum("pos").over(within)).cast("bigint").alias("tp"),
         (F.col("_on") + F.sum("neg").over(within)).cast("bigint").alias("fp"))
@@ -170,7 +168,7 @@ def distributed_rank(df: DataFrame, by: Sequence[str], order: Sequence[str], out
     before = (Window.partitionBy(*by) if by else Window).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = cnt.select(*by, "_pid", F.coalesce(F.sum("_pc").over(before), F.lit(0)).alias("_off"))
     w = Window.partitionBy("_pid", *by).orderBy(*order)
-    return r.join(small(offs), by + ["_pid"]).withColumn(out, F.col("_off") + F.row_number().over(w)) \
+    return r.join(offs, by + ["_pid"]).withColumn(out, F.col("_off") + F.row_number().over(w)) \
         .drop("_pid", "_off")
 
 

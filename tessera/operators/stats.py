@@ -18,7 +18,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.scalars import round_nudged
-from tessera.operators.joins import small
 from tessera.session import ensure_checkpoint_dir
 
 _G = "_g"
@@ -37,11 +36,11 @@ def _attach(df: DataFrame, side: DataFrame, keys: list[str]) -> DataFrame:
     """Attach per-group side values (one row per group) to every row.
 
     Without grouping the side has one row: its columns become scalar
-    subqueries.  With grouping it is a (size-checked) broadcast join.
+    subqueries.  With grouping it is a plain join.
     """
     if keys == [_G]:
         return df.withColumns({c: side.select(c).scalar() for c in side.columns if c != _G})
-    return df.join(small(side), keys)
+    return df.join(side, keys)
 
 
 def _cols(df: DataFrame, cols: Sequence[str] | None) -> list[str]:
@@ -87,24 +86,23 @@ def mode_min(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
 
 
 def modes(df: DataFrame, cols: Sequence[str]) -> dict:
-    """Modes of several columns from one job: the columns are unpivoted to
-    (column, value as text), counted per (column, value), and reduced per
-    column with the bounded ``min(struct(-count, value))``.  Returns
-    {column: value} with each value converted back to its column's type;
+    """Modes of several columns from one job, ties to the smallest value.
+
+    Every row becomes one struct per column, in which only that column's
+    field is set, so values are counted and compared in their own type
+    (numbers as numbers, dates as dates); per column the bounded
+    ``min(struct(-count, value))`` is kept.  Returns {column: value};
     NULL-only columns are left out.
     """
     cols = list(cols)
-    long = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot([], cols, "_col", "_val")
-    best = (long.filter(F.col("_val").isNotNull()).groupBy("_col", "_val").agg(F.count(F.lit(1)).alias("_c"))
-            .groupBy("_col").agg(F.min(F.struct((-F.col("_c")).alias("_k"), F.col("_val").alias("_v")))["_v"]
-                                 .alias("_v")))
-    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    out = {}
-    for r in best.collect():  # one row per column
-        t, v = types[r["_col"]], r["_v"]
-        out[r["_col"]] = int(v) if t in ("int", "bigint", "smallint", "tinyint") else (
-            float(v) if t in ("double", "float") else v)
-    return out
+    types = {f.name: f.dataType for f in df.schema.fields}
+    fields = [f"_v{i}" for i in range(len(cols))]
+    one = [F.struct(F.lit(i).alias("_col"), *[(F.col(c) if j == i else F.lit(None).cast(types[c])).alias(fields[j]) for j, c in enumerate(cols)])
+           for i in range(len(cols))]
+    long = df.select(F.explode(F.array(*one)).alias("r")).select("r.*").filter(F.coalesce(*[F.col(f).cast("string") for f in fields]).isNotNull())
+    best = (long.groupBy("_col", *fields).agg(F.count(F.lit(1)).alias("_c"))
+            .groupBy("_col").agg(F.min(F.struct((-F.col("_c")).alias("_k"), *fields)).alias("_b")))
+    return {cols[r["_col"]]: r["_b"][fields[r["_col"]]] for r in best.collect()}  # one row per column
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
@@ -133,7 +131,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     offs = tot.select(*keys, "_pid", F.coalesce(F.sum("_pt").over(before), F.lit(0)).alias("_off"))
     within = Window.partitionBy("_pid", *keys).orderBy("value").rowsBetween(Window.unboundedPreceding,
                                                                                Window.currentRow)
-    cum = r.join(small(offs), keys + ["_pid"]).select(
+    cum = r.join(offs, keys + ["_pid"]).select(
         *keys, "value", (F.col("_off") + F.sum("_c").over(within)).alias("_cum"), "_c")
     n = r.groupBy(*keys).agg(F.sum("_c").alias("_n"))
     pr = F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob")
@@ -143,7 +141,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         F.struct(F.lit("hi").alias("side"), F.ceil("_h").cast("bigint").alias("rank")))).alias("t")
     ).select(*keys, "prob", "_h", "t.side", "t.rank")
     # a distinct value covers ranks [_cum - _c, _cum - 1]
-    hit = cum.join(small(targets), keys).filter((F.col("rank") >= F.col("_cum") - F.col("_c")) & (F.col("rank") < F.col("_cum")))
+    hit = cum.join(targets, keys).filter((F.col("rank") >= F.col("_cum") - F.col("_c")) & (F.col("rank") < F.col("_cum")))
     pivoted = hit.groupBy(*keys, "prob", "_h").agg(
         F.max(F.when(F.col("side") == "lo", F.col("value"))).alias("_lo"),
         F.max(F.when(F.col("side") == "hi", F.col("value"))).alias("_hi"))
@@ -244,20 +242,8 @@ def _pair_corr() -> Column:
     return F.try_divide(F.covar_pop(xm, ym), F.stddev_pop(xm) * F.stddev_pop(ym))
 
 
-# Up to this many (x, y) pairs one wide aggregation (three aggregates per
-# pair) is cheapest; beyond it the generated code grows too large and the
-# long form (rows exploded to one row per pair) is used.
-WIDE_PAIRS_MAX = 20
-
-
 def _corr_pairs(df: DataFrame, pairs_list: Sequence[tuple[str, str]], digits: int) -> DataFrame:
     """(col_a, col_b, corr) for the given column pairs, guarded."""
-    if len(pairs_list) <= WIDE_PAIRS_MAX:
-        one = df.agg(*[corr_guarded(a, b).alias(f"_{k}") for k, (a, b) in enumerate(pairs_list)])
-        return one.select(F.explode(F.array(*[
-            F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                     round_nudged(F.col(f"_{k}"), digits).alias("corr"))
-            for k, (a, b) in enumerate(pairs_list)])).alias("r")).select("r.*")
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(a).cast("double").alias("x"),
                  F.col(b).cast("double").alias("y")) for a, b in pairs_list])).alias("p")) \
@@ -269,10 +255,10 @@ def corr_with(df: DataFrame, target: str, cols: Sequence[str] | None = None, inc
               digits: int = 6) -> DataFrame:
     """Correlation of every numeric column with ``target``, sorted desc.
 
-    Few columns: one wide aggregation.  Many columns: long form — each row
-    exploded into one (column, x, y) row per column and grouped by column
-    with three aggregates, so the generated code stays small; the stage
-    ends in a partial aggregation over one group per column.
+    Long form: each row is exploded into one (column, x, y) row per column
+    and grouped by column with three aggregates, so the generated code stays
+    small at any number of columns; the stage ends in a partial aggregation
+    with one group per column.
     """
     cols = [c for c in _cols(df, cols) if include_target or c != target]
     out = _corr_pairs(df, [(c, target) for c in cols], digits).select(F.col("col_a").alias("column"), "corr")
@@ -281,7 +267,7 @@ def corr_with(df: DataFrame, target: str, cols: Sequence[str] | None = None, inc
 
 def corr_matrix(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
     """Full matrix in long form (col_a, col_b, corr); the upper triangle is
-    computed once (wide or long form as in ``corr_with``) and mirrored."""
+    computed once and mirrored."""
     cols = list(cols)
     upper = _corr_pairs(df, [(a, b) for i, a in enumerate(cols) for b in cols[i:]], digits)
     lower = upper.filter(F.col("col_a") != F.col("col_b")).select(
@@ -372,7 +358,7 @@ def kde_grid(df: DataFrame, col: str, by: Sequence[str] = (), grid: int = 100, d
                     "_mn", "_mx").withColumn(
         "x", F.col("_mn") + (F.col("_mx") - F.col("_mn")) * F.col("point") / F.lit(grid - 1))
     vals = base.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    j = vals.join(small(pts.drop("_mn", "_mx")), keys)
+    j = vals.join(pts.drop("_mn", "_mx"), keys)
     z = (F.col("x") - F.col("_v")) / F.col("_bw")
     k = F.col("_c") * F.exp(-0.5 * z * z)
     dens = j.groupBy(*keys, "point", "x", "_n", "_bw").agg(F.sum(k).alias("_s"))

@@ -111,22 +111,44 @@ SELECT l_discount AS score, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS la
   CASE WHEN l_orderkey % 5 = 0 THEN 'test' WHEN l_orderkey % 5 = 1 THEN 'valid' ELSE 'train' END AS split FROM lineitem"""
 
 
-@query("evaluate", f"""
-WITH s AS ({SPLIT_SQL}),
-bm AS ({_bm_sql('s', 'split')}),
-g AS (SELECT split, score, SUM(label) AS pos, SUM(1 - label) AS neg FROM s GROUP BY split, score),
+def _report_sql(src: str, bm: str) -> str:
+    """The metric rows of every split of ``src``, and the AUC gap valid − test."""
+    return f"""
+g AS (SELECT split, score, SUM(label) AS pos, SUM(1 - label) AS neg FROM {src} GROUP BY split, score),
 c AS (SELECT split, pos, neg, SUM(pos) OVER (PARTITION BY split ORDER BY score DESC) AS tp,
         SUM(pos) OVER (PARTITION BY split) AS P, SUM(neg) OVER (PARTITION BY split) AS N FROM g),
-a AS (SELECT split, SUM((CAST(neg AS DOUBLE) / N) * (2 * tp - pos) / (2 * P)) AS auc FROM c GROUP BY split)
-SELECT split, 'accuracy' AS metric, ROUND(CAST(tp + tn AS DOUBLE) / (tp + fp + fn + tn) + 1e-9, 6) AS value FROM bm
-UNION ALL SELECT split, 'precision', ROUND(CAST(tp AS DOUBLE) / (tp + fp) + 1e-9, 6) FROM bm
-UNION ALL SELECT split, 'recall', ROUND(CAST(tp AS DOUBLE) / (tp + fn) + 1e-9, 6) FROM bm
-UNION ALL SELECT split, 'f1', ROUND(CAST(2 * tp AS DOUBLE) / (2 * tp + fp + fn) + 1e-9, 6) FROM bm
-UNION ALL SELECT split, 'auc', ROUND(auc + 1e-9, 6) FROM a""")
+a AS (SELECT split, SUM((CAST(neg AS DOUBLE) / N) * (2 * tp - pos) / (2 * P)) AS auc FROM c GROUP BY split),
+report AS (
+SELECT split, 'accuracy' AS metric, ROUND(CAST(tp + tn AS DOUBLE) / (tp + fp + fn + tn) + 1e-9, 6) AS value FROM {bm}
+UNION ALL SELECT split, 'precision', ROUND(CAST(tp AS DOUBLE) / (tp + fp) + 1e-9, 6) FROM {bm}
+UNION ALL SELECT split, 'recall', ROUND(CAST(tp AS DOUBLE) / (tp + fn) + 1e-9, 6) FROM {bm}
+UNION ALL SELECT split, 'f1', ROUND(CAST(2 * tp AS DOUBLE) / (2 * tp + fp + fn) + 1e-9, 6) FROM {bm}
+UNION ALL SELECT split, 'auc', ROUND(auc + 1e-9, 6) FROM a
+UNION ALL SELECT 'valid-test', 'auc_gap', ROUND(MAX(auc) FILTER (split = 'valid') - MAX(auc) FILTER (split = 'test') + 1e-9, 6) FROM a)"""
+
+
+@query("evaluate", f"""
+WITH s AS ({SPLIT_SQL}),
+bm AS ({_bm_sql('s', 'split')}),{_report_sql('s', 'bm')}
+SELECT * FROM report""")
 def q_evaluate(spark, sf_dir):
     return M.evaluate(_scores_split(spark, sf_dir), "split", THRESHOLD)
 
 
+@query("evaluate_at_best", f"""
+WITH s AS (SELECT * FROM ({SPLIT_SQL}) z WHERE split IN ('valid', 'test')),
+v AS (SELECT score, SUM(label) AS pos, COUNT(*) AS n FROM s WHERE split = 'valid' GROUP BY score),
+cum AS (SELECT score, SUM(pos) OVER w AS tp, SUM(n) OVER w AS taken, SUM(pos) OVER () AS P FROM v WINDOW w AS (ORDER BY score DESC)),
+pr AS (SELECT score, CAST(tp AS DOUBLE) / taken AS p, CAST(tp AS DOUBLE) / P AS r FROM cum),
+best AS (SELECT score AS threshold FROM pr ORDER BY 2 * p * r / (p + r + 1e-8) DESC, score LIMIT 1),
+hit AS (SELECT split, label, score >= threshold AS pred FROM s, best),
+bm AS (SELECT split, COUNT(*) FILTER (pred AND label = 1) AS tp, COUNT(*) FILTER (pred AND label = 0) AS fp,
+         COUNT(*) FILTER (NOT pred AND label = 1) AS fn, COUNT(*) FILTER (NOT pred AND label = 0) AS tn FROM hit GROUP BY split),{_report_sql('s', 'bm')}
+SELECT * FROM report UNION ALL SELECT 'valid', 'threshold', CAST(threshold AS DOUBLE) FROM best""")
+def q_evaluate_at_best(spark, sf_dir):
+    return M.evaluate_at_best(_scores_split(spark, sf_dir), "split")
+
+
 def _fraud(spark, sf_dir):
     return X.x_fraud(Sources.parquet_dir(spark, sf_dir))
 

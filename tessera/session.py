@@ -47,8 +47,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is a shared folder set by the cluster owner and is
-    used as is.  Only when it is unset (local tests) a fresh scratch folder
-    is created and registered.
+    used as is.  Only a local master gets a fresh scratch folder when it is
+    unset; anywhere else that is an error, as executors don't share the
+    driver's folders.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -61,6 +62,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
+    if not sc.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="tessera-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     try:

@@ -1,4 +1,5 @@
 """Sources/sinks and join helpers on small frames and the supplied tables."""
+import pytest
 import os
 import tempfile
 
@@ -67,12 +68,11 @@ def test_holiday_window_offsets(spark):
     assert str(w[0]["ds"]) == "2020-01-04"
 
 
-def test_lookup_join_respects_size_check(spark):
+def test_lookup_join_keeps_every_fact_row(spark):
     fact = spark.range(100).withColumn("k", F.col("id") % 3)
     dim = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "k long, v string")
-    assert J.fits_broadcast(dim, 3) and not J.fits_broadcast(dim, 2)
-    out = J.lookup_join(fact, dim, "k", max_rows=2)  # too big for the check → plain join
-    assert out.count() == 100
+    out = J.lookup_join(fact, dim.filter("k < 2"), "k")
+    assert out.count() == 100 and out.filter("v is null").count() == 33
 
 
 def test_one_to_one_flags_any_value_column(spark):
@@ -109,3 +109,22 @@ def test_union_events_drops_empty(spark):
     h = union_events(cal, "date", ["e1", "e2"]).collect()
     assert sorted(r["holiday"] for r in h) == ["A", "B", "C"]
     assert all(r["lower_window"] == -3 and r["upper_window"] == 3 for r in h)
+
+
+def test_checkpoint_folder_is_demanded_on_a_cluster():
+    from tessera.session import ensure_checkpoint_dir
+
+    class Context:
+        master = "spark://cluster:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())

@@ -69,7 +69,7 @@ def test_daily_pipeline_end_to_end(spark):
     assert [s for s, _ in report] == ["ingest", "models", "tests", "features", "validation"]
     assert all(status == "ok" for _, status in report)
     tests = spark.read.parquet(os.path.join(target, "tests"))
-    assert tests.count() == 14 and tests.filter(~F.col("success")).count() == 0
+    assert tests.count() == 24 and tests.filter(~F.col("success")).count() == 0
     geo = spark.read.json(os.path.join(target, "validation", "land_geolocation"))
     assert geo.count() == 2
 
@@ -173,30 +173,30 @@ def test_pacf_matches_yule_walker(spark):
 
 def test_streaming_daily_sales_matches_batch(spark):
     from tessera.streaming.incremental import daily_sales_frame, run_daily_sales_stream
-    src = tempfile.mkdtemp(prefix="tessera-src-")
+    src, store, sink, ck = (tempfile.mkdtemp(prefix=f"tessera-{n}-") for n in ("src", "store", "sink", "ck"))
     orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
-    orders.write.mode("overwrite").parquet(os.path.join(src, "batch1"))
-    sink = tempfile.mkdtemp(prefix="tessera-sink-")
-    ck = tempfile.mkdtemp(prefix="tessera-ck-")
-    run_daily_sales_stream(spark, os.path.join(src, "batch1"), sink, ck)
-    streamed = spark.read.parquet(sink)
+    late = F.pmod(F.xxhash64("o_orderkey"), F.lit(5)) == 0
+    for part in (orders.filter(~late), orders.filter(late)):  # the second run brings late orders of old days
+        part.write.mode("append").parquet(src)
+        run_daily_sales_stream(spark, src, store, sink, ck)
+    streamed = spark.read.parquet(sink).select("day", "n_orders", "total")
     batch = daily_sales_frame(orders)
-    # append mode emits the windows closed by the watermark (max time − 1 day):
-    # every day except the last two, with the batch values
-    last = batch.agg(F.max("day")).first()[0]
-    closed = batch.filter(F.col("day") < F.date_sub(F.lit(last), 1))
-    assert streamed.count() == closed.count()
-    assert streamed.exceptAll(closed).count() == 0
-
-
-def test_knn_lsh_gives_k_neighbours_to_every_point(spark):
-    rng = np.random.default_rng(9)
-    x = rng.normal(size=(150, 4))
-    rows = [(i, [float(v) for v in x[i]]) for i in range(150)]
-    pts = spark.createDataFrame(rows, "id bigint, vec array<double>")
-    nn = C.knn_lsh(pts, "id", "vec", 3, bucket_length=0.5, threshold=0.8).toPandas()
-    counts = nn.groupby("id").size()
-    assert len(counts) == 150 and (counts == 3).all()
+    assert streamed.count() == batch.count() and streamed.exceptAll(batch).count() == 0
+
+
+def test_search_draws_differ_for_spark_and_folds_are_stratified(spark):
+    rows = [(i, 1 if i % 60 == 0 else 0) for i in range(600)]
+    df = spark.createDataFrame(rows, "id bigint, label int")
+    sizes = {(r["label"], r["_fold"]): r["count"] for r in C.stratified_folds(df, "label", "id", 3).groupBy("label", "_fold").count().collect()}
+    assert sorted(v for (y, _), v in sizes.items() if y) == [3, 3, 4] and sorted(v for (y, _), v in sizes.items() if not y) == [196, 197, 197]
+
+
+def test_modes_compare_values_in_their_own_type(spark):
+    import datetime as dt
+    from tessera.operators.stats import modes
+    df = spark.createDataFrame([(9, dt.date(2020, 10, 1), True), (9, dt.date(2020, 9, 1), None), (10, dt.date(2020, 10, 1), False), (10, dt.date(2020, 9, 1), True)],
+                               "n int, d date, b boolean")
+    assert modes(df, ["n", "d", "b"]) == {"n": 9, "d": dt.date(2020, 9, 1), "b": True}
 
 
 def test_order_models_do_not_depend_on_session_time_zone(spark):
