@@ -119,21 +119,22 @@ def mean_daily_sales(dim_orders: DataFrame, start: str, end: str, status: str =
 
 
 # T-14
-def zip_centroids(land: DataFrame, digits: int = 6) -> DataFrame:
+def zip_centroids(land: DataFrame) -> DataFrame:
     return land.groupBy("geolocation_zip_code_prefix").agg(
-        S.round_nudged(F.avg("geolocation_lat"), digits).alias("geolocation_lat"),
-        S.round_nudged(F.avg("geolocation_lng"), digits).alias("geolocation_lng"))
+        F.avg("geolocation_lat").alias("geolocation_lat"), F.avg("geolocation_lng").alias("geolocation_lng"))
 
 
-def geo_sales(dim_orders: DataFrame, dim_customers: DataFrame, land: DataFrame) -> DataFrame:
-    """Delivered sales summed by zip centroid, with log1p for a heat map."""
+def geo_sales(dim_orders: DataFrame, dim_customers: DataFrame, land: DataFrame, digits: int = 6) -> DataFrame:
+    """Delivered sales summed by zip code at its centroid, with log1p for a heat
+    map.  Places are told apart by zip code; only the output is rounded."""
     delivered = dim_orders.filter(F.col("order_status") == "delivered").select("fk_customer_sid", "total_payment")
     with_zip = join_on(delivered, dim_customers.select("pk_customer_sid", "customer_zip_code_prefix"),
                        {"fk_customer_sid": "pk_customer_sid"}, "left")
-    cent = zip_centroids(land)
-    geo = join_on(with_zip, cent, {"customer_zip_code_prefix": "geolocation_zip_code_prefix"}, "inner")
-    return (geo.groupBy("geolocation_lat", "geolocation_lng")
-            .agg(F.coalesce(F.sum(S.money("total_payment")), F.lit(0)).cast("double").alias("total_payment"))
+    per_zip = with_zip.groupBy("customer_zip_code_prefix").agg(
+        F.coalesce(F.sum(S.money("total_payment")), F.lit(0)).cast("double").alias("total_payment"))
+    geo = join_on(per_zip, zip_centroids(land), {"customer_zip_code_prefix": "geolocation_zip_code_prefix"}, "inner")
+    return (geo.select("geolocation_zip_code_prefix", S.round_nudged("geolocation_lat", digits).alias("geolocation_lat"),
+                       S.round_nudged("geolocation_lng", digits).alias("geolocation_lng"), "total_payment")
             .withColumn("log_total_payment", S.round_nudged(F.log1p("total_payment"), 9)))
 
 

@@ -105,11 +105,11 @@ wz AS (
   SELECT o.total_payment, c.customer_zip_code_prefix
   FROM (SELECT fk_customer_sid, total_payment FROM s_dim_orders WHERE order_status = 'delivered') o
   LEFT JOIN s_dim_customers c ON o.fk_customer_sid = c.pk_customer_sid)
-SELECT geolocation_lat, geolocation_lng, total_payment, ROUND(ln(1 + total_payment) + 1e-9, 9) AS log_total_payment
-FROM (SELECT cent.geolocation_lat, cent.geolocation_lng,
+SELECT geolocation_zip_code_prefix, geolocation_lat, geolocation_lng, total_payment, ROUND(ln(1 + total_payment) + 1e-9, 9) AS log_total_payment
+FROM (SELECT cent.geolocation_zip_code_prefix, ANY_VALUE(cent.geolocation_lat) AS geolocation_lat, ANY_VALUE(cent.geolocation_lng) AS geolocation_lng,
         CAST(COALESCE(SUM(CAST(wz.total_payment AS DECIMAL(18,2))), 0) AS DOUBLE) AS total_payment
       FROM wz JOIN cent ON wz.customer_zip_code_prefix = cent.geolocation_zip_code_prefix
-      GROUP BY cent.geolocation_lat, cent.geolocation_lng) g""", extra=STAR_SQL)
+      GROUP BY cent.geolocation_zip_code_prefix) g""", extra=STAR_SQL)
 def q_geo_sales(spark, sf_dir):
     s = star(spark, sf_dir)
     return FE.geo_sales(s["dim_orders"], s["dim_customers"], FE.ds_land_geolocation(s["dim_geolocation"]))

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.plans.pipeline import data_tests
+from tessera.plans.pipeline import REFERENCES, data_tests
 from tessera.plans.q_quality import fused_sql, rel_sql, unique_sql
-from tessera.plans.q_star import STAR_SQL, raw, star
+from tessera.plans.q_star import DIM_DATE_SQL, STAR_SQL, raw, star
 from tessera.plans.registry import query
 from tessera.sources import io
 from tessera.sources.catalog import Sources
@@ -40,7 +40,11 @@ FCT_EXTRA = dict(STAR_SQL, s_fct_payments="""
 SELECT order_id AS fk_order_sid, order_id AS pk_order_id, payment_sequential AS pk_payment_sequential,
   payment_type, payment_installments, CAST(payment_value AS DOUBLE) AS payment_value FROM x_payments""",
                  s_fct_reviews="""
-SELECT order_id AS fk_order_sid, order_id AS pk_order_id, review_id AS pk_review_id FROM x_reviews""")
+SELECT order_id AS fk_order_sid, order_id AS pk_order_id, review_id AS pk_review_id,
+  strftime(review_creation_date, '%Y%m%d') AS fk_review_creation_date_sid FROM x_reviews""",
+                 s_dim_date=DIM_DATE_SQL)
+ORACLE_TABLES = {"dim_customers": "s_dim_customers", "dim_orders": "s_dim_orders", "dim_date": "s_dim_date",
+                 "fct_order_items": "s_fct_items", "fct_payments": "s_fct_payments", "fct_reviews": "s_fct_reviews"}
 
 
 @query("model_tests", "\nUNION ALL ".join([
@@ -54,7 +58,7 @@ SELECT order_id AS fk_order_sid, order_id AS pk_order_id, review_id AS pk_review
     unique_sql("s_fct_payments", "fct_payments", ["pk_order_id", "pk_payment_sequential"]),
     fused_sql("s_dim_orders", "dim_orders", [("not_null", "pk_order_sid")]),
     unique_sql("s_dim_orders", "dim_orders", ["pk_order_sid"]),
-    rel_sql("s_dim_orders", "dim_orders", "fk_customer_sid", "s_dim_customers", "pk_customer_sid"),
+    *[rel_sql(ORACLE_TABLES[t], t, c, ORACLE_TABLES[ref], ref_c) for t, c, ref, ref_c in REFERENCES],
 ]), extra=FCT_EXTRA)
 def q_model_tests(spark, sf_dir):
     return data_tests(star(spark, sf_dir))

@@ -91,10 +91,9 @@ def q_holidays(spark, sf_dir):
 
 @query("holiday_window", """
 SELECT s.series_id, s.ds, s.y, s.snap, h.holiday, CAST(datediff('day', h.ds, s.ds) AS INTEGER) AS "offset"
-FROM s_series s JOIN s_hol h ON s.ds BETWEEN h.ds - INTERVAL 3 DAY AND h.ds + INTERVAL 3 DAY
-WHERE s.series_id = 'TOTAL'""", extra=SERIES_SQL)
+FROM s_series s JOIN s_hol h ON s.ds BETWEEN h.ds - INTERVAL 3 DAY AND h.ds + INTERVAL 3 DAY""", extra=SERIES_SQL)
 def q_holiday_window(spark, sf_dir):
-    return J.holiday_window(total(series(spark, sf_dir)), SE.holidays(X.x_calendar(_t(spark, sf_dir))), "ds")
+    return J.holiday_window(series(spark, sf_dir), SE.holidays(X.x_calendar(_t(spark, sf_dir))), "ds")
 
 
 @query("future_frame", """
@@ -116,13 +115,13 @@ def q_history_plus_future(spark, sf_dir):
 
 @query("rolling_folds", f"""
 WITH n AS (SELECT series_id, ds, y, snap, row_number() OVER (PARTITION BY series_id ORDER BY ds) - 1 AS i,
-             COUNT(*) OVER (PARTITION BY series_id) AS n FROM s_series WHERE series_id = 'TOTAL'),
+             COUNT(*) OVER (PARTITION BY series_id) AS n FROM s_series),
 f AS (SELECT *, CAST(unnest(range(0, CAST(CASE WHEN n >= {TRAIN + TEST} THEN (n - {TRAIN + TEST}) // {STEP} + 1 ELSE 0 END AS BIGINT))) AS INTEGER) AS fold FROM n)
 SELECT series_id, ds, y, snap, CAST(i AS INTEGER) AS row_index, fold,
   CASE WHEN i < fold * {STEP} + {TRAIN} THEN 'train' ELSE 'test' END AS role
 FROM f WHERE i >= fold * {STEP} AND i < fold * {STEP} + {TRAIN + TEST}""", extra=SERIES_SQL)
 def q_rolling_folds(spark, sf_dir):
-    return O.rolling_folds(total(series(spark, sf_dir)), ["series_id"], "ds", TRAIN, TEST, STEP)
+    return O.rolling_folds(series(spark, sf_dir), ["series_id"], "ds", TRAIN, TEST, STEP)
 
 
 @query("temporal_split", """
@@ -239,35 +238,35 @@ def q_holiday_counts(spark, sf_dir):
 WITH e AS (SELECT holiday FROM ({ELIGIBLE_SQL}) c WHERE count >= 3)
 SELECT s.*, CASE WHEN c.snap_A = 1 AND (c.event_name_1 IN (SELECT holiday FROM e) OR c.event_name_2 IN (SELECT holiday FROM e))
   THEN 1 ELSE 0 END AS snap_holiday_interaction
-FROM s_series s LEFT JOIN x_calendar c ON c.date = s.ds WHERE s.series_id = 'TOTAL'""", extra=SERIES_SQL)
+FROM s_series s LEFT JOIN x_calendar c ON c.date = s.ds""", extra=SERIES_SQL)
 def q_interaction_flag(spark, sf_dir):
-    return SE.interaction_regressor(total(series(spark, sf_dir)), X.x_calendar(_t(spark, sf_dir)), "snap_A", 3)
+    return SE.interaction_regressor(series(spark, sf_dir), X.x_calendar(_t(spark, sf_dir)), "snap_A", 3)
 
 
 @query("regressor_last_year", """
 WITH fr AS (SELECT DISTINCT series_id, ds FROM (
-  SELECT series_id, ds FROM s_series WHERE series_id = 'TOTAL'
+  SELECT series_id, ds FROM s_series
   UNION ALL
   SELECT series_id, CAST(unnest(generate_series(mx + INTERVAL 1 DAY, mx + INTERVAL 30 DAY, INTERVAL 1 DAY)) AS DATE)
-  FROM (SELECT series_id, MAX(ds) AS mx FROM s_series WHERE series_id = 'TOTAL' GROUP BY series_id) m) u),
+  FROM (SELECT series_id, MAX(ds) AS mx FROM s_series GROUP BY series_id) m) u),
 sh AS (SELECT CAST(date + INTERVAL 1 YEAR AS DATE) AS k, arg_max(snap_A, date) AS snap FROM x_calendar GROUP BY 1),
 j AS (SELECT fr.series_id, fr.ds, sh.snap FROM fr LEFT JOIN sh ON fr.ds = sh.k)
 SELECT series_id, ds, COALESCE(last_value(snap IGNORE NULLS) OVER (PARTITION BY series_id ORDER BY ds
   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS snap FROM j""", extra=SERIES_SQL)
 def q_regressor_last_year(spark, sf_dir):
-    fr = RS.history_plus_future(total(series(spark, sf_dir)), "ds", 30, ["series_id"])
+    fr = RS.history_plus_future(series(spark, sf_dir), "ds", 30, ["series_id"])
     cal = X.x_calendar(_t(spark, sf_dir)).select(F.col("date").alias("ds"), F.col("snap_A").alias("snap"))
     return SE.future_regressor(fr, cal, "snap", "last_year", default=0)
 
 
 @query("regressor_weekday", """
 WITH fr AS (SELECT series_id, CAST(unnest(generate_series(mx + INTERVAL 1 DAY, mx + INTERVAL 30 DAY, INTERVAL 1 DAY)) AS DATE) AS ds
-  FROM (SELECT series_id, MAX(ds) AS mx FROM s_series WHERE series_id = 'TOTAL' GROUP BY series_id) m),
-lk AS (SELECT CAST(isodow(ds) - 1 AS INTEGER) AS dw, arg_max(snap, ds) AS snap FROM s_series WHERE series_id = 'TOTAL' GROUP BY 1)
+  FROM (SELECT series_id, MAX(ds) AS mx FROM s_series GROUP BY series_id) m),
+lk AS (SELECT CAST(isodow(ds) - 1 AS INTEGER) AS dw, arg_max(snap, ds) AS snap FROM s_series GROUP BY 1)
 SELECT fr.series_id, fr.ds, lk.snap FROM fr LEFT JOIN lk ON CAST(isodow(fr.ds) - 1 AS INTEGER) = lk.dw""",
        extra=SERIES_SQL)
 def q_regressor_weekday(spark, sf_dir):
-    s = total(series(spark, sf_dir))
+    s = series(spark, sf_dir)
     fr = RS.future_frame(s, "ds", 30, ["series_id"])
     return SE.future_regressor(fr, s.select("ds", "snap"), "snap", "weekday")
 
@@ -278,7 +277,8 @@ LEFT JOIN s_series a ON a.series_id = f.series_id AND a.ds = f.ds
 JOIN (SELECT series_id, MAX(ds) AS last FROM s_series GROUP BY series_id) l ON l.series_id = f.series_id
 WHERE f.ds >= l.last + INTERVAL 1 DAY - INTERVAL 365 DAY""", extra=SERIES_SQL)
 def q_forecast_frame(spark, sf_dir):
-    return SE.forecast_frame(forecast(spark, sf_dir), series(spark, sf_dir), 365)
+    s = series(spark, sf_dir)
+    return SE.forecast_frame(SE.seasonal_naive(s), s, 365)
 
 
 def _box_sql(src: str, by: str) -> str:
@@ -317,9 +317,10 @@ def q_holiday_names(spark, sf_dir):
 
 # ---- fitted forecaster: not SQL-expressible; row counts here, properties in tests
 
-def _fc_total(spark, sf_dir):
+def _fc_all(spark, sf_dir):
+    """The fitted forecast of every series; each is fitted in its own group."""
     from tessera.operators import forecast as FC
-    s = total(series(spark, sf_dir))
+    s = series(spark, sf_dir)
     cal = X.x_calendar(_t(spark, sf_dir))
     fut = SE.future_regressor(RS.future_frame(s, "ds", 30, ["series_id"]),
                               cal.select(F.col("date").alias("ds"), F.col("snap_A").alias("snap")), "snap",
@@ -330,19 +331,19 @@ def _fc_total(spark, sf_dir):
 
 @query("forecast")
 def q_forecast(spark, sf_dir):
-    return _fc_total(spark, sf_dir)
+    return _fc_all(spark, sf_dir)
 
 
 @query("components")
 def q_components(spark, sf_dir):
     from tessera.operators import forecast as FC
-    return FC.components(_fc_total(spark, sf_dir))
+    return FC.components(_fc_all(spark, sf_dir))
 
 
 @query("cross_validate")
 def q_cross_validate(spark, sf_dir):
     from tessera.operators import forecast as FC
-    s = total(series(spark, sf_dir)).withColumn("snap", F.col("snap").cast("double"))
+    s = series(spark, sf_dir).withColumn("snap", F.col("snap").cast("double"))
     cv = FC.cross_validate(s, TRAIN, TEST, STEP, SE.holidays(X.x_calendar(_t(spark, sf_dir))), ["snap"])
     return SE.forecast_metrics(cv.filter(F.col("role") == "test"), ["series_id", "fold"], digits=DIG)
 
@@ -374,6 +375,6 @@ def q_residual_acf(spark, sf_dir):
 @query("holiday_effects_model")
 def q_holiday_effects_model(spark, sf_dir):
     """R-10: the fitted holiday component by holiday name (box statistics)."""
-    fc = _fc_total(spark, sf_dir)
+    fc = total(_fc_all(spark, sf_dir))
     return SE.holiday_effects(fc.filter(F.col("role") == "train"), SE.holidays(X.x_calendar(_t(spark, sf_dir))),
                               "holidays")

@@ -42,13 +42,17 @@ def date_series(spark: SparkSession, start: str, end: str, col: str = "d") -> Da
         F.date_add(F.lit(start).cast("date"), F.col("id").cast("int")).alias(col))
 
 
-def date_span(df: DataFrame, cols: list[str], col: str = "d") -> DataFrame:
-    """S12 over data: every day of the whole years spanned by ``cols`` of ``df``
-    (one ``sequence`` from a one-row aggregate; size = days in the span)."""
-    lo = F.least(*[F.min(F.to_date(c)) for c in cols])
-    hi = F.greatest(*[F.max(F.to_date(c)) for c in cols])
-    rng = df.agg(F.make_date(F.year(lo), F.lit(1), F.lit(1)).alias("_s"),
-                 F.make_date(F.year(hi), F.lit(12), F.lit(31)).alias("_e"))
+def date_span(sources: list[tuple[DataFrame, list[str]]], col: str = "d") -> DataFrame:
+    """S12 over data: every day of the whole years spanned by the date columns
+    (date, timestamp or text) of some tables: a one-row aggregate of each, and
+    one ``sequence`` over them; size = days in the span."""
+    ends = None
+    for df, cols in sources:
+        days = [F.col(c).try_cast("date") for c in cols]
+        one = df.agg(F.least(*[F.min(d) for d in days], F.lit(None).cast("date")).alias("lo"), F.greatest(*[F.max(d) for d in days], F.lit(None).cast("date")).alias("hi"))
+        ends = one if ends is None else ends.unionByName(one)
+    rng = ends.agg(F.make_date(F.year(F.min("lo")), F.lit(1), F.lit(1)).alias("_s"),
+                   F.make_date(F.year(F.max("hi")), F.lit(12), F.lit(31)).alias("_e"))
     return rng.select(F.explode(F.sequence("_s", "_e")).alias(col))
 
 
@@ -73,9 +77,9 @@ def dim_date(spark: SparkSession, start: str = "2014-01-01", end: str = "2050-01
     return _dim_date_columns(date_series(spark, start, end), with_load_date)
 
 
-def dim_date_for(df: DataFrame, cols: list[str], with_load_date: bool = True) -> DataFrame:
-    """Date dimension covering the whole years of the dates found in ``df``."""
-    return _dim_date_columns(date_span(df, cols), with_load_date)
+def dim_date_for(sources: list[tuple[DataFrame, list[str]]], with_load_date: bool = True) -> DataFrame:
+    """Date dimension covering the whole years of the dates found in some tables."""
+    return _dim_date_columns(date_span(sources), with_load_date)
 
 
 # T-3
@@ -153,7 +157,7 @@ def fct_order_items(items: DataFrame, products: DataFrame, translation: DataFram
     """Items ⟕ products ⟕ category translation ⟕ sellers (snowflake lookups).
 
     The three lookups are dimension tables; each is broadcast only after
-    its row-count check passes (``lookup_join``), otherwise shuffled.
+    the planner finds it small enough (``lookup_join``), otherwise shuffled.
     """
     p = products.withColumnsRenamed({
         "product_name_lenght": "product_name_length",
@@ -246,6 +250,10 @@ def status_summary(dim_orders_df: DataFrame, seed: DataFrame) -> DataFrame:
         "order_status", "payment_status", "n_orders", "profit_lost", "status_description")
 
 
+#: Every date of an order that has a date key.
+ORDER_DATES = ["order_purchase_timestamp", "order_approved_at", "order_delivered_carrier_date", "order_delivered_customer_date", "order_estimated_delivery_date"]
+
+
 class LazyTables(dict):
     """Mapping of table name → builder; a table is built on first access.
 
@@ -286,8 +294,8 @@ def build_star(raw: Sources, with_load_date: bool = True, exact_float: bool = Fa
     spark = raw.spark
     return LazyTables({
         "dim_customers": lambda: dim_customers(raw.customers, with_load_date),
-        "dim_date": lambda: dim_date_for(raw.orders, ["order_purchase_timestamp", "order_estimated_delivery_date"],
-                                         with_load_date=with_load_date),
+        "dim_date": lambda: dim_date_for([(raw.orders, ORDER_DATES), (raw.order_items, ["shipping_limit_date"]),
+                                          (raw.order_reviews, ["review_creation_date"])], with_load_date=with_load_date),
         "dim_geolocation": lambda: dim_geolocation(raw.geolocation, with_load_date),
         "dim_orders": lambda: dim_orders(raw.orders, raw.order_payments, raw.order_items, exact_float,
                                          with_load_date),
