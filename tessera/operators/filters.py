@@ -9,8 +9,9 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.scalars import contains_ci as _contains_ci
 
@@ -72,10 +73,16 @@ def drop_all_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def last_n_days(df: DataFrame, col: str, n: int, by: Sequence[str] | None = None) -> DataFrame:
     """P-15 / W-4: rows with ``col >= max(col) - n days`` (per series when ``by``).
 
-    The max is a scalar subquery (or one row per series joined back).
+    The max is a scalar subquery (or one row per series joined back).  The raw
+    column is compared with the cut-off day's beginning, in the column's own
+    type, so the predicate reaches the scan.
     """
     if not by:
-        return df.filter(F.to_date(col) >= F.date_sub(df.agg(F.max(F.to_date(col))).scalar(), n))
+        kind = df.schema[col].dataType
+        cutoff = F.date_sub(df.agg(F.max(F.to_date(col))).scalar(), n)
+        if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            return df.filter(F.col(col) >= cutoff.cast(kind))
+        return df.filter(F.to_date(col) >= cutoff)
     mx = df.groupBy(*by).agg(F.max(F.to_date(col)).alias("_max"))
     j = df.join(mx, list(by), "inner")
     return j.filter(F.to_date(col) >= F.date_sub(F.col("_max"), n)).drop("_max")
@@ -96,14 +103,23 @@ def slice_rows(df: DataFrame, order: str | Sequence[str], start: int | None, sto
                by: Sequence[str] | None = None) -> DataFrame:
     """P-18: rows [start, stop) in ``order`` (negative = from the end), per group.
 
-    Positions come from ``distributed_rank`` (range partitions + offsets),
-    not from a window over a whole group, so a group holding a third of
-    the rows is still spread over many tasks; group sizes are a grouped
-    count joined back.  ``order`` must be unique within a group.
+    A slice that lies at one end of its groups is a ``row_number() <= k``,
+    which Spark applies before the shuffle too, so each task sends at most k
+    rows of a group.  For others positions come from ``distributed_rank``
+    (range partitions + offsets), not from a window over a whole group; group
+    sizes are a grouped count joined back.  ``order`` must be unique within a
+    group.
     """
     from tessera.operators.ordered import distributed_rank
     by = list(by or [])
     order = [order] if isinstance(order, str) else list(order)
+    first = stop is not None and stop >= 0 and (start is None or start >= 0)
+    last = start is not None and start < 0 and (stop is None or stop < 0)
+    if by and (first or last):
+        w = Window.partitionBy(*by).orderBy(*[F.col(c).asc() if first else F.col(c).desc() for c in order])
+        n = F.col("_rn")
+        inside = (n <= stop) & (n > (start or 0)) if first else (n <= -start) & (n > (0 if stop is None else -stop))
+        return df.withColumn("_rn", F.row_number().over(w)).filter(inside).drop("_rn")
     numbered = distributed_rank(df, by, order, out="_rn").withColumn("_rn", F.col("_rn") - 1)
     if (start is not None and start < 0) or (stop is not None and stop < 0):
         g = numbered.withColumn("_g", F.lit(0)) if not by else numbered
