@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tessera.plans.pipeline import REFERENCES, data_tests
@@ -10,6 +12,7 @@ from tessera.plans.q_star import DIM_DATE_SQL, STAR_SQL, raw, star
 from tessera.plans.registry import query
 from tessera.sources import io
 from tessera.sources.catalog import Sources
+from tessera.session import ensure_checkpoint_dir
 
 
 @query("preview", "SELECT * FROM orders ORDER BY o_orderkey LIMIT 5")
@@ -62,3 +65,40 @@ ORACLE_TABLES = {"dim_customers": "s_dim_customers", "dim_orders": "s_dim_orders
 ]), extra=FCT_EXTRA)
 def q_model_tests(spark, sf_dir):
     return data_tests(star(spark, sf_dir))
+
+
+def _scratch(spark, name: str) -> str:
+    """A new path in the shared folder of the session."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@query("csv_round_trip", """
+SELECT review_id, order_id, review_score, coalesce(review_comment_title, '') AS review_comment_title,
+  coalesce(review_comment_message, '') AS review_comment_message FROM x_reviews""")
+def q_csv_round_trip(spark, sf_dir):
+    """Written as quoted CSV, line ends inside fields included, and read back."""
+    path = _scratch(spark, "reviews-csv")
+    texts = [F.coalesce(c, F.lit("")).alias(c) for c in ("review_comment_title", "review_comment_message")]
+    out = raw(spark, sf_dir).order_reviews.select("review_id", "order_id", "review_score", *texts)
+    io.write_csv(out, path)
+    back = io.read_csv(spark, path, schema=out.schema, multiline=True)
+    return back.select("review_id", "order_id", "review_score", *[F.coalesce(c, F.lit("")).alias(c) for c in ("review_comment_title", "review_comment_message")])
+
+
+@query("table_round_trip", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")
+def q_table_round_trip(spark, sf_dir):
+    """Materialised as a written table; the frame reads the table."""
+    orders = Sources.parquet_dir(spark, sf_dir).orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    return io.materialize(orders, "orders_copy", "table", _scratch(spark, "orders-table"))
+
+
+@query("results_round_trip", """
+SELECT o_orderstatus AS table_name, COUNT(*) AS n_rows, SUM(CASE WHEN o_totalprice IS NULL THEN 1 ELSE 0 END)::BIGINT AS n_null
+FROM orders GROUP BY o_orderstatus""")
+def q_results_round_trip(spark, sf_dir):
+    """A result report written as JSON and read back."""
+    path = _scratch(spark, "results-json")
+    report = Sources.parquet_dir(spark, sf_dir).orders.groupBy(F.col("o_orderstatus").alias("table_name")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.when(F.col("o_totalprice").isNull(), 1).otherwise(0)).cast("bigint").alias("n_null"))
+    io.write_results(report, path)
+    return spark.read.schema(report.schema).json(path)
