@@ -44,15 +44,17 @@ def linked_classes(rows: DataFrame, confirm: Callable[[DataFrame], DataFrame], a
 
     A key held by thousands of ids gives no pairs within the group.  In each
     leader round every id of a key is paired with one leader of the key, unless
-    they are in one class already.  Then whatever is still apart is compared:
+    they are in one class already: first the id that shares the most keys with
+    others, which is the middle of a group of copies, then one drawn by a hash.  Then whatever is still apart is compared:
     all pairs of ids of different classes that share a key and fulfil ``cross``
     (the names of the columns of both sides end in the given suffixes) on rows
     completed by ``attach``.  ``confirm`` keeps those of the pairs (``a, comp_a, b, comp_b``)
     that are links.  So no link between classes is left out."""
-    label = cut(rows.select("id").distinct().withColumn("comp", F.col("id")))
+    shared = rows.join(rows.groupBy("key").agg(F.count("*").alias("n")), "key").groupBy("id").agg(F.sum("n").alias("support"))
+    label = cut(shared.withColumn("comp", F.col("id")))
     for turn in range(leader_rounds + 1):
         now = rows.join(label, "id")
-        leader = F.struct(F.xxhash64("id", F.lit(turn)) if turn else F.lit(0), "id", "comp")
+        leader = F.struct(F.xxhash64("id", F.lit(turn)) if turn else -F.col("support"), "id", "comp")
         open_keys = now.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min(leader).alias("x")).where("low < high")
         if turn < leader_rounds:
             pairs = (now.join(open_keys.select("key", F.col("x.id").alias("b"), F.col("x.comp").alias("comp_b")), "key").where("comp <> comp_b")
@@ -66,5 +68,5 @@ def linked_classes(rows: DataFrame, confirm: Callable[[DataFrame], DataFrame], a
         if links.isEmpty():
             continue
         root = components(links)
-        label = cut(label.join(root, label["comp"] == root["node"], "left").select("id", F.coalesce("root", "comp").alias("comp")))
-    return label
+        label = cut(label.join(root, label["comp"] == root["node"], "left").select("id", "support", F.coalesce("root", "comp").alias("comp")))
+    return label.select("id", "comp")

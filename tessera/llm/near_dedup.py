@@ -29,17 +29,18 @@ from tessera.llm.common import written
 from tessera.llm.components import linked_classes
 from tessera.llm.textnum import U, blocks, lower, mix, span_hash, span_identity, utf8, window_hash, words
 
-#: Symbols of a signature, bits of a symbol, symbols of a chunk, symbols packed in a long (in lanes of BITS + 1 bits).
-SYMBOLS, BITS, CHUNK, LANES = 32, 19, 4, 3
+#: Symbols of a signature, bits of a symbol, symbols of a chunk (packed in a long, in lanes of BITS + 1 bits).
+SYMBOLS, BITS, CHUNK = 32, 14, 4
 #: Largest distance (in symbols) at which the multi-index guarantees a shared key: one error allowed in each chunk.
 DISTANCE = 2 * (SYMBOLS // CHUNK) - 1
+#: One-bit min-hashes that candidates are compared by, and how many standard deviations below the similarity still count as near.
+SKETCH_BITS, SLACK = 2048, 4.5
 #: Rounds in which keys link their nodes to a leader before the pairs that are left are compared.
 LEADER_ROUNDS = 3
 
-_MULTIPLY = mix(np.arange(1, SYMBOLS + 1, dtype=U) * U(0x9E3779B97F4A7C15)) | U(1)
-_XOR = mix(np.arange(101, 101 + SYMBOLS, dtype=U) * U(0xD1342543DE82EF95))
-_LOW = sum(((1 << BITS) - 1) << (i * (BITS + 1)) for i in range(LANES))
-_GUARD = sum(1 << (i * (BITS + 1) + BITS) for i in range(LANES))
+_SEEDS = mix(np.arange(1, SYMBOLS + SKETCH_BITS + 1, dtype=U) * U(0x9E3779B97F4A7C15)) | U(1)
+_LOW = sum(((1 << BITS) - 1) << (i * (BITS + 1)) for i in range(CHUNK))
+_GUARD = sum(1 << (i * (BITS + 1) + BITS) for i in range(CHUNK))
 
 
 def shingle_sets(buf: np.ndarray, offsets: np.ndarray, k: int) -> list[np.ndarray]:
@@ -50,11 +51,25 @@ def shingle_sets(buf: np.ndarray, offsets: np.ndarray, k: int) -> list[np.ndarra
     return [np.unique(runs[a:b]) for a, b in zip(run_bounds[:-1].tolist(), run_bounds[1:].tolist())]
 
 
+def _least(flat: np.ndarray, begin: np.ndarray, seeds: np.ndarray) -> Iterator[np.ndarray]:
+    """For each seed the mixed least hash of every set."""
+    for seed in seeds:
+        yield mix(np.minimum.reduceat((flat ^ (seed >> U(7))) * seed, begin))
+
+
 def _signatures(sets: list[np.ndarray]) -> np.ndarray:
     """(sets, SYMBOLS) min-hash symbols; no set may be empty."""
-    flat = np.concatenate(sets)
     begin = np.cumsum([0, *map(len, sets[:-1])])
-    return np.stack([mix(np.minimum.reduceat((flat ^ x) * m, begin)) & U((1 << BITS) - 1) for x, m in zip(_XOR, _MULTIPLY)], 1)
+    return np.stack([x & U((1 << BITS) - 1) for x in _least(np.concatenate(sets), begin, _SEEDS[:SYMBOLS])], 1)
+
+
+def _sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """(sets, SKETCH_BITS / 64) longs of one-bit min-hashes; no set may be empty."""
+    begin = np.cumsum([0, *map(len, sets[:-1])])
+    out = np.zeros((len(sets), SKETCH_BITS // 64), U)
+    for i, x in enumerate(_least(np.concatenate(sets), begin, _SEEDS[SYMBOLS:])):
+        out[:, i // 64] |= (x & U(1)) << U(i % 64)
+    return out
 
 
 def _keys(signatures: np.ndarray) -> np.ndarray:
@@ -69,8 +84,8 @@ def _keys(signatures: np.ndarray) -> np.ndarray:
 
 
 def _lanes(signatures: np.ndarray) -> np.ndarray:
-    padded = np.concatenate([signatures, np.zeros((len(signatures), -SYMBOLS % LANES), U)], 1)
-    return sum(padded[:, i::LANES] << U(i * (BITS + 1)) for i in range(LANES))
+    """One long per chunk."""
+    return sum(signatures[:, i::CHUNK] << U(i * (BITS + 1)) for i in range(CHUNK))
 
 
 def _lists(flat: np.ndarray, counts: np.ndarray) -> pa.Array:
@@ -101,32 +116,59 @@ def sketch(docs: DataFrame, k: int) -> DataFrame:
 
 
 def _full_sets(docs: DataFrame, k: int) -> DataFrame:
-    """``id, shingles`` of documents (columns id, text)."""
-    schema = pa.schema([("id", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+    """``id, n, shingles, bits`` of documents (columns id, text) with words."""
+    schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("shingles", pa.list_(pa.int64())), ("bits", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             buf, offsets = utf8(b.column("text"))
-            for i, j in blocks(offsets):
+            for i, j in blocks(offsets, 1 << 19):
                 sets = shingle_sets(buf[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], k)
-                yield pa.RecordBatch.from_arrays([b.column("id")[i:j], _lists(np.concatenate(sets), np.array([len(s) for s in sets]))], schema=schema)
+                some = np.flatnonzero([len(s) for s in sets])
+                if len(some):
+                    full = [sets[x] for x in some]
+                    size, bits = np.array([len(s) for s in full]), _sketches(full)
+                    yield pa.RecordBatch.from_arrays([b.column("id")[i:j].take(pa.array(some)), pa.array(size), _lists(np.concatenate(full), size), _lists(bits.reshape(-1), np.full(len(full), bits.shape[1]))], schema=schema)
 
-    return docs.mapInArrow(run, "id long, shingles array<long>")
+    return docs.mapInArrow(run, "id long, n long, shingles array<long>, bits array<long>")
 
 
-def _distance(a: str, b: str) -> Column:
-    """Symbols in which two packed signatures differ."""
-    n = -(-SYMBOLS // LANES)
-    parts = [F.bit_count((F.col(a)[i].bitwiseXOR(F.col(b)[i]) + F.lit(_LOW)).bitwiseAND(F.lit(_GUARD))) for i in range(n)]
-    return sum(parts[1:], parts[0])
+def _wrong_symbols(a: str, b: str, chunk: int) -> Column:
+    """Symbols of a chunk in which two packed signatures differ."""
+    return F.bit_count((F.col(a)[chunk].bitwiseXOR(F.col(b)[chunk]) + F.lit(_LOW)).bitwiseAND(F.lit(_GUARD)))
 
 
-def _confirmed(pairs: DataFrame, slim: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _first_shared_key(place: str, a: str, b: str) -> Column:
+    """Whether the key at ``place`` is the first that two signatures share, so
+    that a pair that shares many keys is compared once: no earlier chunk is
+    within one error, and in this one the key leaves out the wrong symbol, or
+    the first if none is wrong."""
+    out = F.lit(True)
+    for c in range(SYMBOLS // CHUNK):
+        wrong = _wrong_symbols(a, b, c)
+        out = out & F.when(F.col(place) >= (c + 1) * CHUNK, wrong > 1).when(F.col(place) > c * CHUNK, wrong == 1).otherwise(F.lit(True))
+    return out
+
+
+def _near(a: str, b: str, percent: int) -> Column:
+    """Whether two sketches are no further apart than sets of the similarity,
+    but for SLACK standard deviations."""
+    p = (1 - percent / 100) / 2
+    most = int(SKETCH_BITS * p + SLACK * (SKETCH_BITS * p * (1 - p)) ** 0.5) + 1
+    parts = [F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(SKETCH_BITS // 64)]
+    return sum(parts[1:], parts[0]) <= most
+
+
+def _sizes_fit(a: str, b: str, percent: int) -> Column:
+    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets reach the similarity, with the carried
-    columns.  Signatures and sizes sort out first, then the full sets decide."""
+    columns.  Sketches and sizes sort out first, then the full sets decide."""
     for side in ("a", "b"):
-        pairs = pairs.join(slim.select(F.col("id").alias(side), F.col("n").alias(f"n_{side}"), F.col("lanes").alias(f"lanes_{side}")), side)
-    pairs = pairs.where((_distance("lanes_a", "lanes_b") <= DISTANCE) & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))).drop("lanes_a", "lanes_b")
+        pairs = pairs.join(sets.select(F.col("id").alias(side), F.col("n").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}")), side)
+    pairs = pairs.where(_sizes_fit("n_a", "n_b", percent) & _near("bits_a", "bits_b", percent)).drop("bits_a", "bits_b")
     for side in ("a", "b"):
         pairs = pairs.join(sets.select(F.col("id").alias(side), F.col("shingles").alias(f"s_{side}")), side)
     common = F.size(F.array_intersect("s_a", "s_b"))
@@ -152,17 +194,20 @@ def near_dedup(docs: DataFrame, k: int = 5, percent: int = 80, leader_rounds: in
              .agg(F.min(F.struct("doc_id", "keys", "lanes")).alias("x")))
     nodes = written(nodes.select("n_shingles", "h1", "h2", F.col("x.doc_id").alias("id"), F.col("x.keys").alias("keys"), F.col("x.lanes").alias("lanes")))
 
-    rows = nodes.select("id", F.explode("keys").alias("key"))
+    rows = nodes.select("id", F.posexplode("keys").alias("place", "key"))
     shared = rows.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("key")
     rows = written(rows.join(shared, "key"))
-    ids = rows.select("id").distinct()
-    slim = nodes.select("id", F.col("n_shingles").alias("n"), "lanes")
-    texts = docs.withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi")
+    texts = docs.withColumnRenamed("doc_id", "id").join(rows.select("id").distinct(), "id", "left_semi")
     sets = written(_full_sets(texts, k))
+    lanes = nodes.select("id", "lanes")
+
+    def cross(a: str, b: str) -> Column:
+        return ((F.col(f"id{a}") < F.col(f"id{b}")) & _sizes_fit(f"n{a}", f"n{b}", percent)
+                & _first_shared_key(f"place{a}", f"lanes{a}", f"lanes{b}") & _near(f"bits{a}", f"bits{b}", percent))
 
     label = linked_classes(
-        rows, confirm=lambda pairs: _confirmed(pairs, slim, sets, percent), attach=lambda rest: rest.join(slim, "id"),
-        cross=lambda a, b: (F.col(f"id{a}") < F.col(f"id{b}")) & (_distance(f"lanes{a}", f"lanes{b}") <= DISTANCE), leader_rounds=leader_rounds)
+        rows, confirm=lambda pairs: _confirmed(pairs, sets, percent),
+        attach=lambda rest: rest.join(lanes, "id").join(sets.select("id", "n", "bits"), "id"), cross=cross, leader_rounds=leader_rounds)
 
     root = nodes.select("n_shingles", "h1", "h2", F.col("id").alias("node_id")).join(label, F.col("node_id") == F.col("id"), "left").select(
         "n_shingles", "h1", "h2", F.coalesce("comp", "node_id").alias("root"))
