@@ -23,12 +23,12 @@ from pyspark.sql import functions as F
 from tessera.llm.textnum import U, blocks, lower, mix, span_hash, utf8, words
 
 #: Most labelled documents of each class that are trained on.
-SAMPLE_PER_CLASS = 2000
+SAMPLE_PER_CLASS = 1000
 #: Words of a window, words from one window to the next, units of each direction, size of an input, buckets of words and of character n-grams.
 WINDOW, STRIDE, HIDDEN, WIDTH, WORD_BUCKETS, GRAM_BUCKETS = 32, 16, 10, 12, 1 << 14, 1 << 17
 #: Most windows of one document that an epoch looks at when it seeks the highest (in training only).
-SEEK = 48
-EPOCHS, BATCH, RATE = 7, 128, 0.01
+SEEK = 32
+EPOCHS, BATCH, RATE = 7, 64, 0.01
 #: A document is predicted toxic from this score on.
 CUTOFF = 0.7
 
@@ -43,8 +43,8 @@ class Words:
     def __init__(self, buf: np.ndarray, offsets: np.ndarray) -> None:
         low = lower(buf)
         starts, ends, self.bounds = words(low, offsets)
-        code, first, self.place = np.unique(span_hash(low, starts, ends), return_index=True, return_inverse=True)
-        self.bucket = (code % U(WORD_BUCKETS)).astype(np.int64)
+        self.code, first, self.place = np.unique(span_hash(low, starts, ends), return_index=True, return_inverse=True)
+        self.bucket = (self.code % U(WORD_BUCKETS)).astype(np.int64)
         starts, length = starts[first], ends[first] - starts[first]
         size = length + 2
         begin = np.cumsum(size) - size
@@ -68,6 +68,27 @@ class Words:
         self.count = np.bincount(owners, minlength=len(size))
         self.begin = np.cumsum(self.count) - self.count
 
+    @staticmethod
+    def of_texts(buf: np.ndarray, offsets: np.ndarray) -> "Words":
+        """The same for many texts, made block by block in less memory."""
+        parts = [Words(buf[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]) for i, j in blocks(offsets, 1 << 19)]
+        if not parts:
+            return Words(buf, offsets)
+        out = Words.__new__(Words)
+        out.code, first, where = np.unique(np.concatenate([p.code for p in parts]), return_index=True, return_inverse=True)
+        shift = np.cumsum([0, *(len(p.code) for p in parts)])
+        out.place = np.concatenate([where[a + p.place] for a, p in zip(shift, parts)])
+        many = np.cumsum([0, *(len(p.place) for p in parts)])
+        out.bounds = np.concatenate([[0], *(a + p.bounds[1:] for a, p in zip(many, parts))])
+        out.bucket = (out.code % U(WORD_BUCKETS)).astype(np.int64)
+        out.count = np.concatenate([p.count for p in parts])[first]
+        grams = np.cumsum([0, *(len(p.grams) for p in parts)])
+        begin = np.concatenate([a + p.begin for a, p in zip(grams, parts)])[first]
+        out.begin = np.cumsum(out.count) - out.count
+        at = np.repeat(begin - out.begin, out.count) + np.arange(int(out.count.sum()))
+        out.grams = np.concatenate([p.grams for p in parts])[at].astype(np.int32)
+        return out
+
     def inputs(self, net: dict[str, np.ndarray]) -> np.ndarray:
         """The input of every distinct word."""
         if not len(self.bucket):
@@ -139,6 +160,16 @@ def _gru_back(dout: np.ndarray, u: np.ndarray, kept: list) -> tuple[np.ndarray,
     return dp, du, dc
 
 
+def _sums_by(place: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Sums of the rows of ``values`` by place, 0 to n - 1."""
+    out = np.zeros((n, values.shape[1]), np.float32)
+    if len(place):
+        order = np.argsort(place, kind="stable")
+        there, begin = np.unique(place[order], return_index=True)
+        out[there] = np.add.reduceat(values[order], begin)
+    return out
+
+
 def _forward(net: dict, projected: dict[str, np.ndarray], at: np.ndarray, there: np.ndarray, keep: dict | None = None) -> np.ndarray:
     """Logits of windows.  ``projected`` holds each word's projected input by
     direction, its last row that of no word; ``at`` (steps, windows) are words,
@@ -172,7 +203,7 @@ def _window_words(place: np.ndarray, none: int, first: np.ndarray, size: np.ndar
     return np.where(there, place[np.minimum(first + step, len(place) - 1)], none), there
 
 
-def window_logits(net: dict, own: Words, first: np.ndarray, size: np.ndarray, most: int = 8192) -> np.ndarray:
+def window_logits(net: dict, own: Words, first: np.ndarray, size: np.ndarray, most: int = 2048) -> np.ndarray:
     projected = _project(net, own.inputs(net))
     out = [np.zeros(0, np.float32)]
     for a in range(0, len(first), most):
@@ -211,8 +242,7 @@ def gradients(net: dict, own: Words, first: np.ndarray, size: np.ndarray, label:
         part = np.ascontiguousarray(dh[:, :, k * HIDDEN:(k + 1) * HIDDEN][:: 1 if way == "f" else -1])
         dp, g[f"U{way}"], g[f"c{way}"] = _gru_back(part, net[f"U{way}"], keep[way])
         dp = dp[:: 1 if way == "f" else -1].reshape(-1, 3 * HIDDEN)
-        per_word = np.zeros((len(used) + 1, 3 * HIDDEN), np.float32)
-        np.add.at(per_word, local.reshape(-1), dp)
+        per_word = _sums_by(local.reshape(-1), dp, len(used) + 1)
         g[f"b{way}"], g[f"W{way}"] = per_word.sum(0), with_none.T @ per_word
         dx += per_word @ net[f"W{way}"].T
     dx = dx[:-1]
@@ -232,9 +262,7 @@ class _Adam:
         for k, g in grads.items():
             if isinstance(g, tuple):  # only the rows that occur are moved
                 rows, which = np.unique(g[0], return_inverse=True)
-                total = np.zeros((len(rows), WIDTH), np.float32)
-                np.add.at(total, which, g[1])
-                g = total
+                g = _sums_by(which, g[1], len(rows))
             else:
                 rows = slice(None)
             self.m[k][rows] = m = 0.9 * self.m[k][rows] + 0.1 * g
@@ -249,7 +277,7 @@ def train(texts: list[str], labels: list[int], seed: int = 7, epochs: int = EPOC
     if not texts:
         return net
     buf, offsets = utf8(pa.array(texts, pa.large_string()))
-    own = Words(buf, offsets)
+    own = Words.of_texts(buf, offsets)
     first, size, doc = windows(own.bounds)
     begin, many = np.searchsorted(doc, np.arange(len(texts))), np.bincount(doc, minlength=len(texts))
     adam = _Adam(net, RATE)
