@@ -1,6 +1,6 @@
 """Imbalanced binary classification on ``pyspark.ml``.
 
-Randomness is replaced by seeded hashes of row ids (``xxhash64``), so a
+Randomness is replaced by seeded hashes of row ids (md5), so a
 result does not depend on partitioning or on task retries.  Exact global
 ranks come from a distributed prefix count (``distributed_rank``), never
 from a window over one unpartitioned group.
@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import PCA, RobustScaler, StandardScaler, VectorAssembler
+from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, Window
@@ -27,13 +27,12 @@ from tessera.operators.ordered import distributed_rank
 from tessera.operators.stats import exact_quantiles
 from tessera.session import ensure_checkpoint_dir
 
-TWO63 = float(2 ** 63)
-
-
 def hash_uniform(*cols: Column | str, seed: int = 42, salt: int = 0) -> Column:
-    """Deterministic uniform [0, 1) from a hash of the given columns."""
-    h = F.xxhash64(*[F.col(c) if isinstance(c, str) else c for c in cols], F.lit(seed), F.lit(salt))
-    return (h.bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF)).cast("double")) / F.lit(TWO63)
+    """Deterministic uniform [0, 1) from the first 52 bits of an md5 of
+    ``seed:salt:values``: any engine that has md5 draws the same."""
+    parts = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols]
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit(str(salt)), *parts).cast("binary"))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(2 ** 52))
 
 
 # L-1
@@ -184,12 +183,14 @@ def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> D
 
 # L-3
 def robust_scale(train: DataFrame, *others: DataFrame, features: Sequence[str], out: str = "scaled"):
-    """Median/IQR scaling fitted on ``train`` (centring on, unlike Spark's default)."""
-    tr = assemble(train, features, "_raw")
-    model = RobustScaler(inputCol="_raw", outputCol=out, withCentering=True, withScaling=True,
-                         lower=0.25, upper=0.75).fit(tr)
-    res = [model.transform(tr).drop("_raw")]
-    res += [model.transform(assemble(o, features, "_raw")).drop("_raw") for o in others]
+    """(x − median) / IQR with exact quartiles of ``train``; a feature whose IQR
+    is 0 is only centred.  Three numbers per feature reach the driver."""
+    quartiles = {(r["column"], r["prob"]): r["value"] for r in exact_quantiles(train, list(features), [0.25, 0.5, 0.75]).collect()}
+    scaled = []
+    for c in features:
+        spread = quartiles[c, 0.75] - quartiles[c, 0.25]
+        scaled.append((F.col(c).cast("double") - F.lit(quartiles[c, 0.5])) / F.lit(spread if spread else 1.0))
+    res = [df.withColumn(out, array_to_vector(F.array(*scaled))) for df in (train, *others)]
     return res if others else res[0]
 
 

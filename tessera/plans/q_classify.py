@@ -181,16 +181,36 @@ def _split(spark, sf_dir):
     return C.stratified_split(_fraud(spark, sf_dir), "Class", "id", seed=42)
 
 
-@query("stratified_split", """
-WITH n AS (SELECT Class, COUNT(*) AS n, CAST(ROUND(COUNT(*) * 0.2) AS BIGINT) AS nt FROM x_fraud GROUP BY Class),
-s AS (SELECT Class, n, nt, CAST(ROUND((n - nt) * 0.2) AS BIGINT) AS nv FROM n)
-SELECT Class, 'test' AS split, nt AS n FROM s
-UNION ALL SELECT Class, 'valid', nv FROM s
-UNION ALL SELECT Class, 'train', n - nt - nv FROM s""")
+def uniform_sql(ident: str, seed: int = 42, salt: int = 0) -> str:
+    """The draw of ``hash_uniform`` in SQL."""
+    return f"CAST(CAST('0x' || substr(md5('{seed}:{salt}:' || {ident}), 1, 13) AS BIGINT) AS DOUBLE) / {2 ** 52}.0::DOUBLE"
+
+
+SPLIT_ROWS = {"s_split": f"""
+SELECT * EXCLUDE (place, n_test, n_rest), CASE WHEN place <= n_test THEN 'test' WHEN place <= n_test + CAST(ROUND(n_rest * 0.2) AS BIGINT) THEN 'valid' ELSE 'train' END AS split
+FROM (SELECT *, row_number() OVER (PARTITION BY Class ORDER BY {uniform_sql('id')}, id) AS place,
+        CAST(ROUND(COUNT(*) OVER (PARTITION BY Class) * 0.2) AS BIGINT) AS n_test,
+        COUNT(*) OVER (PARTITION BY Class) - CAST(ROUND(COUNT(*) OVER (PARTITION BY Class) * 0.2) AS BIGINT) AS n_rest FROM x_fraud) z"""}
+
+
+@query("stratified_split", "SELECT id, Class, split FROM s_split", extra=SPLIT_ROWS)
 def q_stratified_split(spark, sf_dir):
+    return _split(spark, sf_dir).select("id", "Class", "split")
+
+
+@query("stratified_split_sizes", "SELECT Class, split, COUNT(*) AS n FROM s_split GROUP BY Class, split", extra=SPLIT_ROWS)
+def q_stratified_split_sizes(spark, sf_dir):
     return _split(spark, sf_dir).groupBy("Class", "split").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("stratified_folds", f"""
+SELECT id, Class, CAST((row_number() OVER (PARTITION BY Class ORDER BY {uniform_sql('id', salt=7)}, id) - 1) % 3 AS INTEGER) AS fold
+FROM s_split WHERE split = 'train'""", extra=SPLIT_ROWS)
+def q_stratified_folds(spark, sf_dir):
+    train = _split(spark, sf_dir).filter(F.col("split") == "train")
+    return C.stratified_folds(train, "Class", "id", 3).select("id", "Class", F.col("_fold").alias("fold"))
+
+
 @query("smote")
 def q_smote(spark, sf_dir):
     # The fixture's minority share (~11 %) is above the original ratio 0.1,
@@ -205,10 +225,16 @@ def _scaled(spark, sf_dir):
     return C.robust_scale(tr, va, te, features=FEATS)
 
 
-@query("robust_scale")
+def _robust_sql() -> str:
+    quartiles = ", ".join(f"quantile_cont({c}, 0.25) AS {c}_low, quantile_cont({c}, 0.5) AS {c}_mid, quantile_cont({c}, 0.75) AS {c}_high" for c in FEATS)
+    scaled = ", ".join(f"ROUND(({c} - {c}_mid) / CASE WHEN {c}_high = {c}_low THEN 1 ELSE {c}_high - {c}_low END + 1e-9, 6)" for c in FEATS)
+    return f"WITH q AS (SELECT {quartiles} FROM s_split WHERE split = 'train') SELECT id, Class, [{scaled}] AS scaled FROM s_split, q WHERE split = 'train'"
+
+
+@query("robust_scale", _robust_sql(), extra=SPLIT_ROWS)
 def q_robust_scale(spark, sf_dir):
     tr, va, te = _scaled(spark, sf_dir)
-    return tr.select("id", "Class", vector_to_array("scaled").alias("scaled"))
+    return tr.select("id", "Class", F.transform(vector_to_array("scaled"), lambda x: F.round(x + F.lit(1e-9), 6)).alias("scaled"))
 
 
 @query("pca_variance")
