@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import written
@@ -25,7 +25,9 @@ from tessera.llm.textnum import _BYTE, _P, _P_INV, _SPACE, U, _powers, blocks, m
 
 #: Threshold by length in bytes: lines from the second length on allow 2 edits, from the first on 1; shorter ones must be equal.
 ONE_EDIT, TWO_EDITS = 24, 48
-LEADER_ROUNDS = 2
+LEADER_ROUNDS = 1
+#: Longs of a line's sketch: parities of 64 byte buckets, then of 256 byte-pair buckets.
+SKETCH = 5
 
 
 def threshold(length: np.ndarray) -> np.ndarray:
@@ -245,8 +247,54 @@ def _line_texts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "id long, line binary")
 
 
+def sketches(lines: list[bytes]) -> np.ndarray:
+    """(lines, SKETCH) longs: the parity of the number of bytes in each of 64
+    buckets, and of byte pairs in each of 256.  An edit flips at most two
+    of the first and four of the others."""
+    out = np.zeros((len(lines), SKETCH), U)
+    size = np.array([len(x) for x in lines], np.int64)
+    buf = np.frombuffer(b"".join(lines), np.uint8).astype(U)
+    if not len(buf):
+        return out
+    begin = np.cumsum(size) - size
+    some = np.flatnonzero(size)
+    out[some, 0] = np.bitwise_xor.reduceat(U(1) << (buf & U(63)), begin[some])
+    pair = np.zeros(len(buf), U)
+    pair[:-1] = (buf[:-1] * U(0x9E3779B1) + buf[1:] * U(0x85EBCA6B)) >> U(7) & U(255)
+    bit = U(1) << (pair & U(63))
+    bit[begin[some] + size[some] - 1] = U(0)  # the pair across two lines
+    for w in range(4):
+        out[some, 1 + w] = np.bitwise_xor.reduceat(np.where(pair >> U(6) == U(w), bit, U(0)), begin[some])
+    return out
+
+
+def _with_sketches(texts: DataFrame) -> DataFrame:
+    names = [f"s{i}" for i in range(SKETCH)]
+    schema = pa.schema([("id", pa.int64()), ("line", pa.binary()), ("size", pa.int32()), *((n, pa.int64()) for n in names)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(0, b.num_rows, 2000):
+                part = b.slice(i, 2000)
+                lines = part.column("line").to_pylist()
+                made = sketches(lines).view(np.int64)
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("line"), pa.array([len(x) for x in lines], pa.int32()), *(pa.array(made[:, k].copy()) for k in range(SKETCH))], schema=schema)
+
+    return texts.mapInArrow(run, "id long, line binary, size int, " + ", ".join(f"{n} long" for n in names))
+
+
+def _may_be_near(a: str, b: str) -> Column:
+    """Whether two lines' lengths and sketches allow two edits."""
+    flips = [F.bit_count(F.col(f"s{i}{a}").bitwiseXOR(F.col(f"s{i}{b}"))) for i in range(SKETCH)]
+    return (F.abs(F.col(f"size{a}") - F.col(f"size{b}")) <= 2) & (flips[0] <= 4) & (sum(flips[2:], flips[1]) <= 8)
+
+
+_SLIM = ["size", *(f"s{i}" for i in range(SKETCH))]
+
+
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs whose lines are within the shorter one's threshold."""
+    """The pairs whose lines are within the shorter one's threshold: lengths
+    and sketches sort out first, then the texts decide."""
     schema = pa.schema([("comp_a", pa.int64()), ("comp_b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,10 +304,12 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             good = pa.array([edit_distance_within(p, q, t) for p, q, t in zip(x, y, most)], pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column(c).filter(good) for c in ("comp_a", "comp_b")], schema=schema)
 
+    for side in ("a", "b"):
+        pairs = pairs.join(texts.select(F.col("id").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in _SLIM)), side)
+    pairs = pairs.where(_may_be_near("_a", "_b")).select("a", "comp_a", "b", "comp_b")
     for side in ("a", "b"):
         pairs = pairs.join(texts.select(F.col("id").alias(side), F.col("line").alias(f"line_{side}")), side)
-    near = F.abs(F.octet_length("line_a") - F.octet_length("line_b")) <= 2
-    return pairs.where(near).select("comp_a", "comp_b", "line_a", "line_b").mapInArrow(run, "comp_a long, comp_b long")
+    return pairs.select("comp_a", "comp_b", "line_a", "line_b").mapInArrow(run, "comp_a long, comp_b long")
 
 
 def line_classes(docs: DataFrame) -> DataFrame:
@@ -267,10 +317,10 @@ def line_classes(docs: DataFrame) -> DataFrame:
     one class have the same comp.  A line that isn't here is alone."""
     rows = written(_shared_keys(_key_rows(docs)))
     ids = rows.select("id").distinct()
-    texts = written(_line_texts(docs).join(ids, "id", "left_semi").dropDuplicates(["id"]))
+    texts = written(_with_sketches(_line_texts(docs).join(ids, "id", "left_semi").dropDuplicates(["id"])))
     return linked_classes(
-        rows, confirm=lambda pairs: _verified(pairs, texts), attach=lambda rest: rest,
-        cross=lambda a, b: F.col(f"kind{a}") < F.col(f"kind{b}"), leader_rounds=LEADER_ROUNDS)
+        rows, confirm=lambda pairs: _verified(pairs, texts), attach=lambda rest: rest.join(texts.select("id", *_SLIM), "id"),
+        cross=lambda a, b: (F.col(f"kind{a}") < F.col(f"kind{b}")) & _may_be_near(a, b), leader_rounds=LEADER_ROUNDS)
 
 
 def _prepared(docs: DataFrame) -> DataFrame:
@@ -293,18 +343,20 @@ def line_decisions(docs: DataFrame, spare: float = 1.0) -> DataFrame:
     docs = _prepared(docs)
     comp = line_classes(docs.where("doc_id is not null"))
     lines = written(_line_rows(docs.where("doc_id is not null")))
+    per_doc = lines.groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.sum("size").alias("bytes"))
     lines = lines.join(comp, "id", "left").select("doc_id", "number", "size", F.coalesce("comp", "id").alias("class"))
-    # the first line of each class, over all and in each document, by grouped minima
-    in_doc = lines.groupBy("class", "doc_id").agg(F.min("number").alias("first_here"))
-    overall = in_doc.groupBy("class").agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("n"))
-    both = lines.join(in_doc, ["class", "doc_id"]).join(overall, "class")
-    per_line = both.select("doc_id", "number", "size", (F.col("number") > F.col("first_here")).alias("own"), (F.col("doc_id") > F.col("first_doc")).alias("other"))
-    share = F.sum(F.when(F.col("other"), F.col("size")).otherwise(0)) / F.sum("size")
-    per_doc = per_line.groupBy("doc_id").agg(
-        F.count("*").alias("n_lines"), (share > F.lit(spare)).alias("copy"),
+    # from here on only lines of classes that occur more than once
+    repeated = lines.groupBy("class").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc")).where("n > 1").select("class", "first_doc")
+    lines = lines.join(repeated, "class")
+    here = lines.groupBy("class", "doc_id").agg(F.min("number").alias("first_here"))
+    per_line = lines.join(here, ["class", "doc_id"]).select(
+        "doc_id", "number", "size", (F.col("number") > F.col("first_here")).alias("own"), (F.col("doc_id") > F.col("first_doc")).alias("other"))
+    found = per_line.groupBy("doc_id").agg(
+        F.sum(F.when(F.col("other"), F.col("size")).otherwise(0)).alias("copied"),
         F.sort_array(F.collect_set(F.when(F.col("own"), F.col("number")))).alias("own"),
         F.sort_array(F.collect_set(F.when(F.col("own") | F.col("other"), F.col("number")))).alias("all"))
-    decided = per_doc.select("doc_id", "n_lines", F.when(F.col("copy"), F.col("own")).otherwise(F.col("all")).alias("dropped"))
+    decided = per_doc.join(found, "doc_id", "left").select(
+        "doc_id", "n_lines", F.when(F.col("copied") / F.col("bytes") > F.lit(spare), F.col("own")).otherwise(F.col("all")).alias("dropped"))
     return docs.select("doc_id").join(decided, "doc_id", "left").select(
         "doc_id", F.coalesce("n_lines", F.lit(0)).cast("long").alias("n_lines"), F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"))
 
