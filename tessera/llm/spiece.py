@@ -337,7 +337,7 @@ class WordMemory:
     ``most`` words it keeps the half that came first, which holds the most
     frequent ones."""
 
-    def __init__(self, model: Model, most: int = 400_000) -> None:
+    def __init__(self, model: Model, most: int = 150_000) -> None:
         self.model, self.most, self.place = model, most, _Places()
         self.flat, self.begin, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
 

@@ -26,7 +26,7 @@ _power_cache = {"p": np.ones(1, U), "i": np.ones(1, U)}
 def _powers(name: str, base: np.uint64, n: int) -> np.ndarray:
     have = _power_cache[name]
     if len(have) < n:
-        more = np.full(max(n, 2 * len(have)), base, U)
+        more = np.full(-(-n // 65536) * 65536, base, U)
         more[0] = U(1)
         have = _power_cache[name] = np.multiply.accumulate(more)
     return have[:n]
@@ -55,7 +55,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buf, offsets - offsets[0]
 
 
-def blocks(offsets: np.ndarray, most: int = 1 << 21) -> Iterator[tuple[int, int]]:
+def blocks(offsets: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``most`` bytes (or one row)."""
     i, n = 0, len(offsets) - 1
     while i < n:
