@@ -61,7 +61,7 @@ class Words:
             for j in range(n):
                 joint += marked[at + j].astype(U) * _GRAM[j]
             owners.append(owner[at])
-            grams.append((mix(joint) % U(GRAM_BUCKETS)).astype(np.int64))
+            grams.append((mix(joint) % U(GRAM_BUCKETS)).astype(np.int32))
         owners, grams = np.concatenate(owners), np.concatenate(grams)
         order = np.argsort(owners, kind="stable")
         self.grams = grams[order]
@@ -71,7 +71,7 @@ class Words:
     @staticmethod
     def of_texts(buf: np.ndarray, offsets: np.ndarray) -> "Words":
         """The same for many texts, made block by block in less memory."""
-        parts = [Words(buf[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]) for i, j in blocks(offsets, 1 << 19)]
+        parts = [Words(buf[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]) for i, j in blocks(offsets, 1 << 17)]
         if not parts:
             return Words(buf, offsets)
         out = Words.__new__(Words)
@@ -85,8 +85,10 @@ class Words:
         grams = np.cumsum([0, *(len(p.grams) for p in parts)])
         begin = np.concatenate([a + p.begin for a, p in zip(grams, parts)])[first]
         out.begin = np.cumsum(out.count) - out.count
-        at = np.repeat(begin - out.begin, out.count) + np.arange(int(out.count.sum()))
-        out.grams = np.concatenate([p.grams for p in parts])[at].astype(np.int32)
+        flat = np.concatenate([p.grams for p in parts])
+        parts.clear()
+        at = np.repeat((begin - out.begin).astype(np.int32), out.count) + np.arange(int(out.count.sum()), dtype=np.int32)
+        out.grams = flat[at]
         return out
 
     def inputs(self, net: dict[str, np.ndarray]) -> np.ndarray:
@@ -203,7 +205,7 @@ def _window_words(place: np.ndarray, none: int, first: np.ndarray, size: np.ndar
     return np.where(there, place[np.minimum(first + step, len(place) - 1)], none), there
 
 
-def window_logits(net: dict, own: Words, first: np.ndarray, size: np.ndarray, most: int = 2048) -> np.ndarray:
+def window_logits(net: dict, own: Words, first: np.ndarray, size: np.ndarray, most: int = 1024) -> np.ndarray:
     projected = _project(net, own.inputs(net))
     out = [np.zeros(0, np.float32)]
     for a in range(0, len(first), most):
