@@ -18,8 +18,6 @@ from tessera.llm.near_dedup import near_dedup
 from tessera.llm.spiece import token_digests
 from tessera.llm.toxicity import fitted_network, reject_toxic
 
-#: Documents of which more than this share (by bytes) repeats lines of earlier documents are copies, left whole for near-dedup.
-COPY_SHARE = 0.2
 #: Source weights by code point order, repeating; times that a source may be repeated; seed of the draw.
 WEIGHTS, REPEATS, SEED = [1, 2, 3], 3.0, 17
 
@@ -31,7 +29,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that repeat an earlier line but for a few edits are cut out."""
-    return line_dedup(docs, spare=COPY_SHARE)
+    return line_dedup(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

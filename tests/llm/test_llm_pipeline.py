@@ -4,6 +4,7 @@ import math
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -52,6 +53,39 @@ def test_lines(steps):
         assert after[i].n_chars == len(after[i].text)
 
 
+def test_lines_shared_by_documents(steps):
+    """Brute force over all documents: the lines left are the first of their
+    classes, whatever share of a document that cuts."""
+    from tessera.llm.line_dedup import _SPACE, edit_distance_within, threshold
+    blank = bytes(b for b in range(256) if _SPACE[b])
+    lines = [(r.doc_id, k, x.strip(blank)) for r in sorted(steps[1], key=lambda r: r.doc_id) for k, x in enumerate((r.text or "").encode().split(b"\n"))]
+    distinct = sorted({x for _, _, x in lines if x}, key=len)
+    parent = list(range(len(distinct)))
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    limit = threshold(np.array([len(x) for x in distinct])).tolist()
+    for a, x in enumerate(distinct):
+        for b in range(a + 1, len(distinct)):
+            if len(distinct[b]) - len(x) > limit[a]:
+                break
+            if edit_distance_within(x, distinct[b], limit[a]):
+                parent[find(b)] = find(a)
+    place, seen, want = {x: k for k, x in enumerate(distinct)}, set(), defaultdict(list)
+    for i, _, x in lines:
+        c = find(place[x]) if x else None
+        if c not in seen:
+            want[i].append(x)
+            seen |= {c} - {None}
+    got = {r.doc_id: [x.strip(blank) for x in r.text.encode().split(b"\n")] for r in steps[2]}
+    assert sum(len(v) for v in want.values()) < len(lines)
+    assert {i: [x for x in v if x] for i, v in got.items()} == {i: [x for x in want[i] if x] for i in got}
+
+
 def test_near_copies(steps):
     sets = {}
     for r in steps[2]:
