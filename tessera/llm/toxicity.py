@@ -5,14 +5,15 @@ character 3- to 5-grams (both hashed).  Overlapping windows of words run
 through a GRU in each direction; attention weighs the positions, a logistic
 unit scores the window, and a document's score is its highest window's.
 
-The network is trained in numpy on a bounded, class-balanced sample of
-labelled documents; as a label is a document's, each epoch trains on every
-document's highest window so far and on one drawn at random.  Scoring is one
-pass over all whole texts, without a shuffle.
+The network is trained in numpy, in one task, on a bounded, class-balanced
+sample of labelled documents; as a label is a document's, each epoch trains on
+every document's highest window so far and on one drawn at random.  Scoring is
+one pass over all whole texts, without a shuffle.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,8 +27,6 @@ from tessera.llm.textnum import U, blocks, lower, mix, span_hash, utf8, words
 SAMPLE_PER_CLASS = 1000
 #: Words of a window, words from one window to the next, units of each direction, size of an input, buckets of words and of character n-grams.
 WINDOW, STRIDE, HIDDEN, WIDTH, WORD_BUCKETS, GRAM_BUCKETS = 32, 16, 10, 12, 1 << 14, 1 << 17
-#: Most windows of one document that an epoch looks at when it seeks the highest (in training only).
-SEEK = 32
 EPOCHS, BATCH, RATE = 7, 64, 0.01
 #: A document is predicted toxic from this score on.
 CUTOFF = 0.7
@@ -205,11 +204,18 @@ def _window_words(place: np.ndarray, none: int, first: np.ndarray, size: np.ndar
     return np.where(there, place[np.minimum(first + step, len(place) - 1)], none), there
 
 
-def window_logits(net: dict, own: Words, first: np.ndarray, size: np.ndarray, most: int = 1024) -> np.ndarray:
-    projected = _project(net, own.inputs(net))
+def window_logits(net: dict, own: Words, first: np.ndarray, size: np.ndarray, most: int = 1024, block: int = 8192) -> np.ndarray:
+    """Logits of windows in the order of their first words; only the words of
+    ``block`` windows are projected at a time."""
+    x = own.inputs(net)
     out = [np.zeros(0, np.float32)]
-    for a in range(0, len(first), most):
-        out.append(_forward(net, projected, *_window_words(own.place, len(own.bucket), first[a:a + most], size[a:a + most])))
+    for i in range(0, len(first), block):
+        begin, many = first[i:i + block], size[i:i + block]
+        low = int(begin[0])
+        used, place = np.unique(own.place[low:int((begin + many).max())], return_inverse=True)
+        projected = _project(net, x[used])
+        for a in range(0, len(begin), most):
+            out.append(_forward(net, projected, *_window_words(place, len(used), begin[a:a + most] - low, many[a:a + most])))
     return np.concatenate(out)
 
 
@@ -285,11 +291,8 @@ def train(texts: list[str], labels: list[int], seed: int = 7, epochs: int = EPOC
     adam = _Adam(net, RATE)
     drawn = lambda: begin + (rng.random_sample(len(texts)) * many).astype(np.int64)
     for epoch in range(epochs):
-        seek = np.unique(np.concatenate([drawn() for _ in range(SEEK)])) if SEEK < many.max() else np.arange(len(doc))
-        if epoch:  # the highest of the windows looked at
-            logit = window_logits(net, own, first[seek], size[seek])
-            order = np.lexsort((-logit, doc[seek]))
-            top = seek[order[np.searchsorted(doc[seek][order], np.arange(len(texts)))]]
+        if epoch:  # the highest of all windows
+            top = np.lexsort((-window_logits(net, own, first, size), doc))[begin]
             chosen = np.concatenate([top, drawn()[label == 0]])
         else:
             chosen = np.concatenate([drawn(), drawn()])
@@ -300,8 +303,7 @@ def train(texts: list[str], labels: list[int], seed: int = 7, epochs: int = EPOC
             _, grads = gradients(net, own, first[w], size[w], label[doc[w]])
             adam.step(grads)
     if len(set(labels)) == 2:  # the cut-off goes midway between the classes' highest windows, where they are apart
-        logit = window_logits(net, own, first[seek], size[seek])
-        top = np.maximum.reduceat(logit, np.searchsorted(doc[seek], np.arange(len(texts))))
+        top = np.maximum.reduceat(window_logits(net, own, first, size), begin)
         clean, toxic = np.quantile(top[label == 0], 0.9995), np.quantile(top[label == 1], 0.01)
         if toxic > clean:
             net["bias"] = net["bias"] + np.float32(np.log(CUTOFF / (1 - CUTOFF)) - (clean + toxic) / 2)
@@ -323,15 +325,28 @@ def fold(doc_id: Column, n: int) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(n))
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> tuple[list[str], list[int]]:
-    """At most ``per_class`` labelled texts of each class, those with the
-    smallest hash of their id: bounded, so their ids may be broadcast."""
+def training_sample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
+    """``doc_id, text, toxic`` of at most ``per_class`` labelled texts of each
+    class, those with the smallest hash of their id: bounded, so their ids may
+    be broadcast."""
     rows = (labels.where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
             .withColumn("h", F.xxhash64("doc_id", F.lit(8))))
     chosen = [rows.where(F.col("toxic") == c).orderBy("h", "doc_id").limit(per_class) for c in (0, 1)]
-    found = docs.join(F.broadcast(chosen[0].union(chosen[1])), "doc_id").select("doc_id", "text", "toxic").collect()
-    found.sort(key=lambda r: (r.doc_id, r.text))
-    return [r.text for r in found], [r.toxic for r in found]
+    return docs.join(F.broadcast(chosen[0].union(chosen[1])), "doc_id").select("doc_id", "text", "toxic")
+
+
+def trained(sample: DataFrame) -> dict[str, np.ndarray]:
+    """The network of a sample.  One task has all its rows, which are bounded;
+    the driver only gets the network."""
+    schema = pa.schema([("net", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = sorted(row for b in batches for row in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "toxic"))))
+        net = train([text for _, text, _ in found], [toxic for _, _, toxic in found])
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(net)], pa.binary())], schema=schema)
+
+    nets = sample.repartition(1).mapInArrow(run, "net binary").collect()
+    return pickle.loads(nets[0].net) if nets else train([], [])
 
 
 def score_toxicity(docs: DataFrame, net: dict[str, np.ndarray]) -> DataFrame:
@@ -373,7 +388,7 @@ def fitted_network(docs: DataFrame, labels: DataFrame, folds: int | None = 3) ->
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     if folds:
         labels = labels.where(fold(F.col("doc_id"), folds) != 1)
-    return train(*training_sample(docs, labels))
+    return trained(training_sample(docs, labels))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:

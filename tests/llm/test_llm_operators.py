@@ -268,6 +268,23 @@ def test_toxicity_learns(spark):
     assert len(got) > 300 and sum(right) >= 0.93 * len(got), sum(right) / len(got)
 
 
+def test_toxicity_training_sees_every_window(monkeypatch):
+    """Each pass of the training, that of the cut-off included, scores all
+    windows of all texts, however long one is."""
+    from tessera.llm import toxicity as T
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice(["ab", "cd", "ef", "gh"]) for _ in range(n)) for n in (2000, 40, 5, 0, 700, 300)]
+    looked, scored = [], T.window_logits
+    monkeypatch.setattr(T, "window_logits", lambda net, own, first, size, **more: looked.append((first, size)) or scored(net, own, first, size, **more))
+    T.train(texts, [0, 1, 0, 1, 1, 0], epochs=3)
+    buf, offsets = T.utf8(pa.array(texts, pa.large_string()))
+    own = T.Words(buf, offsets)
+    first, size, _ = T.windows(own.bounds)
+    assert len(looked) == 3 and all(np.array_equal(f, first) and np.array_equal(s, size) for f, s in looked)
+    net = T.new_network(3)
+    assert np.allclose(scored(net, own, first, size), scored(net, own, first, size, most=7, block=20), atol=1e-5)
+
+
 def test_deep_shallow_order():
     from tessera.llm.substring_dedup import common, deep_shallow
     rng = random.Random(7)
