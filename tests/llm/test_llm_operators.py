@@ -285,6 +285,14 @@ def test_toxicity_training_sees_every_window(monkeypatch):
     assert np.allclose(scored(net, own, first, size), scored(net, own, first, size, most=7, block=20), atol=1e-5)
 
 
+def test_toxicity_sample_size(spark):
+    """2,000 labelled texts of each class are learned from."""
+    from tessera.llm.toxicity import training_sample
+    docs = spark.range(5000).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"))
+    sample = training_sample(docs, docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic")))
+    assert {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()} == {0: 2000, 1: 2000}
+
+
 def test_deep_shallow_order():
     from tessera.llm.substring_dedup import common, deep_shallow
     rng = random.Random(7)
