@@ -175,38 +175,38 @@ def _key_rows(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, _LINE_KEYS)
 
 
-def _shared_keys(keys: DataFrame) -> DataFrame:
-    """The rows whose key (but for the last bit) several ids have.  Rows come
-    sorted, so this compares neighbours and holds one batch."""
+def _shared_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows (``key, id, kind``, sorted) whose key several ids have.  The
+    rows of one id and key share what one of them shares; those that end a
+    batch are held until the next shows what follows."""
     schema = pa.schema([("key", pa.int64()), ("id", pa.int64()), ("kind", pa.int32())])
+    held = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)]
+    held_shared = False  # with an id before them
+    for b in batches:
+        if not b.num_rows:
+            continue
+        key, ids, kind = (np.concatenate([h, b.column(c).to_numpy()]) for h, c in zip(held, schema.names))
+        new = np.append(True, (key[1:] != key[:-1]) | (ids[1:] != ids[:-1]))
+        first = np.flatnonzero(new)
+        shared = np.zeros(len(first), bool)
+        shared[0] = held_shared
+        same = key[first[1:]] == key[first[:-1]]
+        shared[1:] |= same
+        shared[:-1] |= same
+        last = first[-1]
+        keep = shared[np.cumsum(new) - 1][:last]
+        held, held_shared = [x[last:].copy() for x in (key, ids, kind)], bool(shared[-1])
+        yield pa.RecordBatch.from_arrays([pa.array(x[:last][keep]) for x in (key, ids, kind)], schema=schema)
+    if held_shared:
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], schema=schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple | None = None  # the last row, and whether it is known to be shared
-        for b in batches:
-            key, ids, kind = (b.column(c).to_numpy() for c in ("key", "id", "kind"))
-            if not len(key):
-                continue
-            shared = np.zeros(len(key), bool)
-            same = (key[1:] == key[:-1]) & (ids[1:] != ids[:-1])
-            shared[1:] |= same
-            shared[:-1] |= same
-            if held:
-                joined = held[0] == key[0] and held[1] != ids[0]
-                shared[0] |= joined
-                if held[3] or joined:
-                    yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(held[:3], schema.types)], schema=schema)
-            # rows of one id and key (its segment and its probe) share what one of them shares
-            group = np.concatenate([[0], np.cumsum((key[1:] != key[:-1]) | (ids[1:] != ids[:-1]))])
-            shared = (np.bincount(group, shared) > 0)[group]
-            held = (int(key[-1]), int(ids[-1]), int(kind[-1]), bool(shared[-1]))
-            keep = shared[:-1]
-            yield pa.RecordBatch.from_arrays([pa.array(key[:-1][keep]), pa.array(ids[:-1][keep]), pa.array(kind[:-1][keep])], schema=schema)
-        if held and held[3]:
-            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(held[:3], schema.types)], schema=schema)
 
+def _shared_keys(keys: DataFrame) -> DataFrame:
+    """The rows whose key (but for the last bit) several ids have.  Rows come
+    sorted, so this compares neighbours and holds one batch."""
     # the whole of a key's rows meet in one task, which only streams through them
     rows = keys.select(F.shiftright("key", 1).alias("key"), "id", F.col("key").bitwiseAND(1).cast("int").alias("kind"))
-    return rows.repartition("key").sortWithinPartitions("key", "id", "kind").mapInArrow(run, "key long, id long, kind int")
+    return rows.repartition("key").sortWithinPartitions("key", "id", "kind").mapInArrow(_shared_rows, "key long, id long, kind int")
 
 
 def _line_rows(docs: DataFrame) -> DataFrame:

@@ -231,6 +231,18 @@ def test_line_classes_equal_all_pairs(spark):
     assert got == {i: want[i] for i, _ in docs}
 
 
+def test_shared_keys_over_batch_edges():
+    from tessera.llm.line_dedup import _shared_rows
+    rng = random.Random(14)
+    for turn in range(300):
+        rows = sorted((rng.randint(0, 3), rng.randint(0, 3), rng.randint(0, 1)) for _ in range(rng.randint(0, 14)))
+        want = [r for r in rows if len({i for k, i, _ in rows if k == r[0]}) > 1]
+        for size in (1, 2, 3, 20):
+            batches = [pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[a:a + size]), (pa.int64(), pa.int64(), pa.int32()))], names=["key", "id", "kind"])
+                       for a in range(0, len(rows), size)]
+            assert [tuple(r.values()) for b in _shared_rows(iter(batches)) for r in b.to_pylist()] == want
+
+
 def test_toxicity_gradients():
     from tessera.llm import toxicity as X
     from tessera.llm.textnum import utf8
