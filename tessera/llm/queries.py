@@ -119,10 +119,58 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").where("quality = 1"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.whitening import whiten
+    out = whiten(table(spark, sf_dir, "embeddings"))
+    # the exact deviation outgrows a long from some millions of vectors on: null there, whole in the last column
+    return out.select("vec_id", "component", "n", F.expr("try_cast(deviation AS BIGINT)").alias("deviation"), "whitened", "explained", "identity_error",
+                      F.col("deviation").alias("deviation_exact"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from tessera.llm.alignment import align
+    with open(public_tokenizers.path("byte_bpe_50k.json"), "rb") as a, open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as b:
+        return align(table(spark, sf_dir, "documents"), a.read(), b.read())
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.decontamination import decontaminate
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r,
+         coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM documents
+), b AS (
+  SELECT item_id::VARCHAR AS item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS s
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)
+), grams AS (
+  SELECT r, i, k, array_to_string(w[i:i + k - 1], ' ') AS s
+  FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM windows))
+), hits AS (
+  SELECT r, i, k, item_id FROM grams JOIN windows USING (k, s)
+), words AS (
+  SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + k)) AS p FROM hits) GROUP BY r
+), items AS (
+  SELECT r, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS ids FROM hits GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_near_dedup, op2_url_filter, op3_mix_sources, op4_exact_dedup, op5_quality_rules, op6_hmm_scores, op7_line_dedup, op8_toxicity, op9_substring_dedup, op10_sentencepiece)
+    f.__name__: f for f in (op1_near_dedup, op2_url_filter, op3_mix_sources, op4_exact_dedup, op5_quality_rules, op6_hmm_scores, op7_line_dedup, op8_toxicity, op9_substring_dedup, op10_sentencepiece,
+                           op11_whitening, op12_alignment, op13_decontamination)
 } | {"pipeline": corpus_pipeline.run}
-ORACLES = {"op2_url_filter": OP2_SQL, "op3_mix_sources": OP3_SQL, "op4_exact_dedup": OP4_SQL}
+ORACLES = {"op2_url_filter": OP2_SQL, "op3_mix_sources": OP3_SQL, "op4_exact_dedup": OP4_SQL, "op13_decontamination": OP13_SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -10,13 +10,13 @@ SF = "/root/testdata/sf0.001"
 
 def test_all_registered():
     names = set(E.queries())
-    assert {f"op{n}" for n in range(1, 11)} <= {x.split("_")[0] for x in names} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} <= {x.split("_")[0] for x in names} and "pipeline" in names
 
 
 @pytest.mark.parametrize("name", sorted(Q.oracle_sql()))
 def test_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "labels"):
+    for t in ("documents", "pages", "labels", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     want = con.sql(Q.oracle_sql()[name])
     got = Q.queries()[name](spark, SF)
