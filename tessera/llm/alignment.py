@@ -16,6 +16,7 @@ pairs, a bounded number, in memory, and all others by a join.
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,13 +32,34 @@ from tessera.llm.textnum import blocks, utf8
 #: Pairs of ids whose counts every task holds; the others are joined.
 FREQUENT = 1 << 20
 #: Pairs a task adds up before it hands them on, and tokens aligned at once.
-HELD, TOKENS = 1 << 20, 1 << 18
+HELD, TOKENS = 1 << 20, 1 << 17
+#: Bytes of text encoded at once, and the longest run without a space (or of spaces) that the rank merger takes: its time grows with the square of a run.
+TEXT, RUN = 1 << 18, 4096
 #: A (document, end) key holds the end in its low bits; a text is under 2 GiB.
 END_BITS = 32
 
 
+#: Fixed value: how the byte-level files split text before their merges.
+BYTE_LEVEL_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+
+
+def _longest_run(raw: bytes) -> int:
+    """Bytes of the longest run of white space, or of anything else."""
+    change = np.flatnonzero(np.diff(_SPACE[np.frombuffer(raw, np.uint8)], prepend=False, append=False))
+    return max(int(np.diff(change, prepend=0, append=len(raw)).max(initial=0)), 0)
+
+
 class Vocabularies:
-    """Both tokenizers and the bytes of their tokens, from the files' contents."""
+    """Both tokenizers and the bytes of their tokens, from the files' contents.
+
+    Where the merges of the byte-level file are in the order of the ids they
+    make, as they are when it was trained in one go, merging the pair of the
+    least id gives the same ids as its merge list, so the faster rank merger
+    is used; texts with very long runs, and other files, go to the file's own
+    tokenizer."""
 
     def __init__(self, byte_level: bytes, pieces: bytes):
         import os
@@ -52,24 +74,44 @@ class Vocabularies:
         byte = {c: b for b, c in letter.items()}
         size = self.a.get_vocab_size(with_added_tokens=True)
         names = [self.a.id_to_token(i) or "" for i in range(size)]
-        self.a_bytes = pa.array([bytes(byte[c] for c in x) if all(c in byte for c in x) else x.encode() for x in names], pa.binary())
+        a_bytes = [bytes(byte[c] for c in x) if all(c in byte for c in x) else x.encode() for x in names]
+        self.a_bytes = pa.array(a_bytes, pa.binary())
         self.b_bytes = pa.array([bytes([int(p[1:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                                  for i, p in enumerate(map(self.b.id_to_piece, range(self.b.get_piece_size())))], pa.binary())
+        self.ranks = self._rank_merger(json.loads(byte_level), names, a_bytes)
+
+    @staticmethod
+    def _rank_merger(file: dict, names: list[str], a_bytes: list[bytes]):
+        merges = [m.split(" ") if isinstance(m, str) else m for m in file["model"].get("merges", [])]
+        added = {t["id"] for t in file.get("added_tokens", [])}
+        splits = file.get("pre_tokenizer") or {}
+        if (splits.get("type") != "ByteLevel" or splits.get("add_prefix_space") or not splits.get("use_regex", True) or file.get("normalizer")
+                or any(len(x) != 1 for x in a_bytes[:256]) or [names[256 + k] for k in range(len(merges))] != ["".join(m) for m in merges] or added - {256 + len(merges)}):
+            return None
+        import tiktoken
+        return tiktoken.Encoding("ids", pat_str=BYTE_LEVEL_SPLIT, mergeable_ranks={x: i for i, x in enumerate(a_bytes[:256 + len(merges)])}, special_tokens={})
+
+    def _byte_level(self, texts: list[str], wanted: list[bytes]) -> pa.ListArray:
+        ids = []
+        for t, raw in zip(texts, wanted):
+            fast = self.ranks is not None and _longest_run(raw) <= RUN
+            ids.append(self.ranks.encode_to_numpy(t) if fast else np.array(self.a.encode(t, add_special_tokens=False).ids, np.uint32))
+        bounds = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate([np.zeros(0, np.uint32), *ids]).astype(np.int32)))
 
     def encode(self, texts: list[str]) -> tuple[pa.ListArray, pa.ListArray]:
         """Ids of both tokenizers for texts with their leading space."""
-        kind = pa.list_(pa.int32())
-        a = pa.array([e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)], kind)
-        b = pa.array(self.b.encode(texts, num_threads=1), kind)
-        same = np.array([len(t) > 0 for t in texts], bool)
         wanted = [b" " + t.encode() for t in texts]
+        a = self._byte_level([" " + t for t in texts], wanted)
+        b = pa.array(self.b.encode(texts, num_threads=1), a.type)
+        same = np.array([len(t) > 0 for t in texts], bool)
         for ids, table in ((a, self.a_bytes), (b, self.b_bytes)):
             bounds = ids.offsets.to_numpy()
             joined, places = utf8(table.take(ids.flatten()))
             joined, places = joined.tobytes(), places[bounds].tolist()
             same &= [joined[low:high] == w for low, high, w in zip(places, places[1:], wanted)]
         keep = pa.array(same)
-        return tuple(pc.if_else(keep, x, pa.scalar([], kind)) for x in (a, b))
+        return tuple(pc.if_else(keep, x, pa.scalar([], a.type)) for x in (a, b))
 
 
 # -- a block of documents -------------------------------------------------------
@@ -130,7 +172,7 @@ def encoded(docs: DataFrame, byte_level: bytes, pieces: bytes) -> DataFrame:
         both, serial = Vocabularies(*shared.value), TaskContext.get().partitionId() << 33
         for batch in batches:
             _, offsets = utf8(batch.column("text"))
-            for i, j in blocks(offsets):
+            for i, j in blocks(offsets, TEXT):
                 a, b = both.encode([t or "" for t in batch.column("text")[i:j].to_pylist()])
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(serial, serial + j - i)), batch.column("doc_id")[i:j], a, b], schema=schema)
                 serial += j - i
@@ -145,6 +187,7 @@ def _aligned(batches: Iterator[pa.RecordBatch], a_length: pa.Array, b_length: pa
             part = batch.slice(i, j - i)
             a, b = (pa.concat_arrays([part.column(c)]) for c in ("a", "b"))
             yield part, a, b, links(a, b, a_length, b_length)
+            pa.default_memory_pool().release_unused()
 
 
 def _coded(table: pa.Table, b_size: int) -> pa.Array:
