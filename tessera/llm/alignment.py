@@ -9,7 +9,7 @@ either, so it lies in exactly one token of each, and rows and overlapping
 pairs of tokens are the same thing.  Rows where both end close a group.
 
 Pairs of ids are counted per task with a grouped table and added up by Spark.
-A document's pairs then look their corpus-wide counts up: the most frequent
+In a second pass a document's pairs look their corpus-wide counts up: the most frequent
 pairs, a bounded number, in memory, and all others by a join.
 """
 
@@ -31,8 +31,8 @@ from tessera.llm.textnum import blocks, utf8
 
 #: Pairs of ids whose counts every task holds; the others are joined.
 FREQUENT = 1 << 20
-#: Pairs a task adds up before it hands them on, and tokens aligned at once.
-HELD, TOKENS = 1 << 20, 1 << 17
+#: Pairs a task adds up before it hands them on, and links looked up at once.
+HELD, LINKS = 1 << 19, 1 << 18
 #: Bytes of text encoded at once, and the longest run without a space (or of spaces) that the rank merger takes: its time grows with the square of a run.
 TEXT, RUN = 1 << 18, 4096
 #: A (document, end) key holds the end in its low bits; a text is under 2 GiB.
@@ -95,7 +95,7 @@ class Vocabularies:
         ids = []
         for t, raw in zip(texts, wanted):
             fast = self.ranks is not None and _longest_run(raw) <= RUN
-            ids.append(self.ranks.encode_to_numpy(t) if fast else np.array(self.a.encode(t, add_special_tokens=False).ids, np.uint32))
+            ids.append(self.ranks.encode_to_numpy(t, disallowed_special=()) if fast else np.array(self.a.encode(t, add_special_tokens=False).ids, np.uint32))
         bounds = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate([np.zeros(0, np.uint32), *ids]).astype(np.int32)))
 
@@ -161,92 +161,91 @@ def group_texts(a: pa.ListArray, b: pa.ListArray, table: pa.Table, pool: pa.Arra
 
 
 # -- on a table -------------------------------------------------------------------
-def encoded(docs: DataFrame, byte_level: bytes, pieces: bytes) -> DataFrame:
-    """``row, doc_id, a, b``: ids of both tokenizers; empty where a text has no
-    tokens.  ``row`` is unique."""
+def _coded(a_id: pa.Array, b_id: pa.Array, b_size: int) -> pa.Array:
+    """One number for a pair of ids."""
+    return pc.add(pc.multiply(a_id.cast(pa.int64()), b_size), b_id.cast(pa.int64()))
+
+
+def _per_document(values: pa.Array, counts: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), values)
+
+
+def aligned(docs: DataFrame, byte_level: bytes, pieces: bytes) -> DataFrame:
+    """One row per document: ``row`` (unique), ``doc_id``, the ids ``a`` and
+    ``b``, which side ends at each link (``ends``: bit 0 A, bit 1 B), the
+    counts and the digest of its groups.  Rows without ``row`` hold what a
+    task counted: ``codes`` of pairs of ids and on how many links they are."""
     shared = docs.sparkSession.sparkContext.broadcast((byte_level, pieces))
-    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("a", pa.list_(pa.int32())), ("b", pa.list_(pa.int32()))])
+    ids, longs = pa.list_(pa.int32()), pa.list_(pa.int64())
+    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("a", ids), ("b", ids), ("ends", pa.list_(pa.int8())), ("n_groups", pa.int64()), ("groups_sha256", pa.string()),
+                        ("codes", longs), ("times", longs)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         both, serial = Vocabularies(*shared.value), TaskContext.get().partitionId() << 33
+        lengths = [pc.binary_length(x).cast(pa.int64()) for x in (both.a_bytes, both.b_bytes)]
+        a_size, b_size = map(len, lengths)
+        pool = pa.array(_written_ids(a_size, "|") + _written_ids(b_size, ";"), pa.large_string())
+        empty = pa.table({"code": pa.array([], pa.int64()), "c": pa.array([], pa.int64())})
+        held = empty
+
+        def counted() -> pa.RecordBatch:
+            own = held.combine_chunks()
+            return pa.RecordBatch.from_arrays([*(pa.nulls(1, f.type) for f in list(schema)[:-2]), *(_per_document(pa.concat_arrays([*c.chunks, pa.array([], pa.int64())]), [len(own)]) for c in own.columns)], schema=schema)
+
         for batch in batches:
             _, offsets = utf8(batch.column("text"))
             for i, j in blocks(offsets, TEXT):
                 a, b = both.encode([t or "" for t in batch.column("text")[i:j].to_pylist()])
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(serial, serial + j - i)), batch.column("doc_id")[i:j], a, b], schema=schema)
+                table = links(a, b, *lengths)
+                doc, a_ends, b_ends = (table[c].to_numpy() for c in ("doc", "a_ends", "b_ends"))
+                text, places = group_texts(a, b, table, pool, a_size)
+                digests = [hashlib.sha256(text[low:high - 1]).hexdigest() if high > low else "" for low, high in zip(places.tolist(), places[1:].tolist())]
+                ends = pa.array(a_ends.astype(np.int8) | (b_ends.astype(np.int8) << 1))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.arange(serial, serial + j - i)), batch.column("doc_id")[i:j], a, b, _per_document(ends, np.bincount(doc, minlength=j - i)),
+                    pa.array(np.bincount(doc[a_ends & b_ends], minlength=j - i).astype(np.int64)), pa.array(digests, pa.string()), pa.nulls(j - i, longs), pa.nulls(j - i, longs)], schema=schema)
                 serial += j - i
+                more = pa.table({"code": _coded(table["a_id"], table["b_id"], b_size)}).group_by("code", use_threads=False).aggregate([([], "count_all")]).rename_columns(["code", "c"])
+                held = pa.concat_tables([held, more]).group_by("code", use_threads=False).aggregate([("c", "sum")]).rename_columns(["code", "c"])
+                if len(held) > HELD:
+                    yield counted()
+                    held = empty
+                pa.default_memory_pool().release_unused()
+        yield counted()
 
-    return docs.mapInArrow(run, "row long, doc_id long, a array<int>, b array<int>")
-
+    return docs.mapInArrow(run, "row long, doc_id long, a array<int>, b array<int>, ends array<tinyint>, n_groups long, groups_sha256 string, codes array<long>, times array<long>")
 
-def _aligned(batches: Iterator[pa.RecordBatch], a_length: pa.Array, b_length: pa.Array) -> Iterator[tuple[pa.RecordBatch, pa.ListArray, pa.ListArray, pa.Table]]:
-    """Rows of at most about TOKENS tokens (or one row), and their links."""
-    for batch in batches:
-        for i, j in blocks(np.concatenate([[0], np.cumsum(pc.list_value_length(batch.column("a")).to_numpy())]), TOKENS):
-            part = batch.slice(i, j - i)
-            a, b = (pa.concat_arrays([part.column(c)]) for c in ("a", "b"))
-            yield part, a, b, links(a, b, a_length, b_length)
-            pa.default_memory_pool().release_unused()
 
-
-def _coded(table: pa.Table, b_size: int) -> pa.Array:
-    """One number for a pair of ids."""
-    return pc.add(pc.multiply(table["a_id"].cast(pa.int64()), b_size), table["b_id"].cast(pa.int64()))
-
-
-def pair_counts(rows: DataFrame, a_length: np.ndarray, b_length: np.ndarray) -> DataFrame:
-    """``code, c``: on how many links of the table a pair of ids occurs."""
-    schema = pa.schema([("code", pa.int64()), ("c", pa.int64())])
-    shared = rows.sparkSession.sparkContext.broadcast((a_length, b_length))
-
-    def grouped(parts: list[pa.Table]) -> pa.Table:
-        return pa.concat_tables(parts).group_by("code", use_threads=False).aggregate([("c", "sum")]).rename_columns(["code", "c"])
+def _known_counts(rows: DataFrame, shared) -> DataFrame:
+    """Per row its counts, what the frequent pairs contribute, and the codes
+    and numbers of its other pairs."""
+    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()), ("n_links", pa.int64()), ("groups_sha256", pa.string()),
+                        ("best_known", pa.int64()), ("sum_known", pa.int64()), ("codes", pa.list_(pa.int64())), ("times", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lengths = [pa.array(x) for x in shared.value]
-        held = schema.empty_table()
-        for _, _, _, table in _aligned(batches, *lengths):
-            code = _coded(table, len(lengths[1]))
-            held = grouped([held, pa.table({"code": code, "c": pa.array(np.ones(len(code), np.int64))})])
-            if len(held) > HELD:
-                yield from held.cast(schema).to_batches()
-                held = schema.empty_table()
-        yield from held.cast(schema).to_batches()
-
-    return rows.select("a", "b").mapInArrow(run, "code long, c long").groupBy("code").agg(F.sum("c").alias("c"))
-
-
-def _summaries(rows: DataFrame, shared) -> DataFrame:
-    """Per row its counts, what the frequent pairs contribute, the digest, and
-    the codes and numbers of its other pairs."""
-    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), *((c, pa.int64()) for c in ("n_a", "n_b", "n_groups", "n_links", "best_known", "sum_known")),
-                        ("groups_sha256", pa.string()), ("codes", pa.list_(pa.int64())), ("times", pa.list_(pa.int64()))])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a_length, b_length, code, c, best = shared.value
-        lengths = [pa.array(a_length), pa.array(b_length)]
-        pool = pa.array(_written_ids(len(a_length), "|") + _written_ids(len(b_length), ";"), pa.large_string())
-        for part, a, b, table in _aligned(batches, *lengths):
-            n = part.num_rows
-            doc = table["doc"].to_numpy()
-            pair = _coded(table, len(b_length)).to_numpy()
-            at = np.minimum(np.searchsorted(code, pair), max(len(code) - 1, 0))
-            hit = code[at] == pair if len(code) else np.zeros(len(pair), bool)
-            count = np.where(hit, c[at], 0) if len(code) else np.zeros(len(pair), np.int64)
-            total = np.zeros(n, np.int64)
-            np.add.at(total, doc, count)
-            other = pa.table({"doc": doc[~hit], "code": pair[~hit]}).group_by(["doc", "code"], use_threads=False).aggregate([([], "count_all")]).sort_by("doc").combine_chunks()
-            bounds = pa.array(np.searchsorted(other["doc"].to_numpy(), np.arange(n + 1)).astype(np.int32))
-            text, places = group_texts(a, b, table, pool, len(a_length))
-            digests = [hashlib.sha256(text[low:high - 1]).hexdigest() if high > low else "" for low, high in zip(places.tolist(), places[1:].tolist())]
-            per_doc = lambda rows: pa.array(np.bincount(doc[rows], minlength=n).astype(np.int64))
-            yield pa.RecordBatch.from_arrays([
-                part.column("row"), part.column("doc_id"), pc.list_value_length(a).cast(pa.int64()), pc.list_value_length(b).cast(pa.int64()),
-                per_doc(table["a_ends"].to_numpy() & table["b_ends"].to_numpy()), per_doc(slice(None)), per_doc(hit & (count == best[pair % len(b_length)])), pa.array(total), pa.array(digests, pa.string()),
-                *(pa.ListArray.from_arrays(bounds, x.combine_chunks().cast(pa.int64())) for x in (other["code"], other["count_all"]))], schema=schema)
-
-    return rows.mapInArrow(run, "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, best_known long, sum_known long, groups_sha256 string, codes array<long>, times array<long>")
+        b_size, code, c, best = shared.value
+        for batch in batches:
+            for i, j in blocks(np.concatenate([[0], np.cumsum(pc.list_value_length(batch.column("ends")).to_numpy())]), LINKS):
+                n, part = j - i, batch.slice(i, j - i)
+                a, b, ends = (part.column(x).flatten().to_numpy(zero_copy_only=False) for x in ("a", "b", "ends"))
+                bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(part.column("ends")).to_numpy())])
+                in_a, in_b = (np.cumsum(bit) - bit for bit in (ends & 1, (ends >> 1) & 1))
+                pair, where = np.unique(a[in_a].astype(np.int64) * b_size + b[in_b], return_inverse=True)
+                at = np.minimum(np.searchsorted(code, pair), max(len(code) - 1, 0))
+                hit = code[at] == pair if len(code) else np.zeros(len(pair), bool)
+                count = np.where(hit, c[at], 0) if len(code) else np.zeros(len(pair), np.int64)
+                totals = lambda x: np.diff(np.concatenate([[0], np.cumsum(x[where])])[bounds]).astype(np.int64)
+                doc, other = np.repeat(np.arange(n), np.diff(bounds)), ~hit[where]
+                rare = pa.table({"doc": doc[other], "code": pair[where[other]]}).group_by(["doc", "code"], use_threads=False).aggregate([([], "count_all")]).sort_by("doc").combine_chunks()
+                each = np.bincount(rare["doc"].to_numpy(), minlength=n)
+                yield pa.RecordBatch.from_arrays([
+                    part.column("row"), part.column("doc_id"), *(pc.list_value_length(part.column(x)).cast(pa.int64()) for x in ("a", "b")), part.column("n_groups"),
+                    pa.array(np.diff(bounds).astype(np.int64)), part.column("groups_sha256"), pa.array(totals((hit & (count == best[pair % b_size])).astype(np.int64))), pa.array(totals(count)),
+                    *(_per_document(pa.concat_arrays([*x.cast(pa.int64()).chunks, pa.array([], pa.int64())]), each) for x in (rare["code"], rare["count_all"]))], schema=schema)
+
+    return rows.select("row", "doc_id", "a", "b", "ends", "n_groups", "groups_sha256").mapInArrow(
+        run, "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, best_known long, sum_known long, codes array<long>, times array<long>")
 
 
 def align(docs: DataFrame, byte_level: bytes, pieces: bytes, frequent: int = FREQUENT) -> DataFrame:
@@ -265,23 +264,23 @@ def align(docs: DataFrame, byte_level: bytes, pieces: bytes, frequent: int = FRE
     table gives no rows.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    both = Vocabularies(byte_level, pieces)
-    lengths = [pc.binary_length(x).cast(pa.int64()).to_numpy() for x in (both.a_bytes, both.b_bytes)]
-    b_size = len(lengths[1])
-    rows = written(encoded(docs, byte_level, pieces))
-    counts = written(pair_counts(rows, *lengths))
+    b_size = len(Vocabularies(byte_level, pieces).b_bytes)
+    found = written(aligned(docs, byte_level, pieces))
+    rows = found.where("row is not null")
+    unzipped = lambda df, *keep: df.select(*keep, F.explode(F.arrays_zip("codes", "times")).alias("x")).select(*keep, F.col("x.codes").alias("code"), F.col("x.times").alias("times"))
+    counts = written(unzipped(found.where("row is null")).groupBy("code").agg(F.sum("times").alias("c")))
     # one row for each id of B: bounded by its vocabulary
-    highest = counts.groupBy((F.col("code") % b_size).alias("b")).agg(F.max("c").alias("best"))
+    highest = counts.groupBy((F.col("code") % b_size).alias("b")).agg(F.max("c").alias("most"))
     best = np.zeros(b_size, np.int64)
     for r in highest.collect():
-        best[r.b] = r.best
+        best[r.b] = r.most
     code, c = _frequent(counts, frequent)
-    shared = docs.sparkSession.sparkContext.broadcast((*lengths, code.view(np.int64), c, best))
-    parts = written(_summaries(rows, shared))
+    shared = docs.sparkSession.sparkContext.broadcast((b_size, code.view(np.int64), c, best))
+    known = written(_known_counts(rows, shared))
     # the counts of all other pairs come by a join
-    rare = parts.select("row", F.explode(F.arrays_zip("codes", "times")).alias("x")).select("row", F.col("x.codes").alias("code"), F.col("x.times").alias("times"))
-    top = counts.join(F.broadcast(highest.withColumnRenamed("best", "most")), F.col("code") % b_size == F.col("b")).select("code", "c", (F.col("c") == F.col("most")).cast("long").alias("top"))
-    rare = rare.join(top, "code").groupBy("row").agg(F.sum(F.col("times") * F.col("c")).alias("sum_rare"), F.sum(F.col("times") * F.col("top")).alias("best_rare"))
+    top = counts.join(F.broadcast(highest), F.col("code") % b_size == F.col("b")).select("code", "c", (F.col("c") == F.col("most")).cast("long").alias("top"))
+    rare = unzipped(known, "row").join(top, "code").groupBy("row").agg(F.sum(F.col("times") * F.col("c")).alias("sum_rare"), F.sum(F.col("times") * F.col("top")).alias("best_rare"))
     zero = F.lit(0).cast("long")
-    return parts.join(rare, "row", "left").select("doc_id", "n_a", "n_b", "n_groups", "n_links", (F.col("best_known") + F.coalesce("best_rare", zero)).alias("n_best"),
-                                                  (F.col("sum_known") + F.coalesce("sum_rare", zero)).alias("count_sum"), "groups_sha256")
+    return known.join(rare, "row", "left").select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", (F.col("best_known") + F.coalesce("best_rare", zero)).alias("n_best"),
+        (F.col("sum_known") + F.coalesce("sum_rare", zero)).alias("count_sum"), "groups_sha256")
