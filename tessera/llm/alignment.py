@@ -170,14 +170,31 @@ def _per_document(values: pa.Array, counts: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), values)
 
 
+def _packed(values: np.ndarray, counts: np.ndarray, kind: type) -> pa.Array:
+    """Numbers of each document as bytes, which Spark moves without a look at
+    every number."""
+    bounds = np.concatenate([[0], np.cumsum(counts)]) * np.dtype(kind).itemsize
+    return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(bounds.astype(np.int32).tobytes()), pa.py_buffer(values.astype(kind).tobytes())])
+
+
+def _unpacked(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of a packed column, and the n+1 offsets of its rows."""
+    buf, bounds = utf8(column)
+    return np.frombuffer(buf.tobytes(), kind), bounds // np.dtype(kind).itemsize
+
+
+def _id_kind(size: int) -> type:
+    return np.uint16 if size <= 1 << 16 else np.uint32
+
+
 def aligned(docs: DataFrame, byte_level: bytes, pieces: bytes) -> DataFrame:
     """One row per document: ``row`` (unique), ``doc_id``, the ids ``a`` and
-    ``b``, which side ends at each link (``ends``: bit 0 A, bit 1 B), the
-    counts and the digest of its groups.  Rows without ``row`` hold what a
+    ``b``, which side ends at each link (``ends``: bit 0 A, bit 1 B), all three
+    packed; the number and the digest of its groups.  Rows without ``row`` hold what a
     task counted: ``codes`` of pairs of ids and on how many links they are."""
     shared = docs.sparkSession.sparkContext.broadcast((byte_level, pieces))
-    ids, longs = pa.list_(pa.int32()), pa.list_(pa.int64())
-    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("a", ids), ("b", ids), ("ends", pa.list_(pa.int8())), ("n_groups", pa.int64()), ("groups_sha256", pa.string()),
+    longs = pa.list_(pa.int64())
+    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("a", pa.binary()), ("b", pa.binary()), ("ends", pa.binary()), ("n_groups", pa.int64()), ("groups_sha256", pa.string()),
                         ("codes", longs), ("times", longs)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,11 +203,12 @@ def aligned(docs: DataFrame, byte_level: bytes, pieces: bytes) -> DataFrame:
         lengths = [pc.binary_length(x).cast(pa.int64()) for x in (both.a_bytes, both.b_bytes)]
         a_size, b_size = map(len, lengths)
         pool = pa.array(_written_ids(a_size, "|") + _written_ids(b_size, ";"), pa.large_string())
-        empty = pa.table({"code": pa.array([], pa.int64()), "c": pa.array([], pa.int64())})
-        held = empty
+        held = [pa.table({"code": pa.array([], pa.int64()), "c": pa.array([], pa.int64())})]
+
+        def added_up() -> pa.Table:
+            return pa.concat_tables(held).group_by("code", use_threads=False).aggregate([("c", "sum")]).rename_columns(["code", "c"]).combine_chunks()
 
-        def counted() -> pa.RecordBatch:
-            own = held.combine_chunks()
+        def counted(own: pa.Table) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([*(pa.nulls(1, f.type) for f in list(schema)[:-2]), *(_per_document(pa.concat_arrays([*c.chunks, pa.array([], pa.int64())]), [len(own)]) for c in own.columns)], schema=schema)
 
         for batch in batches:
@@ -201,20 +219,23 @@ def aligned(docs: DataFrame, byte_level: bytes, pieces: bytes) -> DataFrame:
                 doc, a_ends, b_ends = (table[c].to_numpy() for c in ("doc", "a_ends", "b_ends"))
                 text, places = group_texts(a, b, table, pool, a_size)
                 digests = [hashlib.sha256(text[low:high - 1]).hexdigest() if high > low else "" for low, high in zip(places.tolist(), places[1:].tolist())]
-                ends = pa.array(a_ends.astype(np.int8) | (b_ends.astype(np.int8) << 1))
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.arange(serial, serial + j - i)), batch.column("doc_id")[i:j], a, b, _per_document(ends, np.bincount(doc, minlength=j - i)),
+                    pa.array(np.arange(serial, serial + j - i)), batch.column("doc_id")[i:j],
+                    *(_packed(x.flatten().to_numpy(zero_copy_only=False), pc.list_value_length(x).to_numpy(), _id_kind(n)) for x, n in ((a, a_size), (b, b_size))),
+                    _packed(a_ends + 2 * b_ends.astype(np.uint8), np.bincount(doc, minlength=j - i), np.uint8),
                     pa.array(np.bincount(doc[a_ends & b_ends], minlength=j - i).astype(np.int64)), pa.array(digests, pa.string()), pa.nulls(j - i, longs), pa.nulls(j - i, longs)], schema=schema)
                 serial += j - i
                 more = pa.table({"code": _coded(table["a_id"], table["b_id"], b_size)}).group_by("code", use_threads=False).aggregate([([], "count_all")]).rename_columns(["code", "c"])
-                held = pa.concat_tables([held, more]).group_by("code", use_threads=False).aggregate([("c", "sum")]).rename_columns(["code", "c"])
-                if len(held) > HELD:
-                    yield counted()
-                    held = empty
+                held.append(more)
+                if sum(map(len, held)) > HELD:
+                    held[:] = [added_up()]
+                    if len(held[0]) > HELD // 2:
+                        yield counted(held[0])
+                        held[0] = held[0].slice(0, 0)
                 pa.default_memory_pool().release_unused()
-        yield counted()
+        yield counted(added_up())
 
-    return docs.mapInArrow(run, "row long, doc_id long, a array<int>, b array<int>, ends array<tinyint>, n_groups long, groups_sha256 string, codes array<long>, times array<long>")
+    return docs.mapInArrow(run, "row long, doc_id long, a binary, b binary, ends binary, n_groups long, groups_sha256 string, codes array<long>, times array<long>")
 
 
 def _known_counts(rows: DataFrame, shared) -> DataFrame:
@@ -224,13 +245,12 @@ def _known_counts(rows: DataFrame, shared) -> DataFrame:
                         ("best_known", pa.int64()), ("sum_known", pa.int64()), ("codes", pa.list_(pa.int64())), ("times", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        b_size, code, c, best = shared.value
+        a_size, b_size, code, c, best = shared.value
         for batch in batches:
-            for i, j in blocks(np.concatenate([[0], np.cumsum(pc.list_value_length(batch.column("ends")).to_numpy())]), LINKS):
+            for i, j in blocks(utf8(batch.column("ends"))[1], LINKS):
                 n, part = j - i, batch.slice(i, j - i)
-                a, b, ends = (part.column(x).flatten().to_numpy(zero_copy_only=False) for x in ("a", "b", "ends"))
-                bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(part.column("ends")).to_numpy())])
-                in_a, in_b = (np.cumsum(bit) - bit for bit in (ends & 1, (ends >> 1) & 1))
+                (a, a_bounds), (b, b_bounds), (ends, bounds) = (_unpacked(part.column(x), kind) for x, kind in (("a", _id_kind(a_size)), ("b", _id_kind(b_size)), ("ends", np.uint8)))
+                in_a, in_b = (np.cumsum(bit, dtype=np.int64) - bit for bit in (ends & 1, ends >> 1))
                 pair, where = np.unique(a[in_a].astype(np.int64) * b_size + b[in_b], return_inverse=True)
                 at = np.minimum(np.searchsorted(code, pair), max(len(code) - 1, 0))
                 hit = code[at] == pair if len(code) else np.zeros(len(pair), bool)
@@ -240,7 +260,7 @@ def _known_counts(rows: DataFrame, shared) -> DataFrame:
                 rare = pa.table({"doc": doc[other], "code": pair[where[other]]}).group_by(["doc", "code"], use_threads=False).aggregate([([], "count_all")]).sort_by("doc").combine_chunks()
                 each = np.bincount(rare["doc"].to_numpy(), minlength=n)
                 yield pa.RecordBatch.from_arrays([
-                    part.column("row"), part.column("doc_id"), *(pc.list_value_length(part.column(x)).cast(pa.int64()) for x in ("a", "b")), part.column("n_groups"),
+                    part.column("row"), part.column("doc_id"), pa.array(np.diff(a_bounds)), pa.array(np.diff(b_bounds)), part.column("n_groups"),
                     pa.array(np.diff(bounds).astype(np.int64)), part.column("groups_sha256"), pa.array(totals((hit & (count == best[pair % b_size])).astype(np.int64))), pa.array(totals(count)),
                     *(_per_document(pa.concat_arrays([*x.cast(pa.int64()).chunks, pa.array([], pa.int64())]), each) for x in (rare["code"], rare["count_all"]))], schema=schema)
 
@@ -264,7 +284,8 @@ def align(docs: DataFrame, byte_level: bytes, pieces: bytes, frequent: int = FRE
     table gives no rows.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    b_size = len(Vocabularies(byte_level, pieces).b_bytes)
+    both = Vocabularies(byte_level, pieces)
+    a_size, b_size = len(both.a_bytes), len(both.b_bytes)
     found = written(aligned(docs, byte_level, pieces))
     rows = found.where("row is not null")
     unzipped = lambda df, *keep: df.select(*keep, F.explode(F.arrays_zip("codes", "times")).alias("x")).select(*keep, F.col("x.codes").alias("code"), F.col("x.times").alias("times"))
@@ -275,7 +296,7 @@ def align(docs: DataFrame, byte_level: bytes, pieces: bytes, frequent: int = FRE
     for r in highest.collect():
         best[r.b] = r.most
     code, c = _frequent(counts, frequent)
-    shared = docs.sparkSession.sparkContext.broadcast((b_size, code.view(np.int64), c, best))
+    shared = docs.sparkSession.sparkContext.broadcast((a_size, b_size, code.view(np.int64), c, best))
     known = written(_known_counts(rows, shared))
     # the counts of all other pairs come by a join
     top = counts.join(F.broadcast(highest), F.col("code") % b_size == F.col("b")).select("code", "c", (F.col("c") == F.col("most")).cast("long").alias("top"))
