@@ -2,8 +2,8 @@
 
 Randomness is replaced by seeded hashes of row ids (md5), so a
 result does not depend on partitioning or on task retries.  Exact global
-ranks come from a distributed prefix count (``distributed_rank``), never
-from a window over one unpartitioned group.
+ranks come from counts per prefix of the hash (``hash_rank``, ``hash_cuts``),
+never from a window over one unpartitioned group.
 """
 
 from __future__ import annotations
@@ -23,9 +23,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.operators.ordered import distributed_rank
+from tessera.operators.joins import sized
+from tessera.operators.ordered import distributed_rank, hash_cuts, hash_rank  # noqa: F401 (distributed_rank: for callers)
 from tessera.operators.stats import exact_quantiles
-from tessera.session import ensure_checkpoint_dir
+from tessera.session import held
 
 def hash_uniform(*cols: Column | str, seed: int = 42, salt: int = 0) -> Column:
     """Deterministic uniform [0, 1) from the first 52 bits of an md5 of
@@ -40,20 +41,25 @@ def stratified_split(df: DataFrame, label: str, id_col: str, test: float = 0.2,
                      seed: int = 42, out: str = "split") -> DataFrame:
     """Exact per-class shares: test = round(n_c·test), valid = round((n_c − test_c)·valid).
 
-    Rows are ordered within their class by a seeded hash of the id, ranked
-    with ``distributed_rank``, and cut at per-class positions (the class
-    table has one row per class).  Default 64/16/20 like the original
+    Rows are ordered within their class by a seeded hash of the id.  Only the
+    two cuts of a class are looked for (``hash_cuts``: counts per prefix of the
+    hash, ranks within the prefix that holds a cut); every row is then decided
+    where it stands, by comparing its hash and id with its class's cuts, so
+    its features are never moved.  Default 64/16/20 like the original
     two-stage split.
     """
     h = df.withColumn("_u", hash_uniform(id_col, seed=seed))
-    ranked = distributed_rank(h, [label], ["_u", id_col])
-    n = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+    n = df.groupBy(F.col(label).alias("_by")).agg(F.count(F.lit(1)).alias("_n"))
     n = n.withColumn("_nt", F.round(F.col("_n") * test).cast("bigint"))
     n = n.withColumn("_nv", F.round((F.col("_n") - F.col("_nt")) * valid).cast("bigint"))
-    j = ranked.join(n, label)
-    s = (F.when(F.col("_rank") <= F.col("_nt"), "test")
-         .when(F.col("_rank") <= F.col("_nt") + F.col("_nv"), "valid").otherwise("train"))
-    return j.withColumn(out, s).drop("_u", "_rank", "_n", "_nt", "_nv")
+    wanted = n.select("_by", F.explode(F.array(F.struct(F.lit("test").alias("_cut"), F.col("_nt").alias("_at")),
+                                               F.struct(F.lit("valid").alias("_cut"), (F.col("_nt") + F.col("_nv")).alias("_at")))).alias("c")).select("_by", "c._cut", "c._at")
+    cuts = sized(hash_cuts(h, label, "_u", id_col, wanted).groupBy("_by").agg(
+        *[F.max(F.when(F.col("_cut") == c, F.struct("_u", "_id"))).alias(f"_{c}") for c in ("test", "valid")]))
+    j = h.join(cuts, F.col(label).eqNullSafe(F.col("_by")), "left")
+    here = F.struct(F.col("_u"), F.col(id_col).alias("_id"))
+    s = F.when(here <= F.col("_test"), "test").when(here <= F.col("_valid"), "valid").otherwise("train")
+    return j.withColumn(out, s).drop("_u", "_by", "_test", "_valid")
 
 
 # ---------------------------------------------------------------- neighbours
@@ -147,8 +153,7 @@ def smote(train: DataFrame, label: str, features: Sequence[str], id_col: str, ra
     mino = train.filter(F.col(label) == 1).select(
         F.col(id_col).cast("long").alias("id"), *features,
         F.array(*[F.col(c).cast("double") for c in features]).alias("vec"))
-    idx = distributed_rank(mino.select("id").withColumn("_u", hash_uniform("id", seed=seed)), [], ["_u", "id"],
-                           out="_idx").select("id", (F.col("_idx") - 1).alias("_idx"))
+    idx = hash_rank(mino.select("id").withColumn("_u", hash_uniform("id", seed=seed)), [], "_u", "id", out="_idx").select("id", (F.col("_idx") - 1).alias("_idx"))
     syn = train.sparkSession.range(n_new).select(
         F.col("id").alias("sid"),
         (F.abs(F.xxhash64("id", F.lit(seed), F.lit(1))) % n_min).alias("_idx"),
@@ -254,7 +259,7 @@ def _spark_value(param: str, v):
 def stratified_folds(df: DataFrame, label: str, id_col: str, folds: int, seed: int = 42, out: str = "_fold") -> DataFrame:
     """Fold of every row: its rank within its class, in hash order of the id,
     modulo ``folds``; so each class is spread evenly to within one row."""
-    ranked = distributed_rank(df.withColumn("_u", hash_uniform(id_col, seed=seed, salt=7)), [label], ["_u", id_col])
+    ranked = hash_rank(df.withColumn("_u", hash_uniform(id_col, seed=seed, salt=7)), [label], "_u", id_col)
     return ranked.withColumn(out, F.pmod(F.col("_rank") - 1, F.lit(folds)).cast("int")).drop("_u", "_rank")
 
 
@@ -284,10 +289,9 @@ def random_search(train: DataFrame, features_col: str, label: str, n_iter: int =
         seen.add(draw)
         maps.append({getattr(rf, k): v for k, v in draw})
     # every (map, fold) fit reads the same training rows: cut the lineage once
-    # (reliable checkpoint) instead of recomputing split and scaling per fit
-    ensure_checkpoint_dir(train.sparkSession)
+    # (written once) instead of recomputing split and scaling per fit
     cols = [features_col, label] + ([weight_col] if weight_col else [])
-    data = stratified_folds(train, label, id_col or features_col, folds, seed).select(*cols, "_fold").checkpoint(eager=True)
+    data = held(stratified_folds(train, label, id_col or features_col, folds, seed).select(*cols, "_fold"))
     ev = MulticlassClassificationEvaluator(labelCol=label, metricName="fMeasureByLabel", metricLabel=1.0)
     cv = CrossValidator(estimator=rf, estimatorParamMaps=maps, evaluator=ev, foldCol="_fold",
                         parallelism=parallelism, seed=seed)
@@ -414,7 +418,7 @@ def isolation_forest(train: DataFrame, features: Sequence[str], id_col: str, n_t
     depth = int(math.ceil(math.log2(max(sample, 2))))
     trees = picked.groupBy("tree").applyInPandas(_grow(seed, depth), TREE_SCHEMA).toPandas()  # bounded table
     model = IsolationForestModel(trees, sample, features)
-    scored = model.score(train, "_s")
+    scored = held(model.score(train, "_s").select("_s"))  # scored once, scanned by every refinement
     q = exact_quantiles(scored, ["_s"], [1.0 - contamination])
     model.threshold = q.select("value").first()[0]
     return model

@@ -105,7 +105,7 @@ def slice_rows(df: DataFrame, order: str | Sequence[str], start: int | None, sto
 
     A slice that lies at one end of its groups is a ``row_number() <= k``,
     which Spark applies before the shuffle too, so each task sends at most k
-    rows of a group.  For others positions come from ``distributed_rank``
+    rows of a group; without groups it is a top-k (``orderBy().limit``).  For others positions come from ``distributed_rank``
     (range partitions + offsets), not from a window over a whole group; group
     sizes are a grouped count joined back.  ``order`` must be unique within a
     group.
@@ -120,6 +120,12 @@ def slice_rows(df: DataFrame, order: str | Sequence[str], start: int | None, sto
         n = F.col("_rn")
         inside = (n <= stop) & (n > (start or 0)) if first else (n <= -start) & (n > (0 if stop is None else -stop))
         return df.withColumn("_rn", F.row_number().over(w)).filter(inside).drop("_rn")
+    if first and not by:
+        head = df.orderBy(*order).limit(stop)
+        return head.offset(start) if start else head
+    if last and not by:
+        tail = df.orderBy(*[F.col(c).desc() for c in order]).limit(-start)
+        return tail.offset(-stop) if stop is not None else tail
     numbered = distributed_rank(df, by, order, out="_rn").withColumn("_rn", F.col("_rn") - 1)
     if (start is not None and start < 0) or (stop is not None and stop < 0):
         g = numbered.withColumn("_g", F.lit(0)) if not by else numbered

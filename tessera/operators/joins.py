@@ -1,7 +1,7 @@
 """Join operators.
 
 Joins carry no broadcast hint unless a side is bounded by a constant (one
-row per weekday, k rows of a top-k): the planner and AQE choose from the
+row per weekday, k rows of a top-k) or was counted first (``sized``): the planner and AQE choose from the
 sizes that they measure, in bytes, for the data at hand, and split skewed
 keys.
 """
@@ -13,6 +13,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import held
+
 
 def lookup_join(fact: DataFrame, dim: DataFrame, on, how: str = "left") -> DataFrame:
     """J-2/J-5/J-12: fact ⟕ dimension; the planner picks the strategy from sizes it has measured."""
@@ -36,6 +38,18 @@ def left_enrich(header: DataFrame, child_aggs: Sequence[DataFrame], on: str) ->
     return out
 
 
+#: Rows up to which ``sized`` sends a side to every task.
+SMALL_ROWS = 100_000
+
+
+def sized(side: DataFrame, most: int = SMALL_ROWS) -> DataFrame:
+    """A side of a join that is computed once and counted: with at most
+    ``most`` rows it is hinted as broadcast, so the other side is not moved;
+    beyond that the planner shuffles both."""
+    once = held(side)
+    return F.broadcast(once) if once.count() <= most else once
+
+
 def semi(df: DataFrame, other: DataFrame, on) -> DataFrame:
     """P-9: rows of ``df`` whose key occurs in ``other``."""
     return df.join(other, on, "left_semi")

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.joins import sized
 from tessera.session import ensure_checkpoint_dir
 
 
@@ -172,6 +173,59 @@ def distributed_rank(df: DataFrame, by: Sequence[str], order: Sequence[str], out
         .drop("_pid", "_off")
 
 
+#: Rows that a prefix of a uniform hash holds on average.
+PREFIX_ROWS = 1 << 18
+
+
+def _with_prefix(df: DataFrame, by: Sequence[str], uniform: str, per_prefix: int) -> DataFrame:
+    """Adds ``_k`` (the group as a struct, so that null equals null) and
+    ``_prefix``, the part of [0, 1) that the hash lies in; on average a part
+    holds ``per_prefix`` of all rows."""
+    parts = F.greatest(F.lit(1), F.ceil(df.agg(F.count(F.lit(1))).scalar() / F.lit(float(per_prefix))))
+    return df.withColumns({"_k": F.struct(F.lit(0).alias("_"), *by), "_prefix": F.floor(F.col(uniform) * parts).cast("bigint")})
+
+
+def _offsets(rows: DataFrame) -> DataFrame:
+    """``_k, _prefix, _pc, _off``: rows of a group in a prefix and before it."""
+    counts = rows.groupBy("_k", "_prefix").agg(F.count(F.lit(1)).alias("_pc"))
+    before = Window.partitionBy("_k").orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.withColumn("_off", F.coalesce(F.sum("_pc").over(before), F.lit(0)))
+
+
+def hash_rank(df: DataFrame, by: Sequence[str], uniform: str, id_col: str, out: str = "_rank",
+              per_prefix: int = PREFIX_ROWS) -> DataFrame:
+    """1-based rank of each row within ``by`` in the order of a uniform hash
+    (column ``uniform`` in [0, 1)) and its id.
+
+    The hash deals the rows evenly, so its prefixes are the ranges: rows are
+    counted per (group, prefix) map-side, running sums over these counts are
+    the offsets, and ``row_number`` runs inside a (group, prefix), on whose
+    partitioning the offsets are joined.  One shuffle of the rows, no sampling
+    of ranges and no checkpoint; a group that holds a third of all rows is
+    spread over its many prefixes.
+    """
+    rows = _with_prefix(df, by, uniform, per_prefix)
+    inside = Window.partitionBy("_k", "_prefix").orderBy(uniform, id_col)
+    ranked = rows.withColumn(out, F.row_number().over(inside)).join(_offsets(rows).drop("_pc"), ["_k", "_prefix"])
+    return ranked.withColumn(out, (F.col("_off") + F.col(out)).cast("bigint")).drop("_k", "_prefix", "_off")
+
+
+def hash_cuts(df: DataFrame, by: str, uniform: str, id_col: str, cuts: DataFrame, per_prefix: int = PREFIX_ROWS) -> DataFrame:
+    """The (hash, id) of the rows at wanted ranks of each group.
+
+    ``cuts`` has columns ``_by`` (the group), ``_cut`` (a name) and ``_at``
+    (a 1-based rank).  Returns ``_by, _cut, _u, _id``.  Rows are counted per
+    (group, prefix of the hash); only the rows of the prefixes in which a
+    wanted rank lies are ranked, all others are never moved."""
+    slim = _with_prefix(df.select(F.col(by).alias("_by"), F.col(uniform).alias("_u"), F.col(id_col).alias("_id")), ["_by"], "_u", per_prefix)
+    wanted = cuts.select(F.struct(F.lit(0).alias("_"), "_by").alias("_k"), "_cut", "_at")
+    holding = _offsets(slim).join(wanted, "_k").filter((F.col("_at") > F.col("_off")) & (F.col("_at") <= F.col("_off") + F.col("_pc")))
+    holding = sized(holding.select("_k", "_prefix", "_cut", (F.col("_at") - F.col("_off")).alias("_nth")))
+    inside = Window.partitionBy("_k", "_cut").orderBy("_u", "_id")
+    near = slim.join(holding, ["_k", "_prefix"]).withColumn("_rn", F.row_number().over(inside))
+    return near.filter(F.col("_rn") == F.col("_nth")).select("_by", "_cut", "_u", "_id")
+
+
 # W-8
 def cum_variance(ratios: Sequence[float]) -> list[float]:
     """Cumulative explained variance of k components (k values, driver-side)."""

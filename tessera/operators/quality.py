@@ -203,6 +203,45 @@ def relationship_check(df: DataFrame, column: str, ref: DataFrame, ref_column: s
     return summary.select(*_result_cols(name, f"{column}->{ref_column}"))
 
 
+def reference_checks(refs: Sequence[tuple[str, DataFrame, str, DataFrame, str]], name: str = "relationships") -> DataFrame:
+    """V-4 for many references (table name, table, column, referenced table,
+    its column) at once: ``table_name`` and the result columns.
+
+    All references to one dimension are one aggregation and no join: every
+    referencing column's keys, tagged with their reference, and the
+    dimension's own keys are counted per key map-side, so a hot key is one row
+    of a task; a key that the dimension doesn't count is an orphan of every
+    tag that does.  A table is scanned once for all its columns.
+    """
+    dims: dict[tuple[int, str], list[int]] = {}
+    for i, (_, _, _, ref, ref_column) in enumerate(refs):
+        dims.setdefault((id(ref), ref_column), []).append(i)
+    out = None
+    for (_, ref_column), own in dims.items():
+        ref = refs[own[0]][3]
+        kinds = {refs[i][1].schema[refs[i][2]].dataType.simpleString() for i in own} | {ref.schema[ref_column].dataType.simpleString()}
+        key = lambda c: (F.col(c) if len(kinds) == 1 else F.col(c).cast("string")).alias("_k")  # noqa: B023, E731
+        tables: dict[int, list[int]] = {}
+        for i in own:
+            tables.setdefault(id(refs[i][1]), []).append(i)
+        rows = ref.select(F.lit(-1).alias("_t"), key(ref_column))
+        for same in tables.values():
+            tagged = F.explode(F.array(*[F.struct(F.lit(i).alias("_t"), key(refs[i][2])) for i in same])).alias("r")
+            rows = rows.unionByName(refs[same[0]][1].select(tagged).select("r._t", "r._k"))
+        per_key = rows.groupBy("_k").agg(F.max(F.col("_t") == -1).alias("_known"), F.max(F.col("_t") >= 0).alias("_used"),
+                                         *[F.sum((F.col("_t") == i).cast("bigint")).alias(f"_c{i}") for i in own]).filter("_used")
+        total = lambda c, when: F.coalesce(F.sum(F.when(when, F.col(c)).otherwise(0)), F.lit(0)).cast("bigint")
+        one = per_key.agg(*[x for i in own for x in (
+            total(f"_c{i}", F.lit(True)).alias(f"_n{i}"), total(f"_c{i}", F.col("_k").isNull()).alias(f"_m{i}"),
+            total(f"_c{i}", F.col("_k").isNotNull() & ~F.col("_known")).alias(f"_u{i}"))])
+        results = one.select(F.explode(F.array(*[
+            F.struct(F.lit(refs[i][0]).alias("table_name"), F.lit(f"{refs[i][2]}->{ref_column}").alias("column"),
+                     F.col(f"_n{i}").alias("_n"), F.col(f"_m{i}").alias("_m"), F.col(f"_u{i}").alias("_u")) for i in own])).alias("r")).select("r.*")
+        part = results.select("table_name", F.lit(name).alias("check"), "column", *[c for c in _result_cols(name, "")[2:]])
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def _metadata_rows(df: DataFrame, checks) -> list[tuple]:
     rows = []
     for c in checks:

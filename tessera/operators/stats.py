@@ -2,10 +2,8 @@
 
 Many statistics of one table are computed in ONE aggregation (one scan,
 partial aggregation per executor) and reshaped afterwards, never one
-job per column.  Exact quantiles are computed without gathering a
-column's values in one task: values are reduced to (value, count),
-range-partitioned, and located by distributed prefix counts
-(``exact_quantiles``).  Global totals used as denominators are scalar
+job per column.  Exact quantiles are selected by refined bins: only
+counts per bin are shuffled, never values (``exact_quantiles``).  Global totals used as denominators are scalar
 subqueries (``DataFrame.scalar()``), not cross joins.
 """
 
@@ -18,7 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.scalars import round_nudged
-from tessera.session import ensure_checkpoint_dir
+from tessera.operators.joins import sized
+from tessera.session import held
 
 _G = "_g"
 
@@ -105,49 +104,71 @@ def modes(df: DataFrame, cols: Sequence[str]) -> dict:
     return {cols[r["_col"]]: r["_b"][fields[r["_col"]]] for r in best.collect()}  # one row per column
 
 
+#: Bins of a selection: per e-fold of a value's size at first, then equal parts of a bin that holds a wanted rank.
+FIRST_BINS, PARTS = 64, 65536
+
+
+def _first_bin(v: Column) -> Column:
+    """A number that never falls as the value grows: sign and logarithm of its
+    size, with places of their own for 0, infinities and NaN (the greatest)."""
+    size = F.floor(F.log(F.abs(v)) * FIRST_BINS) + 100_000  # positive for every size that a double has
+    return (F.when(F.isnan(v), F.lit(10_000_001)).when(F.abs(v) == float("inf"), F.signum(v) * 10_000_000)
+            .when(v == 0, F.lit(0)).otherwise(F.signum(v) * size)).cast("int")
+
+
+def _holding(bins: DataFrame, within: Sequence[str], rank: Column, start: Column) -> DataFrame:
+    """The bins whose ranks, counted on from ``start`` in bin order, hold the
+    wanted ``rank``; adds ``_before`` (ranks below the bin)."""
+    w = Window.partitionBy(*within).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    b = bins.withColumn("_before", start + F.coalesce(F.sum("_c").over(w), F.lit(0)))
+    return b.filter((rank >= F.col("_before")) & (rank < F.col("_before") + F.col("_c")))
+
+
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
                     partitions: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (numpy/pandas default, P8).
 
-    Output: (by…, column, prob, value).  Steps, all distributed:
-    (1) unpivot and reduce to (group, value, count) with map-side
-    combine; (2) range-partition by (group, value) and checkpoint;
-    (3) per-partition totals (≤ partitions × groups rows) give offsets,
-    each partition adds its running count, so every distinct value knows
-    the rank interval it covers; (4) the wanted ranks (groups × probs × 2,
-    small) are joined on the group key and matched to their interval;
-    (5) interpolate.  A value repeated in a third of all rows is a single
-    (value, count) row after step (1).
+    Output: (by…, column, prob, value).  Selection by refined bins: one scan
+    counts the values of every column into bins, with each bin's least and
+    greatest value; only these counts are shuffled.  A bin that holds a wanted
+    rank is done where the rank is its first or last, or all its values are
+    equal; the others are cut into ``PARTS`` equal parts and counted by another
+    scan of the rows that fall into them.  The first bins are 1/64 of an
+    e-fold wide, so five scans reach the last bit of any double, and two or
+    three are usual.  No value is shuffled or written as a row, whatever its
+    column's distribution; a window runs over one group's bins.
+    ``partitions`` is not needed any more.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     keys = list(by) + ["column"]
-    counts = _long(df, cols, by).groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_c"))
-    r = counts.repartitionByRange(parts, *[F.col(k) for k in keys], F.col("value")) \
-        .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
-    tot = r.groupBy(*keys, "_pid").agg(F.sum("_c").alias("_pt"))
-    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = tot.select(*keys, "_pid", F.coalesce(F.sum("_pt").over(before), F.lit(0)).alias("_off"))
-    within = Window.partitionBy("_pid", *keys).orderBy("value").rowsBetween(Window.unboundedPreceding,
-                                                                               Window.currentRow)
-    cum = r.join(offs, keys + ["_pid"]).select(
-        *keys, "value", (F.col("_off") + F.sum("_c").over(within)).alias("_cum"), "_c")
-    n = r.groupBy(*keys).agg(F.sum("_c").alias("_n"))
-    pr = F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob")
-    targets = n.select(*keys, "_n", pr).withColumn("_h", (F.col("_n") - 1) * F.col("prob"))
-    targets = targets.select(*keys, "prob", "_h", F.explode(F.array(
-        F.struct(F.lit("lo").alias("side"), F.floor("_h").cast("bigint").alias("rank")),
-        F.struct(F.lit("hi").alias("side"), F.ceil("_h").cast("bigint").alias("rank")))).alias("t")
-    ).select(*keys, "prob", "_h", "t.side", "t.rank")
-    # a distinct value covers ranks [_cum - _c, _cum - 1]
-    hit = cum.join(targets, keys).filter((F.col("rank") >= F.col("_cum") - F.col("_c")) & (F.col("rank") < F.col("_cum")))
-    pivoted = hit.groupBy(*keys, "prob", "_h").agg(
-        F.max(F.when(F.col("side") == "lo", F.col("value"))).alias("_lo"),
+    long = _long(df, cols, by)
+    stats = [F.count(F.lit(1)).alias("_c"), F.min("value").alias("_mn"), F.max("value").alias("_mx")]
+    bins = long.groupBy(*keys, _first_bin(F.col("value")).alias("_bin")).agg(*stats)
+    ends = F.explode(F.array(*[F.struct(F.lit(float(p)).alias("prob"), F.lit(s).alias("side")) for p in probs for s in ("lo", "hi")])).alias("t")
+    wide = bins.withColumn("_h", (F.sum("_c").over(Window.partitionBy(*keys)) - 1)).select(*keys, "_bin", "_c", "_mn", "_mx", "_h", ends)
+    place = F.col("_h") * F.col("t.prob")
+    rank = F.when(F.col("t.side") == "lo", F.floor(place)).otherwise(F.ceil(place)).cast("bigint")
+    wide = wide.select(*keys, "_bin", "_c", "_mn", "_mx", "t.prob", "t.side", rank.alias("_rank"), (place - F.floor(place)).alias("_frac"))
+    hits = held(_holding(wide, [*keys, "prob", "side"], F.col("_rank"), F.lit(0)))
+    carried = [*keys, "prob", "side", "_rank", "_frac"]
+    last = F.col("_before") + F.col("_c") - 1
+    settled = (F.col("_mn") == F.col("_mx")) | (F.col("_rank") == F.col("_before")) | (F.col("_rank") == last)
+    value = F.when(F.col("_rank") == F.col("_before"), F.col("_mn")).otherwise(F.col("_mx")).alias("value")
+    done = hits.filter(settled).select(*carried, value)
+    while True:
+        todo = hits.filter(~settled).select(*carried, F.col("_mn").alias("_lo"), F.col("_mx").alias("_hi"), F.col("_before").alias("_start"))
+        if todo.isEmpty():
+            break
+        inside = long.join(sized(todo.select(*keys, "_lo", "_hi").distinct()), keys).filter(F.col("value").between(F.col("_lo"), F.col("_hi")))
+        part = F.floor((F.col("value") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * PARTS).cast("int")
+        bins = inside.groupBy(*keys, "_lo", part.alias("_bin")).agg(*stats)
+        wide = bins.join(todo.drop("_hi"), [*keys, "_lo"])
+        hits = held(_holding(wide, [*keys, "_lo", "prob", "side"], F.col("_rank"), F.col("_start")))
+        done = done.unionByName(hits.filter(settled).select(*carried, value))
+    pivoted = done.groupBy(*keys, "prob").agg(
+        F.max("_frac").alias("_frac"), F.max(F.when(F.col("side") == "lo", F.col("value"))).alias("_lo"),
         F.max(F.when(F.col("side") == "hi", F.col("value"))).alias("_hi"))
-    frac = F.col("_h") - F.floor("_h")
-    val = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * frac
-    return pivoted.select(*keys, "prob", val.alias("value"))
+    return pivoted.select(*keys, "prob", F.when(F.col("_lo") == F.col("_hi"), F.col("_lo"))
+                          .otherwise(F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_frac")).alias("value"))
 
 
 # A-10

@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators are written for.  AQE coalesces the small
 # shuffle outputs of the star-schema joins and splits skewed join keys.
@@ -71,3 +72,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     except Exception:  # noqa: BLE001 — some deployments reject runtime core confs
         pass
     return path
+
+
+def held(df: DataFrame) -> DataFrame:
+    """``df`` computed once: written as Parquet into the shared checkpoint
+    folder and read back.  An eager checkpoint would run the last stage twice,
+    once to count and once to write."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/held-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

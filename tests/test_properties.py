@@ -213,3 +213,46 @@ def test_order_models_do_not_depend_on_session_time_zone(spark):
         assert run() == utc
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_hash_rank_and_cuts_equal_sorting(spark):
+    import pandas as pd
+    from tessera.operators import classify as C, ordered as O
+    rows = [(i, None if i % 10 == 0 else i % 3) for i in range(2000)]
+    df = spark.createDataFrame(rows, "id long, g long").repartition(5).withColumn("u", C.hash_uniform("id", seed=3))
+    pdf = df.toPandas().sort_values(["u", "id"])
+    pdf["want"] = pdf.groupby("g", dropna=False).cumcount() + 1
+    for per in (7, 1 << 18):
+        got = O.hash_rank(df, ["g"], "u", "id", per_prefix=per).toPandas().set_index("id")["_rank"]
+        assert (got.loc[pdf["id"]].to_numpy() == pdf["want"].to_numpy()).all()
+        cuts = spark.createDataFrame([(0, "a", 5), (1, "a", 300), (None, "b", 200), (2, "b", 0), (1, "c", 10**9)], "_by long, _cut string, _at long")
+        found = {(None if pd.isna(r["_by"]) else r["_by"], r["_cut"]): r["_id"] for r in O.hash_cuts(df, "g", "u", "id", cuts, per_prefix=per).collect()}
+        pick = lambda g, n: int(pdf[(pdf.g.isna() if g is None else pdf.g == g) & (pdf.want == n)]["id"].iloc[0])
+        assert found == {(0, "a"): pick(0, 5), (1, "a"): pick(1, 300), (None, "b"): pick(None, 200)}
+    whole = O.hash_rank(df, [], "u", "id", per_prefix=50).toPandas().set_index("id")["_rank"]
+    assert (whole.loc[pdf["id"]].to_numpy() == range(1, 2001)).all()
+
+
+def test_quantiles_of_awkward_values(spark):
+    """Values that differ in the last bits, span all sizes, repeat, or are infinite."""
+    import numpy as np
+    import pandas as pd
+    from tessera.operators import stats as ST
+    rng = np.random.default_rng(0)
+    probs = [0, 0.1, 0.25, 0.333, 0.5, 0.9, 0.999, 1]
+    cases = [rng.normal(size=3000), np.exp(rng.normal(size=3000) * 50) * rng.choice([-1, 1], 3000), rng.integers(0, 3, 3000) * 1.0,
+             1 + rng.integers(0, 100_000, 3000) * 2.0**-50, np.r_[0.0, -0.0, 1e-320, -1e-320, 1e300, -1e300, 5e-324, rng.normal(size=20)], np.array([3.5])]
+    table = pd.concat([pd.DataFrame({"g": i, "v": x}) for i, x in enumerate(cases)])
+    got = {(r["g"], r["prob"]): r["value"] for r in ST.exact_quantiles(spark.createDataFrame(table).repartition(4), ["v"], probs, by=["g"]).collect()}
+    for i, x in enumerate(cases):
+        for p, want in zip(probs, np.quantile(x, probs)):
+            assert got[i, p] == want or abs(got[i, p] - want) <= 1e-12 * abs(want)
+    odd = spark.createDataFrame([(float("-inf"),), (1.0,), (float("inf"),), (float("nan"),), (None,)], "v double")
+    assert [str(r["value"]) for r in ST.exact_quantiles(odd, ["v"], [0.0, 1 / 3, 2 / 3, 1.0]).orderBy("prob").collect()] == ["-inf", "1.0", "inf", "nan"]
+
+
+def test_end_slices_without_groups(spark):
+    from tessera.operators import filters as FL
+    df = spark.range(100).withColumn("v", -spark.range(1).select("id").scalar() + 7)
+    ids = lambda a, b: sorted(r["id"] for r in FL.slice_rows(df, "id", a, b).collect())
+    assert ids(None, 5) == list(range(5)) and ids(2, 6) == [2, 3, 4, 5] and ids(-3, None) == [97, 98, 99] and ids(-5, -2) == [95, 96, 97] and ids(10, -85) == list(range(10, 15))
