@@ -425,8 +425,9 @@ def isolation_forest(train: DataFrame, features: Sequence[str], id_col: str, n_t
 
 
 # L-16
-def class_profile(df: DataFrame, label: str, col: str) -> DataFrame:
-    """Share of each class and the five-number summary of ``col`` per class."""
+def class_profile(df: DataFrame, label: str, col: str | Sequence[str]) -> DataFrame:
+    """Share of each class and the five-number summary of ``col`` per class
+    (of each ``column`` of a list)."""
     from tessera.operators.stats import box_stats
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.sum("n")).scalar()

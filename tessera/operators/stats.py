@@ -58,14 +58,15 @@ def _long(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), value: str
 
 
 # A-7 / A-8 / A-9
-def value_counts(df: DataFrame, cols: Sequence[str] | str, normalize: bool = False) -> DataFrame:
-    """Counts of each value (combination), NULLs dropped, sorted by count desc."""
+def value_counts(df: DataFrame, cols: Sequence[str] | str, normalize: bool = False, by_label: bool = False) -> DataFrame:
+    """Counts of each value (combination), NULLs dropped, sorted by count desc;
+    with ``by_label`` (O-2) by the values, descending."""
     cols = [cols] if isinstance(cols, str) else list(cols)
     g = df.dropna(how="any", subset=cols).groupBy(*cols).agg(F.count(F.lit(1)).alias("count"))
     if normalize:
         total = g.agg(F.sum("count")).scalar()
         g = g.withColumn("share", F.col("count") / total)
-    return g.orderBy(F.desc("count"), *cols)
+    return g.orderBy(*[F.desc(c) for c in cols]) if by_label else g.orderBy(F.desc("count"), *cols)
 
 
 # A-6
@@ -317,22 +318,23 @@ def rate_by_flags(df: DataFrame, flags: Sequence[str], outcome: str, digits: int
 
 
 # A-21
-def box_stats(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
-    """Five-number summary per group with 1.5·IQR whiskers and outlier count."""
-    g, keys = _grouped(df, by)
-    q = exact_quantiles(g, [col], [0.0, 0.25, 0.5, 0.75, 1.0], keys)
+def box_stats(df: DataFrame, col: str | Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Five-number summary per group with 1.5·IQR whiskers and outlier count;
+    for a list of columns one row per group and ``column``, all in one pass."""
+    cols = [col] if isinstance(col, str) else list(col)
+    keys = [*by, "column"]
+    q = exact_quantiles(df, cols, [0.0, 0.25, 0.5, 0.75, 1.0], by)
     w = q.groupBy(*keys).agg(*[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n) for p, n in
                                [(0.0, "min"), (0.25, "q1"), (0.5, "median"), (0.75, "q3"), (1.0, "max")]])
     iqr = F.col("q3") - F.col("q1")
-    w = w.withColumns({"_lo": F.col("q1") - 1.5 * iqr, "_hi": F.col("q3") + 1.5 * iqr})
-    j = g.select(*keys, F.col(col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    j = _attach(j, w.select(*keys, "_lo", "_hi"), keys)
-    inside = (F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))
-    wh = j.groupBy(*keys).agg(F.min(F.when(inside, F.col("_v"))).alias("whisker_low"),
-                              F.max(F.when(inside, F.col("_v"))).alias("whisker_high"),
+    w = sized(w.withColumns({"_lo": F.col("q1") - 1.5 * iqr, "_hi": F.col("q3") + 1.5 * iqr}))
+    v = F.col("value")
+    j = _long(df, cols, by).join(w.select(*keys, "_lo", "_hi"), keys)
+    inside = (v >= F.col("_lo")) & (v <= F.col("_hi"))
+    wh = j.groupBy(*keys).agg(F.min(F.when(inside, v)).alias("whisker_low"), F.max(F.when(inside, v)).alias("whisker_high"),
                               F.sum(F.when(inside, 0).otherwise(1)).cast("bigint").alias("n_outliers"))
-    out = _attach(w.drop("_lo", "_hi"), wh, keys) if not by else w.drop("_lo", "_hi").join(wh, keys)
-    return out if by else out.drop(_G)
+    out = w.drop("_lo", "_hi").join(wh, keys)
+    return out.drop("column") if isinstance(col, str) else out
 
 
 # A-22
@@ -361,31 +363,28 @@ def histogram(df: DataFrame, col: str, bins: int = 60, by: Sequence[str] = ()) -
 
 
 # A-23
-def kde_grid(df: DataFrame, col: str, by: Sequence[str] = (), grid: int = 100, digits: int = 9) -> DataFrame:
-    """Gaussian kernel density on a grid per group (Scott's bandwidth).
-
-    Rows are first reduced to (group, value, count); the grid (``grid``
-    points per group, a small side table) is joined on the group key to
-    each distinct value — work is distinct values × grid, linear in the
-    data, and the summation is a grouped aggregation per grid point.
+def kde_grid(df: DataFrame, col: str | Sequence[str], by: Sequence[str] = (), grid: int = 100, digits: int = 9) -> DataFrame:
+    """Gaussian kernel density on a grid per group (Scott's bandwidth); for a
+    list of columns one curve per group and ``column``.
+
+    Count, spread and ends of every curve come from one aggregation.  A second
+    scan adds a row's kernel to one sum per grid point, map-side, so a task
+    holds and sends ``grid`` numbers per curve: no row is copied per point and
+    no value is shuffled.
     """
-    g, keys = _grouped(df, by)
-    v = F.col(col).cast("double")
-    base = g.select(*keys, v.alias("_v")).filter(F.col("_v").isNotNull())
-    st = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.stddev_samp("_v").alias("_sd"),
-                                 F.min("_v").alias("_mn"), F.max("_v").alias("_mx"))
-    st = st.withColumn("_bw", F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2)))
-    pts = st.select(*keys, "_n", "_bw", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("point"),
-                    "_mn", "_mx").withColumn(
-        "x", F.col("_mn") + (F.col("_mx") - F.col("_mn")) * F.col("point") / F.lit(grid - 1))
-    vals = base.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    j = vals.join(pts.drop("_mn", "_mx"), keys)
-    z = (F.col("x") - F.col("_v")) / F.col("_bw")
-    k = F.col("_c") * F.exp(-0.5 * z * z)
-    dens = j.groupBy(*keys, "point", "x", "_n", "_bw").agg(F.sum(k).alias("_s"))
-    out = dens.select(*keys, "point", round_nudged("x", digits).alias("x"), round_nudged(
+    cols = [col] if isinstance(col, str) else list(col)
+    keys = [*by, "column"]
+    long = _long(df, cols, by)
+    v = F.col("value")
+    st = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.stddev_samp(v).alias("_sd"), F.min(v).alias("_mn"), F.max(v).alias("_mx"))
+    st = sized(st.withColumn("_bw", F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2))))
+    at = lambda p: F.col("_mn") + (F.col("_mx") - F.col("_mn")) * p / F.lit(grid - 1)
+    z = lambda p: F.try_divide(at(F.lit(p)) - v, F.col("_bw"))
+    sums = long.join(st, keys).groupBy(*keys, "_n", "_bw", "_mn", "_mx").agg(*[F.sum(F.exp(-0.5 * z(p) * z(p))).alias(f"_s{p}") for p in range(grid)])
+    curve = sums.select(*keys, "_n", "_bw", "_mn", "_mx", F.posexplode(F.array(*[f"_s{p}" for p in range(grid)])).alias("point", "_s"))
+    out = curve.select(*keys, "point", round_nudged(at(F.col("point")), digits).alias("x"), round_nudged(
         F.try_divide(F.col("_s"), F.col("_n") * F.col("_bw") * F.lit(math.sqrt(2 * math.pi))), digits).alias("density"))
-    return out if by else out.drop(_G)
+    return out.drop("column") if isinstance(col, str) else out
 
 
 # A-25

@@ -161,18 +161,18 @@ def q_balanced_weights(spark, sf_dir):
 
 
 @query("class_profile", """
-WITH b AS (SELECT Class, v0 AS v FROM x_fraud),
-q AS (SELECT Class, MIN(v) AS min, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median,
-        quantile_cont(v, 0.75) AS q3, MAX(v) AS max FROM b GROUP BY Class),
+WITH b AS (UNPIVOT (SELECT * EXCLUDE (id) FROM x_fraud) ON COLUMNS(* EXCLUDE (Class)) INTO NAME "column" VALUE v),
+q AS (SELECT Class, "column", MIN(v) AS min, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median,
+        quantile_cont(v, 0.75) AS q3, MAX(v) AS max FROM b GROUP BY Class, "column"),
 bx AS (SELECT q.*, MIN(CASE WHEN v BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) THEN v END) AS whisker_low,
          MAX(CASE WHEN v BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) THEN v END) AS whisker_high,
          CAST(SUM(CASE WHEN v BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) THEN 0 ELSE 1 END) AS BIGINT) AS n_outliers
-       FROM q JOIN b USING (Class) GROUP BY ALL),
+       FROM q JOIN b USING (Class, "column") GROUP BY ALL),
 cnt AS (SELECT Class, COUNT(*) AS n FROM x_fraud GROUP BY Class)
-SELECT cnt.Class, cnt.n, CAST(cnt.n AS DOUBLE) / SUM(cnt.n) OVER () AS share, bx.min, bx.q1, bx.median, bx.q3, bx.max,
+SELECT cnt.Class, cnt.n, CAST(cnt.n AS DOUBLE) / (SELECT COUNT(*) FROM x_fraud) AS share, bx."column", bx.min, bx.q1, bx.median, bx.q3, bx.max,
   bx.whisker_low, bx.whisker_high, bx.n_outliers FROM cnt JOIN bx USING (Class)""")
 def q_class_profile(spark, sf_dir):
-    return C.class_profile(_fraud(spark, sf_dir), "Class", "v0")
+    return C.class_profile(_fraud(spark, sf_dir), "Class", FEATS)
 
 
 # ---- model operators: not SQL-expressible; checked by row counts here and by property tests
@@ -244,6 +244,14 @@ def q_pca_variance(spark, sf_dir):
     return ptr.select("id", "Class", vector_to_array("pca").alias("pca"))
 
 
+@query("pca_curve")
+def q_pca_curve(spark, sf_dir):
+    """W-8: cumulative share of the variance by number of components."""
+    tr, _, _ = _scaled(spark, sf_dir)
+    _, _, shares = C.pca_variance(tr, variance=0.99)
+    return spark.createDataFrame([(i + 1, c) for i, c in enumerate(shares)], "component int, cumulative double")
+
+
 @query("rf_fit")
 def q_rf_fit(spark, sf_dir):
     tr, va, te = _scaled(spark, sf_dir)

@@ -41,10 +41,6 @@ def forecast(spark, sf_dir):
     return SE.seasonal_naive(series(spark, sf_dir))
 
 
-def total(df):
-    return df.filter(F.col("series_id") == SE.TOTAL)
-
-
 SERIES_SQL = {
     "s_day": """
 SELECT o_orderpriority AS series_id, CAST(o_orderdate AS DATE) AS ds, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS s
@@ -293,19 +289,48 @@ FROM q JOIN b USING ({by}) GROUP BY ALL"""
 
 
 @query("residual_by_weekday", _box_sql("""
-SELECT strftime(ds, '%A') AS weekday, CAST(y AS DOUBLE) - CAST(yhat AS DOUBLE) AS v FROM s_fc
-WHERE series_id = 'TOTAL' AND yhat IS NOT NULL""", "weekday"), extra=SERIES_SQL)
+SELECT series_id, strftime(ds, '%A') AS weekday, CAST(y AS DOUBLE) - CAST(yhat AS DOUBLE) AS v FROM s_fc
+WHERE yhat IS NOT NULL""", "series_id, weekday"), extra=SERIES_SQL)
 def q_residual_by_weekday(spark, sf_dir):
-    return SE.residual_by_weekday(total(forecast(spark, sf_dir)))
+    return SE.residual_by_weekday(forecast(spark, sf_dir))
+
+
+_EFFECT_SQL = """
+SELECT f.series_id, h.holiday, CAST(f.y AS DOUBLE) - CAST(f.yhat AS DOUBLE) AS v FROM s_fc f JOIN s_hol h ON f.ds = h.ds
+{} WHERE f.yhat IS NOT NULL"""
+
+
+def _residual_effects(spark, sf_dir, last_days=None):
+    r = O.residuals(forecast(spark, sf_dir))
+    return SE.holiday_effects(r, SE.holidays(X.x_calendar(_t(spark, sf_dir))), "residual", last_days=last_days)
 
 
-@query("holiday_effects", _box_sql("""
-SELECT h.holiday, CAST(f.y AS DOUBLE) - CAST(f.yhat AS DOUBLE) AS v FROM s_fc f JOIN s_hol h ON f.ds = h.ds
-WHERE f.series_id = 'TOTAL' AND f.yhat IS NOT NULL""", "holiday"), extra=SERIES_SQL)
+@query("holiday_effects", _box_sql(_EFFECT_SQL.format(""), "series_id, holiday"), extra=SERIES_SQL)
 def q_holiday_effects(spark, sf_dir):
-    from tessera.operators.ordered import residuals
-    r = residuals(total(forecast(spark, sf_dir)))
-    return SE.holiday_effects(r, SE.holidays(X.x_calendar(_t(spark, sf_dir))), "residual")
+    return _residual_effects(spark, sf_dir)
+
+
+@query("holiday_effects_last_year", _box_sql(_EFFECT_SQL.format("""
+JOIN (SELECT series_id, MAX(ds) AS mx FROM s_fc WHERE yhat IS NOT NULL GROUP BY series_id) l
+  ON l.series_id = f.series_id AND f.ds >= l.mx - INTERVAL 365 DAY"""), "series_id, holiday"), extra=SERIES_SQL)
+def q_holiday_effects_last_year(spark, sf_dir):
+    """R-10: the same over the last 365 days of each series."""
+    return _residual_effects(spark, sf_dir, last_days=365)
+
+
+@query("regressor_ffill", """
+WITH f AS (SELECT series_id, CAST(unnest(generate_series(mx - INTERVAL 40 DAY, mx + INTERVAL 30 DAY, INTERVAL 1 DAY)) AS DATE) AS ds
+           FROM (SELECT series_id, MAX(ds) AS mx FROM s_series GROUP BY series_id) m),
+k AS (SELECT date AS ds, snap_A AS snap FROM x_calendar WHERE day(date) % 3 = 0)
+SELECT f.series_id, f.ds, COALESCE(last_value(k.snap IGNORE NULLS) OVER (PARTITION BY f.series_id ORDER BY f.ds
+  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS snap
+FROM f LEFT JOIN k ON f.ds = k.ds""", extra=SERIES_SQL)
+def q_regressor_ffill(spark, sf_dir):
+    """J-7: a regressor known on some days only, carried forward over the end of the history."""
+    last = series(spark, sf_dir).groupBy("series_id").agg(F.max("ds").alias("mx"))
+    days = F.explode(F.sequence(F.date_sub("mx", 40), F.date_add("mx", 30))).alias("ds")
+    known = X.x_calendar(_t(spark, sf_dir)).filter(F.dayofmonth("date") % 3 == 0).select(F.col("date").alias("ds"), F.col("snap_A").alias("snap"))
+    return SE.future_regressor(last.select("series_id", days), known, "snap", "ffill", default=0)
 
 
 @query("holiday_names", """
@@ -348,10 +373,40 @@ def q_cross_validate(spark, sf_dir):
     return SE.forecast_metrics(cv.filter(F.col("role") == "test"), ["series_id", "fold"], digits=DIG)
 
 
-@query("pacf")
+def _pacf_sql(rows: str, lags: int) -> str:
+    """Autocorrelations of (series_id, ds, x) rows and the Durbin-Levinson recursion on them."""
+    return f"""
+SELECT * FROM (WITH RECURSIVE n AS (SELECT series_id, x, row_number() OVER (PARTITION BY series_id ORDER BY ds) - 1 AS i FROM ({rows}) z),
+m AS (SELECT series_id, AVG(x) AS m FROM n GROUP BY series_id),
+c AS (SELECT n.series_id, i, x - m AS d FROM n JOIN m USING (series_id)),
+ss AS (SELECT series_id, SUM(d * d) AS ss FROM c GROUP BY series_id),
+lags AS (SELECT CAST(unnest(range(0, {lags + 1})) AS INTEGER) AS lag),
+a AS (SELECT a.series_id, lags.lag, SUM(a.d * b.d) / ss.ss AS acf FROM c a CROSS JOIN lags
+      JOIN c b ON a.series_id = b.series_id AND b.i = a.i + lags.lag JOIN ss ON ss.series_id = a.series_id GROUP BY a.series_id, lags.lag, ss.ss),
+r AS (SELECT series_id, list(acf ORDER BY lag) AS r FROM a GROUP BY series_id),
+d AS (SELECT series_id, r, CAST(0 AS BIGINT) AS k, CAST([] AS DOUBLE[]) AS phi, CAST(1 AS DOUBLE) AS v, CAST(1 AS DOUBLE) AS p FROM r
+  UNION ALL
+  SELECT series_id, r, k + 1, list_concat(list_transform(range(1, k + 1), lambda j: phi[j] - p * phi[k + 1 - j]), [p]), v * (1 - p * p), p
+  FROM (SELECT series_id, r, k, phi, v, (r[k + 2] - COALESCE(list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * r[k + 2 - j])), 0)) / v AS p
+        FROM d WHERE k < {lags}) s)
+SELECT series_id, CAST(k AS INTEGER) AS lag, ROUND(p + 1e-9, 6) AS pacf FROM d) q"""
+
+
+def _rounded(pacf):
+    return pacf.withColumn("pacf", F.round(F.col("pacf") + F.lit(1e-9), 6))
+
+
+@query("pacf", _pacf_sql("SELECT series_id, ds, y AS x FROM s_series", 10), extra=SERIES_SQL)
 def q_pacf(spark, sf_dir):
     from tessera.operators import forecast as FC
-    return FC.pacf(series(spark, sf_dir), "y", 10)
+    return _rounded(FC.pacf(series(spark, sf_dir), "y", 10))
+
+
+@query("residual_pacf", _pacf_sql("SELECT series_id, ds, CAST(y AS DOUBLE) - CAST(yhat AS DOUBLE) AS x FROM s_fc WHERE yhat IS NOT NULL", 14), extra=SERIES_SQL)
+def q_residual_pacf(spark, sf_dir):
+    """R-12: partial autocorrelation of the forecast residuals, lags 0..14."""
+    from tessera.operators import forecast as FC
+    return _rounded(FC.pacf(O.residuals(forecast(spark, sf_dir)), "residual", 14))
 
 
 @query("residual_acf", """
@@ -374,7 +429,6 @@ def q_residual_acf(spark, sf_dir):
 
 @query("holiday_effects_model")
 def q_holiday_effects_model(spark, sf_dir):
-    """R-10: the fitted holiday component by holiday name (box statistics)."""
-    fc = total(_fc_all(spark, sf_dir))
-    return SE.holiday_effects(fc.filter(F.col("role") == "train"), SE.holidays(X.x_calendar(_t(spark, sf_dir))),
-                              "holidays")
+    """R-10: the fitted holiday component by series and holiday name (box statistics)."""
+    fc = _fc_all(spark, sf_dir)
+    return SE.holiday_effects(fc.filter(F.col("role") == "train"), SE.holidays(X.x_calendar(_t(spark, sf_dir))), "holidays")

@@ -278,17 +278,24 @@ def q_histogram(spark, sf_dir):
 
 
 @query("kde_grid", """
-WITH b AS (SELECT Class, v0 AS v FROM x_fraud WHERE v0 IS NOT NULL),
-st AS (SELECT Class, COUNT(*) AS n, STDDEV_SAMP(v) * POW(CAST(COUNT(*) AS DOUBLE), -0.2) AS bw, MIN(v) AS mn, MAX(v) AS mx
-       FROM b GROUP BY Class),
-pts AS (SELECT Class, n, bw, p AS point, mn + (mx - mn) * p / 49 AS x
-        FROM st, (SELECT CAST(unnest(range(0, 50)) AS INTEGER) AS p) g),
-vals AS (SELECT Class, v, COUNT(*) AS c FROM b GROUP BY Class, v)
-SELECT pts.Class, pts.point, ROUND(x + 1e-9, 9) AS x,
-  ROUND(SUM(c * exp(-0.5 * ((x - v) / bw) * ((x - v) / bw))) / (n * bw * 2.5066282746310002) + 1e-9, 9) AS density
-FROM pts JOIN vals ON pts.Class = vals.Class GROUP BY pts.Class, pts.point, x, n, bw""")
+WITH b AS (UNPIVOT (SELECT * EXCLUDE (id) FROM x_fraud) ON COLUMNS(* EXCLUDE (Class)) INTO NAME "column" VALUE v),
+st AS (SELECT Class, "column", COUNT(*) AS n, STDDEV_SAMP(v) * POW(CAST(COUNT(*) AS DOUBLE), -0.2) AS bw, MIN(v) AS mn, MAX(v) AS mx
+       FROM b GROUP BY Class, "column"),
+pts AS (SELECT Class, "column", n, bw, p AS point, mn + (mx - mn) * p / 49 AS x
+        FROM st, (SELECT CAST(unnest(range(0, 50)) AS INTEGER) AS p) g)
+SELECT pts.Class, pts."column", pts.point, ROUND(x + 1e-9, 9) AS x,
+  ROUND(SUM(exp(-0.5 * ((x - v) / bw) * ((x - v) / bw))) / (n * bw * 2.5066282746310002) + 1e-9, 9) AS density
+FROM pts JOIN b ON pts.Class = b.Class AND pts."column" = b."column" GROUP BY pts.Class, pts."column", pts.point, x, n, bw""")
 def q_kde_grid(spark, sf_dir):
-    return ST.kde_grid(X.x_fraud(_t(spark, sf_dir)), "v0", ["Class"], grid=50)
+    f = X.x_fraud(_t(spark, sf_dir))
+    return ST.kde_grid(f, [c for c in f.columns if c not in ("id", "Class")], ["Class"], grid=50)
+
+
+@query("value_counts_by_label", """
+SELECT o_orderstatus, COUNT(*) AS count FROM orders WHERE o_orderstatus IS NOT NULL GROUP BY o_orderstatus""")
+def q_value_counts_by_label(spark, sf_dir):
+    """O-2: counts in descending order of the label."""
+    return ST.value_counts(_t(spark, sf_dir).orders, "o_orderstatus", by_label=True)
 
 
 @query("cooccurrence", """

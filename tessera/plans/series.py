@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tessera.functions import scalars as S
 from tessera.operators import joins as J
 from tessera.operators import stats as ST
+from tessera.operators.filters import last_n_days
 from tessera.operators.ordered import residuals, rolling_folds
 from tessera.operators.reshape import union_events
 
@@ -149,16 +150,20 @@ def holiday_names(calendar: DataFrame, none: str = "None") -> DataFrame:
 
 
 # R-10
-def holiday_effects(forecast: DataFrame, hol: DataFrame, effect: str = "residual") -> DataFrame:
-    """Box statistics of a per-day effect by holiday name (inner join on ds)."""
+def holiday_effects(forecast: DataFrame, hol: DataFrame, effect: str = "residual", by: Sequence[str] = ("series_id",),
+                    last_days: int | None = None) -> DataFrame:
+    """Box statistics of a per-day effect by series and holiday name (inner
+    join on ds), over all days or the last ``last_days`` of each series."""
+    if last_days is not None:
+        forecast = last_n_days(forecast, "ds", last_days, by=list(by))
     j = forecast.join(hol.select("ds", "holiday"), "ds", "inner")
-    return ST.box_stats(j, effect, ["holiday"])
+    return ST.box_stats(j, effect, [*by, "holiday"])
 
 
 # R-12
-def residual_by_weekday(forecast: DataFrame) -> DataFrame:
+def residual_by_weekday(forecast: DataFrame, by: Sequence[str] = ("series_id",)) -> DataFrame:
     r = residuals(forecast)
-    return ST.box_stats(r.withColumn("weekday", S.day_name("ds")), "residual", ["weekday"])
+    return ST.box_stats(r.withColumn("weekday", S.day_name("ds")), "residual", [*by, "weekday"])
 
 
 # R-13
