@@ -85,26 +85,6 @@ def mode_min(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
     return counts.groupBy(*by).agg(best) if by else counts.agg(best)
 
 
-def modes(df: DataFrame, cols: Sequence[str]) -> dict:
-    """Modes of several columns from one job, ties to the smallest value.
-
-    Every row becomes one struct per column, in which only that column's
-    field is set, so values are counted and compared in their own type
-    (numbers as numbers, dates as dates); per column the bounded
-    ``min(struct(-count, value))`` is kept.  Returns {column: value};
-    NULL-only columns are left out.
-    """
-    cols = list(cols)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    fields = [f"_v{i}" for i in range(len(cols))]
-    one = [F.struct(F.lit(i).alias("_col"), *[(F.col(c) if j == i else F.lit(None).cast(types[c])).alias(fields[j]) for j, c in enumerate(cols)])
-           for i in range(len(cols))]
-    long = df.select(F.explode(F.array(*one)).alias("r")).select("r.*").filter(F.coalesce(*[F.col(f).cast("string") for f in fields]).isNotNull())
-    best = (long.groupBy("_col", *fields).agg(F.count(F.lit(1)).alias("_c"))
-            .groupBy("_col").agg(F.min(F.struct((-F.col("_c")).alias("_k"), *fields)).alias("_b")))
-    return {cols[r["_col"]]: r["_b"][fields[r["_col"]]] for r in best.collect()}  # one row per column
-
-
 #: Bins of a selection: per e-fold of a value's size at first, then equal parts of a bin that holds a wanted rank.
 FIRST_BINS, PARTS = 64, 65536
 

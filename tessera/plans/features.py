@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import scalars as S
+from tessera.operators import stats as ST
 from tessera.operators.filters import date_range, within_box
 from tessera.operators.joins import join_on
 from tessera.operators.ordered import top_k
@@ -32,6 +33,24 @@ def ds_orders_delivery(dim_orders: DataFrame) -> DataFrame:
     })
 
 
+#: Dates that a delivered order should have.
+TARGET_DATES = ["order_purchase_timestamp", "order_approved_at", "order_delivered_carrier_date", "order_delivered_customer_date", "order_estimated_delivery_date"]
+
+
+# V-11
+def missing_target_dates(delivery: DataFrame, cols: Sequence[str] = TARGET_DATES) -> DataFrame:
+    """Missing dates of delivered orders: count and percent per column, and the
+    number of orders that lack any (one aggregation)."""
+    any_missing = F.greatest(*[F.col(c).isNull() for c in cols])
+    rows = delivery.select(*cols, F.when(~any_missing, F.lit(1)).alias("any of these"))
+    return ST.null_profile(rows, [*cols, "any of these"], keep_positive=False)
+
+
+def delivered_without_date(delivery: DataFrame, col: str = "order_delivered_customer_date") -> DataFrame:
+    """The delivered orders that lack a date, to be looked at or loaded again."""
+    return delivery.filter(F.col(col).isNull())
+
+
 # A-5
 def item_agg(fct_items: DataFrame) -> DataFrame:
     """Per order: summed price and the modal English category.

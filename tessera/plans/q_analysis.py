@@ -19,6 +19,26 @@ def q_ds_orders_delivery(spark, sf_dir):
     return FE.ds_orders_delivery(star(spark, sf_dir)["dim_orders"])
 
 
+_TARGETS = ["order_purchase_timestamp", "order_approved_at", "order_delivered_carrier_date", "order_delivered_customer_date", "order_estimated_delivery_date"]
+
+
+@query("delivered_missing_dates", " UNION ALL ".join(
+    f"SELECT '{n}' AS \"column\", CAST(SUM(CASE WHEN {c} THEN 1 ELSE 0 END) AS BIGINT) AS null_count, 100.0::DOUBLE * SUM(CASE WHEN {c} THEN 1 ELSE 0 END) / COUNT(*) AS null_percent "
+    "FROM s_dim_orders WHERE order_status = 'delivered'" for n, c in [*[(t, f"{t} IS NULL") for t in _TARGETS], ("any of these", " OR ".join(f"{t} IS NULL" for t in _TARGETS))]),
+    extra=STAR_SQL)
+def q_delivered_missing_dates(spark, sf_dir):
+    """V-11: dates that delivered orders lack."""
+    return FE.missing_target_dates(FE.ds_orders_delivery(star(spark, sf_dir)["dim_orders"]))
+
+
+@query("delivered_without_date", f"""
+SELECT *, {MINUTES.format(a='order_delivered_customer_date', b='order_purchase_timestamp')} AS actual_delivery_time_minutes,
+  {MINUTES.format(a='order_estimated_delivery_date', b='order_purchase_timestamp')} AS estimated_delivery_time_minutes
+FROM s_dim_orders WHERE order_status = 'delivered' AND order_approved_at IS NULL""", extra=STAR_SQL)
+def q_delivered_without_date(spark, sf_dir):
+    return FE.delivered_without_date(FE.ds_orders_delivery(star(spark, sf_dir)["dim_orders"]), "order_approved_at")
+
+
 def _full_profits(spark, sf_dir):
     s = star(spark, sf_dir)
     return FE.ds_orders_full_profits(s["dim_orders"], s["fct_order_items"])

@@ -69,26 +69,29 @@ def missing_report(clean: DataFrame, flags: Sequence[str] = FLAG_COLS) -> DataFr
     return ST.null_profile(positives(clean), list(flags), keep_positive=False)
 
 
-def impute_mode(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """F-22: fill NULLs of each column with its mode (smallest on ties).
+def impute_mode(df: DataFrame, cols: Sequence[str], max_percent: float = 100.0) -> DataFrame:
+    """F-22: fill NULLs of each column with its mode (smallest on ties), but
+    only of columns whose NULL share is at most ``max_percent``.
 
-    The modes of all columns come from one job with bounded state
-    (``stats.modes``); ``fillna`` gets them as ≤ len(cols) scalars.
+    One aggregation of (column, value) rows with map-side counts gives shares
+    and modes of all columns of a type; they reach the rows as one map from a
+    scalar subquery, so nothing goes through the driver.
     """
-    m = ST.modes(df, list(cols))
-    return df.fillna(m) if m else df
+    kinds: dict[str, list[str]] = {}
+    for c in cols:
+        kinds.setdefault(df.schema[c].dataType.simpleString(), []).append(c)
+    filled = {}
+    for same in kinds.values():
+        counts = df.select(*same).unpivot([], same, "_col", "_v").groupBy("_col", "_v").agg(F.count(F.lit(1)).alias("_c"))
+        known = F.col("_v").isNotNull()
+        per = counts.groupBy("_col").agg(F.sum("_c").alias("_n"), F.sum(F.when(known, 0).otherwise(F.col("_c"))).alias("_null"),
+                                         F.min(F.when(known, F.struct((-F.col("_c")).alias("_k"), "_v")))["_v"].alias("_mode"))
+        low = per.filter((100.0 * F.col("_null") / F.col("_n") <= max_percent) & F.col("_mode").isNotNull())
+        modes = low.agg(F.map_from_entries(F.collect_list(F.struct("_col", "_mode"))).alias("m")).scalar()  # one entry per column
+        filled |= {c: F.coalesce(F.col(c), modes[c]) for c in same}
+    return df.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])
 
 
 def impute_low_missing(clean: DataFrame, flags: Sequence[str] = FLAG_COLS, max_percent: float = 10.0) -> DataFrame:
-    """Impute by mode only the flags whose NULL share among positives is ≤ ``max_percent``.
-
-    NULL shares of all flags are one aggregation (one row); the modes of
-    the chosen flags one more job (``impute_mode``).
-    """
-    flags = list(flags)
-    pos = positives(clean)
-    stats = pos.agg(F.count(F.lit(1)).alias("_n"),
-                    *[F.sum(F.col(f).isNull().cast("int")).alias(f"_null_{f}") for f in flags]).first()
-    n = stats["_n"]
-    low = [f for f in flags if n and 100.0 * stats[f"_null_{f}"] / n <= max_percent]
-    return impute_mode(pos, low) if low else pos
+    """Impute by mode only the flags whose NULL share among positives is ≤ ``max_percent``."""
+    return impute_mode(positives(clean), list(flags), max_percent)
