@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import written
-from tessera.llm.components import linked_classes
+from tessera.llm.components import crossed, linked_classes
 from tessera.llm.textnum import _BYTE, _P, _P_INV, _SPACE, U, _powers, blocks, mix, utf8
 
 #: Threshold by length in bytes: lines from the second length on allow 2 edits, from the first on 1; shorter ones must be equal.
@@ -319,8 +319,8 @@ def line_classes(docs: DataFrame) -> DataFrame:
     ids = rows.select("id").distinct()
     texts = written(_with_sketches(_line_texts(docs).join(ids, "id", "left_semi").dropDuplicates(["id"])))
     return linked_classes(
-        rows, confirm=lambda pairs: _verified(pairs, texts), attach=lambda rest: rest.join(texts.select("id", *_SLIM), "id"),
-        cross=lambda a, b: (F.col(f"kind{a}") < F.col(f"kind{b}")) & _may_be_near(a, b), leader_rounds=LEADER_ROUNDS)
+        rows, confirm=lambda pairs: _verified(pairs, texts), leader_rounds=LEADER_ROUNDS,
+        compare=lambda rest: _verified(crossed(rest.join(texts.select("id", *_SLIM), "id"), lambda a, b: (F.col(f"kind{a}") < F.col(f"kind{b}")) & _may_be_near(a, b)), texts))
 
 
 def _prepared(docs: DataFrame) -> DataFrame:

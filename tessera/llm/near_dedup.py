@@ -9,11 +9,11 @@ so such a pair always shares a key.  Candidates are confirmed on the full
 shingle sets.
 
 Documents with equal sets are one node.  Keys shared by many nodes (a group
-of thousands of near copies) give no pairs within the group: a few rounds
-link every node of a key to one leader of the key, and what is linked
-becomes one component; only then the pairs across the components that are
-left in a key are compared, those within the signature distance are
-confirmed, and none is left out.
+of thousands of near copies) give no pairs within the group: one round
+pairs every node of a key with a few leaders of the key, and what is linked
+becomes one component; only then the nodes of different components that are
+left in a key are compared by their full sets, in cells of bounded size,
+and none is left out.
 """
 
 from __future__ import annotations
@@ -26,21 +26,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import written
-from tessera.llm.components import linked_classes
+from tessera.llm.components import cells, linked_classes
 from tessera.llm.textnum import U, blocks, lower, mix, span_hash, span_identity, utf8, window_hash, words
 
-#: Symbols of a signature, bits of a symbol, symbols of a chunk (packed in a long, in lanes of BITS + 1 bits).
+#: Symbols of a signature, bits of a symbol, symbols of a chunk.
 SYMBOLS, BITS, CHUNK = 32, 14, 4
 #: Largest distance (in symbols) at which the multi-index guarantees a shared key: one error allowed in each chunk.
 DISTANCE = 2 * (SYMBOLS // CHUNK) - 1
-#: One-bit min-hashes that candidates are compared by, and how many standard deviations below the similarity still count as near.
-SKETCH_BITS, SLACK = 2048, 4.5
 #: Rounds in which keys link their nodes to a leader before the pairs that are left are compared.
-LEADER_ROUNDS = 3
+LEADER_ROUNDS = 1
 
-_SEEDS = mix(np.arange(1, SYMBOLS + SKETCH_BITS + 1, dtype=U) * U(0x9E3779B97F4A7C15)) | U(1)
-_LOW = sum(((1 << BITS) - 1) << (i * (BITS + 1)) for i in range(CHUNK))
-_GUARD = sum(1 << (i * (BITS + 1) + BITS) for i in range(CHUNK))
+#: Distinct shingles whose incidence is held as a matrix at once.
+COLUMNS = 2048
+
+_SEEDS = mix(np.arange(1, SYMBOLS + 1, dtype=U) * U(0x9E3779B97F4A7C15)) | U(1)
 
 
 def shingle_sets(buf: np.ndarray, offsets: np.ndarray, k: int) -> list[np.ndarray]:
@@ -63,15 +62,6 @@ def _signatures(sets: list[np.ndarray]) -> np.ndarray:
     return np.stack([x & U((1 << BITS) - 1) for x in _least(np.concatenate(sets), begin, _SEEDS[:SYMBOLS])], 1)
 
 
-def _sketches(sets: list[np.ndarray]) -> np.ndarray:
-    """(sets, SKETCH_BITS / 64) longs of one-bit min-hashes; no set may be empty."""
-    begin = np.cumsum([0, *map(len, sets[:-1])])
-    out = np.zeros((len(sets), SKETCH_BITS // 64), U)
-    for i, x in enumerate(_least(np.concatenate(sets), begin, _SEEDS[SYMBOLS:])):
-        out[:, i // 64] |= (x & U(1)) << U(i % 64)
-    return out
-
-
 def _keys(signatures: np.ndarray) -> np.ndarray:
     """One key per chunk and symbol left out."""
     out = np.empty_like(signatures)
@@ -83,20 +73,14 @@ def _keys(signatures: np.ndarray) -> np.ndarray:
     return out
 
 
-def _lanes(signatures: np.ndarray) -> np.ndarray:
-    """One long per chunk."""
-    return sum(signatures[:, i::CHUNK] << U(i * (BITS + 1)) for i in range(CHUNK))
-
-
 def _lists(flat: np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(flat.view(np.int64)))
 
 
 def sketch(docs: DataFrame, k: int) -> DataFrame:
-    """``doc_id, n_shingles, h1, h2, keys, lanes``: (n_shingles, h1, h2)
-    identifies the shingle set; keys and lanes (the packed signature) are
-    empty for a text without words."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("keys", pa.list_(pa.int64())), ("lanes", pa.list_(pa.int64()))])
+    """``doc_id, n_shingles, h1, h2, keys``: (n_shingles, h1, h2) identifies
+    the shingle set; there are no keys for a text without words."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("keys", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -107,17 +91,17 @@ def sketch(docs: DataFrame, k: int) -> DataFrame:
                 full = [s for s in sets if len(s)]
                 identity = np.array([span_identity(s) for s in sets], U).reshape(len(sets), 2).view(np.int64)
                 signatures = _signatures(full) if full else np.zeros((0, SYMBOLS), U)
-                keys, lanes = _keys(signatures), _lanes(signatures)
+                keys = _keys(signatures)
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id")[i:j], pa.array(size), pa.array(identity[:, 0]), pa.array(identity[:, 1]),
-                     _lists(keys.reshape(-1), (size > 0) * keys.shape[1]), _lists(lanes.reshape(-1), (size > 0) * lanes.shape[1])], schema=schema)
+                     _lists(keys.reshape(-1), (size > 0) * keys.shape[1])], schema=schema)
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, h1 long, h2 long, keys array<long>, lanes array<long>")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, h1 long, h2 long, keys array<long>")
 
 
 def _full_sets(docs: DataFrame, k: int) -> DataFrame:
-    """``id, n, shingles, bits`` of documents (columns id, text) with words."""
-    schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("shingles", pa.list_(pa.int64())), ("bits", pa.list_(pa.int64()))])
+    """``id, n, shingles`` of documents (columns id, text) with words."""
+    schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -127,36 +111,10 @@ def _full_sets(docs: DataFrame, k: int) -> DataFrame:
                 some = np.flatnonzero([len(s) for s in sets])
                 if len(some):
                     full = [sets[x] for x in some]
-                    size, bits = np.array([len(s) for s in full]), _sketches(full)
-                    yield pa.RecordBatch.from_arrays([b.column("id")[i:j].take(pa.array(some)), pa.array(size), _lists(np.concatenate(full), size), _lists(bits.reshape(-1), np.full(len(full), bits.shape[1]))], schema=schema)
-
-    return docs.mapInArrow(run, "id long, n long, shingles array<long>, bits array<long>")
-
-
-def _wrong_symbols(a: str, b: str, chunk: int) -> Column:
-    """Symbols of a chunk in which two packed signatures differ."""
-    return F.bit_count((F.col(a)[chunk].bitwiseXOR(F.col(b)[chunk]) + F.lit(_LOW)).bitwiseAND(F.lit(_GUARD)))
-
-
-def _first_shared_key(place: str, a: str, b: str) -> Column:
-    """Whether the key at ``place`` is the first that two signatures share, so
-    that a pair that shares many keys is compared once: no earlier chunk is
-    within one error, and in this one the key leaves out the wrong symbol, or
-    the first if none is wrong."""
-    out = F.lit(True)
-    for c in range(SYMBOLS // CHUNK):
-        wrong = _wrong_symbols(a, b, c)
-        out = out & F.when(F.col(place) >= (c + 1) * CHUNK, wrong > 1).when(F.col(place) > c * CHUNK, wrong == 1).otherwise(F.lit(True))
-    return out
-
+                    size = np.array([len(s) for s in full])
+                    yield pa.RecordBatch.from_arrays([b.column("id")[i:j].take(pa.array(some)), pa.array(size), _lists(np.concatenate(full), size)], schema=schema)
 
-def _near(a: str, b: str, percent: int) -> Column:
-    """Whether two sketches are no further apart than sets of the similarity,
-    but for SLACK standard deviations."""
-    p = (1 - percent / 100) / 2
-    most = int(SKETCH_BITS * p + SLACK * (SKETCH_BITS * p * (1 - p)) ** 0.5) + 1
-    parts = [F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(SKETCH_BITS // 64)]
-    return sum(parts[1:], parts[0]) <= most
+    return docs.mapInArrow(run, "id long, n long, shingles array<long>")
 
 
 def _sizes_fit(a: str, b: str, percent: int) -> Column:
@@ -165,16 +123,83 @@ def _sizes_fit(a: str, b: str, percent: int) -> Column:
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets reach the similarity, with the carried
-    columns.  Sketches and sizes sort out first, then the full sets decide."""
+    columns.  Sizes sort out first, then the full sets decide."""
     for side in ("a", "b"):
-        pairs = pairs.join(sets.select(F.col("id").alias(side), F.col("n").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}")), side)
-    pairs = pairs.where(_sizes_fit("n_a", "n_b", percent) & _near("bits_a", "bits_b", percent)).drop("bits_a", "bits_b")
+        pairs = pairs.join(sets.select(F.col("id").alias(side), F.col("n").alias(f"n_{side}")), side)
+    pairs = pairs.where(_sizes_fit("n_a", "n_b", percent))
     for side in ("a", "b"):
         pairs = pairs.join(sets.select(F.col("id").alias(side), F.col("shingles").alias(f"s_{side}")), side)
     common = F.size(F.array_intersect("s_a", "s_b"))
     return pairs.where(100 * common >= percent * (F.col("n_a") + F.col("n_b") - common)).drop("s_a", "s_b")
 
 
+def shared_counts(flat: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """(sets, sets): how many elements two sets share; ``flat`` holds the sets
+    one after the other.  The incidence of some distinct elements at a time is
+    a matrix of zeros and ones, and its product with itself counts."""
+    n = len(size)
+    out = np.zeros((n, n), np.float32)  # whole numbers below 2^24
+    distinct, place, times = np.unique(flat, return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(n), size)
+    several = np.cumsum(times > 1) - 1  # an element of one set is shared with none
+    keep = times[place] > 1
+    column, owner = several[place[keep]], owner[keep]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        a, b = np.searchsorted(column, [low, low + COLUMNS])
+        part = np.zeros((n, int(column[b - 1]) - low + 1), np.float32)
+        part[owner[a:b], column[a:b] - low] = 1
+        out += part @ part.T
+    return out
+
+
+def _links_of_cells(rest: DataFrame, percent: int) -> DataFrame:
+    """``comp_a, comp_b`` of the links between ids of different classes in a
+    cell (rows ``key, low, high, part, id, comp, n, shingles``): every pair is
+    decided by its full sets.  Cells come sorted, one is held at a time."""
+    names = ["key", "low", "high"]
+    schema = pa.schema([("comp_a", pa.int64()), ("comp_b", pa.int64())])
+
+    def decided(cell: pa.RecordBatch) -> np.ndarray:
+        comp, part, n = (cell.column(c).to_numpy() for c in ("comp", "part", "n"))
+        if len(comp) < 2 or (comp == comp[0]).all():
+            return np.zeros((2, 0), np.int64)
+        common = shared_counts(cell.column("shingles").flatten().to_numpy(), n)
+        near = 100 * common >= percent * (n[:, None] + n[None, :] - common)
+        near &= comp[:, None] < comp[None, :]
+        if cell.column("low")[0].as_py() != cell.column("high")[0].as_py():
+            near &= part[:, None] != part[None, :]
+        a, b = np.nonzero(near)
+        return np.unique(np.stack([comp[a], comp[b]]), axis=1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # rows of the cell that the next batch may go on with
+        for b in batches:
+            if not b.num_rows:
+                continue
+            code = np.stack([b.column(c).to_numpy() for c in names])
+            cut = np.flatnonzero((code[:, 1:] != code[:, :-1]).any(0)) + 1
+            bounds = [0, *cut.tolist(), b.num_rows]
+            if held and [held[-1].column(c)[-1].as_py() for c in names] != code[:, 0].tolist():
+                yield from out([held])
+                held = []
+            cells = [[*held, b.slice(0, bounds[1])], *([b.slice(x, y - x)] for x, y in zip(bounds[1:], bounds[2:]))]
+            held = cells.pop()
+            yield from out(cells)
+        if held:
+            yield from out([held])
+
+    def out(cells: list[list[pa.RecordBatch]]) -> Iterator[pa.RecordBatch]:
+        found = [decided(pa.Table.from_batches(c).combine_chunks().to_batches()[0]) for c in cells]
+        if found:
+            links = np.unique(np.concatenate(found, axis=1), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(links[0]), pa.array(links[1])], schema=schema)
+
+    dealt = cells(rest).select(*names, "part", "id", "comp", "n", "shingles")
+    return dealt.repartition(*names).sortWithinPartitions(*names).mapInArrow(run, "comp_a long, comp_b long")
+
+
 def near_dedup(docs: DataFrame, k: int = 5, percent: int = 80, leader_rounds: int = LEADER_ROUNDS) -> DataFrame:
     """Classes of documents linked by 100·|A∩B| ≥ percent·|A∪B| on their sets
     of distinct k-word shingles (A-Z lower-cased; fewer words: the whole
@@ -191,23 +216,16 @@ def near_dedup(docs: DataFrame, k: int = 5, percent: int = 80, leader_rounds: in
     sketches = written(sketch(docs, k))
     # equal sets are one node, named by its smallest document
     nodes = (sketches.where("n_shingles > 0 and doc_id is not null").groupBy("n_shingles", "h1", "h2")
-             .agg(F.min(F.struct("doc_id", "keys", "lanes")).alias("x")))
-    nodes = written(nodes.select("n_shingles", "h1", "h2", F.col("x.doc_id").alias("id"), F.col("x.keys").alias("keys"), F.col("x.lanes").alias("lanes")))
+             .agg(F.min(F.struct("doc_id", "keys")).alias("x")))
+    nodes = written(nodes.select("n_shingles", "h1", "h2", F.col("x.doc_id").alias("id"), F.col("x.keys").alias("keys")))
 
-    rows = nodes.select("id", F.posexplode("keys").alias("place", "key"))
+    rows = nodes.select("id", F.explode("keys").alias("key"))
     shared = rows.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("key")
     rows = written(rows.join(shared, "key"))
     texts = docs.withColumnRenamed("doc_id", "id").join(rows.select("id").distinct(), "id", "left_semi")
     sets = written(_full_sets(texts, k))
-    lanes = nodes.select("id", "lanes")
-
-    def cross(a: str, b: str) -> Column:
-        return ((F.col(f"id{a}") < F.col(f"id{b}")) & _sizes_fit(f"n{a}", f"n{b}", percent)
-                & _first_shared_key(f"place{a}", f"lanes{a}", f"lanes{b}") & _near(f"bits{a}", f"bits{b}", percent))
-
-    label = linked_classes(
-        rows, confirm=lambda pairs: _confirmed(pairs, sets, percent),
-        attach=lambda rest: rest.join(lanes, "id").join(sets.select("id", "n", "bits"), "id"), cross=cross, leader_rounds=leader_rounds)
+    label = linked_classes(rows, confirm=lambda pairs: _confirmed(pairs, sets, percent), leader_rounds=leader_rounds,
+                           compare=lambda rest: _links_of_cells(rest.join(sets, "id"), percent))
 
     root = nodes.select("n_shingles", "h1", "h2", F.col("id").alias("node_id")).join(label, F.col("node_id") == F.col("id"), "left").select(
         "n_shingles", "h1", "h2", F.coalesce("comp", "node_id").alias("root"))

@@ -5,9 +5,10 @@ character 3- to 5-grams (both hashed).  Overlapping windows of words run
 through a GRU in each direction; attention weighs the positions, a logistic
 unit scores the window, and a document's score is its highest window's.
 
-The network is trained in numpy, in one task, on a bounded, class-balanced
-sample of labelled documents; as a label is a document's, each epoch trains on
-every document's highest window so far and on one drawn at random.  Scoring is
+The network is trained in numpy, in one task, on a bounded sample of labelled
+documents; every step takes as many toxic as clean ones, and as a label is a
+document's, sees them through their highest windows so far or one drawn at
+random.  Scoring is
 one pass over all whole texts, without a shuffle.
 """
 
@@ -27,7 +28,12 @@ from tessera.llm.textnum import U, blocks, lower, mix, span_hash, utf8, words
 SAMPLE_PER_CLASS = 2000
 #: Words of a window, words from one window to the next, units of each direction, size of an input, buckets of words and of character n-grams.
 WINDOW, STRIDE, HIDDEN, WIDTH, WORD_BUCKETS, GRAM_BUCKETS = 32, 16, 10, 12, 1 << 14, 1 << 17
-EPOCHS, BATCH, RATE = 7, 64, 0.01
+#: Training texts that must share a word or n-gram for its embedding to be learned; others stay 0, so no text can be told by what it alone has.
+SHARED = 3
+#: Texts of a step (half of either class), learning rate, steps, steps between two searches for the highest windows.
+BATCH, RATE, STEPS, SEEK = 64, 0.01, 300, 50
+#: One labelled text in so many only places the cut-off; how much a clean text above it costs against a toxic one below.
+KEPT_OUT, FALSE_ALARM = 5, 5.0
 #: A document is predicted toxic from this score on.
 CUTOFF = 0.7
 
@@ -260,17 +266,18 @@ def gradients(net: dict, own: Words, first: np.ndarray, size: np.ndarray, label:
 
 
 class _Adam:
-    def __init__(self, net: dict, rate: float) -> None:
-        self.net, self.rate, self.turn = net, rate, 0
+    def __init__(self, net: dict, rate: float, shared: dict[str, np.ndarray]) -> None:
+        self.net, self.rate, self.turn, self.shared = net, rate, 0, shared
         self.m, self.v = ({k: np.zeros_like(x) for k, x in net.items()} for _ in range(2))
 
     def step(self, grads: dict) -> None:
         self.turn += 1
         fix = self.rate * np.sqrt(1 - 0.999 ** self.turn) / (1 - 0.9 ** self.turn)
         for k, g in grads.items():
-            if isinstance(g, tuple):  # only the rows that occur are moved
-                rows, which = np.unique(g[0], return_inverse=True)
-                g = _sums_by(which, g[1], len(rows))
+            if isinstance(g, tuple):  # only the rows that occur are moved, and of them those that several texts share
+                keep = self.shared[k][g[0]]
+                rows, which = np.unique(g[0][keep], return_inverse=True)
+                g = _sums_by(which, g[1][keep], len(rows))
             else:
                 rows = slice(None)
             self.m[k][rows] = m = 0.9 * self.m[k][rows] + 0.1 * g
@@ -278,35 +285,86 @@ class _Adam:
             self.net[k][rows] -= fix * m / (np.sqrt(v) + 1e-7)
 
 
-def train(texts: list[str], labels: list[int], seed: int = 7, epochs: int = EPOCHS) -> dict[str, np.ndarray]:
-    """A network for whole labelled texts."""
+def _highest(net: dict, own: Words, first: np.ndarray, size: np.ndarray, doc: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each document's window of the highest logit, and that logit."""
+    logit = window_logits(net, own, first, size)
+    at = np.lexsort((-logit, doc))[begin]
+    return at, logit[at]
+
+
+def cut_off(clean: np.ndarray, toxic: np.ndarray) -> float:
+    """The logit above which a text counts as toxic: of all places between two
+    neighbouring logits the one with the greatest share of toxic texts above
+    it less ``FALSE_ALARM`` times the share of clean ones; of equally good
+    places the middle of the widest gap."""
+    level = np.unique(np.concatenate([clean, toxic]))
+    places = np.concatenate([[level[0] - 1], (level[1:] + level[:-1]) / 2, [level[-1] + 1]])
+    gap = np.concatenate([[0], np.diff(level), [0]])
+    caught = 1 - np.searchsorted(np.sort(toxic), places) / len(toxic)
+    alarms = 1 - np.searchsorted(np.sort(clean), places) / len(clean)
+    value = caught - FALSE_ALARM * alarms
+    best = np.flatnonzero(value >= value.max() - 1e-12)
+    return float(places[best[np.argmax(gap[best])]])
+
+
+def _shared_by(own: Words, text: np.ndarray) -> dict[str, np.ndarray]:
+    """Which words' and n-grams' buckets occur in at least SHARED texts (those
+    numbered -1 don't count)."""
+    doc = np.repeat(text, np.diff(own.bounds))
+    pair = np.unique(np.stack([doc, own.place])[:, doc >= 0], axis=1)  # text, distinct word
+    many = own.count[pair[1]]
+    grams = own.grams[np.repeat(own.begin[pair[1]] - np.cumsum(many) + many, many) + np.arange(many.sum())]
+    out = {}
+    for k, texts, bucket, size in (("word", pair[0], own.bucket[pair[1]], WORD_BUCKETS), ("gram", np.repeat(pair[0], many), grams, GRAM_BUCKETS)):
+        once = np.unique(texts.astype(np.int64) * size + bucket) % size
+        out[k] = np.bincount(once, minlength=size) >= SHARED
+    return out
+
+
+def train(texts: list[str], labels: list[int], seed: int = 7, steps: int = STEPS) -> dict[str, np.ndarray]:
+    """A network for whole labelled texts.
+
+    Every step takes as many texts of either class, in turns through a
+    shuffled order, so a rare class is not outvoted; the number of steps is
+    the same at every size.  A toxic text is seen through its highest window,
+    a clean one through its highest or any other; which window is the highest
+    is looked up over all windows every ``SEEK`` steps.  One text in
+    ``KEPT_OUT`` takes no part in the gradient: the cut-off is placed by them."""
     net, rng = new_network(seed), np.random.RandomState(seed)
     label = np.array(labels, np.float32)
-    if not texts:
+    if len(set(labels)) < 2:
         return net
     buf, offsets = utf8(pa.array(texts, pa.large_string()))
     own = Words.of_texts(buf, offsets)
     first, size, doc = windows(own.bounds)
     begin, many = np.searchsorted(doc, np.arange(len(texts))), np.bincount(doc, minlength=len(texts))
-    adam = _Adam(net, RATE)
-    drawn = lambda: begin + (rng.random_sample(len(texts)) * many).astype(np.int64)
-    for epoch in range(epochs):
-        if epoch:  # the highest of all windows
-            top = np.lexsort((-window_logits(net, own, first, size), doc))[begin]
-            chosen = np.concatenate([top, drawn()[label == 0]])
-        else:
-            chosen = np.concatenate([drawn(), drawn()])
-        rng.shuffle(chosen)
-        adam.rate = RATE * (1 - epoch / epochs * 0.7)
-        for a in range(0, len(chosen), BATCH):
-            w = chosen[a:a + BATCH]
-            _, grads = gradients(net, own, first[w], size[w], label[doc[w]])
-            adam.step(grads)
-    if len(set(labels)) == 2:  # the cut-off goes midway between the classes' highest windows, where they are apart
-        top = np.maximum.reduceat(window_logits(net, own, first, size), begin)
-        clean, toxic = np.quantile(top[label == 0], 0.9995), np.quantile(top[label == 1], 0.01)
-        if toxic > clean:
-            net["bias"] = net["bias"] + np.float32(np.log(CUTOFF / (1 - CUTOFF)) - (clean + toxic) / 2)
+    kept_out = np.zeros(len(texts), bool)
+    turns = []
+    for c in (0, 1):
+        own_class = rng.permutation(np.flatnonzero(label == c))
+        aside = len(own_class) // KEPT_OUT
+        kept_out[own_class[:aside]] = True
+        turns.append(own_class[aside:])
+    order = [np.concatenate([rng.permutation(t) for _ in range(-(-steps * BATCH // 2 // len(t)))]).reshape(-1) for t in turns]
+    shared = _shared_by(own, np.where(kept_out, -1, np.arange(len(texts))))
+    for k, rows in shared.items():
+        net[k][~rows] = 0
+    adam = _Adam(net, RATE, shared)
+    top = None
+    for step in range(steps):
+        if step and step % SEEK == 0:
+            top = _highest(net, own, first, size, doc, begin)[0]
+        some = np.concatenate([o[step * (BATCH // 2):(step + 1) * (BATCH // 2)] for o in order])
+        w = begin[some] + (rng.random_sample(len(some)) * many[some]).astype(np.int64)
+        if top is not None:
+            w = np.where((label[some] == 1) | (rng.random_sample(len(some)) < 0.5), top[some], w)
+        adam.rate = RATE * (1 - step / steps * 0.7)
+        _, grads = gradients(net, own, first[w], size[w], label[doc[w]])
+        adam.step(grads)
+    logit = _highest(net, own, first, size, doc, begin)[1]
+    judged = [kept_out & (label == c) for c in (0, 1)]
+    clean, toxic = (logit[j if j.any() else label == c] for c, j in zip((0, 1), judged))
+    net["bias"] = net["bias"] + np.float32(np.log(CUTOFF / (1 - CUTOFF)) - cut_off(clean, toxic))
     return net
 
 

@@ -281,14 +281,14 @@ def test_toxicity_learns(spark):
 
 
 def test_toxicity_training_sees_every_window(monkeypatch):
-    """Each pass of the training, that of the cut-off included, scores all
+    """Each search for the highest windows, that of the cut-off included, scores all
     windows of all texts, however long one is."""
     from tessera.llm import toxicity as T
     rng = random.Random(8)
     texts = [" ".join(rng.choice(["ab", "cd", "ef", "gh"]) for _ in range(n)) for n in (2000, 40, 5, 0, 700, 300)]
     looked, scored = [], T.window_logits
     monkeypatch.setattr(T, "window_logits", lambda net, own, first, size, **more: looked.append((first, size)) or scored(net, own, first, size, **more))
-    T.train(texts, [0, 1, 0, 1, 1, 0], epochs=3)
+    T.train(texts, [0, 1, 0, 1, 1, 0], steps=2 * T.SEEK + 1)
     buf, offsets = T.utf8(pa.array(texts, pa.large_string()))
     own = T.Words(buf, offsets)
     first, size, _ = T.windows(own.bounds)

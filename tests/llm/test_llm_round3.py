@@ -61,7 +61,7 @@ def test_whitening_edges(spark):
     by = {(r.vec_id, r.component): r for r in got}
     assert int(by[1, 1].deviation) == deviation[0] and abs(by[1, 1].explained - explained[0]) < 1e-9
     assert abs(abs(by[None, 2].whitened) - abs(want[3, 1])) < 1e-9
-    # rank 2 in 3 dimensions? no: three distinct points span a plane, the third component has no variance
+    # three distinct points span a plane: the third component has no variance
     assert all(by[i, 3].whitened == 0 and by[i, 3].explained == 0 for i in (1, 2, None)) and got[0].identity_error < 1e-9
     assert whiten(table.limit(0)).collect() == [] and whiten(table.where("vec_id = 3")).collect() == []
     one = whiten(table.where("vec_id = 1")).collect()
@@ -208,3 +208,35 @@ def test_search_finds_every_place():
         whole, names = form.tobytes(), [own.form[p:p + s].tobytes() for p, s in zip(own.place, own.size)]
         want = {(m.start(), n) for n, name in enumerate(names) for m in re.finditer(b"(?=" + re.escape(name) + b")", whole)}
         assert set(zip(*(x.tolist() for x in own.find(form)))) == want
+
+
+# -- links in cells ---------------------------------------------------------------
+def test_links_of_many_parts(spark, monkeypatch):
+    """A key with more ids than a part holds: all links found, each pair of parts in its own cell."""
+    from pyspark.sql import functions as F
+    from tessera.llm import components as C, near_dedup as N
+    rng = np.random.default_rng(4)
+    sets = [np.sort(rng.choice(60, int(rng.integers(5, 40)), replace=False)).astype(np.int64) * 1_000_003 for _ in range(120)]
+    rows = [(k, i, i, len(s), s.tolist(), parts) for k, parts in ((1, 5), (2, 1)) for i, s in enumerate(sets) if k == 1 or i % 3 == 0]
+    rest = spark.createDataFrame(rows, "key long, id long, comp long, n long, shingles array<long>, parts int")
+    want = {(a, b) for a in range(120) for b in range(a + 1, 120) if 100 * len(set(sets[a]) & set(sets[b])) >= 50 * len(set(sets[a]) | set(sets[b]))}
+    assert {tuple(r) for r in N._links_of_cells(rest, 50).collect()} == want
+    monkeypatch.setattr(N, "COLUMNS", 7)
+    flat, size = np.concatenate(sets), np.array([len(s) for s in sets])
+    common = N.shared_counts(flat, size)
+    assert all(common[a, b] == len(set(sets[a]) & set(sets[b])) for a in range(120) for b in range(120) if a != b)
+    pairs = C.crossed(rest.where("key = 1"), lambda a, b: F.col(f"id{a}") < F.col(f"id{b}"))
+    assert pairs.count() == 120 * 119 // 2
+
+
+# -- toxicity on the given labels ---------------------------------------------------
+@pytest.mark.parametrize("sf,least,most", [("sf0.01", 0.4, 0.08), ("sf0.1", 0.8, 0.015)])
+def test_toxicity_of_held_out_documents(spark, sf, least, most):
+    """Held-out recall at least, and share of clean documents flagged at most; about one toxic
+    document in eight has no word that others of its class have."""
+    from tessera.llm.toxicity import toxicity
+    read = lambda t: spark.read.parquet(f"/root/testdata/{sf}/{t}.parquet")
+    labels = read("labels")
+    got = toxicity(read("documents").join(labels.select("doc_id"), "doc_id", "left_semi"), labels).join(labels, "doc_id").where("held_out").select("toxic", "predicted").collect()
+    toxic, clean = ([r.predicted for r in got if r.toxic == c] for c in (1, 0))
+    assert sum(toxic) >= least * len(toxic) and sum(clean) <= most * len(clean)
