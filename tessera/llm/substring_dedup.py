@@ -205,30 +205,29 @@ def reaches(left: list[bytes], right: list[bytes], length: int = LENGTH) -> list
 
 # -- on a table ---------------------------------------------------------------
 def _anchor_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    schema = pa.schema([("doc_id", pa.int64()), ("place", pa.int32()), ("key", pa.int64())])
+    schema = pa.schema([("sha", pa.binary()), ("place", pa.int32()), ("key", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             buf, offsets = utf8(b.column("body"))
-            ids = b.column("doc_id").to_numpy(zero_copy_only=False)
             for i, j in blocks(offsets):
                 row, place, key = anchors(buf[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], length, gram)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[i:j][row]), pa.array(place.astype(np.int32)), pa.array(key.view(np.int64))], schema=schema)
+                yield pa.RecordBatch.from_arrays([b.column("sha").take(pa.array(i + row)), pa.array(place.astype(np.int32)), pa.array(key.view(np.int64))], schema=schema)
 
-    return docs.mapInArrow(run, "doc_id long, place int, key long")
+    return docs.mapInArrow(run, "sha binary, place int, key long")
 
 
 def _contexts(work: DataFrame, length: int, gram: int) -> DataFrame:
     """``key, before, after, docs, places``: the bytes around the candidate
     anchors; equal contexts of a batch are one row."""
-    schema = pa.schema([("key", pa.int64()), ("before", pa.binary()), ("after", pa.binary()), ("docs", pa.list_(pa.int64())), ("places", pa.list_(pa.int32()))])
+    schema = pa.schema([("key", pa.int64()), ("before", pa.binary()), ("after", pa.binary()), ("docs", pa.list_(pa.binary())), ("places", pa.list_(pa.int32()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for part in range(0, b.num_rows, 400):
                 sub = b.slice(part, 400)
                 found: dict[tuple[int, bytes, bytes], tuple[list, list]] = {}
-                for doc, body, places, keys in zip(sub.column("doc_id").to_pylist(), sub.column("body").to_pylist(), sub.column("places").to_pylist(), sub.column("keys").to_pylist()):
+                for doc, body, places, keys in zip(sub.column("sha").to_pylist(), sub.column("body").to_pylist(), sub.column("places").to_pylist(), sub.column("keys").to_pylist()):
                     for p, key in zip(places, keys):
                         one = found.setdefault((key, body[max(0, p - length + gram):p][::-1], body[p:p + length]), ([], []))
                         one[0].append(doc)
@@ -237,15 +236,15 @@ def _contexts(work: DataFrame, length: int, gram: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(
                         ([k[0] for k in found], [k[1] for k in found], [k[2] for k in found], [v[0] for v in found.values()], [v[1] for v in found.values()]), schema.types)], schema=schema)
 
-    return work.mapInArrow(run, "key long, before binary, after binary, docs array<long>, places array<int>")
+    return work.mapInArrow(run, "key long, before binary, after binary, docs array<binary>, places array<int>")
 
 
 def _repeats(contexts: DataFrame, length: int) -> DataFrame:
-    """``doc_id, low, high``: repeated bytes around each candidate anchor.
+    """``sha, low, high``: repeated bytes around each candidate anchor.
     Groups come sorted by key, so one is held at a time."""
-    schema = pa.schema([("doc_id", pa.int64()), ("low", pa.int32()), ("high", pa.int32())])
+    schema = pa.schema([("sha", pa.binary()), ("low", pa.int32()), ("high", pa.int32())])
 
-    def close(group: list[tuple]) -> Iterator[tuple[int, int, int]]:
+    def close(group: list[tuple]) -> Iterator[tuple[bytes, int, int]]:
         if len(group) == 1 and len(group[0][2]) == 1:
             return
         reached = reaches([g[0] for g in group], [g[1] for g in group], length) if len(group) > 1 else [(0, 0)]
@@ -271,17 +270,17 @@ def _repeats(contexts: DataFrame, length: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
 
     parts = contexts.repartition("key").sortWithinPartitions("key")
-    return parts.mapInArrow(run, "doc_id long, low int, high int")
+    return parts.mapInArrow(run, "sha binary, low int, high int")
 
 
 def _without(work: DataFrame) -> DataFrame:
-    """``doc_id, n_removed, n_spans, kept`` of texts with their repeats."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
+    """``sha, n_removed, n_spans, kept`` of texts with their repeats."""
+    schema = pa.schema([("sha", pa.binary()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
-            for doc, body, spans in zip(b.column("doc_id"), b.column("body"), b.column("spans")):
+            for doc, body, spans in zip(b.column("sha"), b.column("body"), b.column("spans")):
                 body, kept, done, removed, runs, end = body.as_py(), [], 0, 0, 0, -1
                 for low, high in sorted((s["low"], s["high"]) for s in spans.as_py()):
                     if low > end:
@@ -296,7 +295,7 @@ def _without(work: DataFrame) -> DataFrame:
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
 
-    return work.mapInArrow(run, "doc_id long, n_removed long, n_spans long, kept binary")
+    return work.mapInArrow(run, "sha binary, n_removed long, n_spans long, kept binary")
 
 
 def substring_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -305,34 +304,33 @@ def substring_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     count); strings don't cross texts and are judged on the input.
 
     One row per input row: ``doc_id, n_bytes, n_removed, n_spans`` (maximal
-    removed runs) and ``kept_sha256`` of the remaining bytes.  A null text
-    counts as empty; texts under ``length`` bytes keep all.  Rows with a null id
-    are left as they are and take part in nothing.  A row that occurs twice is
-    two copies of its text; an id names one text, so of rows that share an id
-    and differ in text one stands for all.  Other columns are ignored; an empty
-    table gives no rows.
+    removed runs) and ``kept_sha256`` of the remaining bytes.  Inside, a text
+    is known by its digest, never by its id, so rows that share an id, or have
+    none, are texts like any others, and a row that occurs twice is two copies.
+    A null text counts as empty; texts under ``length`` bytes keep all.  Other
+    columns are ignored; an empty table gives no rows.
     """
     body = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), body.alias("body"))
-    slim = docs.select("doc_id", F.octet_length("body").cast("long").alias("n_bytes"), F.sha2("body", 256).alias("sha"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), body.alias("body")).withColumn("sha", F.unhex(F.sha2("body", 256)))
+    slim = docs.select("doc_id", F.octet_length("body").cast("long").alias("n_bytes"), "sha")
     # equal whole texts: all go, and one of them stands for them against the others
-    one = slim.where("doc_id is not null").groupBy("sha", "n_bytes").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
-    firsts = one.where(F.col("n_bytes") >= length).select(F.col("first").alias("doc_id"))
+    several = slim.where(F.col("n_bytes") >= length).groupBy("sha").agg(F.count("*").alias("n")).where("n > 1").select(F.col("sha").alias("copied"))
 
-    found = _anchor_rows(docs.where((F.octet_length("body") >= length) & F.col("doc_id").isNotNull()), length, gram).join(firsts, "doc_id", "left_semi")
-    found = written(found)
+    long = docs.where(F.octet_length("body") >= length).select("sha", "body")
+    found = written(_anchor_rows(long, length, gram).dropDuplicates(["sha", "place"]))
     again = found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    per_doc = found.join(again, "key").groupBy("doc_id").agg(F.collect_list(F.struct("place", "key")).alias("x"))
-    work = written(docs.join(per_doc, "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "body", F.col("x.place").alias("places"), F.col("x.key").alias("keys")))
+    per_doc = found.join(again, "key").groupBy("sha").agg(F.collect_list(F.struct("place", "key")).alias("x"))
+    # the copies of a text become one in each task, before its bytes are shuffled
+    texts = long.groupBy("sha").agg(F.first("body").alias("body"))
+    work = written(texts.join(per_doc, "sha").select("sha", "body", F.col("x.place").alias("places"), F.col("x.key").alias("keys")))
 
-    spans = _repeats(_contexts(work, length, gram), length).groupBy("doc_id").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
-    edited = _without(work.select("doc_id", "body").join(spans, "doc_id")).select("doc_id", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    spans = _repeats(_contexts(work, length, gram), length).groupBy("sha").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+    edited = _without(work.select("sha", "body").join(spans, "sha")).select(F.col("sha").alias("edited"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
-    copied = slim.join(one.where("n > 1").select("sha", "n_bytes", F.lit(True).alias("copied")), ["sha", "n_bytes"], "left")
-    gone = F.coalesce(F.col("copied"), F.lit(False)) & (F.col("n_bytes") >= length) & F.col("doc_id").isNotNull()
-    out = copied.join(edited, "doc_id", "left")
+    out = slim.join(several, F.col("sha") == F.col("copied"), "left").join(edited, F.col("sha") == F.col("edited"), "left")
+    gone = F.col("copied").isNotNull()
     whole = lambda a, b: F.when(gone, a).otherwise(b)
     return out.select("doc_id", "n_bytes",
                       whole(F.col("n_bytes"), F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
                       whole(F.lit(1), F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
-                      whole(F.sha2(F.lit("").cast("binary"), 256), F.coalesce("kept_sha256", "sha")).alias("kept_sha256"))
+                      whole(F.sha2(F.lit("").cast("binary"), 256), F.coalesce("kept_sha256", F.lower(F.hex("sha")))).alias("kept_sha256"))

@@ -238,3 +238,25 @@ def test_toxicity_of_held_out_documents(spark, sf="sf0.1", least=0.8, most=0.01)
     got = toxicity(read("documents").join(labels.select("doc_id"), "doc_id", "left_semi"), labels).join(labels, "doc_id").where("held_out").select("toxic", "predicted").collect()
     toxic, clean = ([r.predicted for r in got if r.toxic == c] for c in (1, 0))
     assert sum(toxic) >= least * len(toxic) and sum(clean) <= most * len(clean)
+
+
+# -- repeated strings of rows that share an id ---------------------------------------
+def test_substrings_of_shared_and_missing_ids(spark):
+    from tessera.llm.substring_dedup import substring_dedup
+    rng = np.random.default_rng(9)
+    say = lambda n: "".join(rng.choice(list("abcdefgh ijé"), n))
+    passage, other = say(589), say(450)
+    rows = [(1, say(700)), (1, say(300) + passage + say(50)), (2, say(80) + passage + say(400)), (None, other + say(500)), (3, say(30) + other), (None, say(20) + other + "z"),
+            (4, "same" * 200), (4, "same" * 200), (None, None), (5, ""), (None, "whole " * 100), (6, "whole " * 100), (7, "short"), (7, "short")]
+    got = order(tuple(r) for r in substring_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect())
+    bodies = [(t or "").encode() for _, t in rows]
+    seen = collections.Counter(b[i:i + 400] for b in bodies for i in range(len(b) - 399))
+    want = []
+    for (doc, _), b in zip(rows, bodies):
+        gone = np.zeros(len(b) + 1, bool)
+        for i in range(len(b) - 399):
+            if seen[b[i:i + 400]] > 1:
+                gone[i:i + 400] = True
+        spans = int((gone[1:] & ~gone[:-1]).sum() + gone[0]) if len(b) else 0
+        want.append((doc, len(b), int(gone.sum()), spans, hashlib.sha256(bytes(x for x, g in zip(b, gone) if not g)).hexdigest()))
+    assert got == order(want)
