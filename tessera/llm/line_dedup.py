@@ -210,15 +210,13 @@ def _shared_keys(keys: DataFrame) -> DataFrame:
 
 
 def _line_rows(docs: DataFrame) -> DataFrame:
-    """``doc_id, number, id, size`` of every line with a word (size in bytes),
-    and one row with a null number for every document, in which id is its
-    number of lines."""
-    schema = pa.schema([("doc_id", pa.int64()), ("number", pa.int32()), ("id", pa.int64()), ("size", pa.int32())])
+    """``row, number, id, size`` of every line with a word (size in bytes)."""
+    schema = pa.schema([("row", pa.binary()), ("number", pa.int32()), ("id", pa.int64()), ("size", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             buf, offsets = utf8(b.column("text"))
-            doc = b.column("doc_id")
+            doc = b.column("row")
             for i, j in blocks(offsets):
                 part = buf[offsets[i]:offsets[j]]
                 row, number, start, end = split_lines(part, offsets[i:j + 1] - offsets[i])
@@ -226,7 +224,7 @@ def _line_rows(docs: DataFrame) -> DataFrame:
                 ids = line_ids(Hashes(part), start, end)
                 yield pa.RecordBatch.from_arrays([doc.take(pa.array(i + row[some])), pa.array(number[some].astype(np.int32)), pa.array(ids[some]), pa.array((end - start)[some].astype(np.int32))], schema=schema)
 
-    return docs.mapInArrow(run, "doc_id long, number int, id long, size int")
+    return docs.select("row", "text").mapInArrow(run, "row binary, number int, id long, size int")
 
 
 def _line_texts(docs: DataFrame) -> DataFrame:
@@ -323,53 +321,68 @@ def line_classes(docs: DataFrame) -> DataFrame:
         compare=lambda rest: _verified(crossed(rest.join(texts.select("id", *_SLIM), "id"), lambda a, b: (F.col(f"kind{a}") < F.col(f"kind{b}")) & _may_be_near(a, b)), texts))
 
 
+def row_key(doc_id: Column, text: Column) -> Column:
+    """Bytes that tell rows apart and sort by doc_id (missing ones last), then
+    by a digest of the text: rows with equal bytes are equal in both."""
+    number = F.unhex(F.lpad(F.hex(doc_id.cast("long").bitwiseXOR(F.lit(-2**63))), 16, "0"))
+    place = F.when(doc_id.isNull(), F.unhex(F.lit("01" + "00" * 8))).otherwise(F.concat(F.unhex(F.lit("00")), number))
+    return F.concat(place, F.unhex(F.substring(F.sha2(F.coalesce(text.cast("string"), F.lit("")).cast("binary"), 256), 1, 32)))
+
+
 def _prepared(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    doc_id = F.col("doc_id").cast("long")
+    return docs.select(doc_id.alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), row_key(doc_id, F.col("text")).alias("row"))
 
 
-def line_decisions(docs: DataFrame, spare: float = 1.0) -> DataFrame:
-    """``doc_id, n_lines, dropped``: the numbers (from 0, ascending) of the
-    lines of each document that repeat an earlier line.
+def line_decisions(docs: DataFrame, units: DataFrame | None = None) -> DataFrame:
+    """``doc_id, row, n_lines, dropped``: the numbers (from 0, ascending) of
+    the lines of each document that repeat an earlier line.
 
     A line repeats an earlier one when its class has a line before it, in the
-    order of doc_id and number.  A document of which more than ``spare`` (by
-    bytes) repeats lines of other documents is a copy rather than a text with
-    boilerplate; it only loses lines that repeat its own, and its copy is left
-    to document deduplication.  n_lines counts lines with a word; others are
-    never dropped.  A null text has no lines.  Rows with a null id take no
-    part and drop nothing; of rows that share an id, equal line numbers share
-    their fate.  An empty table gives no rows.
+    order of doc_id (rows without one last), then of the text's digest, and of
+    the number in the text.  ``units`` (``row, unit``: row keys) names the rows
+    that stand at the place of another: rows of one unit are copies of each
+    other, don't count as earlier, and lose what their unit loses.  n_lines
+    counts lines with a word; others are never dropped.  A null text has no
+    lines.  Rows that share an id and differ in text are documents of their
+    own; rows equal in both don't repeat each other.  An empty table gives no
+    rows.
     """
     docs = _prepared(docs)
-    comp = line_classes(docs.where("doc_id is not null"))
-    lines = written(_line_rows(docs.where("doc_id is not null")))
-    per_doc = lines.groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.sum("size").alias("bytes"))
-    lines = lines.join(comp, "id", "left").select("doc_id", "number", "size", F.coalesce("comp", "id").alias("class"))
+    comp = line_classes(docs)
+    # rows that are equal in id and text have the same lines: once is enough
+    lines = written(_line_rows(docs).repartition("row").dropDuplicates(["row", "number"]))
+    per_doc = lines.groupBy("row").agg(F.count("*").alias("n_lines"))
+    lines = lines.join(comp, "id", "left").select("row", "number", F.coalesce("comp", "id").alias("class"))
+    if units is not None:
+        lines = lines.join(units, "row", "left").withColumn("unit", F.coalesce("unit", "row"))
+    else:
+        lines = lines.withColumn("unit", F.col("row"))
     # from here on only lines of classes that occur more than once
-    repeated = lines.groupBy("class").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc")).where("n > 1").select("class", "first_doc")
+    repeated = lines.groupBy("class").agg(F.count("*").alias("n"), F.min("unit").alias("first_unit")).where("n > 1").select("class", "first_unit")
     lines = lines.join(repeated, "class")
-    here = lines.groupBy("class", "doc_id").agg(F.min("number").alias("first_here"))
-    per_line = lines.join(here, ["class", "doc_id"]).select(
-        "doc_id", "number", "size", (F.col("number") > F.col("first_here")).alias("own"), (F.col("doc_id") > F.col("first_doc")).alias("other"))
-    found = per_line.groupBy("doc_id").agg(
-        F.sum(F.when(F.col("other"), F.col("size")).otherwise(0)).alias("copied"),
-        F.sort_array(F.collect_set(F.when(F.col("own"), F.col("number")))).alias("own"),
-        F.sort_array(F.collect_set(F.when(F.col("own") | F.col("other"), F.col("number")))).alias("all"))
-    decided = per_doc.join(found, "doc_id", "left").select(
-        "doc_id", "n_lines", F.when(F.col("copied") / F.col("bytes") > F.lit(spare), F.col("own")).otherwise(F.col("all")).alias("dropped"))
-    return docs.select("doc_id").join(decided, "doc_id", "left").select(
-        "doc_id", F.coalesce("n_lines", F.lit(0)).cast("long").alias("n_lines"), F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"))
-
-
-def line_dedup(docs: DataFrame, spare: float = 1.0) -> DataFrame:
+    here = lines.groupBy("class", "row").agg(F.min("number").alias("first_here"))
+    gone = lines.join(here, ["class", "row"]).where((F.col("number") > F.col("first_here")) | (F.col("unit") > F.col("first_unit")))
+    found = gone.groupBy("row").agg(F.sort_array(F.collect_set("number")).alias("dropped"))
+    decided = per_doc.join(found, "row", "left")
+    return docs.select("doc_id", "row").join(decided, "row", "left").select(
+        "doc_id", "row", F.coalesce("n_lines", F.lit(0)).cast("long").alias("n_lines"), F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"))
+
+
+def line_dedup(docs: DataFrame, units: DataFrame | None = None, drop_emptied: bool = False) -> DataFrame:
     """The rows of ``docs`` with repeated lines cut out of ``text`` (see
     line_decisions) and ``n_chars``, if there, set to the new length.  A text
-    that loses nothing is as it was, null included; all rows and columns stay."""
+    that loses nothing is as it was, null included; all columns stay, and all
+    rows but, with ``drop_emptied``, those that lose every line with a word."""
     # names that no column of the input has
-    cuts = line_decisions(docs, spare).where(F.size("dropped") > 0).select(F.col("doc_id").alias("__cut_id"), F.col("dropped").alias("__dropped")).dropDuplicates(["__cut_id"])
+    cuts = line_decisions(docs, units).where(F.size("dropped") > 0).select(
+        F.col("row").alias("__cut_row"), F.col("dropped").alias("__dropped"), (F.size("dropped") == F.col("n_lines")).alias("__emptied")).dropDuplicates(["__cut_row"])
     parts = F.split("text", "\n", -1)
     kept = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains(F.col("__dropped"), i.cast("int"))), "\n")
-    out = docs.join(cuts, F.col("doc_id").cast("long") == F.col("__cut_id"), "left").withColumn("text", F.when(F.col("__dropped").isNull(), F.col("text")).otherwise(kept))
+    out = docs.join(cuts, row_key(F.col("doc_id"), F.col("text")) == F.col("__cut_row"), "left")
+    if drop_emptied:
+        out = out.where(~F.coalesce("__emptied", F.lit(False)))
+    out = out.withColumn("text", F.when(F.col("__dropped").isNull(), F.col("text")).otherwise(kept))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("__dropped").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
     return out.select(*docs.columns)

@@ -113,10 +113,24 @@ def test_line_dedup(docs):
     assert cut.columns == docs.columns
     texts = by_id(cut)
     assert texts[7][0].text == "" and texts[7][0].n_chars == 0 and texts[2][0].text is None and texts[5][0].text == LONG_WORD and texts[4][0].text == TEXTS[3][1]
-    assert by_id(line_dedup(docs, spare=0.5))[7][0].text == TEXTS[0][1]
+    assert 7 not in by_id(line_dedup(docs, drop_emptied=True)) and {1, 2, 3, 4, 5, 6, 8, None} <= set(by_id(line_dedup(docs, drop_emptied=True)))
     assert line_decisions(docs.limit(0)).count() == 0
 
 
+def test_lines_of_rows_that_share_an_id(spark):
+    from tessera.llm.line_dedup import line_decisions, line_dedup, row_key
+    rows = [(1, "repeat\nalpha"), (2, "repeat\nbeta"), (2, "a unique line that nobody else has at all\ngamma"), (None, "repeat\ndelta\ndelta"), (None, "epsilon\nrepeat"), (-5, "repeat\nzeta"),
+            (3, "twice\nrepeat"), (3, "twice\nrepeat"), (4, "alpha\nown words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    texts = sorted(((r.doc_id, r.text) for r in line_dedup(docs).collect()), key=str)
+    assert texts == sorted([(1, "alpha"), (2, "beta"), (2, "a unique line that nobody else has at all\ngamma"), (None, "delta"), (None, "epsilon"), (-5, "repeat\nzeta"),
+                            (3, "twice"), (3, "twice"), (4, "own words")], key=str)
+    assert sorted((r.doc_id or 0, r.n_lines) for r in line_decisions(docs).collect()) == [(-5, 2), (0, 2), (0, 3), (1, 2), (2, 2), (2, 2), (3, 2), (3, 2), (4, 2)]
+    # rows of a unit don't repeat each other and stand at its place: here 1 and 4 stand at 1, before 2, but after -5
+    units = docs.where("doc_id in (1, 4)").select(row_key(F.col("doc_id"), F.col("text")).alias("row"), F.substring(row_key(F.lit(1), F.lit("")), 1, 9).alias("unit"))
+    assert sorted(r.text for r in line_dedup(docs, units).where("doc_id in (1, 4)").collect()) == ["alpha", "alpha\nown words"]
+
+
 def test_toxicity(docs, labels):
     from tessera.llm.toxicity import new_network, reject_toxic, toxicity
     got = by_id(toxicity(docs, labels))

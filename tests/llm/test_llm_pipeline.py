@@ -34,32 +34,35 @@ def test_toxicity_only_drops(steps):
     assert set(steps[1]) <= set(steps[0]) and len(steps[1]) > 0.7 * len(steps[0])
 
 
+def near_classes(rows):
+    """doc_id of the first near copy (five words, 0.8) of every document, by brute force."""
+    sets = {}
+    for r in rows:
+        w = WORDS.findall((r.text or "").translate({i: i + 32 for i in range(65, 91)}))
+        sets[r.doc_id] = {tuple(w[j:j + 5]) for j in range(len(w) - 4)} or ({tuple(w)} if w else set())
+    parent = {i: i for i in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                x, y = find(a), find(b)
+                parent[max(x, y)] = min(x, y)
+    return {i: find(i) for i in sets}
+
+
 def test_lines(steps):
-    before, after = ({r.doc_id: r for r in s} for s in steps[1:3])
-    assert set(before) == set(after)
-    first = {}
-    for i in sorted(before):
-        for k, line in enumerate(before[i].text.split("\n")):
-            first.setdefault(line.strip(" \t\n\x0b\x0c\r"), (i, k))
-    for i, r in before.items():
-        lines, kept, at = r.text.split("\n"), after[i].text.split("\n") if after[i].text != r.text else r.text.split("\n"), 0
-        for line in kept:  # what is left is a subsequence of what was
-            while at < len(lines) and lines[at] != line:
-                at += 1
-            assert at < len(lines) or line == ""
-            at += 1
-        seen = Counter(x.strip(" \t\n\x0b\x0c\r") for x in after[i].text.split("\n"))
-        assert all(n == 1 or not x for x, n in seen.items())  # none is repeated within a document
-        assert after[i].n_chars == len(after[i].text)
-
-
-def test_lines_shared_by_documents(steps):
     """Brute force over all documents: the lines left are the first of their
-    classes, whatever share of a document that cuts."""
+    classes, whatever share of a document that cuts; near copies stand at the
+    place of their first document; texts that lose every line go."""
     from tessera.llm.line_dedup import _SPACE, edit_distance_within, threshold
-    blank = bytes(b for b in range(256) if _SPACE[b])
-    lines = [(r.doc_id, k, x.strip(blank)) for r in sorted(steps[1], key=lambda r: r.doc_id) for k, x in enumerate((r.text or "").encode().split(b"\n"))]
-    distinct = sorted({x for _, _, x in lines if x}, key=len)
+    blank, unit = bytes(b for b in range(256) if _SPACE[b]), near_classes(steps[1])
+    lines = [(unit[r.doc_id], r.doc_id, x.strip(blank)) for r in sorted(steps[1], key=lambda r: r.doc_id) for x in (r.text or "").encode().split(b"\n")]
+    distinct = sorted({x for *_, x in lines if x}, key=len)
     parent = list(range(len(distinct)))
 
     def find(x):
@@ -75,35 +78,52 @@ def test_lines_shared_by_documents(steps):
                 break
             if edit_distance_within(x, distinct[b], limit[a]):
                 parent[find(b)] = find(a)
-    place, seen, want = {x: k for k, x in enumerate(distinct)}, set(), defaultdict(list)
-    for i, _, x in lines:
-        c = find(place[x]) if x else None
-        if c not in seen:
+    place = {x: k for k, x in enumerate(distinct)}
+    first, here, want = {}, set(), defaultdict(list)
+    for u, _, x in lines:
+        if x:
+            c = find(place[x])
+            first[c] = min(first.get(c, u), u)
+    for u, i, x in lines:
+        if x and first[find(place[x])] == u and (i, find(place[x])) not in here:
+            here.add((i, find(place[x])))
             want[i].append(x)
-            seen |= {c} - {None}
-    got = {r.doc_id: [x.strip(blank) for x in r.text.encode().split(b"\n")] for r in steps[2]}
+    words = {i for _, i, x in lines if x}
+    got = {r.doc_id: [x.strip(blank) for x in (r.text or "").encode().split(b"\n")] for r in steps[2]}
     assert sum(len(v) for v in want.values()) < len(lines)
-    assert {i: [x for x in v if x] for i, v in got.items()} == {i: [x for x in want[i] if x] for i in got}
+    assert {i: [x for x in v if x] for i, v in got.items()} == {r.doc_id: want[r.doc_id] for r in steps[1] if want[r.doc_id] or r.doc_id not in words}
+    assert all(r.n_chars == len(r.text) for r in steps[2] if r.text is not None)
+
+
+def test_copies_of_the_raw_table_go(steps):
+    """Exact and near copies, found by brute force before any line is cut, are
+    gone after the near-dedup stage, and no document is left without words by it."""
+    unit, left = near_classes(steps[1]), {r.doc_id: r.text for r in steps[3]}
+    copies = {i for i, u in unit.items() if i != u}
+    assert copies and len(copies - set(left)) >= 0.9 * len(copies)
+    had = {r.doc_id for r in steps[1] if WORDS.search(r.text or "")}
+    assert all(WORDS.search(t) for i, t in left.items() if i in had)
+
+
+def test_stages_of_odd_rows(spark):
+    """Nulls in every column, clashing and repeated rows and ids, and empty tables."""
+    kinds = "doc_id long, text string, lang string, source string, n_chars long, row string, key string, unit string, comp long"
+    long = " ".join(f"w{i % 5003}" for i in range(20_000))
+    rows = [(1, "one two three four five six\nshared line here", None, None, None), (None, "no id at all\nshared line here", "x", "s", 3), (2, None, None, "s", None), (2, "", None, "s", 0),
+            (3, long, "y", None, 1), (4, long + " end", "y", "t", 1), (5, "same id", None, "s", 7), (5, "another text", None, "s", 7), (5, "another text", None, "s", 7), (None, None, None, None, None)]
+    docs = spark.createDataFrame([(*r, "z", None, "u", 1) for r in rows], kinds).repartition(3)
+    for table, most in ((docs, len(rows)), (docs.limit(0), 0)):
+        out = table
+        for name, stage in P.STAGES[1:]:
+            out = P.written(stage(spark, out, SF))
+            assert name == "sentencepiece" or out.columns == table.columns
+            if name == "near-dedup":
+                found = [(r.doc_id, r.text) for r in out.collect()]
+                assert len(found) == (most and most - 1) and (not most or (4, long + " end") not in found and (None, "no id at all") in [(i, (t or "").split("\n")[0]) for i, t in found])
 
 
 def test_near_copies(steps):
-    sets = {}
-    for r in steps[2]:
-        w = WORDS.findall(r.text.translate({i: i + 32 for i in range(65, 91)}))
-        sets[r.doc_id] = {tuple(w[j:j + 5]) for j in range(len(w) - 4)} or ({tuple(w)} if w else set())
-    parent = {i: i for i in sets}
-
-    def find(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
-
-    for a in sets:
-        for b in sets:
-            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
-                x, y = find(a), find(b)
-                parent[max(x, y)] = min(x, y)
-    assert {r.doc_id for r in steps[3]} == {i for i in sets if find(i) == i}
+    assert {r.doc_id for r in steps[3]} == {i for i, u in near_classes(steps[2]).items() if i == u}
 
 
 def test_mix(steps):
