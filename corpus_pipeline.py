@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import table, written
-from tessera.llm.line_dedup import line_dedup
+from tessera.llm.line_dedup import line_dedup, row_key
 from tessera.llm.mixing import mixed_documents
 from tessera.llm.near_dedup import near_dedup
 from tessera.llm.spiece import token_digests
@@ -27,25 +27,45 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return reject_toxic(docs, fitted_network(docs, table(spark, sf_dir, "labels")))
 
 
+def copy_units(docs: DataFrame) -> DataFrame:
+    """``row, unit`` of the rows of every class of near copies (five words,
+    similarity 0.8): the unit stands at the place of the class's smallest
+    doc_id.  Rows without an id, or whose id other rows have too, stand for
+    themselves."""
+    classes = near_dedup(docs, k=5, percent=80).where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"), F.min("component_id").alias("component_id")).where("n = 1")
+    several = classes.groupBy("component_id").agg(F.count("*").alias("members")).where("members > 1").select("component_id")
+    members = written(classes.join(several, "component_id").select(F.col("doc_id").alias("member"), "component_id"))
+    unit = F.substring(row_key(F.col("component_id"), F.lit("")), 1, 9)  # before every row of that id
+    return docs.join(members, F.col("doc_id").cast("long") == F.col("member")).select(row_key(F.col("doc_id"), F.col("text")).alias("row"), unit.alias("unit"))
+
+
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that repeat an earlier line but for a few edits are cut out."""
-    return line_dedup(docs)
+    """Lines that repeat an earlier line but for a few edits are cut out.
+
+    Copies of a document are left to the next stage: they aren't earlier
+    places for each other, and lose only what their first document loses, so
+    they stay copies.  A text that loses its last word here has nothing of its
+    own and goes; one that never had a word stays."""
+    return line_dedup(docs, copy_units(docs), drop_emptied=True)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near copies (five words, similarity 0.8) the document
-    with the smallest id stays."""
+    with the smallest id stays.  Texts without words, null ones included, are
+    copies of nothing."""
     gone = near_dedup(docs, k=5, percent=80).where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the target of its source asks for."""
+    """Every document as often as the target of its source asks for.  Null
+    sources are a source of their own, null texts have no words."""
     return mixed_documents(docs, WEIGHTS, REPEATS, SEED)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, with digests of ids and decoded text."""
+    """Token ids of every document, with digests of ids and decoded text; a
+    null text counts as empty."""
     import public_tokenizers
     with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as f:
         return token_digests(docs, f.read(), with_ids=True)
@@ -64,7 +84,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole documents table."""
+    """All stages over the whole documents table; an empty table gives no rows."""
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir))
