@@ -232,7 +232,6 @@ def aligned(docs: DataFrame, byte_level: bytes, pieces: bytes) -> DataFrame:
                     if len(held[0]) > HELD // 2:
                         yield counted(held[0])
                         held[0] = held[0].slice(0, 0)
-                pa.default_memory_pool().release_unused()
         yield counted(added_up())
 
     return docs.mapInArrow(run, "row long, doc_id long, a binary, b binary, ends binary, n_groups long, groups_sha256 string, codes array<long>, times array<long>")

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import written
 from tessera.llm.components import cells, linked_classes
-from tessera.llm.textnum import U, blocks, lower, mix, span_hash, span_identity, utf8, window_hash, words
+from tessera.llm.textnum import U, blocks, give_back, lower, mix, span_hash, span_identity, utf8, window_hash, words
 
 #: Symbols of a signature, bits of a symbol, symbols of a chunk.
 SYMBOLS, BITS, CHUNK = 32, 14, 4
@@ -195,6 +195,7 @@ def _links_of_cells(rest: DataFrame, percent: int) -> DataFrame:
         if found:
             links = np.unique(np.concatenate(found, axis=1), axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(links[0]), pa.array(links[1])], schema=schema)
+        give_back()
 
     dealt = cells(rest).select(*names, "part", "id", "comp", "n", "shingles")
     return dealt.repartition(*names).sortWithinPartitions(*names).mapInArrow(run, "comp_a long, comp_b long")

@@ -6,12 +6,14 @@ layout of an Arrow string column), so no Python object is made per word.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
 U = np.uint64
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -55,12 +57,22 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buf, offsets - offsets[0]
 
 
+def give_back() -> None:
+    """Returns what a worker has freed to the system: workers are kept for
+    many tasks, and what they hold on to adds up beside the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
+
+
 def blocks(offsets: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
-    """Row ranges of at most ``most`` bytes (or one row)."""
+    """Row ranges of at most ``most`` bytes (or one row); what the work on the
+    one before has freed is given back first."""
     i, n = 0, len(offsets) - 1
     while i < n:
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + most, "right")) - 1)
         yield i, min(j, n)
+        give_back()
         i = min(j, n)
 
 
