@@ -210,21 +210,20 @@ def _shared_keys(keys: DataFrame) -> DataFrame:
 
 
 def _line_rows(docs: DataFrame) -> DataFrame:
-    """``row, number, id, size`` of every line with a word (size in bytes)."""
-    schema = pa.schema([("row", pa.binary()), ("number", pa.int32()), ("id", pa.int64()), ("size", pa.int32())])
+    """``place, digest, number, id`` of every line with a word."""
+    schema = pa.schema([("place", pa.int64()), ("digest", pa.int64()), ("number", pa.int32()), ("id", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             buf, offsets = utf8(b.column("text"))
-            doc = b.column("row")
             for i, j in blocks(offsets):
                 part = buf[offsets[i]:offsets[j]]
                 row, number, start, end = split_lines(part, offsets[i:j + 1] - offsets[i])
                 some = end > start
-                ids = line_ids(Hashes(part), start, end)
-                yield pa.RecordBatch.from_arrays([doc.take(pa.array(i + row[some])), pa.array(number[some].astype(np.int32)), pa.array(ids[some]), pa.array((end - start)[some].astype(np.int32))], schema=schema)
+                owner = pa.array(i + row[some])
+                yield pa.RecordBatch.from_arrays([b.column("place").take(owner), b.column("digest").take(owner), pa.array(number[some].astype(np.int32)), pa.array(line_ids(Hashes(part), start, end)[some])], schema=schema)
 
-    return docs.select("row", "text").mapInArrow(run, "row binary, number int, id long, size int")
+    return docs.select("place", "digest", "text").mapInArrow(run, "place long, digest long, number int, id long")
 
 
 def _line_texts(docs: DataFrame) -> DataFrame:
@@ -321,52 +320,60 @@ def line_classes(docs: DataFrame) -> DataFrame:
         compare=lambda rest: _verified(crossed(rest.join(texts.select("id", *_SLIM), "id"), lambda a, b: (F.col(f"kind{a}") < F.col(f"kind{b}")) & _may_be_near(a, b)), texts))
 
 
-def row_key(doc_id: Column, text: Column) -> Column:
-    """Bytes that tell rows apart and sort by doc_id (missing ones last), then
-    by a digest of the text: rows with equal bytes are equal in both."""
-    number = F.unhex(F.lpad(F.hex(doc_id.cast("long").bitwiseXOR(F.lit(-2**63))), 16, "0"))
-    place = F.when(doc_id.isNull(), F.unhex(F.lit("01" + "00" * 8))).otherwise(F.concat(F.unhex(F.lit("00")), number))
-    return F.concat(place, F.unhex(F.substring(F.sha2(F.coalesce(text.cast("string"), F.lit("")).cast("binary"), 256), 1, 32)))
+#: Place of rows without an id, after all others.
+LAST = 2**63 - 1
 
 
-def _prepared(docs: DataFrame) -> DataFrame:
-    doc_id = F.col("doc_id").cast("long")
-    return docs.select(doc_id.alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), row_key(doc_id, F.col("text")).alias("row"))
+def row_key(doc_id: Column, text: Column) -> tuple[Column, Column]:
+    """``place`` and ``digest`` of a row, which tell it apart and put it in
+    order: by doc_id (missing ones last), then by a hash of the text.  Rows
+    equal in both are equal in id and text."""
+    return F.coalesce(doc_id.cast("long"), F.lit(LAST)), F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """``doc_id, text, place, digest``; a null text is empty."""
+    place, digest = row_key(F.col("doc_id"), F.col("text"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), place.alias("place"), digest.alias("digest"))
 
 
 def line_decisions(docs: DataFrame, units: DataFrame | None = None) -> DataFrame:
-    """``doc_id, row, n_lines, dropped``: the numbers (from 0, ascending) of
-    the lines of each document that repeat an earlier line.
+    """``doc_id, place, digest, n_lines, dropped``: the numbers (from 0,
+    ascending) of the lines of each document that repeat an earlier line.
 
     A line repeats an earlier one when its class has a line before it, in the
-    order of doc_id (rows without one last), then of the text's digest, and of
-    the number in the text.  ``units`` (``row, unit``: row keys) names the rows
-    that stand at the place of another: rows of one unit are copies of each
-    other, don't count as earlier, and lose what their unit loses.  n_lines
-    counts lines with a word; others are never dropped.  A null text has no
-    lines.  Rows that share an id and differ in text are documents of their
-    own; rows equal in both don't repeat each other.  An empty table gives no
-    rows.
+    order of doc_id (rows without one last), then of the text's hash, and of
+    the number in the text.  ``units`` (``place, digest, unit``) names the rows
+    that stand at the place of a doc_id ``unit``: rows of one unit are copies
+    of each other, don't count as earlier, and lose what their unit loses.
+    n_lines counts lines with a word; others are never dropped.  A null text
+    has no lines.  Rows that share an id and differ in text are documents of
+    their own; rows equal in both don't repeat each other.  An empty table
+    gives no rows.
     """
-    docs = _prepared(docs)
+    docs = keyed(docs)
+    row = ["place", "digest"]
     comp = line_classes(docs)
-    # rows that are equal in id and text have the same lines: once is enough
-    lines = written(_line_rows(docs).repartition("row").dropDuplicates(["row", "number"]))
-    per_doc = lines.groupBy("row").agg(F.count("*").alias("n_lines"))
-    lines = lines.join(comp, "id", "left").select("row", "number", F.coalesce("comp", "id").alias("class"))
-    if units is not None:
-        lines = lines.join(units, "row", "left").withColumn("unit", F.coalesce("unit", "row"))
+    lines = written(_line_rows(docs))
+    per_row = lines.groupBy(*row).agg(F.count("*").alias("all_lines"))
+    lines = lines.join(comp, "id", "left").select(*row, "number", F.coalesce("comp", "id").alias("class"))
+    if units is not None:  # a unit stands before the rows of its doc_id that aren't in it
+        lines = lines.join(units, row, "left").select(*row, "number", "class", F.coalesce("unit", "place").alias("up"),
+                                                      F.when(F.col("unit").isNotNull(), F.lit(-2**63)).otherwise(F.col("digest")).alias("ud"))
     else:
-        lines = lines.withColumn("unit", F.col("row"))
+        lines = lines.withColumns({"up": F.col("place"), "ud": F.col("digest")})
     # from here on only lines of classes that occur more than once
-    repeated = lines.groupBy("class").agg(F.count("*").alias("n"), F.min("unit").alias("first_unit")).where("n > 1").select("class", "first_unit")
+    repeated = lines.groupBy("class").agg(F.count("*").alias("n"), F.min("up").alias("first_place")).where("n > 1").select("class", "first_place")
     lines = lines.join(repeated, "class")
-    here = lines.groupBy("class", "row").agg(F.min("number").alias("first_here"))
-    gone = lines.join(here, ["class", "row"]).where((F.col("number") > F.col("first_here")) | (F.col("unit") > F.col("first_unit")))
-    found = gone.groupBy("row").agg(F.sort_array(F.collect_set("number")).alias("dropped"))
-    decided = per_doc.join(found, "row", "left")
-    return docs.select("doc_id", "row").join(decided, "row", "left").select(
-        "doc_id", "row", F.coalesce("n_lines", F.lit(0)).cast("long").alias("n_lines"), F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"))
+    first = lines.where("up = first_place").groupBy("class").agg(F.min("ud").alias("first_digest"))
+    here = lines.groupBy("class", *row).agg(F.min("number").alias("first_here"))
+    gone = lines.join(first, "class").join(here, ["class", *row]).where("number > first_here or up > first_place or ud > first_digest and up = first_place")
+    found = gone.groupBy(*row).agg(F.sort_array(F.collect_set("number")).alias("dropped"))
+    # rows that are equal in id and text have counted together
+    equal = docs.groupBy(*row).agg(F.count("*").alias("rows"))
+    decided = equal.join(per_row, row).join(found, row, "left")
+    return docs.select("doc_id", *row).join(decided, row, "left").select(
+        "doc_id", *row, F.coalesce(F.expr("all_lines div rows"), F.lit(0)).cast("long").alias("n_lines"), F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"))
 
 
 def line_dedup(docs: DataFrame, units: DataFrame | None = None, drop_emptied: bool = False) -> DataFrame:
@@ -376,10 +383,12 @@ def line_dedup(docs: DataFrame, units: DataFrame | None = None, drop_emptied: bo
     rows but, with ``drop_emptied``, those that lose every line with a word."""
     # names that no column of the input has
     cuts = line_decisions(docs, units).where(F.size("dropped") > 0).select(
-        F.col("row").alias("__cut_row"), F.col("dropped").alias("__dropped"), (F.size("dropped") == F.col("n_lines")).alias("__emptied")).dropDuplicates(["__cut_row"])
+        F.col("place").alias("__place"), F.col("digest").alias("__digest"), F.col("dropped").alias("__dropped"),
+        (F.size("dropped") == F.col("n_lines")).alias("__emptied")).dropDuplicates(["__place", "__digest"])
     parts = F.split("text", "\n", -1)
     kept = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains(F.col("__dropped"), i.cast("int"))), "\n")
-    out = docs.join(cuts, row_key(F.col("doc_id"), F.col("text")) == F.col("__cut_row"), "left")
+    place, digest = row_key(F.col("doc_id"), F.col("text"))
+    out = docs.join(cuts, (place == F.col("__place")) & (digest == F.col("__digest")), "left")
     if drop_emptied:
         out = out.where(~F.coalesce("__emptied", F.lit(False)))
     out = out.withColumn("text", F.when(F.col("__dropped").isNull(), F.col("text")).otherwise(kept))

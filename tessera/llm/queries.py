@@ -94,7 +94,7 @@ def op6_hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.line_dedup import line_decisions
-    return line_decisions(table(spark, sf_dir, "documents")).drop("row")
+    return line_decisions(table(spark, sf_dir, "documents")).drop("place", "digest")
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -118,7 +118,7 @@ def test_line_dedup(docs):
 
 
 def test_lines_of_rows_that_share_an_id(spark):
-    from tessera.llm.line_dedup import line_decisions, line_dedup, row_key
+    from tessera.llm.line_dedup import keyed, line_decisions, line_dedup
     rows = [(1, "repeat\nalpha"), (2, "repeat\nbeta"), (2, "a unique line that nobody else has at all\ngamma"), (None, "repeat\ndelta\ndelta"), (None, "epsilon\nrepeat"), (-5, "repeat\nzeta"),
             (3, "twice\nrepeat"), (3, "twice\nrepeat"), (4, "alpha\nown words")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
@@ -127,7 +127,7 @@ def test_lines_of_rows_that_share_an_id(spark):
                             (3, "twice"), (3, "twice"), (4, "own words")], key=str)
     assert sorted((r.doc_id or 0, r.n_lines) for r in line_decisions(docs).collect()) == [(-5, 2), (0, 2), (0, 3), (1, 2), (2, 2), (2, 2), (3, 2), (3, 2), (4, 2)]
     # rows of a unit don't repeat each other and stand at its place: here 1 and 4 stand at 1, before 2, but after -5
-    units = docs.where("doc_id in (1, 4)").select(row_key(F.col("doc_id"), F.col("text")).alias("row"), F.substring(row_key(F.lit(1), F.lit("")), 1, 9).alias("unit"))
+    units = keyed(docs).where("doc_id in (1, 4)").select("place", "digest", F.lit(1).cast("long").alias("unit"))
     assert sorted(r.text for r in line_dedup(docs, units).where("doc_id in (1, 4)").collect()) == ["alpha", "alpha\nown words"]
 
 
