@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import table, written
-from tessera.llm.line_dedup import line_dedup, row_key
+from tessera.llm.line_dedup import keyed, line_dedup
 from tessera.llm.mixing import mixed_documents
 from tessera.llm.near_dedup import near_dedup
 from tessera.llm.spiece import token_digests
@@ -28,15 +28,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def copy_units(docs: DataFrame) -> DataFrame:
-    """``row, unit`` of the rows of every class of near copies (five words,
-    similarity 0.8): the unit stands at the place of the class's smallest
-    doc_id.  Rows without an id, or whose id other rows have too, stand for
+    """``place, digest, unit`` of the rows of every class of near copies (five
+    words, similarity 0.8): the unit is the class's smallest doc_id.  Rows without an id, or whose id other rows have too, stand for
     themselves."""
     classes = near_dedup(docs, k=5, percent=80).where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"), F.min("component_id").alias("component_id")).where("n = 1")
     several = classes.groupBy("component_id").agg(F.count("*").alias("members")).where("members > 1").select("component_id")
     members = written(classes.join(several, "component_id").select(F.col("doc_id").alias("member"), "component_id"))
-    unit = F.substring(row_key(F.col("component_id"), F.lit("")), 1, 9)  # before every row of that id
-    return docs.join(members, F.col("doc_id").cast("long") == F.col("member")).select(row_key(F.col("doc_id"), F.col("text")).alias("row"), unit.alias("unit"))
+    return keyed(docs).join(members, F.col("doc_id") == F.col("member")).select("place", "digest", F.col("component_id").alias("unit"))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
