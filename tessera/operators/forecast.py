@@ -183,34 +183,24 @@ def components(fc: DataFrame) -> DataFrame:
 
 
 # W-6
-PACF_SCHEMA = T.StructType([T.StructField("series_id", T.StringType()), T.StructField("lag", T.IntegerType()),
-                            T.StructField("pacf", T.DoubleType())])
-
-
-def _levinson(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Durbin–Levinson recursion on r(0..L) → partial autocorrelations."""
-    pdf = pdf.sort_values("lag")
-    r = pdf["acf"].to_numpy(dtype=float)
-    L = len(r) - 1
-    out = [1.0]
-    phi = np.zeros(L + 1)
-    prev = np.zeros(L + 1)
-    v = r[0] if r[0] != 0 else 1.0
-    for k in range(1, L + 1):
-        num = r[k] - np.dot(prev[1:k], r[1:k][::-1])
-        a = num / v if v != 0 else np.nan
-        phi[1:k] = prev[1:k] - a * prev[1:k][::-1]
-        phi[k] = a
-        v = v * (1 - a * a)
-        out.append(a)
-        prev = phi.copy()
-    return pd.DataFrame({"series_id": [pdf["series_id"].iloc[0]] * (L + 1), "lag": np.arange(L + 1, dtype="int32"),
-                         "pacf": out})
-
-
 def pacf(df: DataFrame, col: str, max_lag: int, key: str = "series_id", order: str = "ds") -> DataFrame:
-    """Yule–Walker PACF per series: ACF in Spark (W-5), then the ≤ L+1-value
-    recursion per series in ``applyInPandas``."""
+    """Yule–Walker PACF per series: the ACF (W-5), then the Durbin–Levinson
+    recursion over its ≤ L+1 values as a fold over an array, without Python."""
     a = _acf(df, [key], order, col, max_lag).withColumnRenamed(key, "series_id")
-    a = a.withColumn("series_id", F.col("series_id").cast("string"))
-    return a.groupBy("series_id").applyInPandas(_levinson, PACF_SCHEMA)
+    rows = a.groupBy(F.col("series_id").cast("string").alias("series_id")).agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("lag", "acf"))), lambda x: x["acf"]).alias("r"))
+    r = F.col("r")
+
+    def step(acc, k):
+        phi, v = acc["phi"], acc["v"]
+        products = F.transform(phi, lambda x, i: x * F.get(r, k - 1 - i))
+        left = F.get(r, k) - F.aggregate(products, F.lit(0.0), lambda x, y: x + y)
+        one = F.array(F.when(v != 0, left / v).otherwise(F.lit(float("nan"))))
+        return F.get(F.transform(one, lambda p: F.struct(
+            F.concat(F.transform(phi, lambda x, i: x - p * F.get(phi, k - 2 - i)), F.array(p)).alias("phi"),
+            (v * (1 - p * p)).alias("v"), F.concat(acc["out"], F.array(p)).alias("out"))), F.lit(0))
+
+    start = F.struct(F.array().cast("array<double>").alias("phi"), F.when(F.get(r, F.lit(0)) != 0, F.get(r, F.lit(0))).otherwise(F.lit(1.0)).alias("v"),
+                     F.array(F.lit(1.0)).alias("out"))
+    out = rows.select("series_id", F.aggregate(F.sequence(F.lit(1), F.size("r") - 1), start, step, lambda acc: acc["out"]).alias("p"))
+    return out.select("series_id", F.posexplode("p").alias("lag", "pacf"))
