@@ -72,12 +72,13 @@ def crossed(rest: DataFrame, cross: Callable[[str, str], Column]) -> DataFrame:
         F.col("id_a").alias("a"), "comp_a", F.col("id_b").alias("b"), "comp_b").distinct()
 
 
-def linked_classes(rows: DataFrame, confirm: Callable[[DataFrame], DataFrame], compare: Callable[[DataFrame], DataFrame], leader_rounds: int) -> DataFrame:
+def linked_classes(rows: DataFrame, confirm: Callable[[DataFrame], DataFrame], compare: Callable[[DataFrame], DataFrame], leader_rounds: int,
+                   leaders: int = LEADERS) -> DataFrame:
     """``id, comp`` for every id of ``rows`` (columns ``key``, ``id``, and others):
     classes of the links among ids that share a key; comp is the smallest id.
 
     A key held by thousands of ids gives no pairs within the group.  In each
-    leader round every id of a key is paired with ``LEADERS`` leaders of the
+    leader round every id of a key is paired with some leaders of the
     key, unless they are in one class already: the id that shares the most keys
     with others, which is the middle of a group of copies, and others drawn by
     a hash of the id, so that the keys of a group have the same.  ``confirm``
@@ -93,8 +94,8 @@ def linked_classes(rows: DataFrame, confirm: Callable[[DataFrame], DataFrame], c
     now = rows.join(label, "id")
     for turn in range(leader_rounds + 1):
         if turn < leader_rounds:
-            leaders = [F.min(F.struct(F.xxhash64("id", F.lit(turn * LEADERS + i)) if i else -F.col("support"), "id", "comp")) for i in range(LEADERS)]
-            opened = _open_keys(now, F.array(*leaders).alias("leaders"))
+            first = [F.min(F.struct(F.xxhash64("id", F.lit(turn * leaders + i)) if i else -F.col("support"), "id", "comp")) for i in range(leaders)]
+            opened = _open_keys(now, F.array(*first).alias("leaders"))
             led = now.join(opened, "key").select("id", "comp", F.explode("leaders").alias("x"))
             links = confirm(led.where("comp <> x.comp").select(F.col("id").alias("a"), F.col("comp").alias("comp_a"), F.col("x.id").alias("b"), F.col("x.comp").alias("comp_b")).distinct())
         else:

@@ -316,7 +316,7 @@ def line_classes(docs: DataFrame) -> DataFrame:
     ids = rows.select("id").distinct()
     texts = written(_with_sketches(_line_texts(docs).join(ids, "id", "left_semi").dropDuplicates(["id"])))
     return linked_classes(
-        rows, confirm=lambda pairs: _verified(pairs, texts), leader_rounds=LEADER_ROUNDS,
+        rows, confirm=lambda pairs: _verified(pairs, texts), leader_rounds=LEADER_ROUNDS, leaders=1,
         compare=lambda rest: _verified(crossed(rest.join(texts.select("id", *_SLIM), "id"), lambda a, b: (F.col(f"kind{a}") < F.col(f"kind{b}")) & _may_be_near(a, b)), texts))
 
 
