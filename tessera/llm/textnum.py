@@ -67,14 +67,13 @@ def give_back() -> None:
 
 def blocks(offsets: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``most`` bytes (or one row); what the work on
-    some of them has freed is given back."""
-    i, n, turn = 0, len(offsets) - 1, 0
+    the one before has freed is given back."""
+    i, n = 0, len(offsets) - 1
     while i < n:
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + most, "right")) - 1)
         yield i, min(j, n)
-        i, turn = min(j, n), turn + 1
-        if turn % 4 == 0 or i == n:
-            give_back()
+        i = min(j, n)
+        give_back()
 
 
 def lower(buf: np.ndarray) -> np.ndarray:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.textnum import U, blocks, lower, mix, span_hash, utf8, words
+from tessera.llm.textnum import U, blocks, give_back, lower, mix, span_hash, utf8, words
 
 #: Most labelled documents of each class that are trained on.
 SAMPLE_PER_CLASS = 2000
@@ -343,6 +343,8 @@ def trained(sample: DataFrame) -> dict[str, np.ndarray]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = sorted(row for b in batches for row in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "toxic"))))
         net = train([text for _, text, _ in found], [toxic for _, _, toxic in found])
+        found.clear()
+        give_back()
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(net)], pa.binary())], schema=schema)
 
     nets = sample.repartition(1).mapInArrow(run, "net binary").collect()
