@@ -28,6 +28,8 @@ ONE_EDIT, TWO_EDITS = 24, 48
 LEADER_ROUNDS = 1
 #: Longs of a line's sketch: parities of 64 byte buckets, then of 256 byte-pair buckets.
 SKETCH = 5
+#: Kinds of a key, as bits.
+SEGMENT, PROBE = 1, 2
 
 
 def threshold(length: np.ndarray) -> np.ndarray:
@@ -129,29 +131,32 @@ def segment(length: np.ndarray, t: np.ndarray, k: int) -> tuple[np.ndarray, np.n
 
 def join_keys(hashes: Hashes, start: np.ndarray, end: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(line places, keys) of the segments and of the probed substrings; the
-    last bit of a key is 0 for a segment and 1 for a probe, and what is above
-    hashes the length of the shorter line, the segment's number and its bytes."""
+    last two bits of a key are 1 for a segment, 2 for a probe and 3 for both,
+    and what is above hashes the length of the shorter line, the segment's
+    number and its bytes.  A line probes its own segments where they are."""
     length = end - start
     own = threshold(length)
 
     def keys(which: np.ndarray, at: np.ndarray, size: np.ndarray, l: np.ndarray, k: int, kind: int) -> tuple[np.ndarray, np.ndarray]:
         code = hashes(at, at + size, (l.astype(U) * U(8) + U(k)) * U(0xD1342543DE82EF95))
-        return which, ((code & ~U(1)) | U(kind)).view(np.int64)
+        return which, ((code & ~U(3)) | U(kind)).view(np.int64)
 
     for k in range(3):
         which = np.flatnonzero((own >= k) & (own > 0))
         first, size = segment(length[which], own[which], k)
-        yield keys(which, start[which] + first, size, length[which], k, 0)
+        yield keys(which, start[which] + first, size, length[which], k, SEGMENT | PROBE)
         for less in range(3):
             l = length - less
             t = threshold(np.maximum(l, 0))
             which = np.flatnonzero((t >= less) & (t >= k) & (t > 0))
             first, size = segment(l[which], t[which], k)
             for move in range(-2, 3):
+                if not less and not move:
+                    continue
                 # the segments before k can have shifted it by k, those after it by t - k off the shift by length
                 fits = (abs(move) <= k) & (np.abs(move - less) <= t[which] - k) & (first + move >= 0) & (first + move + size <= length[which])
                 if fits.any():
-                    yield keys(which[fits], start[which[fits]] + first[fits] + move, size[fits], l[which[fits]], k, 1)
+                    yield keys(which[fits], start[which[fits]] + first[fits] + move, size[fits], l[which[fits]], k, PROBE)
 
 
 _LINE_KEYS = "key long, id long"
@@ -176,37 +181,40 @@ def _key_rows(docs: DataFrame) -> DataFrame:
 
 
 def _shared_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows (``key, id, kind``, sorted) whose key several ids have.  The
-    rows of one id and key share what one of them shares; those that end a
-    batch are held until the next shows what follows."""
+    """``key, id, kind`` of the keys (rows ``key, id`` sorted by key) that
+    several ids have, the kinds of an id in a batch together.  Of the key that
+    ends a batch the rows are held, at most one a kind, until a second id shows."""
     schema = pa.schema([("key", pa.int64()), ("id", pa.int64()), ("kind", pa.int32())])
-    held = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)]
-    held_shared = False  # with an id before them
+    held = (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    shared_key = None  # the last key, if it is known to be shared
     for b in batches:
         if not b.num_rows:
             continue
-        key, ids, kind = (np.concatenate([h, b.column(c).to_numpy()]) for h, c in zip(held, schema.names))
-        new = np.append(True, (key[1:] != key[:-1]) | (ids[1:] != ids[:-1]))
-        first = np.flatnonzero(new)
-        shared = np.zeros(len(first), bool)
-        shared[0] = held_shared
-        same = key[first[1:]] == key[first[:-1]]
-        shared[1:] |= same
-        shared[:-1] |= same
-        last = first[-1]
-        keep = shared[np.cumsum(new) - 1][:last]
-        held, held_shared = [x[last:].copy() for x in (key, ids, kind)], bool(shared[-1])
-        yield pa.RecordBatch.from_arrays([pa.array(x[:last][keep]) for x in (key, ids, kind)], schema=schema)
-    if held_shared:
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], schema=schema)
+        code, ids = (np.concatenate([h, b.column(c).to_numpy()]) for h, c in zip(held, ("key", "id")))
+        key = code >> 2
+        begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        shared = np.minimum.reduceat(ids, begin) < np.maximum.reduceat(ids, begin)
+        shared[0] |= key[0] == shared_key
+        keep = np.repeat(shared, np.diff(np.append(begin, len(key))))
+        last = begin[-1]
+        if shared[-1]:
+            shared_key, held = key[-1], (code[:0], ids[:0])
+        else:
+            _, once = np.unique(code[last:], return_index=True)
+            shared_key, held = None, (code[last:][once], ids[last:][once])
+        key, ids, kind = key[keep], ids[keep], (code[keep] & 3).astype(np.int32)
+        if len(key):
+            order = np.lexsort((ids, key))
+            key, ids, kind = key[order], ids[order], kind[order]
+            first = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (ids[1:] != ids[:-1])))
+            yield pa.RecordBatch.from_arrays([pa.array(key[first]), pa.array(ids[first]), pa.array(np.bitwise_or.reduceat(kind, first))], schema=schema)
 
 
 def _shared_keys(keys: DataFrame) -> DataFrame:
-    """The rows whose key (but for the last bit) several ids have.  Rows come
-    sorted, so this compares neighbours and holds one batch."""
+    """The rows whose key (but for the kind) several ids have.  Rows come
+    sorted by one long, so this compares neighbours and holds one batch."""
     # the whole of a key's rows meet in one task, which only streams through them
-    rows = keys.select(F.shiftright("key", 1).alias("key"), "id", F.col("key").bitwiseAND(1).cast("int").alias("kind"))
-    return rows.repartition("key").sortWithinPartitions("key", "id", "kind").mapInArrow(_shared_rows, "key long, id long, kind int")
+    return keys.repartition(F.shiftright("key", 2)).sortWithinPartitions("key").mapInArrow(_shared_rows, "key long, id long, kind int")
 
 
 def _line_rows(docs: DataFrame) -> DataFrame:
@@ -309,6 +317,12 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.select("comp_a", "comp_b", "line_a", "line_b").mapInArrow(run, "comp_a long, comp_b long")
 
 
+def _probes(a: str, b: str) -> Column:
+    """Whether the second side probes a segment of the first; of two lines that probe each other, once."""
+    kind_a, kind_b = F.col(f"kind{a}"), F.col(f"kind{b}")
+    return (kind_a.bitwiseAND(SEGMENT) > 0) & (kind_b.bitwiseAND(PROBE) > 0) & ((kind_a != kind_b) | (F.col(f"id{a}") < F.col(f"id{b}")))
+
+
 def line_classes(docs: DataFrame) -> DataFrame:
     """``id, comp`` of the lines that share a key with another line; lines of
     one class have the same comp.  A line that isn't here is alone."""
@@ -317,7 +331,7 @@ def line_classes(docs: DataFrame) -> DataFrame:
     texts = written(_with_sketches(_line_texts(docs).join(ids, "id", "left_semi").dropDuplicates(["id"])))
     return linked_classes(
         rows, confirm=lambda pairs: _verified(pairs, texts), leader_rounds=LEADER_ROUNDS, leaders=1,
-        compare=lambda rest: _verified(crossed(rest.join(texts.select("id", *_SLIM), "id"), lambda a, b: (F.col(f"kind{a}") < F.col(f"kind{b}")) & _may_be_near(a, b)), texts))
+        compare=lambda rest: _verified(crossed(rest.join(texts.select("id", *_SLIM), "id"), lambda a, b: _probes(a, b) & _may_be_near(a, b)), texts))
 
 
 #: Place of rows without an id, after all others.

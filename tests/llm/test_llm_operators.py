@@ -235,12 +235,18 @@ def test_shared_keys_over_batch_edges():
     from tessera.llm.line_dedup import _shared_rows
     rng = random.Random(14)
     for turn in range(300):
-        rows = sorted((rng.randint(0, 3), rng.randint(0, 3), rng.randint(0, 1)) for _ in range(rng.randint(0, 14)))
-        want = [r for r in rows if len({i for k, i, _ in rows if k == r[0]}) > 1]
+        rows = [(rng.randint(-2, 2), rng.randint(0, 3), rng.randint(1, 3)) for _ in range(rng.randint(0, 14))]
+        want = {}
+        for k, i, kind in rows:
+            if len({i for key, i, _ in rows if key == k}) > 1:
+                want[k, i] = want.get((k, i), 0) | kind
+        sent = sorted(((k << 2 | kind, i) for k, i, kind in rows), key=lambda r: (r[0], rng.random()))
         for size in (1, 2, 3, 20):
-            batches = [pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[a:a + size]), (pa.int64(), pa.int64(), pa.int32()))], names=["key", "id", "kind"])
-                       for a in range(0, len(rows), size)]
-            assert [tuple(r.values()) for b in _shared_rows(iter(batches)) for r in b.to_pylist()] == want
+            batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*sent[a:a + size])], names=["key", "id"]) for a in range(0, len(sent), size)]
+            got = {}
+            for k, i, kind in (tuple(r.values()) for b in _shared_rows(iter(batches)) for r in b.to_pylist()):
+                got[k, i] = got.get((k, i), 0) | kind
+            assert got == want
 
 
 def test_toxicity_gradients():
