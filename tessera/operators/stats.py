@@ -10,8 +10,10 @@ subqueries (``DataFrame.scalar()``), not cross joins.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -257,30 +259,95 @@ def corr_guarded(x: str, y: str) -> Column:
     return F.try_divide(F.covar_pop(xm, ym), F.stddev_pop(xm) * F.stddev_pop(ym))
 
 
-def _pair_corr() -> Column:
-    """Guarded correlation of (x, y) rows per key group (P7 masking inside)."""
-    xm = F.when(F.col("y").isNotNull(), F.col("x"))
-    ym = F.when(F.col("x").isNotNull(), F.col("y"))
-    return F.try_divide(F.covar_pop(xm, ym), F.stddev_pop(xm) * F.stddev_pop(ym))
+class _CoMoments:
+    """Counts, means and co-moments of every pair of a left and a right column
+    over the rows where neither is NULL, as (left, right) arrays.  A batch is a
+    few matrix products; batches are merged by the pairwise update."""
+
+    def __init__(self, left: int, right: int) -> None:
+        shape = (left, right)
+        self.n, self.c = np.zeros(shape), np.zeros(shape)
+        self.mean, self.square = [np.zeros(shape), np.zeros(shape)], [np.zeros(shape), np.zeros(shape)]
+        self.low, self.high = [np.full(shape, np.inf)] * 2, [np.full(shape, -np.inf)] * 2
+
+    @staticmethod
+    def _extremes(x: np.ndarray, has: np.ndarray, other: np.ndarray, worst: float, least: np.ufunc) -> np.ndarray:
+        """(columns of x, columns of the other side): the least (largest) value where both are there."""
+        x = np.where(has, x, worst)
+        out = np.repeat(least.reduce(x, 0)[:, None], other.shape[1], 1)
+        for j in np.flatnonzero(~other.all(0)):
+            out[:, j] = least.reduce(x[other[:, j]], 0, initial=worst)
+        return out
+
+    def add(self, x: np.ndarray, y: np.ndarray, has_x: np.ndarray, has_y: np.ndarray) -> None:
+        """``x`` (rows, left) and ``y`` (rows, right) with masks of what isn't NULL."""
+        mx, my = has_x.astype(np.float64), has_y.astype(np.float64)
+        # around a value of the column, so that large offsets don't cancel digits
+        shift_x, shift_y = (v[h.argmax(0), np.arange(v.shape[1])] * h.any(0) for v, h in ((x, has_x), (y, has_y)))
+        zx, zy = np.where(has_x, x - shift_x, 0.0), np.where(has_y, y - shift_y, 0.0)
+        n = mx.T @ my
+        some = np.maximum(n, 1)
+        sum_x, sum_y = zx.T @ my, mx.T @ zy
+        c = zx.T @ zy - sum_x * sum_y / some
+        mean = [shift_x[:, None] + sum_x / some, shift_y[None, :] + sum_y / some]
+        square = [(zx * zx).T @ my - sum_x * sum_x / some, mx.T @ (zy * zy) - sum_y * sum_y / some]
+        total = self.n + n
+        weight = self.n * n / np.maximum(total, 1)
+        delta = [m - old for m, old in zip(mean, self.mean)]
+        self.c += c + delta[0] * delta[1] * weight
+        self.square = [s + t + d * d * weight for s, t, d in zip(self.square, square, delta)]
+        self.mean = [m + d * n / np.maximum(total, 1) for m, d in zip(self.mean, delta)]
+        self.n = total
+        for at, worst, least in ((self.low, np.inf, np.minimum), (self.high, -np.inf, np.maximum)):
+            at[:] = [least(at[0], self._extremes(x, has_x, has_y, worst, least)), least(at[1], self._extremes(y, has_y, has_x, worst, least).T)]
 
 
 def _corr_pairs(df: DataFrame, pairs_list: Sequence[tuple[str, str]], digits: int) -> DataFrame:
-    """(col_a, col_b, corr) for the given column pairs, guarded."""
-    long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(a).cast("double").alias("x"),
-                 F.col(b).cast("double").alias("y")) for a, b in pairs_list])).alias("p")) \
-        .select("p.col_a", "p.col_b", "p.x", "p.y")
-    return long.groupBy("col_a", "col_b").agg(round_nudged(_pair_corr(), digits).alias("corr"))
+    """(col_a, col_b, corr) for the given column pairs, guarded.
+
+    Every task adds up the co-moments of all its rows (``_CoMoments``) and
+    gives one row per pair; these are merged around the pair's overall means.
+    No row is repeated per column or pair.  A side that has one value only, or
+    no common rows, gives NULL; NaN makes the correlations of its column NaN;
+    an empty table gives no rows."""
+    left, right = (list(dict.fromkeys(side)) for side in zip(*pairs_list)) if pairs_list else ([], [])
+    li, ri = ([side.index(c) for c in names] for side, names in zip((left, right), zip(*pairs_list))) if pairs_list else ([], [])
+    cols = list(dict.fromkeys(left + right))
+    at_left, at_right = [cols.index(c) for c in left], [cols.index(c) for c in right]
+    names = ["n", "c", "mean_a", "mean_b", "square_a", "square_b", "low_a", "low_b", "high_a", "high_b"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        acc = _CoMoments(len(left), len(right))
+        rows = 0
+        for batch in batches:
+            if not batch.num_rows or not cols:
+                continue
+            rows += batch.num_rows
+            has = np.stack([v.is_valid().to_numpy(zero_copy_only=False) for v in batch.columns], 1)
+            x = np.stack([v.fill_null(0.0).to_numpy(zero_copy_only=False) for v in batch.columns], 1)
+            acc.add(x[:, at_left], x[:, at_right], has[:, at_left], has[:, at_right])
+        if rows:
+            found = [acc.n, acc.c, *acc.mean, *acc.square, *acc.low, *acc.high]
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(li)), pa.int32()), *(pa.array(v[li, ri]) for v in found)], names=["pair", *names])
+
+    tasks = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)]).mapInArrow(run, "pair int, " + ", ".join(f"{n} double" for n in names))
+    whole = Window.partitionBy("pair")
+    for s in ("a", "b"):
+        tasks = tasks.withColumn(f"off_{s}", F.col(f"mean_{s}") - F.try_divide(F.sum(F.col("n") * F.col(f"mean_{s}")).over(whole), F.sum("n").over(whole)))
+    out = tasks.groupBy("pair").agg(
+        F.sum(F.col("c") + F.col("n") * F.col("off_a") * F.col("off_b")).alias("c"),
+        *[F.sum(F.col(f"square_{s}") + F.col("n") * F.col(f"off_{s}") * F.col(f"off_{s}")).alias(f"square_{s}") for s in ("a", "b")],
+        *[(F.min(f"low_{s}") < F.max(f"high_{s}")).alias(f"varies_{s}") for s in ("a", "b")])
+    corr = F.when(F.col("varies_a") & F.col("varies_b"), F.try_divide(F.col("c"), F.sqrt("square_a") * F.sqrt("square_b")))
+    pair = F.get(F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b")) for a, b in pairs_list]), F.col("pair")) if pairs_list else F.lit(None).cast("struct<col_a:string,col_b:string>")
+    return out.select(pair.alias("p"), round_nudged(corr, digits).alias("corr")).select("p.col_a", "p.col_b", "corr")
 
 
 def corr_with(df: DataFrame, target: str, cols: Sequence[str] | None = None, include_target: bool = False,
               digits: int = 6) -> DataFrame:
     """Correlation of every numeric column with ``target``, sorted desc.
 
-    Long form: each row is exploded into one (column, x, y) row per column
-    and grouped by column with three aggregates, so the generated code stays
-    small at any number of columns; the stage ends in a partial aggregation
-    with one group per column.
+    One pass adds up the co-moments of all columns with the target (see ``_corr_pairs``).
     """
     cols = [c for c in _cols(df, cols) if include_target or c != target]
     out = _corr_pairs(df, [(c, target) for c in cols], digits).select(F.col("col_a").alias("column"), "corr")

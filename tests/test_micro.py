@@ -194,3 +194,25 @@ def test_jdbc_options_partitioned():
     assert o["partitionColumn"] == "id" and o["numPartitions"] == "8" and o["dbtable"] == "public.orders"
     with pytest.raises(ValueError):
         io.jdbc_options("u", "t", "id")
+
+
+def test_corr_matrix_equals_pairs_of_whole_rows(spark):
+    import random
+    rng = random.Random(5)
+    rows = [(1e9 + rng.random(), None if i % 7 == 0 else rng.random() * i, 4.1, 0.3 if i % 2 else None, None if i % 2 else rng.random(), None) for i in range(400)]
+    names = ["offset", "some", "constant", "half", "other_half", "nothing"]
+    df = spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names)).repartition(5)
+    got = {(r.col_a, r.col_b): r["corr"] for r in ST.corr_matrix(df, names, digits=6).collect()}
+    assert len(got) == len(names) ** 2
+    for i, a in enumerate(names):
+        for j, b in enumerate(names):
+            pairs = [(r[i], r[j]) for r in rows if r[i] is not None and r[j] is not None]
+            x, y = ([p[k] for p in pairs] for k in (0, 1))
+            if len(set(x)) < 2 or len(set(y)) < 2:
+                assert got[a, b] is None, (a, b)
+                continue
+            mx, my = sum(v - x[0] for v in x) / len(x) + x[0], sum(y) / len(y)
+            c, sx, sy = (sum(p * q for p, q in zip(*s)) for s in (([v - mx for v in x], [v - my for v in y]), ([v - mx for v in x],) * 2, ([v - my for v in y],) * 2))
+            assert abs(got[a, b] - c / (sx * sy) ** 0.5) < 2e-6, (a, b)
+    assert ST.corr_matrix(df.limit(0), names).count() == 0
+    assert ST.corr_with(df, "some", ["some"]).count() == 0
