@@ -235,7 +235,10 @@ def rf_fit(train: DataFrame, features_col: str, label: str, num_trees: int = 150
 
 
 def positive_probability(model, df: DataFrame, out: str = "score") -> DataFrame:
-    return model.transform(df).withColumn(out, vector_to_array("probability")[1])
+    """Probability of class 1.  A fitted forest holds its training summary, and
+    with it the session, which can't be sent to tasks once it has observed a
+    metric or set a job tag; a copy has the trees alone."""
+    return model.copy().transform(df).withColumn(out, vector_to_array("probability")[1])
 
 
 # L-7

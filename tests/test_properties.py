@@ -256,3 +256,23 @@ def test_end_slices_without_groups(spark):
     df = spark.range(100).withColumn("v", -spark.range(1).select("id").scalar() + 7)
     ids = lambda a, b: sorted(r["id"] for r in FL.slice_rows(df, "id", a, b).collect())
     assert ids(None, 5) == list(range(5)) and ids(2, 6) == [2, 3, 4, 5] and ids(-3, None) == [97, 98, 99] and ids(-5, -2) == [95, 96, 97] and ids(10, -85) == list(range(10, 15))
+
+
+def _two_class_rows(spark, n=60):
+    """Rows of two classes that one feature parts, as ``id, Class, scaled``."""
+    from pyspark.ml.functions import array_to_vector
+    x = F.col("id").cast("double")
+    return spark.range(n).select("id", (F.col("id") % 3 == 0).cast("int").alias("Class"),
+                                 array_to_vector(F.array(x % 3, x % 7, x / n)).alias("scaled"))
+
+
+def test_forest_scores_in_a_session_that_has_observed_a_metric(spark):
+    from pyspark.sql import Observation
+    seen = Observation("rows")
+    spark.range(5).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 5}
+    df = _two_class_rows(spark)
+    model = C.rf_fit(df, "scaled", "Class", num_trees=5, max_depth=4)
+    got = C.positive_probability(model, df).select("Class", "score").collect()
+    assert len(got) == 60
+    assert all((r["score"] > 0.5) == (r["Class"] == 1) for r in got)
