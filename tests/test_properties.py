@@ -276,3 +276,45 @@ def test_forest_scores_in_a_session_that_has_observed_a_metric(spark):
     got = C.positive_probability(model, df).select("Class", "score").collect()
     assert len(got) == 60
     assert all((r["score"] > 0.5) == (r["Class"] == 1) for r in got)
+
+
+def test_forest_keeps_node_ids_and_joins_partitions_beyond_the_cores(spark):
+    """A level costs every partition the statistics of every node."""
+    df = _two_class_rows(spark, 64).repartition(64, "id")
+    packed = C._packed(df)
+    assert packed.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert sorted(r["id"] for r in packed.collect()) == list(range(64))
+    assert C._packed(df, 8192).rdd.getNumPartitions() == 1
+    assert C._packed(df, 32).rdd.getNumPartitions() == 2
+    model = C.rf_fit(df, "scaled", "Class", num_trees=2, max_depth=2)
+    assert model.getCacheNodeIds() and not C.rf_fit(df, "scaled", "Class", num_trees=2, max_depth=2, cacheNodeIds=False).getCacheNodeIds()
+
+
+def test_random_search_equals_cross_validator(spark):
+    """The fits of all folds run beside each other, with the metrics, the best map and the scores of Spark's own search."""
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    from pyspark.ml.tuning import CrossValidator
+    df = _two_class_rows(spark, 90).coalesce(1)
+    space = {"numTrees": [3, 5], "maxDepth": [1, 2], "minInstancesPerNode": [1]}
+    got = C.random_search(df, "scaled", "Class", n_iter=4, folds=3, seed=1, id_col="id", space=space)
+    maps = [m for m in _search_maps(space, 4, 1)]
+    rf = RandomForestClassifier(featuresCol="scaled", labelCol="Class", seed=1)
+    ev = MulticlassClassificationEvaluator(labelCol="Class", metricName="fMeasureByLabel", metricLabel=1.0)
+    folds = C.held(C.stratified_folds(df, "Class", "id", 3, 1).select("scaled", "Class", "_fold")).coalesce(1)
+    cv = CrossValidator(estimator=rf, estimatorParamMaps=[{getattr(rf, k): v for k, v in m.items()} for m in maps],
+                        evaluator=ev, foldCol="_fold", seed=1).fit(folds)
+    assert len(got.avgMetrics) == 4 and np.allclose(got.avgMetrics, cv.avgMetrics) and np.allclose(got.stdMetrics, cv.stdMetrics)
+    assert got.bestModel.toDebugString.split("\n")[1:] == cv.bestModel.toDebugString.split("\n")[1:]
+    with pytest.raises(ValueError):
+        C.random_search(df, "scaled", "Class", n_iter=1, folds=91, seed=1, id_col="id", space=space)
+
+
+def _search_maps(space, n_iter, seed):
+    import random
+    rng, seen = random.Random(seed), []
+    while len(seen) < n_iter:
+        draw = {k: rng.choice(list(v)) for k, v in space.items()}
+        if draw not in seen:
+            seen.append(draw)
+    return seen
