@@ -351,43 +351,55 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), place.alias("place"), digest.alias("digest"))
 
 
-def line_decisions(docs: DataFrame, units: DataFrame | None = None) -> DataFrame:
-    """``doc_id, place, digest, n_lines, dropped``: the numbers (from 0,
-    ascending) of the lines of each document that repeat an earlier line.
+def _decided(docs: DataFrame, units: DataFrame | None) -> DataFrame:
+    """``place, digest, n_lines, dropped`` of every row of ``docs`` (see
+    keyed), equal rows once; dropped is null where no line goes.
 
-    A line repeats an earlier one when its class has a line before it, in the
-    order of doc_id (rows without one last), then of the text's hash, and of
-    the number in the text.  ``units`` (``place, digest, unit``) names the rows
-    that stand at the place of a doc_id ``unit``: rows of one unit are copies
-    of each other, don't count as earlier, and lose what their unit loses.
-    n_lines counts lines with a word; others are never dropped.  A null text
-    has no lines.  Rows that share an id and differ in text are documents of
-    their own; rows equal in both don't repeat each other.  An empty table
-    gives no rows.
-    """
-    docs = keyed(docs)
+    Each step is written, so no plan holds more than a few joins: the driver
+    plans a query anew after each of its stages, and what that takes grows
+    with the whole plan."""
     row = ["place", "digest"]
     comp = line_classes(docs)
-    lines = written(_line_rows(docs))
+    lines = _line_rows(docs).join(comp, "id", "left").select(*row, "number", F.coalesce("comp", "id").alias("class"))
+    if units is not None:
+        lines = lines.join(units, row, "left").select(*row, "number", "class", "unit")
+    lines = written(lines)
     per_row = lines.groupBy(*row).agg(F.count("*").alias("all_lines"))
-    lines = lines.join(comp, "id", "left").select(*row, "number", F.coalesce("comp", "id").alias("class"))
     if units is not None:  # a unit stands before the rows of its doc_id that aren't in it
-        lines = lines.join(units, row, "left").select(*row, "number", "class", F.coalesce("unit", "place").alias("up"),
-                                                      F.when(F.col("unit").isNotNull(), F.lit(-2**63)).otherwise(F.col("digest")).alias("ud"))
+        lines = lines.select(*row, "number", "class", F.coalesce("unit", "place").alias("up"),
+                             F.when(F.col("unit").isNotNull(), F.lit(-2**63)).otherwise(F.col("digest")).alias("ud"))
     else:
         lines = lines.withColumns({"up": F.col("place"), "ud": F.col("digest")})
     # from here on only lines of classes that occur more than once
     repeated = lines.groupBy("class").agg(F.count("*").alias("n"), F.min("up").alias("first_place")).where("n > 1").select("class", "first_place")
-    lines = lines.join(repeated, "class")
+    lines = written(lines.join(repeated, "class"))
     first = lines.where("up = first_place").groupBy("class").agg(F.min("ud").alias("first_digest"))
     here = lines.groupBy("class", *row).agg(F.min("number").alias("first_here"))
     gone = lines.join(first, "class").join(here, ["class", *row]).where("number > first_here or up > first_place or ud > first_digest and up = first_place")
-    found = gone.groupBy(*row).agg(F.sort_array(F.collect_set("number")).alias("dropped"))
+    found = written(gone.groupBy(*row).agg(F.sort_array(F.collect_set("number")).alias("dropped")))
     # rows that are equal in id and text have counted together
     equal = docs.groupBy(*row).agg(F.count("*").alias("rows"))
-    decided = equal.join(per_row, row).join(found, row, "left")
-    return docs.select("doc_id", *row).join(decided, row, "left").select(
-        "doc_id", *row, F.coalesce(F.expr("all_lines div rows"), F.lit(0)).cast("long").alias("n_lines"), F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"))
+    return equal.join(per_row, row, "left").join(found, row, "left").select(
+        *row, F.coalesce(F.expr("all_lines div rows"), F.lit(0)).cast("long").alias("n_lines"), "dropped")
+
+
+def line_decisions(docs: DataFrame, units: DataFrame | None = None) -> DataFrame:
+    """``doc_id, place, digest, n_lines, dropped``: the numbers (from 0,
+    ascending) of the lines of each document that repeat an earlier line.
+
+    A line repeats an earlier one when its class has a line before it, in the
+    order of doc_id (rows without one last), then of the text's hash, and of
+    the number in the text.  ``units`` (``place, digest, unit``) names the rows
+    that stand at the place of a doc_id ``unit``, each once: rows of one unit
+    are copies of each other, don't count as earlier, and lose what their unit
+    loses.  n_lines counts lines with a word; others are never dropped.  A null
+    text has no lines.  Rows that share an id and differ in text are documents
+    of their own; rows equal in both don't repeat each other.  An empty table
+    gives no rows.
+    """
+    docs = keyed(docs)
+    return docs.select("doc_id", "place", "digest").join(_decided(docs, units), ["place", "digest"], "left").select(
+        "doc_id", "place", "digest", "n_lines", F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"))
 
 
 def line_dedup(docs: DataFrame, units: DataFrame | None = None, drop_emptied: bool = False) -> DataFrame:
@@ -396,9 +408,9 @@ def line_dedup(docs: DataFrame, units: DataFrame | None = None, drop_emptied: bo
     that loses nothing is as it was, null included; all columns stay, and all
     rows but, with ``drop_emptied``, those that lose every line with a word."""
     # names that no column of the input has
-    cuts = line_decisions(docs, units).where(F.size("dropped") > 0).select(
+    cuts = _decided(keyed(docs), units).where("dropped is not null").select(
         F.col("place").alias("__place"), F.col("digest").alias("__digest"), F.col("dropped").alias("__dropped"),
-        (F.size("dropped") == F.col("n_lines")).alias("__emptied")).dropDuplicates(["__place", "__digest"])
+        (F.size("dropped") == F.col("n_lines")).alias("__emptied"))
     parts = F.split("text", "\n", -1)
     kept = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains(F.col("__dropped"), i.cast("int"))), "\n")
     place, digest = row_key(F.col("doc_id"), F.col("text"))

@@ -260,3 +260,15 @@ def test_substrings_of_shared_and_missing_ids(spark):
         spans = int((gone[1:] & ~gone[:-1]).sum() + gone[0]) if len(b) else 0
         want.append((doc, len(b), int(gone.sum()), spans, hashlib.sha256(bytes(x for x, g in zip(b, gone) if not g)).hexdigest()))
     assert got == order(want)
+
+
+# -- size of plans --------------------------------------------------------------------
+def test_line_plans_stay_small(spark):
+    """The driver plans a query anew after each stage: no plan may chain all steps."""
+    from tessera.llm.line_dedup import keyed, line_decisions, line_dedup
+    line = "a line of some thirty bytes, number "
+    docs = spark.createDataFrame([(1, f"{line}1\n{line}1\nown"), (2, f"{line}2\nmine"), (3, f"{line}2\nmine")], "doc_id long, text string")
+    units = keyed(docs).where("doc_id > 1").selectExpr("place", "digest", "2L as unit")
+    for out, most in ((line_dedup(docs, units), 3), (line_decisions(docs, units), 3)):
+        assert out._jdf.queryExecution().analyzed().toString().count("Join ") <= most
+    assert [tuple(r) for r in line_dedup(docs, units).orderBy("doc_id").collect()] == [(1, f"{line}1\nown"), (2, "mine"), (3, "mine")]
