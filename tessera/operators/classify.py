@@ -229,11 +229,16 @@ def pca_variance(train: DataFrame, *others: DataFrame, input_col: str = "scaled"
 # L-5
 def rf_fit(train: DataFrame, features_col: str, label: str, num_trees: int = 150, seed: int = 42,
            weight_col: str | None = None, max_depth: int | None = None, **params):
-    """Random forest; unlimited depth (``None``) like the original maps to Spark's maximum."""
+    """Random forest; unlimited depth (``None``) like the original maps to Spark's maximum.
+    Beyond ``forest.MLLIB_ROWS`` rows the trees are grown in tasks and stay in a table."""
     rf = _forest(train.sparkSession, featuresCol=features_col, labelCol=label, numTrees=num_trees, seed=seed,
                  maxDepth=_spark_value("maxDepth", max_depth), **params)
     if weight_col:
         rf = rf.setWeightCol(weight_col)
+    if forest.grows(rf, train):
+        rows = held(forest.training_rows(train, rf))
+        if rows.count() > forest.MLLIB_ROWS:
+            return forest.fit(rows, rf)
     return rf.fit(_packed(train))
 
 
